@@ -368,25 +368,23 @@ def golden_metrics(gold: DataFrame) -> DataFrame:
 def exact_median(df: DataFrame, value: Column) -> DataFrame:
     """Exact median from value counts.
 
-    Equal values are counted map-side and the running count is a window over distinct
-    values, range-partitioned in two steps, so no task sees the whole column.
+    Equal values are counted map-side and the counts written once; the running count
+    over them is bucketed, so no task sees the whole column.
     """
     from paylens.operators.windows import running_total
+    from paylens.session import written
 
-    counts = df.select(value.alias("v")).where("v IS NOT NULL").groupBy("v").agg(ROWS.alias("n"))
+    raw = df.select(value.alias("v")).where("v IS NOT NULL").groupBy("v").agg(ROWS.alias("n"))
+    counts = written(raw, "value-counts")
     cum = running_total(counts, "v", "n", "cum")
     size = counts.agg(F.sum("n")).scalar()
     low, high = F.floor((size + 1) / 2), F.floor((size + 2) / 2)
-    start = F.col("cum") - F.col("n")
-    return cum.agg(
-        (
-            (
-                F.max(F.when((start < low) & (F.col("cum") >= low), F.col("v")))
-                + F.max(F.when((start < high) & (F.col("cum") >= high), F.col("v")))
-            ).cast("double")
-            / 2
-        ).alias("median")
-    )
+    before = F.col("cum") - F.col("n")
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((before < rank) & (F.col("cum") >= rank), F.col("v")))
+
+    return cum.agg(((at(low) + at(high)).cast("double") / 2).alias("median"))
 
 
 def mean_ranking(txn: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -51,14 +51,32 @@ def severity(changes: Sequence[tuple[str, str, str, str]], nullable: dict[str, b
     return ["NONE", "LOW", "HIGH", "BREAKING"][worst]
 
 
-def drift_report(spark: SparkSession, expected: StructType, actual: StructType) -> DataFrame:
-    """One row per change with the action, and the severity of the whole drift."""
-    changes = schema_changes(expected, actual)
-    level = severity(changes, {f.name: f.nullable for f in actual})
-    rows = [(*c, decide(*c[1:]), level) for c in changes]
-    return spark.createDataFrame(
-        rows, "column_name string, change string, expected_type string, actual_type string, action string, severity string"
-    )
+def drift_report(actual: DataFrame, expected: StructType) -> DataFrame:
+    """One row per change: the action, the rows it touches, the severity of the whole.
+
+    A new column touches the rows that fill it, a changed type those whose value the
+    expected type cannot hold, a removed column all rows. One pass counts them all.
+    """
+    changes = schema_changes(expected, actual.schema)
+    level = severity(changes, {f.name: f.nullable for f in actual.schema})
+    counts, out = [], []
+    for i, (column, change, before, after) in enumerate(changes):
+        if change == "removed":
+            touched = F.count(F.lit(1))
+        elif change == "new":
+            touched = F.count(column)
+        else:
+            touched = F.count(F.when(F.col(column).isNotNull() & F.col(column).try_cast(before).isNull(), 1))
+        counts.append(touched.alias(f"n{i}"))
+        words = {
+            "column_name": column, "change": change, "expected_type": before, "actual_type": after,
+            "action": decide(change, before, after), "severity": level,
+        }
+        out.append(F.struct(*[F.lit(v).alias(k) for k, v in words.items()], F.col(f"n{i}").alias("rows_touched")))
+    if not changes:
+        empty = "column_name string, change string, expected_type string, actual_type string, action string, severity string, rows_touched long"
+        return actual.sparkSession.createDataFrame([], empty)
+    return actual.agg(*counts).select(F.inline(F.array(*out)))
 
 
 def evolve(df: DataFrame, expected: StructType) -> DataFrame:
@@ -90,14 +108,19 @@ def evolve(df: DataFrame, expected: StructType) -> DataFrame:
     return df.select(*out)
 
 
-def lost_predicates(spark: SparkSession, before: StructType, after: StructType, needs: dict[str, Sequence[str]]) -> DataFrame:
-    """Per metric, the columns it filters on that the newer schema lost.
+def lost_predicates(before: DataFrame, after: DataFrame, metrics: dict[str, Column]) -> DataFrame:
+    """Rows each metric's filter keeps before and after a schema change.
 
-    A filter on a dropped column, read as null, keeps no row and raises no error.
+    ``after`` is brought back to the old columns, so a filter on a dropped column sees
+    nulls: it keeps no row and raises no error, which is what this check shows.
     """
-    gone = [f.name for f in before if f.name not in after.fieldNames()]
-    rows = [(m, ",".join(c for c in cols if c in gone), any(c in gone for c in cols)) for m, cols in needs.items()]
-    return spark.createDataFrame(rows, "metric string, lost_columns string, broken boolean")
+    restored = evolve(after, before.schema)
+    old = before.agg(*[F.count(F.when(c, 1)).alias(m) for m, c in metrics.items()])
+    new = restored.agg(*[F.count(F.when(c, 1)).alias(m) for m, c in metrics.items()])
+    a = old.unpivot([], list(metrics), "metric", "rows_before")
+    b = new.unpivot([], list(metrics), "metric", "rows_after")
+    both = a.join(b, "metric")
+    return both.withColumn("broken", (F.col("rows_before") > 0) & (F.col("rows_after") == 0))
 
 
 def domain_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:

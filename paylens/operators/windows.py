@@ -30,9 +30,8 @@ def running_total(df: DataFrame, order: str, value: str, name: str, parts: int =
     """
     wanted = [i / parts for i in range(1, parts)]
     cuts = df.agg(F.percentile_approx(order, wanted, 10_000).alias("c")).first()["c"] or []
-    bucket = F.lit(0)
-    for cut in sorted(set(cuts)):
-        bucket = bucket + F.when(F.col(order) > cut, 1).otherwise(0)
+    column = F.col(order)
+    bucket = F.size(F.filter(F.lit(sorted(set(cuts))), lambda c: c < column)) if cuts else F.lit(0)
     bucketed = df.withColumn("_bucket", bucket)
     sums = bucketed.groupBy("_bucket").agg(F.sum(value).alias("_s"))
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -82,15 +82,16 @@ def u01(spark, sf):
 
 @query(
     "u02_schema_difference",
-    """SELECT * FROM (VALUES ('merchant_id','removed','string',''), ('merchant_nm','new','','string'), ('cust_ph','new','','string'),
-       ('risk_score','new','','double'), ('amount','type_changed','decimal(18,2)','string'))
-       t(column_name, change, expected_type, actual_type) WHERE (SELECT COUNT(*) FROM lineitem) > 0""",
+    """SELECT column_name, change, expected_type, actual_type, n AS rows_touched FROM (VALUES ('merchant_id','removed','string',''),
+       ('merchant_nm','new','','string'), ('cust_ph','new','','string'), ('risk_score','new','','double'),
+       ('amount','type_changed','decimal(18,2)','string')) t(column_name, change, expected_type, actual_type),
+       (SELECT COUNT(*) AS c FROM lineitem JOIN orders ON l_orderkey = o_orderkey) q,
+       LATERAL (SELECT CASE WHEN change = 'type_changed' THEN 0 ELSE c END AS n)""",
 )
 def u02(spark, sf):
     columns = ["transaction_id", "amount", "merchant_id", "status"]
     expected = data.transactions_raw(spark, sf).select(*columns).schema
-    report = drift.drift_report(spark, expected, drifted_feed(spark, sf).schema)
-    return report.drop("action", "severity")
+    return drift.drift_report(drifted_feed(spark, sf), expected).drop("action", "severity")
 
 
 def drifted_feed(spark, sf):

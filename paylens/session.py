@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_folder: str | None = None
 
@@ -52,3 +52,14 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame below the shared folder once and read it back.
+
+    For intermediate results that several later passes need: the passes read a file
+    instead of repeating the work, and a lost executor costs only the current pass.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
