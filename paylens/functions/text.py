@@ -62,7 +62,7 @@ def error_fingerprint(log: Column) -> Column:
 
     File paths, line numbers and caret markers change from run to run and are left out.
     """
-    lines = F.filter(F.transform(F.split(log, "\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(log, "\n"), lambda x: F.trim(x)), lambda x: x != "")
     last = F.coalesce(F.try_element_at(lines, F.lit(-1)), log)
     noise = ["File ", "~", "^", "Traceback"]
 

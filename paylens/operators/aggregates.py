@@ -27,17 +27,28 @@ from paylens.functions.numeric import (
 )
 from paylens.operators.dedup import latest_per_key
 
-COMPLETED = F.col("status") == "COMPLETED"
-FAILED = F.col("status") == "FAILED"
-AMOUNT = F.col("amount")
-ROWS = F.count(F.lit(1))
+
+def is_completed() -> Column:
+    return F.col("status") == "COMPLETED"
+
+
+def is_failed() -> Column:
+    return F.col("status") == "FAILED"
+
+
+def the_amount() -> Column:
+    return F.col("amount")
+
+
+def row_count() -> Column:
+    return F.count(F.lit(1))
 
 
 def totals(txn: DataFrame) -> DataFrame:
     return txn.agg(
-        ROWS.alias("total_transactions"),
-        count_when(FAILED).alias("failed_count"),
-        when_sum(COMPLETED, AMOUNT).alias("total_revenue"),
+        row_count().alias("total_transactions"),
+        count_when(is_failed()).alias("failed_count"),
+        when_sum(is_completed(), the_amount()).alias("total_revenue"),
     )
 
 
@@ -52,10 +63,10 @@ def merchant_mart(txn: DataFrame, dim: DataFrame, keep_idle: bool = False) -> Da
         .groupBy("merchant_id")
         .agg(
             F.count("transaction_id").alias("total_transactions"),
-            count_when(FAILED).alias("failed_count"),
+            count_when(is_failed()).alias("failed_count"),
             F.count_distinct("customer_id").alias("unique_customers"),
-            when_sum(COMPLETED, AMOUNT).alias("total_revenue"),
-            count_when(COMPLETED).alias("completed_count"),
+            when_sum(is_completed(), the_amount()).alias("total_revenue"),
+            count_when(is_completed()).alias("completed_count"),
         )
     )
     joined = dim.join(facts, "merchant_id", "left" if keep_idle else "inner")
@@ -81,9 +92,9 @@ def merchant_performance(txn: DataFrame, dim: DataFrame | None = None, daily: bo
     keys = ["merchant_id"] + (["transaction_date"] if daily else [])
     names = ["merchant_name", "category", "city"]
     measures = [
-        when_sum(COMPLETED, AMOUNT).alias("total_revenue"),
-        ROWS.alias("txn_count"),
-        pct(count_when(FAILED), ROWS).alias("failure_rate_pct"),
+        when_sum(is_completed(), the_amount()).alias("total_revenue"),
+        row_count().alias("txn_count"),
+        pct(count_when(is_failed()), row_count()).alias("failure_rate_pct"),
     ]
     if dim is None:
         return txn.groupBy(*keys).agg(*[F.max(c).alias(c) for c in names], *measures).fillna("", names)
@@ -92,11 +103,11 @@ def merchant_performance(txn: DataFrame, dim: DataFrame | None = None, daily: bo
 
 def daily_summary(silver: DataFrame) -> DataFrame:
     return silver.groupBy(F.col("transaction_date").alias("report_date")).agg(
-        when_sum(COMPLETED, AMOUNT).alias("total_revenue"),
-        ROWS.alias("total_txns"),
+        when_sum(is_completed(), the_amount()).alias("total_revenue"),
+        row_count().alias("total_txns"),
         F.count_distinct("customer_id").alias("unique_customers"),
         F.count_distinct("merchant_id").alias("unique_merchants"),
-        pct(count_when(FAILED), ROWS).alias("failure_rate_pct"),
+        pct(count_when(is_failed()), row_count()).alias("failure_rate_pct"),
     )
 
 
@@ -107,9 +118,9 @@ def customer_ltv(silver: DataFrame) -> DataFrame:
     needs neither a second scan nor a self-join. Ties go to the first name.
     """
     per_method = silver.groupBy("customer_id", "payment_method").agg(
-        F.sum(F.when(COMPLETED, AMOUNT).otherwise(F.lit(0).cast("decimal(18,2)"))).alias("spent"),
-        ROWS.alias("n"),
-        count_when(COMPLETED).alias("n_completed"),
+        F.sum(F.when(is_completed(), the_amount()).otherwise(F.lit(0).cast("decimal(18,2)"))).alias("spent"),
+        row_count().alias("n"),
+        count_when(is_completed()).alias("n_completed"),
         F.min("transaction_date").alias("first_date"),
         F.max("transaction_date").alias("last_date"),
     )
@@ -127,12 +138,12 @@ def customer_ltv(silver: DataFrame) -> DataFrame:
 
 def mode_per_key(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     """Most frequent value per key, the smallest of equals."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(*keys, column).agg(ROWS.alias("n"))
+    counts = df.where(F.col(column).isNotNull()).groupBy(*keys, column).agg(row_count().alias("n"))
     return latest_per_key(counts, keys, [F.desc("n"), F.asc(column)])
 
 
 def revenue_ranking(txn: DataFrame, dim: DataFrame, n: int | None = None) -> DataFrame:
-    per = txn.groupBy("merchant_id").agg(when_sum(COMPLETED, AMOUNT).alias("revenue_usd"))
+    per = txn.groupBy("merchant_id").agg(when_sum(is_completed(), the_amount()).alias("revenue_usd"))
     out = per.join(dim, "merchant_id").select("merchant_name", "revenue_usd")
     ranked = out.orderBy(F.desc("revenue_usd"), "merchant_name")
     return ranked if n is None else ranked.limit(n)
@@ -140,19 +151,19 @@ def revenue_ranking(txn: DataFrame, dim: DataFrame, n: int | None = None) -> Dat
 
 def failure_by(txn: DataFrame, column: str) -> DataFrame:
     return txn.groupBy(column).agg(
-        ROWS.alias("total"),
-        count_when(FAILED).alias("failed"),
-        pct(count_when(FAILED), ROWS).alias("failure_rate_pct"),
+        row_count().alias("total"),
+        count_when(is_failed()).alias("failed"),
+        pct(count_when(is_failed()), row_count()).alias("failure_rate_pct"),
     )
 
 
 def merchant_summary(txn: DataFrame, dim: DataFrame) -> DataFrame:
     per = txn.groupBy("merchant_id").agg(
         F.count("transaction_id").alias("total_txns"),
-        count_when(COMPLETED).alias("completed"),
-        count_when(FAILED).alias("failed"),
-        pct(count_when(FAILED), ROWS).alias("failure_rate_pct"),
-        when_sum(COMPLETED, AMOUNT).alias("revenue_usd"),
+        count_when(is_completed()).alias("completed"),
+        count_when(is_failed()).alias("failed"),
+        pct(count_when(is_failed()), row_count()).alias("failure_rate_pct"),
+        when_sum(is_completed(), the_amount()).alias("revenue_usd"),
     )
     return per.join(dim, "merchant_id").select(
         "merchant_name", "category", "total_txns", "completed", "failed", "failure_rate_pct", "revenue_usd"
@@ -162,9 +173,9 @@ def merchant_summary(txn: DataFrame, dim: DataFrame) -> DataFrame:
 def customer_spend(txn: DataFrame, dim: DataFrame, above: float) -> DataFrame:
     """Customers whose completed spend exceeds ``above``; the filter runs on sums."""
     spend = (
-        txn.where(COMPLETED)
+        txn.where(is_completed())
         .groupBy("customer_id")
-        .agg(total(AMOUNT).alias("lifetime_value"), F.count("transaction_id").alias("total_orders"))
+        .agg(total(the_amount()).alias("lifetime_value"), F.count("transaction_id").alias("total_orders"))
         .where(F.col("lifetime_value") > above)
     )
     return spend.join(dim, "customer_id").select(
@@ -176,10 +187,10 @@ def daily_gmv(staged: DataFrame, dim: DataFrame) -> DataFrame:
     """Daily gross value per merchant; merchants outside the dimension drop out."""
     per = staged.groupBy("transaction_date", "merchant_id").agg(
         F.count("transaction_id").alias("transaction_count"),
-        when_sum(COMPLETED, AMOUNT).alias("gmv"),
-        when_sum(FAILED, AMOUNT).alias("failed_amount"),
-        count_when(FAILED).alias("failed_count"),
-        pct(count_when(FAILED), F.count("transaction_id")).alias("failure_rate_pct"),
+        when_sum(is_completed(), the_amount()).alias("gmv"),
+        when_sum(is_failed(), the_amount()).alias("failed_amount"),
+        count_when(is_failed()).alias("failed_count"),
+        pct(count_when(is_failed()), F.count("transaction_id")).alias("failure_rate_pct"),
     )
     return per.join(dim.select("merchant_id", "merchant_name", "category"), "merchant_id")
 
@@ -214,8 +225,8 @@ def growth_by(txn: DataFrame, column: str, as_of: Column) -> DataFrame:
     last_month = F.add_months(this_month, -1)
     day = F.col("transaction_date")
     window = txn.where((day >= last_month) & (day < F.add_months(this_month, 1)))
-    now = when_sum(day >= this_month, AMOUNT)
-    before = when_sum(day < this_month, AMOUNT)
+    now = when_sum(day >= this_month, the_amount())
+    before = when_sum(day < this_month, the_amount())
     return window.groupBy(column).agg(
         before.alias("previous"),
         now.alias("current"),
@@ -242,8 +253,8 @@ def rfm(txn: DataFrame, as_of: Column, idle_days: int = 14) -> DataFrame:
     recency = F.datediff(as_of, F.max("transaction_date"))
     return txn.groupBy("customer_id").agg(
         recency.alias("recency_days"),
-        ROWS.alias("frequency"),
-        when_sum(COMPLETED, AMOUNT).alias("monetary"),
+        row_count().alias("frequency"),
+        when_sum(is_completed(), the_amount()).alias("monetary"),
         (recency > idle_days).alias("at_risk"),
     )
 
@@ -251,7 +262,7 @@ def rfm(txn: DataFrame, as_of: Column, idle_days: int = 14) -> DataFrame:
 def merchant_risk(txn: DataFrame, limit_pct: float = 30.0, enough: int = 30, some: int = 10) -> DataFrame:
     """Failure rate per merchant and day; confidence follows the number of rows."""
     per = txn.groupBy("merchant_id", "transaction_date").agg(
-        ROWS.alias("txn_count"), pct(count_when(FAILED), ROWS).alias("failure_rate_pct")
+        row_count().alias("txn_count"), pct(count_when(is_failed()), row_count()).alias("failure_rate_pct")
     )
     return per.withColumn("suspicious", F.col("failure_rate_pct") > limit_pct).withColumn(
         "confidence_level",
@@ -261,7 +272,7 @@ def merchant_risk(txn: DataFrame, limit_pct: float = 30.0, enough: int = 30, som
 
 def volume_anomalies(txn: DataFrame, min_count: int, max_avg: float) -> DataFrame:
     """Merchants with many transactions of an unusually low mean amount."""
-    per = txn.groupBy("merchant_id").agg(ROWS.alias("txn_count"), total(AMOUNT).alias("s"))
+    per = txn.groupBy("merchant_id").agg(row_count().alias("txn_count"), total(the_amount()).alias("s"))
     return per.select(
         "merchant_id", "txn_count", mean_of(F.col("s"), F.col("txn_count")).alias("avg_amount")
     ).where((F.col("txn_count") > min_count) & (F.col("avg_amount") < max_avg))
@@ -269,7 +280,7 @@ def volume_anomalies(txn: DataFrame, min_count: int, max_avg: float) -> DataFram
 
 def peer_deviation(txn: DataFrame) -> DataFrame:
     """Each merchant's mean against the mean and spread of all merchants' means."""
-    per = txn.groupBy("merchant_id").agg(ROWS.alias("txn_count"), total(AMOUNT).alias("s"))
+    per = txn.groupBy("merchant_id").agg(row_count().alias("txn_count"), total(the_amount()).alias("s"))
     means = per.select("merchant_id", "txn_count", mean_of(F.col("s"), F.col("txn_count")).alias("avg_amount"))
     centre = means.agg(F.avg("avg_amount").alias("m")).scalar()
     spread = means.agg(F.stddev_samp("avg_amount").alias("d")).scalar()
@@ -277,8 +288,8 @@ def peer_deviation(txn: DataFrame) -> DataFrame:
 
 
 def segments(txn: DataFrame, as_of: Column, days: int = 30) -> DataFrame:
-    recent = txn.where((F.col("transaction_date") > F.date_sub(as_of, days)) & COMPLETED)
-    per = recent.groupBy("customer_id").agg(total(AMOUNT).alias("total_spent"), ROWS.alias("txn_frequency"))
+    recent = txn.where((F.col("transaction_date") > F.date_sub(as_of, days)) & is_completed())
+    per = recent.groupBy("customer_id").agg(total(the_amount()).alias("total_spent"), row_count().alias("txn_frequency"))
     return per.withColumn("segment", spend_segment(F.col("total_spent"))).withColumn(
         "segment_updated_date", as_of
     )
@@ -286,10 +297,10 @@ def segments(txn: DataFrame, as_of: Column, days: int = 30) -> DataFrame:
 
 def compliance_daily(txn: DataFrame) -> DataFrame:
     """Audit totals per day and method over every status."""
-    flagged = txn.withColumn("flag", compliance_flag(AMOUNT.cast("double")))
+    flagged = txn.withColumn("flag", compliance_flag(the_amount().cast("double")))
     return flagged.groupBy("transaction_date", "payment_method").agg(
-        ROWS.alias("txn_count"),
-        total(AMOUNT).alias("total_amount"),
+        row_count().alias("txn_count"),
+        total(the_amount()).alias("total_amount"),
         count_when(F.col("flag") == "requires_review").alias("review_count"),
     )
 
@@ -298,7 +309,7 @@ def fee_analysis(txn: DataFrame) -> DataFrame:
     """Volume, fees and revenue after fees per payment method."""
     rate = fee_rate(F.col("payment_method"))
     per = txn.groupBy("payment_method").agg(
-        ROWS.alias("txn_volume"), when_sum(COMPLETED, AMOUNT).alias("gross_revenue")
+        row_count().alias("txn_volume"), when_sum(is_completed(), the_amount()).alias("gross_revenue")
     )
     return per.select(
         "payment_method", "txn_volume", "gross_revenue",
@@ -314,7 +325,7 @@ def attribution(txn: DataFrame, promotions: DataFrame) -> DataFrame:
     counts once for each, but a busy customer is one row. ``promotions`` has promo_id,
     customer_id, channel and discount_pct.
     """
-    spend = txn.where(COMPLETED).groupBy("customer_id").agg(F.sum(AMOUNT).alias("spend"))
+    spend = txn.where(is_completed()).groupBy("customer_id").agg(F.sum(the_amount()).alias("spend"))
     joined = promotions.join(spend, "customer_id")
     cost = F.col("spend").cast("double") * F.col("discount_pct") / 100.0
     per = joined.groupBy("channel").agg(
@@ -374,7 +385,7 @@ def exact_median(df: DataFrame, value: Column) -> DataFrame:
     from paylens.operators.windows import running_total
     from paylens.session import written
 
-    raw = df.select(value.alias("v")).where("v IS NOT NULL").groupBy("v").agg(ROWS.alias("n"))
+    raw = df.select(value.alias("v")).where("v IS NOT NULL").groupBy("v").agg(row_count().alias("n"))
     counts = written(raw, "value-counts")
     cum = running_total(counts, "v", "n", "cum")
     size = counts.agg(F.sum("n")).scalar()
@@ -389,8 +400,8 @@ def exact_median(df: DataFrame, value: Column) -> DataFrame:
 
 def mean_ranking(txn: DataFrame) -> DataFrame:
     """Mean amount per merchant over positive rows, with the overall total beside it."""
-    positive = txn.where(AMOUNT > 0)
-    per = positive.groupBy("merchant_id").agg(ROWS.alias("n"), total(AMOUNT).alias("s"))
+    positive = txn.where(the_amount() > 0)
+    per = positive.groupBy("merchant_id").agg(row_count().alias("n"), total(the_amount()).alias("s"))
     overall = per.agg(F.sum(F.col("s").cast("decimal(28,2)")).cast("double")).scalar()
     return per.select(
         "merchant_id", mean_of(F.col("s"), F.col("n")).alias("avg_amount"), overall.alias("total_amount")

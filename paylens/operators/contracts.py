@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from paylens.functions.dates import strict_date
 from paylens.functions.numeric import count_when, ratio, to_number
 from paylens.functions.text import blank_to_null, is_blank, matches_from_start
-from paylens.operators.aggregates import ROWS
+from paylens.operators.aggregates import row_count
 
 
 @dataclass(frozen=True)
@@ -74,10 +74,10 @@ def model_tests(df: DataFrame, tests: Sequence[ModelTest], parents: dict[str, Da
         out = wide.select(F.inline(F.array(*[_line(t, F.col(f"t{i}")) for i, t in enumerate(rows)])))
     for t in tests:
         if t.test == "unique":
-            per = df.where(F.col(t.column).isNotNull()).groupBy(t.column).agg(ROWS.alias("n"))
+            per = df.where(F.col(t.column).isNotNull()).groupBy(t.column).agg(row_count().alias("n"))
             count = per.agg(count_when(F.col("n") > 1).alias("f"))
         elif t.test == "relationships":
-            per = df.where(F.col(t.column).isNotNull()).groupBy(t.column).agg(ROWS.alias("n"))
+            per = df.where(F.col(t.column).isNotNull()).groupBy(t.column).agg(row_count().alias("n"))
             lost = per.join(parents[t.column].select(t.column), t.column, "left_anti")
             count = lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("f"))
         else:
@@ -119,7 +119,7 @@ class ScanChecks:
 
 def scan_checks(df: DataFrame, checks: ScanChecks) -> DataFrame:
     """Check, value and outcome. ``duplicate`` counts values held by several rows."""
-    aggs, names = [ROWS.cast("double").alias("c0")], ["row_count"]
+    aggs, names = [row_count().cast("double").alias("c0")], ["row_count"]
     good = [F.col("c0") > 0]
 
     def add(name: str, value: Column, ok) -> None:
@@ -137,7 +137,7 @@ def scan_checks(df: DataFrame, checks: ScanChecks) -> DataFrame:
     lines = [_outcome(F.lit(n), F.col(f"c{i}"), good[i]) for i, n in enumerate(names)]
     out = df.agg(*aggs).select(F.inline(F.array(*lines)))
     for c in checks.duplicate:
-        per = df.groupBy(blank_to_null(F.col(c)).alias("key")).agg(ROWS.alias("n"))
+        per = df.groupBy(blank_to_null(F.col(c)).alias("key")).agg(row_count().alias("n"))
         n = per.agg(count_when(F.col("key").isNotNull() & (F.col("n") > 1)).cast("double").alias("n"))
         out = out.unionByName(n.select(F.inline(F.array(_outcome(F.lit(f"duplicate_count({c})"), F.col("n"), F.col("n") == 0)))))
     return out
@@ -156,7 +156,7 @@ def silver_checks(silver: DataFrame) -> DataFrame:
     """
     amount, status = F.col("amount"), F.col("status")
     parts = {
-        "n": ROWS, "a": F.count("amount"), "s": F.count("status"), "d": F.count("transaction_date"),
+        "n": row_count(), "a": F.count("amount"), "s": F.count("status"), "d": F.count("transaction_date"),
         "neg": count_when(amount < 0), "bad_s": count_when(~status.isin("COMPLETED", "FAILED", "PENDING")),
         "bad_q": count_when(~F.col("quality_flag").isin("CLEAN", "UNMATCHED")), "total": F.sum("amount"),
     }

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from paylens.functions.dates import mark_bad_date, strict_date
 from paylens.functions.numeric import to_number
 from paylens.functions.text import blank_to_null, is_blank, matches_from_start, trim_strings
-from paylens.operators.aggregates import ROWS, exact_median
+from paylens.operators.aggregates import row_count, exact_median
 from paylens.operators.dedup import flag_duplicates, top_per_key
 
 # The gates of load decisions.
@@ -98,7 +98,7 @@ def run_suite(df: DataFrame, suite: Sequence[Check]) -> DataFrame:
             continue
         number = to_number(F.col(check.column).cast("string"))
         measures += [F.sum(number).alias(f"s{i}"), F.count(number).alias(f"c{i}"), F.min(number).alias(f"m{i}")]
-    measures.append(ROWS.alias("n"))
+    measures.append(row_count().alias("n"))
 
     if uniques:
         grouped = df.groupBy(blank_to_null(F.col(uniques[0].column).cast("string")).alias("_key")).agg(*measures)
@@ -130,7 +130,7 @@ def run_suite(df: DataFrame, suite: Sequence[Check]) -> DataFrame:
     ]
     result = wide.select(F.inline(F.array(*out)))
     for check in uniques[1:]:
-        per_key = df.groupBy(blank_to_null(F.col(check.column).cast("string")).alias("_key")).agg(ROWS.alias("n"))
+        per_key = df.groupBy(blank_to_null(F.col(check.column).cast("string")).alias("_key")).agg(row_count().alias("n"))
         count = per_key.agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).cast("double").alias("u"))
         result = result.unionByName(count.select(F.inline(F.array(_row(check, F.col("u"), F.col("u") == 0)))))
     return result
@@ -193,7 +193,7 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     pairs = F.array(
         *[F.struct(F.lit(c).alias("column_name"), blank_to_null(F.col(c).cast("string")).alias("value")) for c in columns]
     )
-    return df.select(F.inline(pairs)).groupBy("column_name", "value").agg(ROWS.alias("n"))
+    return df.select(F.inline(pairs)).groupBy("column_name", "value").agg(row_count().alias("n"))
 
 
 def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -234,7 +234,7 @@ def quick_profile(df: DataFrame, columns: Sequence[str], rsd: float = 0.01) -> D
 
     For first looks at very large tables; ``profile`` is the exact one.
     """
-    aggs = [ROWS.alias("n")]
+    aggs = [row_count().alias("n")]
     for c in columns:
         text = blank_to_null(F.col(c).cast("string"))
         aggs += [F.count(text).alias(f"c_{c}"), F.approx_count_distinct(text, rsd).alias(f"d_{c}")]
@@ -254,7 +254,7 @@ def null_fractions(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Missing share per column in one aggregate, turned from wide to long."""
     wide = df.agg(
         *[
-            F.round(F.lit(100.0) * F.count(F.when(is_blank(F.col(c).cast("string")), 1)) / ROWS, 4).alias(c)
+            F.round(F.lit(100.0) * F.count(F.when(is_blank(F.col(c).cast("string")), 1)) / row_count(), 4).alias(c)
             for c in columns
         ]
     )
@@ -267,8 +267,8 @@ def completeness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     for c in columns:
         filled = filled + F.count(F.when(~is_blank(F.col(c).cast("string")), 1))
     return df.agg(
-        ROWS.alias("total_rows"),
-        F.round(F.lit(100.0) * filled / F.nullif((ROWS * len(columns)).cast("double"), F.lit(0.0)), 1).alias("completeness_pct"),
+        row_count().alias("total_rows"),
+        F.round(F.lit(100.0) * filled / F.nullif((row_count() * len(columns)).cast("double"), F.lit(0.0)), 1).alias("completeness_pct"),
     )
 
 
@@ -304,7 +304,7 @@ def scorecard(df: DataFrame, expected: Sequence[str], key: str) -> DataFrame:
     present = [c for c in expected if c in df.columns]
     match = 1 if len(present) == len(expected) else 0
     nulls = [F.count(F.when(is_blank(F.col(c).cast("string")), 1)).alias(f"n_{c}") for c in present]
-    per_key = df.groupBy(F.col(key).alias("_key")).agg(ROWS.alias("n"), *nulls)
+    per_key = df.groupBy(F.col(key).alias("_key")).agg(row_count().alias("n"), *nulls)
     rows = F.sum("n")
     cells = F.lit(0)
     for c in present:
@@ -325,7 +325,7 @@ def layer_summary(df: DataFrame, amount: str, status: str) -> DataFrame:
     """Rows, range and mean of the amount and rows per status, as name/value pairs."""
     number = F.col(amount).cast("double")
     per = df.groupBy(status).agg(
-        ROWS.alias("n"), F.min(number).alias("lo"), F.max(number).alias("hi"),
+        row_count().alias("n"), F.min(number).alias("lo"), F.max(number).alias("hi"),
         F.sum(F.col(amount)).alias("s"), F.count(amount).alias("c"),
     )
     head = per.agg(

@@ -29,9 +29,9 @@ def running_total(df: DataFrame, order: str, value: str, name: str, parts: int =
     add up to the total, exactly, wherever the cuts lie.
     """
     wanted = [i / parts for i in range(1, parts)]
-    cuts = df.agg(F.percentile_approx(order, wanted, 10_000).alias("c")).first()["c"] or []
-    column = F.col(order)
-    bucket = F.size(F.filter(F.lit(sorted(set(cuts))), lambda c: c < column)) if cuts else F.lit(0)
+    column = F.col(order).cast("double")
+    cuts = df.agg(F.percentile_approx(column, wanted, 1_000).alias("c")).first()["c"] or []
+    bucket = _bucket(column, sorted(set(cuts)))
     bucketed = df.withColumn("_bucket", bucket)
     sums = bucketed.groupBy("_bucket").agg(F.sum(value).alias("_s"))
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -44,6 +44,15 @@ def running_total(df: DataFrame, order: str, value: str, name: str, parts: int =
     )
 
 
+def _bucket(value: Column, cuts: list[float], first: int = 0) -> Column:
+    """Number of ``cuts`` below ``value``, by halving."""
+    if not cuts:
+        return F.lit(first)
+    mid = len(cuts) // 2
+    below, above = _bucket(value, cuts[:mid], first), _bucket(value, cuts[mid + 1 :], first + mid + 1)
+    return F.when(value <= cuts[mid], below).otherwise(above)
+
+
 def rolling_sum(
     df: DataFrame, key: str, ts: str, value: Column, seconds: int, name: str, threshold: float | None = None
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from paylens.functions.dates import minutes_between, years_between
 from paylens.functions.masking import hash_id
 from paylens.functions.numeric import count_when, mean_of, money, total, when_sum
-from paylens.operators.aggregates import ROWS, mode_per_key
+from paylens.operators.aggregates import row_count, mode_per_key
 from paylens.sources.warehouse import table
 
 
@@ -22,7 +22,7 @@ def user_behaviour(orders: DataFrame) -> DataFrame:
     )
     per = rows.groupBy("user_id").agg(
         F.count("event_id").alias("total_orders"),
-        mean_of(total(F.col("amount")), ROWS).alias("avg_order_value"),
+        mean_of(total(F.col("amount")), row_count()).alias("avg_order_value"),
         F.max("ts").alias("last_order_at"),
         F.count_distinct("outlet_id").alias("unique_outlets"),
         F.round(F.avg(F.hour("ts")), 4).alias("avg_order_hour"),

@@ -8,7 +8,7 @@ from paylens.functions.dates import epoch, hour_label, minutes_between
 from paylens.functions.numeric import count_when, mean_of, money, pct, total, when_sum
 from paylens.operators import aggregates as agg
 from paylens.operators import dedup, recovery
-from paylens.operators.aggregates import AMOUNT, COMPLETED, FAILED, ROWS
+from paylens.operators.aggregates import the_amount, is_completed, is_failed, row_count
 from paylens.queries import data
 from paylens.queries.registry import query
 from paylens.queries.sqlbase import AS_OF, N_COMPLETED, N_FAILED, REVENUE, with_views
@@ -474,7 +474,7 @@ def a28(spark, sf):
         "status",
         F.when(~text.rlike("^(?:[A-Z][a-z]+ )"), "REJECTED").when(F.length(text) > 500, "SQL_ERROR").otherwise("SUCCESS"),
     )
-    return log.groupBy("status").agg(ROWS.alias("n"))
+    return log.groupBy("status").agg(row_count().alias("n"))
 
 
 @query(
@@ -492,7 +492,7 @@ def a29(spark, sf):
     both = reconciliation(spark, sf).where(F.col("outcome").isin("matched", "disputed"))
     return both.groupBy("gateway").agg(
         F.round(total(F.col("ledger_amount")) - total(F.col("gateway_amount")), 2).alias("net_variance"),
-        ROWS.alias("rows"),
+        row_count().alias("rows"),
     )
 
 
@@ -553,7 +553,7 @@ EVAL = """SELECT doc_id, CASE WHEN toxic = 1 THEN 'QUARANTINE' WHEN quality = 1
 def a32(spark, sf):
     right = F.col("expected") == F.col("decision")
     return decisions(spark, sf).groupBy("expected", "decision").agg(
-        ROWS.alias("n"), count_when(right).alias("correct"), F.sum("tokens").alias("tokens"),
+        row_count().alias("n"), count_when(right).alias("correct"), F.sum("tokens").alias("tokens"),
         F.sum("latency_ms").alias("latency_ms"),
     )
 
@@ -566,7 +566,7 @@ def a32(spark, sf):
 def a32b(spark, sf):
     right = F.col("expected") == F.col("decision")
     return decisions(spark, sf).agg(
-        ROWS.alias("n"), F.round(F.avg(F.when(right, 1.0).otherwise(0.0)), 4).alias("accuracy"),
+        row_count().alias("n"), F.round(F.avg(F.when(right, 1.0).otherwise(0.0)), 4).alias("accuracy"),
         count_when(~right).alias("wrong"),
     )
 
@@ -585,7 +585,7 @@ def decisions(spark, sf):
 
 @query("a33_span_counts", "SELECT role AS span_kind, COUNT(*) AS spans FROM conversations GROUP BY 1")
 def a33(spark, sf):
-    return data.table(spark, sf, "conversations").groupBy(F.col("role").alias("span_kind")).agg(ROWS.alias("spans"))
+    return data.table(spark, sf, "conversations").groupBy(F.col("role").alias("span_kind")).agg(row_count().alias("spans"))
 
 
 @query(
@@ -624,13 +624,13 @@ def a36(spark, sf):
 
 @query("a37_median_amount", with_views("txn", "SELECT CAST(MEDIAN(amount) AS DOUBLE) AS median FROM txn"))
 def a37(spark, sf):
-    return agg.exact_median(data.transactions(spark, sf), AMOUNT)
+    return agg.exact_median(data.transactions(spark, sf), the_amount())
 
 
 @query("a38_layer_counts", with_views("silver", "SELECT (SELECT COUNT(*) FROM txn_raw) AS bronze, (SELECT COUNT(*) FROM silver) AS silver"))
 def a38(spark, sf):
-    raw = data.transactions_raw(spark, sf).agg(ROWS.alias("n"))
-    clean = data.valid_rows(data.bronze(spark, sf)).agg(ROWS.alias("silver"))
+    raw = data.transactions_raw(spark, sf).agg(row_count().alias("n"))
+    clean = data.valid_rows(data.bronze(spark, sf)).agg(row_count().alias("silver"))
     return clean.select(raw.scalar().alias("bronze"), "silver")
 
 
@@ -640,7 +640,7 @@ def a38(spark, sf):
        CASE WHEN COUNT(*) > 20 THEN 'SPIKE' WHEN COUNT(*) = 0 THEN 'ZERO' ELSE '' END AS flag FROM events GROUP BY 1""",
 )
 def a39(spark, sf):
-    hours = data.table(spark, sf, "events").groupBy(hour_label(F.col("ts")).alias("hour_utc")).agg(ROWS.alias("records"))
+    hours = data.table(spark, sf, "events").groupBy(hour_label(F.col("ts")).alias("hour_utc")).agg(row_count().alias("records"))
     return hours.withColumn("flag", recovery.ingest_flag(F.col("records"), 20))
 
 

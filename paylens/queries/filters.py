@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from paylens.functions import numeric
 from paylens.functions.text import first_present, is_blank
 from paylens.operators import aggregates as agg
-from paylens.operators.aggregates import AMOUNT, COMPLETED, ROWS
+from paylens.operators.aggregates import the_amount, is_completed, row_count
 from paylens.operators.privacy import guard_status
 from paylens.plans import payments
 from paylens.plans.medallion import valid_rows
@@ -19,7 +19,7 @@ PER_STATUS = "COUNT(*) AS rows, CAST(SUM(k) AS BIGINT) AS key_sum"
 
 
 def per(df, *keys):
-    return df.groupBy(*keys).agg(ROWS.alias("rows"), F.sum("k").alias("key_sum"))
+    return df.groupBy(*keys).agg(row_count().alias("rows"), F.sum("k").alias("key_sum"))
 
 
 @query(
@@ -45,10 +45,10 @@ MODES = [("silver", ">="), ("staging", ">"), ("replay", ">")]
     ),
 )
 def f02(spark, sf):
-    typed = data.transactions_dirty(spark, sf).withColumn("amount", numeric.to_amount(AMOUNT))
+    typed = data.transactions_dirty(spark, sf).withColumn("amount", numeric.to_amount(the_amount()))
     out = None
     for mode, _ in MODES:
-        kept = valid_rows(typed, mode).agg(F.lit(mode).alias("mode"), ROWS.alias("rows"), F.sum("k").alias("key_sum"))
+        kept = valid_rows(typed, mode).agg(F.lit(mode).alias("mode"), row_count().alias("rows"), F.sum("k").alias("key_sum"))
         out = kept if out is None else out.unionByName(kept)
     return out
 
@@ -103,7 +103,7 @@ def f08(spark, sf):
     recent = data.table(spark, sf, "orders").where(F.col("o_orderdate") >= F.lit("2001-01-01").cast("timestamp_ntz"))
     seen = recent.select(F.col("o_custkey").alias("c_custkey"))
     active = data.table(spark, sf, "customer").join(seen, "c_custkey", "left_semi")
-    return active.groupBy("c_mktsegment").agg(ROWS.alias("active"))
+    return active.groupBy("c_mktsegment").agg(row_count().alias("active"))
 
 
 @query(
@@ -145,10 +145,10 @@ def f11(spark, sf):
     from paylens.functions.dates import strict_date
 
     typed = data.transactions_dirty(spark, sf).select(
-        numeric.to_amount(AMOUNT).alias("amount"), strict_date(F.col("transaction_date")).alias("day")
+        numeric.to_amount(the_amount()).alias("amount"), strict_date(F.col("transaction_date")).alias("day")
     )
     return typed.agg(
-        ROWS.alias("rows"), F.count("amount").alias("amounts"), F.count("day").alias("dates"), numeric.total(AMOUNT).alias("amount_sum")
+        row_count().alias("rows"), F.count("amount").alias("amounts"), F.count("day").alias("dates"), numeric.total(the_amount()).alias("amount_sum")
     )
 
 
@@ -178,7 +178,7 @@ def f13(spark, sf):
 )
 def f14(spark, sf):
     recent = data.transactions(spark, sf).where(F.col("transaction_date") >= F.lit("2001-08-01").cast("date"))
-    revenue = recent.groupBy("merchant_id").agg(numeric.when_sum(COMPLETED, AMOUNT).alias("revenue"))
+    revenue = recent.groupBy("merchant_id").agg(numeric.when_sum(is_completed(), the_amount()).alias("revenue"))
     return revenue.withColumn("tier", numeric.merchant_tier(F.col("revenue")))
 
 
@@ -204,7 +204,7 @@ def f15(spark, sf):
     ),
 )
 def f16(spark, sf):
-    return per(data.transactions(spark, sf).withColumn("compliance_flag", numeric.compliance_flag(AMOUNT)), "compliance_flag")
+    return per(data.transactions(spark, sf).withColumn("compliance_flag", numeric.compliance_flag(the_amount())), "compliance_flag")
 
 
 @query(
@@ -267,4 +267,4 @@ def query_log(spark, sf):
 )
 def f19(spark, sf):
     log = query_log(spark, sf).withColumn("status", guard_status(F.col("sql_text"), ["fact_transactions", "dim_merchant"]))
-    return log.groupBy("status").agg(ROWS.alias("n"))
+    return log.groupBy("status").agg(row_count().alias("n"))

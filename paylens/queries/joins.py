@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from paylens.functions.numeric import count_when, total
 from paylens.operators import aggregates as agg
 from paylens.operators import joins
-from paylens.operators.aggregates import AMOUNT, COMPLETED, FAILED, ROWS
+from paylens.operators.aggregates import the_amount, is_completed, is_failed, row_count
 from paylens.plans import delivery, staff
 from paylens.queries import data
 from paylens.queries.registry import query
@@ -20,7 +20,7 @@ SHOWN = "transaction_id, CAST(amount AS DOUBLE) AS amount, status, merchant_id,
 @query("j01_enrich_left", with_views("silver", f"SELECT {SHOWN}, merchant_name, category, city, quality_flag FROM silver"))
 def j01(spark, sf):
     return data.silver(spark, sf).select(
-        "transaction_id", AMOUNT.cast("double").alias("amount"), "status", "merchant_id", "customer_id",
+        "transaction_id", the_amount().cast("double").alias("amount"), "status", "merchant_id", "customer_id",
         "transaction_date", "merchant_name", "category", "city", "quality_flag",
     )
 
@@ -35,7 +35,7 @@ def j01(spark, sf):
 )
 def j02(spark, sf):
     per = data.bronze(spark, sf).groupBy("merchant_id").agg(
-        ROWS.alias("n"), F.sum(F.when(COMPLETED, AMOUNT).otherwise(F.lit(0).cast("decimal(18,2)"))).alias("r")
+        row_count().alias("n"), F.sum(F.when(is_completed(), the_amount()).otherwise(F.lit(0).cast("decimal(18,2)"))).alias("r")
     )
     joined = per.join(data.merchants(spark, sf), "merchant_id")
     return joined.groupBy("category", "city").agg(F.sum("n").alias("txn_count"), total(F.col("r")).alias("revenue"))
@@ -53,7 +53,7 @@ def j02(spark, sf):
 def j03(spark, sf):
     food = data.merchants(spark, sf).where("category = 'Food Delivery'").select("merchant_id", "category")
     per = data.transactions(spark, sf).join(food, "merchant_id").groupBy("customer_id", "category").agg(
-        ROWS.alias("n"), F.sum(AMOUNT).alias("s")
+        row_count().alias("n"), F.sum(the_amount()).alias("s")
     )
     return per.join(data.customers(spark, sf).select("customer_id", "tier"), "customer_id").groupBy("tier", "category").agg(
         F.sum("n").alias("txn_count"), total(F.col("s")).alias("amount")
@@ -71,7 +71,7 @@ def j03(spark, sf):
 )
 def j03b(spark, sf):
     recent = data.transactions(spark, sf).where(F.col("transaction_date") > F.lit("1999-01-01").cast("date"))
-    per = recent.groupBy("merchant_id").agg(total(AMOUNT).alias("total_revenue"), ROWS.alias("txn_count"))
+    per = recent.groupBy("merchant_id").agg(total(the_amount()).alias("total_revenue"), row_count().alias("txn_count"))
     named = per.join(data.merchants(spark, sf), "merchant_id").select("merchant_name", "total_revenue", "txn_count")
     return named.orderBy(F.desc("total_revenue"), "merchant_name").limit(10)
 
@@ -92,10 +92,10 @@ def j03b(spark, sf):
 )
 def j04(spark, sf):
     per = data.transactions(spark, sf).groupBy("merchant_id").agg(
-        agg.when_sum(COMPLETED, AMOUNT).alias("revenue"),
-        ROWS.alias("total_transactions"),
+        agg.when_sum(is_completed(), the_amount()).alias("revenue"),
+        row_count().alias("total_transactions"),
         F.count_distinct("customer_id").alias("unique_customers"),
-        agg.mean_of(agg.when_sum(COMPLETED, AMOUNT), count_when(COMPLETED)).alias("avg_value"),
+        agg.mean_of(agg.when_sum(is_completed(), the_amount()), count_when(is_completed())).alias("avg_value"),
     )
     joined = data.merchants(spark, sf).select("merchant_id").join(per, "merchant_id", "left")
     return joined.fillna(0, ["total_transactions", "unique_customers"]).fillna(0.0, ["revenue", "avg_value"])
@@ -175,8 +175,8 @@ def j07(spark, sf):
 )
 def j08(spark, sf):
     return data.transactions(spark, sf).groupBy("transaction_date").agg(
-        count_when(FAILED).alias("failed_count"), ROWS.alias("total_count"),
-        agg.pct(count_when(FAILED), ROWS).alias("failure_rate"),
+        count_when(is_failed()).alias("failed_count"), row_count().alias("total_count"),
+        agg.pct(count_when(is_failed()), row_count()).alias("failure_rate"),
     )
 
 
@@ -193,7 +193,7 @@ def j08(spark, sf):
 def j08b(spark, sf):
     food = data.merchants(spark, sf).where("category = 'Food Delivery'").select("merchant_id", F.lit(True).alias("food"))
     per_merchant = data.transactions(spark, sf).groupBy("customer_id", "merchant_id").agg(
-        F.sum(AMOUNT).alias("s"), count_when(FAILED).alias("f")
+        F.sum(the_amount()).alias("s"), count_when(is_failed()).alias("f")
     )
     per = per_merchant.join(food, "merchant_id", "left").groupBy("customer_id").agg(
         total(F.when(F.col("food"), F.col("s"))).alias("spent"), F.sum("f").alias("failed")
@@ -211,7 +211,7 @@ def j08b(spark, sf):
     ),
 )
 def j09(spark, sf):
-    done = data.transactions(spark, sf).where(COMPLETED).select("transaction_id")
+    done = data.transactions(spark, sf).where(is_completed()).select("transaction_id")
     dirty = data.transactions_dirty(spark, sf).select("transaction_id", "amount", "status", "k")
     return dirty.join(done, "transaction_id", "left_anti")
 
@@ -228,10 +228,10 @@ def j09(spark, sf):
     ),
 )
 def j10(spark, sf):
-    loaded = data.transactions(spark, sf).where(COMPLETED)
+    loaded = data.transactions(spark, sf).where(is_completed())
     left = joins.not_yet_loaded(data.transactions_dirty(spark, sf), loaded, "transaction_id", [F.asc("k"), F.asc("ingestion_timestamp"), F.asc("amount")])
     return left.agg(
-        ROWS.alias("to_replay"), count_when(F.trim("transaction_id") != "").alias("with_id"), F.sum("k").alias("key_sum")
+        row_count().alias("to_replay"), count_when(F.trim("transaction_id") != "").alias("with_id"), F.sum("k").alias("key_sum")
     )
 
 
@@ -249,7 +249,7 @@ def j11(spark, sf):
     facts = data.bronze(spark, sf).select("merchant_id", "customer_id")
     parts = []
     for key, dim in (("merchant_id", data.merchants(spark, sf)), ("customer_id", data.customers(spark, sf))):
-        per_key = facts.groupBy(key).agg(ROWS.alias("n"))
+        per_key = facts.groupBy(key).agg(row_count().alias("n"))
         lost = joins.orphans(per_key, dim, key).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows"))
         parts.append(lost.select(F.lit(key).alias("fk"), "orphan_rows"))
     return parts[0].unionByName(parts[1])
@@ -275,10 +275,10 @@ def reconciliation(spark, sf):
     The settlement side lacks some rows, differs by 2 in some and by 0.5 in others.
     """
     ledger = data.transactions(spark, sf).select(
-        "transaction_id", F.col("payment_method").alias("gateway"), AMOUNT.alias("amount"), "k"
+        "transaction_id", F.col("payment_method").alias("gateway"), the_amount().alias("amount"), "k"
     )
     k = F.col("k")
-    settled = F.when(k % 17 == 0, AMOUNT + 2).when(k % 19 == 0, AMOUNT + F.lit("0.50").cast("decimal(3,2)")).otherwise(AMOUNT)
+    settled = F.when(k % 17 == 0, the_amount() + 2).when(k % 19 == 0, the_amount() + F.lit("0.50").cast("decimal(3,2)")).otherwise(the_amount())
     gateway = ledger.where(k % 13 != 0).withColumn("amount", settled.cast("decimal(18,2)"))
     return joins.reconcile(ledger.drop("k"), gateway.drop("k"), "transaction_id", "amount", "gateway")
 
@@ -293,7 +293,7 @@ def reconciliation(spark, sf):
 )
 def j13(spark, sf):
     return reconciliation(spark, sf).groupBy("gateway", "outcome").agg(
-        ROWS.alias("rows"), total(F.col("ledger_amount")).alias("ledger_total")
+        row_count().alias("rows"), total(F.col("ledger_amount")).alias("ledger_total")
     )
 
 
@@ -311,8 +311,8 @@ def j13(spark, sf):
 def j14(spark, sf):
     from paylens.queries.aggregates import promotions
 
-    spend = data.transactions(spark, sf).where(COMPLETED).groupBy("customer_id").agg(F.sum(AMOUNT).alias("spend"))
-    per = promotions(spark, sf).groupBy("customer_id", "channel").agg(ROWS.alias("promos"))
+    spend = data.transactions(spark, sf).where(is_completed()).groupBy("customer_id").agg(F.sum(the_amount()).alias("spend"))
+    per = promotions(spark, sf).groupBy("customer_id", "channel").agg(row_count().alias("promos"))
     return per.join(spend, "customer_id").groupBy("channel").agg(
         F.sum("promos").alias("promo_rows"), total(F.col("spend") * F.col("promos")).alias("attributed")
     )
@@ -327,7 +327,7 @@ def j14(spark, sf):
     ),
 )
 def j15(spark, sf):
-    often = data.transactions(spark, sf).where(FAILED).groupBy("customer_id").agg(ROWS.alias("n")).where("n > 3")
+    often = data.transactions(spark, sf).where(is_failed()).groupBy("customer_id").agg(row_count().alias("n")).where("n > 3")
     return data.customers(spark, sf).select("customer_id", "customer_name", "tier").join(often, "customer_id", "left_semi")
 
 
@@ -344,8 +344,8 @@ def j16(spark, sf):
     ts = F.col("ts")
     lost = (ts >= F.lit("2024-01-10 02:00:00").cast("timestamp_ntz")) & (ts < F.lit("2024-01-10 09:00:00").cast("timestamp_ntz"))
     events = data.table(spark, sf, "events")
-    sent = events.groupBy(hour_label(ts).alias("hour_utc")).agg(ROWS.alias("n"))
-    loaded = events.where(~lost).groupBy(hour_label(ts).alias("hour_utc")).agg(ROWS.alias("n"))
+    sent = events.groupBy(hour_label(ts).alias("hour_utc")).agg(row_count().alias("n"))
+    loaded = events.where(~lost).groupBy(hour_label(ts).alias("hour_utc")).agg(row_count().alias("n"))
     both = joins.side_by_side(sent, loaded, "hour_utc", ("sent", "loaded"))
     return both.withColumn("gap", F.col("sent") - F.col("loaded")).withColumn(
         "failure_hour", (F.col("sent") > 0) & (F.col("loaded") == 0)

@@ -9,7 +9,7 @@ from paylens.functions.dates import strict_date
 from paylens.functions.text import blank_to_null, is_blank
 from paylens.operators import aggregates as agg
 from paylens.operators import quality, recovery
-from paylens.operators.aggregates import AMOUNT, FAILED, ROWS
+from paylens.operators.aggregates import the_amount, is_failed, row_count
 from paylens.operators.quality import Check
 from paylens.queries import data
 from paylens.queries.registry import query
@@ -73,7 +73,7 @@ SUITE = [NOT_NULL, UNIQUE, BETWEEN, ISO_DATE, CURRENCY, STATUS]
 def failed_rows(spark, sf, check):
     """Rows that fail one row check, counted per payment method."""
     bad = data.transactions_dirty(spark, sf).where(quality.failing(check))
-    return bad.groupBy("payment_method").agg(ROWS.alias("failed"), F.sum("k").alias("key_sum"))
+    return bad.groupBy("payment_method").agg(row_count().alias("failed"), F.sum("k").alias("key_sum"))
 
 
 def failed_sql(condition):
@@ -100,7 +100,7 @@ def q04(spark, sf):
 
     rows = data.transactions_dirty(spark, sf).select("transaction_id", "payment_method", "k")
     bad = flag_duplicates(rows, blank_to_null(F.col("transaction_id"))).where("is_duplicate")
-    return bad.groupBy("payment_method").agg(ROWS.alias("failed"), F.sum("k").alias("key_sum"))
+    return bad.groupBy("payment_method").agg(row_count().alias("failed"), F.sum("k").alias("key_sum"))
 
 
 @query("q05_expect_between", failed_sql(BAD_AMOUNT))
@@ -226,7 +226,7 @@ MEDIAN = "(SELECT CAST(CAST(MEDIAN(TRY_CAST(trim(amount) AS DECIMAL(18,2))) AS D
 def q13(spark, sf):
     fixed = quality.auto_fix(data.transactions_dirty(spark, sf))
     return fixed.groupBy("status").agg(
-        ROWS.alias("rows"), numeric.count_when(F.col("transaction_date") == "INVALID_DATE").alias("bad_days"),
+        row_count().alias("rows"), numeric.count_when(F.col("transaction_date") == "INVALID_DATE").alias("bad_days"),
         F.sum(F.col("amount").try_cast("decimal(18,3)")).cast("double").alias("amount_sum"),
     )
 
@@ -259,7 +259,7 @@ MARKED = {"marked": f"SELECT *, COUNT(*) OVER (PARTITION BY {KEY}) AS copies FRO
 def q14(spark, sf):
     clean, bad = quality.quarantine_split(data.transactions_dirty(spark, sf), SUITE)
     both = clean.withColumn("reason", F.lit("")).unionByName(bad.withColumnRenamed("_quarantine_reason", "reason"))
-    return both.groupBy("reason").agg(ROWS.alias("rows"), F.sum("k").alias("key_sum"))
+    return both.groupBy("reason").agg(row_count().alias("rows"), F.sum("k").alias("key_sum"))
 
 
 FEED = """SELECT d.k, d.transaction_id, d.amount, d.transaction_date, CASE WHEN d.k % 2 = 0 THEN m.merchant_name END AS a,
@@ -291,7 +291,7 @@ def replay_feed(spark, sf):
 )
 def q15(spark, sf):
     judged = recovery.repair(replay_feed(spark, sf)).withColumn("reason", F.coalesce(recovery.reject_reason(), F.lit("ok")))
-    return judged.groupBy("reason").agg(ROWS.alias("rows"), F.sum("k").alias("key_sum"))
+    return judged.groupBy("reason").agg(row_count().alias("rows"), F.sum("k").alias("key_sum"))
 
 
 @query(
@@ -307,7 +307,7 @@ def q15(spark, sf):
 def q16(spark, sf):
     critical = [NOT_NULL]
     marked = quality.flag_failures(data.transactions_dirty(spark, sf), critical)
-    counts = marked.agg(ROWS.alias("total"), numeric.count_when(F.col("_quarantine_reason") != "").alias("quarantined"))
+    counts = marked.agg(row_count().alias("total"), numeric.count_when(F.col("_quarantine_reason") != "").alias("quarantined"))
     total, bad = F.col("total"), F.col("quarantined")
     return counts.select("total", "quarantined", *quality.load_decision(total, bad, bad > 0))
 
@@ -323,8 +323,8 @@ def q16(spark, sf):
 def q17(spark, sf):
     from paylens.plans.medallion import HALT_SHARE
 
-    ok = ~is_blank(F.col("transaction_id")) & (numeric.to_amount(AMOUNT) >= 0)
-    seen = data.transactions_dirty(spark, sf).agg(ROWS.alias("rows_in"), numeric.count_when(ok).alias("rows_valid"))
+    ok = ~is_blank(F.col("transaction_id")) & (numeric.to_amount(the_amount()) >= 0)
+    seen = data.transactions_dirty(spark, sf).agg(row_count().alias("rows_in"), numeric.count_when(ok).alias("rows_valid"))
     failed = numeric.ratio(F.col("rows_in") - F.col("rows_valid"), F.col("rows_in"))
     return seen.withColumn("halted", failed > HALT_SHARE)
 
@@ -363,11 +363,11 @@ def q19(spark, sf):
 
     judged = recovery.repair(replay_feed(spark, sf)).withColumn("_reason", recovery.reject_reason())
     counts = judged.agg(
-        ROWS.alias("rows_in"), numeric.count_when(F.col("_reason").isNull()).alias("rows_clean"),
+        row_count().alias("rows_in"), numeric.count_when(F.col("_reason").isNull()).alias("rows_clean"),
         numeric.count_when(F.col("_reason").isNotNull()).alias("rows_quarantined"),
     )
     unique = latest_per_key(judged.where("_reason IS NULL").select("transaction_id", "k"), ["transaction_id"], [F.desc("k")])
-    out = unique.agg(ROWS.alias("n")).scalar()
+    out = unique.agg(row_count().alias("n")).scalar()
     return counts.withColumn("rows_out", out).withColumn(
         "balanced", F.col("rows_in") == F.col("rows_clean") + F.col("rows_quarantined")
     )
@@ -429,8 +429,8 @@ def q27(spark, sf):
     kept = quality.drop_missing_key(data.transactions_dirty(spark, sf), "transaction_id")
     healed = quality.add_or_drop(quality.add_or_drop(quality.numbers_or_zero(kept, ["amount"]), "currency"), "merchant_city")
     return healed.groupBy("payment_method").agg(
-        ROWS.alias("rows"), F.round(numeric.total(numeric.money(AMOUNT)), 2).alias("amount"),
-        numeric.count_when(AMOUNT == 0).alias("zeroed"), F.count("merchant_city").alias("cities"),
+        row_count().alias("rows"), F.round(numeric.total(numeric.money(the_amount())), 2).alias("amount"),
+        numeric.count_when(the_amount() == 0).alias("zeroed"), F.count("merchant_city").alias("cities"),
     )
 
 
@@ -456,12 +456,12 @@ def q28(spark, sf):
     k = F.col("k")
     risky = data.bronze(spark, sf).withColumns(
         {
-            "amount": F.when(k % 59 == 0, F.lit(0).cast("decimal(18,2)")).otherwise((AMOUNT * 2).cast("decimal(18,2)")),
+            "amount": F.when(k % 59 == 0, F.lit(0).cast("decimal(18,2)")).otherwise((the_amount() * 2).cast("decimal(18,2)")),
             "status": F.when(k % 53 == 0, "APPROVED").otherwise(F.col("status")),
         }
     )
     found = quality.domain_violations(risky, data.merchants(spark, sf), F.lit("2001-09-30").cast("date"))
-    return found.groupBy("violation").agg(ROWS.alias("rows"))
+    return found.groupBy("violation").agg(row_count().alias("rows"))
 
 
 HALVES = ["event_type", "value", "user_id"]
@@ -494,8 +494,8 @@ def q29(spark, sf):
 )
 def q30(spark, sf):
     rows = data.transactions_dirty(spark, sf)
-    fixes = {"drop_missing_key": ~is_blank(F.col("transaction_id")), "only_clean_amounts": numeric.to_number(AMOUNT) >= 0}
-    per = rows.groupBy("customer_id").agg(ROWS.alias("n"), *[numeric.count_when(c).alias(f) for f, c in fixes.items()])
+    fixes = {"drop_missing_key": ~is_blank(F.col("transaction_id")), "only_clean_amounts": numeric.to_number(the_amount()) >= 0}
+    per = rows.groupBy("customer_id").agg(row_count().alias("n"), *[numeric.count_when(c).alias(f) for f, c in fixes.items()])
     wide = per.agg(
         F.sum("n").alias("rows"), F.count("customer_id").alias("customers"),
         *[F.sum(f).alias(f"r_{f}") for f in fixes], *[numeric.count_when(F.col(f) > 0).alias(f"c_{f}") for f in fixes],
@@ -524,12 +524,12 @@ def q30(spark, sf):
 def q31(spark, sf):
     rows = data.transactions_dirty(spark, sf).withColumns(
         {
-            "amount": numeric.to_number(AMOUNT) * 10, "transaction_date": strict_date(F.col("transaction_date")),
+            "amount": numeric.to_number(the_amount()) * 10, "transaction_date": strict_date(F.col("transaction_date")),
             "category": F.when(F.col("payment_method") != "UPI", "retail"),
         }
     )
     judged = rows.withColumn("verdict", quality.verdict(data.as_of(), ["INR", "USD", "EUR", "GBP"]))
-    return judged.groupBy("verdict").agg(ROWS.alias("rows"))
+    return judged.groupBy("verdict").agg(row_count().alias("rows"))
 
 
 @query(
@@ -542,7 +542,7 @@ def q31(spark, sf):
     ),
 )
 def q32(spark, sf):
-    rates = data.transactions(spark, sf).groupBy("merchant_id", "transaction_date").agg(numeric.count_when(FAILED).alias("failed"), ROWS.alias("n"))
+    rates = data.transactions(spark, sf).groupBy("merchant_id", "transaction_date").agg(numeric.count_when(is_failed()).alias("failed"), row_count().alias("n"))
     return quality.small_sample_guard(rates, "failed", "n", 5)
 
 
@@ -559,7 +559,7 @@ def q33(spark, sf):
     from paylens.operators.contracts import blocked_customers
 
     legitimate = data.transactions(spark, sf).where("status = 'COMPLETED'")
-    return blocked_customers(legitimate, "customer_id", AMOUNT, [50000, 80000, 100000])
+    return blocked_customers(legitimate, "customer_id", the_amount(), [50000, 80000, 100000])
 
 
 CHECKS_SQL = [

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from paylens.functions import dates, masking, numeric
 from paylens.functions import text as txt
-from paylens.operators.aggregates import AMOUNT, ROWS
+from paylens.operators.aggregates import the_amount, row_count
 from paylens.queries import data
 from paylens.queries.registry import query
 from paylens.queries.sqlbase import AS_OF, with_views
@@ -21,7 +21,7 @@ from paylens.queries.sqlbase import AS_OF, with_views
 )
 def e01(spark, sf):
     clean = txt.trim_strings(data.transactions_dirty(spark, sf))
-    return clean.groupBy(F.upper("status").alias("status"), F.lower("payment_method").alias("method")).agg(ROWS.alias("rows"))
+    return clean.groupBy(F.upper("status").alias("status"), F.lower("payment_method").alias("method")).agg(row_count().alias("rows"))
 
 
 @query("e02_substring_concat", "SELECT c_custkey, substr(c_name, 1, 8) || '/' || c_mktsegment AS code FROM customer")
@@ -37,7 +37,7 @@ def e02(spark, sf):
 )
 def e03(spark, sf):
     hit = txt.matches_from_start(F.col("text"), "[A-Z][a-z]+ [a-z]+")
-    return data.table(spark, sf, "documents").groupBy("lang").agg(numeric.count_when(hit).alias("matched"), ROWS.alias("docs"))
+    return data.table(spark, sf, "documents").groupBy("lang").agg(numeric.count_when(hit).alias("matched"), row_count().alias("docs"))
 
 
 @query(
@@ -72,7 +72,7 @@ def e06(spark, sf):
     ),
 )
 def e07(spark, sf):
-    text = F.trim(AMOUNT)
+    text = F.trim(the_amount())
     return data.transactions_dirty(spark, sf).agg(
         F.count(text.try_cast("double")).alias("doubles"), F.count(text.try_cast("decimal(10,2)")).alias("decimals"),
         F.count(F.col("customer_id").try_cast("long")).alias("ids"), F.max(text.try_cast("decimal(10,2)")).cast("double").alias("largest"),
@@ -89,7 +89,7 @@ def e08(spark, sf):
     return data.table(spark, sf, "events").groupBy(
         ts.cast("date").alias("day"), F.date_trunc("hour", ts).cast("timestamp_ntz").alias("hour"),
         F.date_trunc("month", ts).cast("date").alias("month"), F.date_trunc("year", ts).cast("date").alias("year"),
-    ).agg(ROWS.alias("n"))
+    ).agg(row_count().alias("n"))
 
 
 @query(
@@ -109,7 +109,7 @@ def e09(spark, sf):
 
 @query("e10_hour", "SELECT CAST(EXTRACT(HOUR FROM ts) AS INTEGER) AS hour, COUNT(*) AS n FROM events GROUP BY 1")
 def e10(spark, sf):
-    return data.table(spark, sf, "events").groupBy(F.hour("ts").alias("hour")).agg(ROWS.alias("n"))
+    return data.table(spark, sf, "events").groupBy(F.hour("ts").alias("hour")).agg(row_count().alias("n"))
 
 
 @query(
@@ -139,7 +139,7 @@ def e12(spark, sf):
     ),
 )
 def e13(spark, sf):
-    return data.transactions_dirty(spark, sf).groupBy(dates.mark_bad_date(F.col("transaction_date")).alias("day")).agg(ROWS.alias("rows"))
+    return data.transactions_dirty(spark, sf).groupBy(dates.mark_bad_date(F.col("transaction_date")).alias("day")).agg(row_count().alias("rows"))
 
 
 @query(
@@ -153,7 +153,7 @@ def e13(spark, sf):
 )
 def e14(spark, sf):
     fixed = dates.iso_from_day_first(F.col("transaction_date"))
-    return data.transactions_dirty(spark, sf).groupBy(fixed.alias("day")).agg(ROWS.alias("rows"))
+    return data.transactions_dirty(spark, sf).groupBy(fixed.alias("day")).agg(row_count().alias("rows"))
 
 
 @query(
@@ -166,7 +166,7 @@ def e14(spark, sf):
     ),
 )
 def e15(spark, sf):
-    per = data.transactions(spark, sf).groupBy("merchant_id", (F.col("k") % 2).alias("side")).agg(ROWS.alias("n"))
+    per = data.transactions(spark, sf).groupBy("merchant_id", (F.col("k") % 2).alias("side")).agg(row_count().alias("n"))
     named = per.join(data.merchants(spark, sf), "merchant_id")
     feed = named.select(
         "n", F.when(F.col("side") == 0, F.col("merchant_name")).alias("merchant_name"),
@@ -184,8 +184,8 @@ def e15(spark, sf):
 def e16(spark, sf):
     back = F.col("l_returnflag") == "R"
     return data.table(spark, sf, "lineitem").groupBy("l_suppkey").agg(
-        numeric.pct(numeric.count_when(back), ROWS).alias("pct"),
-        F.round(numeric.ratio(numeric.total(numeric.money(F.col("l_quantity"))), ROWS), 2).alias("avg_qty"),
+        numeric.pct(numeric.count_when(back), row_count()).alias("pct"),
+        F.round(numeric.ratio(numeric.total(numeric.money(F.col("l_quantity"))), row_count()), 2).alias("avg_qty"),
     )
 
 
@@ -197,7 +197,7 @@ def e16(spark, sf):
 def e17(spark, sf):
     size = F.when(F.col("value") > 200, "large").when(F.col("value") > 50, "medium").otherwise("small")
     kind = F.coalesce(F.nullif(F.col("event_type"), F.lit("error")), F.lit("none"))
-    return data.table(spark, sf, "events").groupBy(size.alias("size"), kind.alias("kind")).agg(ROWS.alias("n"))
+    return data.table(spark, sf, "events").groupBy(size.alias("size"), kind.alias("kind")).agg(row_count().alias("n"))
 
 
 @query(
@@ -209,16 +209,16 @@ def e17(spark, sf):
     ),
 )
 def e18(spark, sf):
-    number = numeric.to_number(AMOUNT)
+    number = numeric.to_number(the_amount())
     return data.transactions_dirty(spark, sf).groupBy("status").agg(
-        F.count(number).alias("parsed"), (ROWS - F.count(number)).alias("unparsed"), numeric.count_when(number < 0).alias("negative")
+        F.count(number).alias("parsed"), (row_count() - F.count(number)).alias("unparsed"), numeric.count_when(number < 0).alias("negative")
     )
 
 
 @query("e19_json_path", "SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, COUNT(*) AS n FROM events GROUP BY 1")
 def e19(spark, sf):
     k = F.get_json_object("props", "$.k").try_cast("long")
-    return data.table(spark, sf, "events").groupBy(k.alias("k")).agg(ROWS.alias("n"))
+    return data.table(spark, sf, "events").groupBy(k.alias("k")).agg(row_count().alias("n"))
 
 
 # Contact fields of a customer, made from its key.

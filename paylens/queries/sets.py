@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from paylens.functions.numeric import money, total
 from paylens.operators import aggregates as agg
 from paylens.operators import drift, quality, sets
-from paylens.operators.aggregates import AMOUNT, COMPLETED, ROWS
+from paylens.operators.aggregates import the_amount, is_completed, row_count
 from paylens.queries import data
 from paylens.queries.registry import query
 from paylens.queries.sqlbase import REVENUE, with_views
@@ -21,7 +21,7 @@ from paylens.queries.sqlbase import REVENUE, with_views
     ),
 )
 def t01(spark, sf):
-    per = data.transactions(spark, sf).groupBy("merchant_id").agg(agg.when_sum(COMPLETED, AMOUNT).alias("revenue"))
+    per = data.transactions(spark, sf).groupBy("merchant_id").agg(agg.when_sum(is_completed(), the_amount()).alias("revenue"))
     return sets.top_n(per, [F.desc("revenue"), F.asc("merchant_id")], 10)
 
 
@@ -52,7 +52,7 @@ def t03(spark, sf):
 @query("t04_bounded_result", "SELECT COUNT(*) AS shown, TRUE AS truncated FROM (SELECT * FROM orders ORDER BY o_orderkey LIMIT 100)")
 def t04(spark, sf):
     shown, truncated = sets.bounded(data.table(spark, sf, "orders").orderBy("o_orderkey"), 100)
-    return shown.agg(ROWS.alias("shown")).select("shown", truncated.scalar().alias("truncated"))
+    return shown.agg(row_count().alias("shown")).select("shown", truncated.scalar().alias("truncated"))
 
 
 @query(
@@ -60,7 +60,7 @@ def t04(spark, sf):
     with_views("txn", "SELECT transaction_date, COUNT(*) AS n, CAST(SUM(amount) AS DOUBLE) AS amount FROM txn GROUP BY 1 ORDER BY 1 DESC"),
 )
 def t05(spark, sf):
-    per = data.transactions(spark, sf).groupBy("transaction_date").agg(ROWS.alias("n"), total(AMOUNT).alias("amount"))
+    per = data.transactions(spark, sf).groupBy("transaction_date").agg(row_count().alias("n"), total(the_amount()).alias("amount"))
     return per.orderBy(F.desc("transaction_date"))
 
 
@@ -77,7 +77,7 @@ def u01(spark, sf):
     clean = data.transactions(spark, sf).select("transaction_id", "status")
     dirty = data.transactions_dirty(spark, sf).select("transaction_id", "status", "currency")
     both = sets.concat_feeds({"clean": clean, "dirty": dirty})
-    return both.groupBy("feed", "status").agg(ROWS.alias("rows"), F.count("currency").alias("with_currency"))
+    return both.groupBy("feed", "status").agg(row_count().alias("rows"), F.count("currency").alias("with_currency"))
 
 
 @query(

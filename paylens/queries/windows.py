@@ -8,7 +8,7 @@ from paylens.functions.dates import bucket_start, epoch_label
 from paylens.functions.numeric import money
 from paylens.operators import aggregates as agg
 from paylens.operators import dedup, windows
-from paylens.operators.aggregates import AMOUNT, ROWS
+from paylens.operators.aggregates import the_amount, row_count
 from paylens.plans.payments import incremental
 from paylens.queries import data
 from paylens.queries.registry import query
@@ -40,7 +40,7 @@ def w01(spark, sf):
 )
 def w02(spark, sf):
     return data.transactions(spark, sf).select(
-        "transaction_id", AMOUNT.cast("double").alias("amount"), "status", "merchant_id", "customer_id", "transaction_date",
+        "transaction_id", the_amount().cast("double").alias("amount"), "status", "merchant_id", "customer_id", "transaction_date",
         "payment_method", "ingestion_timestamp",
     )
 
@@ -60,7 +60,7 @@ def w03(spark, sf):
     marked = dedup.flag_duplicates(
         data.transactions_dirty(spark, sf).select("transaction_id"), blank_to_null(F.col("transaction_id"))
     )
-    return marked.groupBy("transaction_id", "is_duplicate").agg(ROWS.alias("rows"))
+    return marked.groupBy("transaction_id", "is_duplicate").agg(row_count().alias("rows"))
 
 
 @query(
@@ -84,7 +84,7 @@ SERIES = """SELECT g.bucket, COALESCE(n, 0) AS n FROM (SELECT UNNEST(generate_se
 
 
 def five_minute_series(spark, sf):
-    counts = data.table(spark, sf, "events").groupBy(bucket_start(F.col("ts"), 300).alias("bucket")).agg(ROWS.alias("n"))
+    counts = data.table(spark, sf, "events").groupBy(bucket_start(F.col("ts"), 300).alias("bucket")).agg(row_count().alias("n"))
     return windows.fill_buckets(counts, "bucket", 300)
 
 
