@@ -40,7 +40,7 @@ def text_band(texts: pd.Series) -> pd.Series:
 )
 def x01(spark, sf):
     label = column_model(text_band, "string")
-    return data.table(spark, sf, "documents").select("lang", label("text").alias("label")).groupBy("lang", "label").agg(row_count().alias("docs"))
+    return data.table(spark, sf, "documents", "doc_id").select("lang", label("text").alias("label")).groupBy("lang", "label").agg(row_count().alias("docs"))
 
 
 @query(

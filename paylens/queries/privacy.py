@@ -76,7 +76,7 @@ def redact_sql(text):
     f"SELECT doc_id, md5({redact_sql('text')}) AS text_hash, length({redact_sql('text')}) AS n, {redact_sql('text')} <> text AS changed FROM documents",
 )
 def p04(spark, sf):
-    clean = data.table(spark, sf, "documents").select("doc_id", "text", privacy.redact(F.col("text")).alias("clean"))
+    clean = data.table(spark, sf, "documents", "doc_id").select("doc_id", "text", privacy.redact(F.col("text")).alias("clean"))
     return clean.select(
         "doc_id", F.md5("clean").alias("text_hash"), F.length("clean").cast("long").alias("n"), (F.col("clean") != F.col("text")).alias("changed")
     )
@@ -104,7 +104,7 @@ def p05(spark, sf):
 @query("p05b_destructive_in_documents", """SELECT lang, COUNT(CASE WHEN regexp_matches(upper(text), '(^|[^A-Z0-9_])(DROP|DELETE|INSERT|UPDATE|TRUNCATE|ALTER|CREATE)($|[^A-Z0-9_])')
    THEN 1 END) AS destructive, COUNT(*) AS docs FROM documents GROUP BY 1""")
 def p05b(spark, sf):
-    return data.table(spark, sf, "documents").groupBy("lang").agg(
+    return data.table(spark, sf, "documents", "doc_id").groupBy("lang").agg(
         F.count_if(privacy.destructive(F.col("text"))).alias("destructive"), row_count().alias("docs")
     )
 

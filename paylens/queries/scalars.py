@@ -37,7 +37,7 @@ def e02(spark, sf):
 )
 def e03(spark, sf):
     hit = txt.matches_from_start(F.col("text"), "[A-Z][a-z]+ [a-z]+")
-    return data.table(spark, sf, "documents").groupBy("lang").agg(numeric.count_when(hit).alias("matched"), row_count().alias("docs"))
+    return data.table(spark, sf, "documents", "doc_id").groupBy("lang").agg(numeric.count_when(hit).alias("matched"), row_count().alias("docs"))
 
 
 @query(
@@ -60,7 +60,7 @@ def e05(spark, sf):
 
 @query("e06_fingerprint", "SELECT doc_id, substr(md5(text), 1, 12) AS print FROM documents")
 def e06(spark, sf):
-    return data.table(spark, sf, "documents").select("doc_id", txt.fingerprint(F.col("text")).alias("print"))
+    return data.table(spark, sf, "documents", "doc_id").select("doc_id", txt.fingerprint(F.col("text")).alias("print"))
 
 
 @query(
@@ -229,7 +229,7 @@ CONTACT = """SELECT c_custkey, '+919' || lpad(CAST(c_custkey AS VARCHAR), 9, '0'
 
 def contacts(spark, sf):
     key = F.col("c_custkey").cast("string")
-    return data.table(spark, sf, "customer").select(
+    return data.table(spark, sf, "customer", "c_custkey").select(
         "c_custkey",
         F.concat(F.lit("+919"), F.lpad(key, 9, "0")).alias("phone"),
         F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("."))), F.lit("@mail.example")).alias("email"),

@@ -22,7 +22,7 @@ SCORE = " + ".join(f"CASE WHEN contains(lower(text), '{w}') THEN 1 ELSE 0 END" f
         WHERE score > 0 ORDER BY score DESC, doc_id LIMIT 3""",
 )
 def p08(spark, sf):
-    return texts.retrieve(data.table(spark, sf, "documents"), SEARCH, 3)
+    return texts.retrieve(data.table(spark, sf, "documents", "doc_id"), SEARCH, 3)
 
 
 # Common short words by language.
@@ -58,7 +58,7 @@ LABEL = (
     f"SELECT lang, {LABEL} AS label, COUNT(*) AS docs FROM (SELECT lang, {HITS} FROM (SELECT lang, {padded_sql('text')} AS pad FROM documents)) GROUP BY 1, 2",
 )
 def p09(spark, sf):
-    labelled = texts.classify(data.table(spark, sf, "documents").select("lang", "text"), LANGUAGE_WORDS, "text")
+    labelled = texts.classify(data.table(spark, sf, "documents", "doc_id").select("lang", "text"), LANGUAGE_WORDS, "text")
     return labelled.groupBy("lang", "label").agg(row_count().alias("docs"))
 
 
@@ -99,7 +99,7 @@ SENTENCE_SCORE = " + ".join(f"CASE WHEN contains(lower(x), '{w}') THEN 1 ELSE 0
 )
 def p11(spark, sf):
     best = texts.best_sentence(F.col("text"), QUESTION)
-    found = data.table(spark, sf, "documents").select("doc_id", best.alias("b"))
+    found = data.table(spark, sf, "documents", "doc_id").select("doc_id", best.alias("b"))
     return found.select("doc_id", "b.score", "b.sentence")
 
 
@@ -113,7 +113,7 @@ def error_log(spark, sf):
         F.lit('Traceback (most recent call last):\n  File "job.py", line '), F.col("event_id").cast("string"),
         F.lit("\n    load(part_"), (F.col("user_id") % 5).cast("string"), F.lit(")\n    ^^^^\nKeyError: "), F.col("event_type"),
     )
-    return data.table(spark, sf, "events").select(
+    return data.table(spark, sf, "events", "event_id").select(
         "event_id", text.alias("log"), (F.col("value") > 50).alias("success"), F.concat(F.lit("patch-"), F.col("event_id").cast("string")).alias("fix")
     )
 
