@@ -3,7 +3,7 @@
 No side carries a broadcast hint by default: Spark broadcasts a side whose size it
 has proven to lie under ``spark.sql.autoBroadcastJoinThreshold``, at planning time
 from file sizes or at run time from shuffle sizes, and otherwise shuffles and splits
-skewed partitions. ``small_side`` adds a hint only after the same kind of check.
+skewed partitions.
 """
 
 from __future__ import annotations
@@ -13,18 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FIXED_SIDE_ROWS = 10_000
-
-
-def small_side(df: DataFrame, max_rows: int = FIXED_SIDE_ROWS) -> DataFrame:
-    """Hint a broadcast if the frame has at most ``max_rows`` rows, counted exactly.
-
-    The count stops after ``max_rows + 1`` rows, so asking a large frame is cheap.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def enrich(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Left join that keeps unmatched facts and flags them.
 

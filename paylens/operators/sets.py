@@ -40,10 +40,10 @@ def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def bounded(df: DataFrame, max_rows: int) -> tuple[DataFrame, DataFrame]:
-    """At most ``max_rows`` rows, and a one-row frame telling whether more existed.
+def bounded(df: DataFrame, order: Sequence[Column], max_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The first ``max_rows`` rows, and a one-row frame telling whether more existed.
 
-    Only ``max_rows + 1`` rows are ever looked at.
+    Only ``max_rows + 1`` rows leave the tasks.
     """
-    probe = df.limit(max_rows + 1)
+    probe = df.orderBy(*order).limit(max_rows + 1)
     return probe.limit(max_rows), probe.agg((F.count(F.lit(1)) > max_rows).alias("truncated"))

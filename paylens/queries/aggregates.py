@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from paylens.functions.dates import epoch, hour_label, minutes_between
-from paylens.functions.numeric import count_when, mean_of, money, pct, total, when_sum
+from paylens.functions.dates import hour_label
+from paylens.functions.numeric import count_when, money, total
 from paylens.operators import aggregates as agg
 from paylens.operators import dedup, recovery
-from paylens.operators.aggregates import the_amount, is_completed, is_failed, row_count
+from paylens.operators.aggregates import row_count, the_amount
 from paylens.queries import data
 from paylens.queries.registry import query
 from paylens.queries.sqlbase import AS_OF, N_COMPLETED, N_FAILED, REVENUE, with_views

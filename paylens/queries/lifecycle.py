@@ -7,7 +7,7 @@ import datetime
 import pandas as pd
 from pyspark.sql import functions as F
 
-from paylens.functions.numeric import count_when, money, pct
+from paylens.functions.numeric import count_when, pct
 from paylens.functions.udf import column_model
 from paylens.operators import aggregates as agg
 from paylens.operators import monitoring, recovery
@@ -15,7 +15,7 @@ from paylens.operators.aggregates import is_completed, is_failed, row_count, the
 from paylens.operators.contracts import ModelTest
 from paylens.plans import payments, replay
 from paylens.plans.build import Model, build
-from paylens.plans.medallion import gold_tables, run
+from paylens.plans.medallion import run
 from paylens.plans.metrics import metric
 from paylens.queries import data
 from paylens.queries.aggregates import GAP, RATE, SLA, _halves, sla_contracts

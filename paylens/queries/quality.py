@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from paylens.functions import numeric
 from paylens.functions.dates import strict_date
 from paylens.functions.text import blank_to_null, is_blank
-from paylens.operators import aggregates as agg
 from paylens.operators import quality, recovery
 from paylens.operators.aggregates import the_amount, is_failed, row_count
 from paylens.operators.quality import Check

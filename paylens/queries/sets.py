@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from paylens.functions.numeric import money, total
+from paylens.functions.numeric import total
 from paylens.operators import aggregates as agg
 from paylens.operators import drift, quality, sets
 from paylens.operators.aggregates import the_amount, is_completed, row_count
@@ -51,7 +51,7 @@ def t03(spark, sf):
 
 @query("t04_bounded_result", "SELECT COUNT(*) AS shown, TRUE AS truncated FROM (SELECT * FROM orders ORDER BY o_orderkey LIMIT 100)")
 def t04(spark, sf):
-    shown, truncated = sets.bounded(data.table(spark, sf, "orders").orderBy("o_orderkey"), 100)
+    shown, truncated = sets.bounded(data.table(spark, sf, "orders"), [F.asc("o_orderkey")], 100)
     return shown.agg(row_count().alias("shown")).select("shown", truncated.scalar().alias("truncated"))
 
 

@@ -71,7 +71,7 @@ def partner_feeds(rows: DataFrame, partner: Column, customer: str, path: str) ->
 
 
 def write_run_metadata(spark: SparkSession, facts: dict, path: str) -> None:
-    """One JSON record per run; counts come from observations of the run's own jobs."""
+    """One JSON record per run; ``facts`` holds its counts, status and times."""
     columns = [F.lit(v).alias(k) for k, v in facts.items()]
     spark.range(1).select(*columns).coalesce(1).write.mode("overwrite").json(path)
 

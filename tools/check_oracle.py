@@ -56,6 +56,10 @@ def main() -> int:
         try:
             frame = q.run(spark, folder)
             kinds = dict(frame.dtypes)
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            for word in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+                if word in plan:
+                    print(f"PLAN  {name}: {word}", flush=True)
             got = frame.toPandas()
         except Exception as e:
             bad += 1
