@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from paylens.functions import numeric
 from paylens.functions.text import is_blank
 from paylens.operators import aggregates as agg
-from paylens.operators.aggregates import the_amount, is_completed, row_count
+from paylens.operators.aggregates import is_completed, row_count, the_amount
 from paylens.operators.privacy import guard_status
 from paylens.plans import payments
 from paylens.plans.medallion import valid_rows

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from paylens.functions.numeric import total
 from paylens.operators import aggregates as agg
 from paylens.operators import drift, quality, sets
-from paylens.operators.aggregates import the_amount, is_completed, row_count
+from paylens.operators.aggregates import is_completed, row_count, the_amount
 from paylens.queries import data
 from paylens.queries.registry import query
 from paylens.queries.sqlbase import REVENUE, with_views
