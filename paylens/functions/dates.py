@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 INVALID_DATE = "INVALID_DATE"
+EPOCH = "1970-01-01 00:00:00"
 ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
 DAY_FIRST_DATE = r"^\d{2}-\d{2}-\d{4}$"
 
@@ -36,9 +39,15 @@ def minutes_between(start: Column, end: Column) -> Column:
     return F.floor(epoch(end) / 60).cast("long") - F.floor(epoch(start) / 60).cast("long")
 
 
+def wall_clock(at: datetime.datetime | str) -> Column:
+    """A literal without time zone; a plain datetime literal would be shifted to the session's zone."""
+    return F.lit(str(at)).cast("timestamp_ntz")
+
+
 def epoch(ts: Column) -> Column:
-    """Whole seconds since 1970 for a timestamp without time zone (session zone UTC)."""
-    return F.unix_timestamp(ts.cast("timestamp"))
+    """Whole seconds of the wall clock since 1970, whatever the session's time zone."""
+    passed = ts.cast("timestamp_ntz") - wall_clock(EPOCH)
+    return F.floor(passed.cast("interval second").cast("decimal(20,6)")).cast("long")
 
 
 def hour_label(ts: Column) -> Column:
@@ -51,4 +60,5 @@ def bucket_start(ts: Column, seconds: int) -> Column:
 
 
 def epoch_label(seconds: Column) -> Column:
-    return F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd HH:mm:ss")
+    at = wall_clock(EPOCH) + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+    return F.date_format(at, "yyyy-MM-dd HH:mm:ss")

@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paylens.functions.dates import hour_label, iso_from_day_first
+from paylens.functions.dates import hour_label, iso_from_day_first, wall_clock
 from paylens.functions.numeric import total
 from paylens.functions.text import blank_to_null, first_present, is_blank
 
@@ -16,7 +16,7 @@ SPIKE_ABOVE = 1000
 
 def hourly_load(df: DataFrame, ts: str, amount: Column, as_of: datetime.datetime, hours: int) -> DataFrame:
     """Count and value per hour over the last ``hours`` before ``as_of``."""
-    recent = df.where(F.col(ts) >= F.lit(as_of - datetime.timedelta(hours=hours)).cast("timestamp_ntz"))
+    recent = df.where(F.col(ts) >= wall_clock(as_of - datetime.timedelta(hours=hours)))
     return recent.groupBy(hour_label(F.col(ts)).alias("hour_utc")).agg(
         F.count(F.lit(1)).alias("tx_count"),
         total(amount).alias("gmv"),

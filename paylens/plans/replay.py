@@ -7,6 +7,7 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paylens.functions.dates import wall_clock
 from paylens.functions.text import is_blank
 from paylens.operators import recovery
 from paylens.session import written
@@ -19,7 +20,7 @@ def recover(spark: SparkSession, bronze: DataFrame, target: str, since: datetime
     Records are repaired and judged once and written; the clean ones are merged by id, so
     running the recovery again loads nothing. loaded + skipped + quarantined = read.
     """
-    window = bronze.where(F.col("ingestion_timestamp") >= F.lit(since).cast("timestamp_ntz"))
+    window = bronze.where(F.col("ingestion_timestamp") >= wall_clock(since))
     judged = written(recovery.repair(window).withColumn("_reason", recovery.reject_reason()), "replay")
     clean = judged.where("_reason IS NULL").drop("_reason")
     order = [F.desc("ingestion_timestamp"), F.asc("k"), F.asc("amount")]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from paylens.functions.dates import hour_label
+from paylens.functions.dates import hour_label, wall_clock
 from paylens.functions.numeric import count_when, money, total
 from paylens.operators import aggregates as agg
 from paylens.operators import dedup, recovery
@@ -311,7 +311,7 @@ def _halves(spark, sf):
     events = data.table(spark, sf, "events").select(
         F.col("user_id").alias("merchant_id"), "ts", money(F.col("value")).alias("amount")
     )
-    return events.where(F.col("ts") < data.EVENTS_HALF), events.where(F.col("ts") >= data.EVENTS_HALF)
+    return events.where(F.col("ts") < wall_clock(data.EVENTS_HALF)), events.where(F.col("ts") >= wall_clock(data.EVENTS_HALF))
 
 
 SLA = """SELECT c_custkey AS merchant_id, CASE WHEN c_acctbal >= 6000 THEN 100.0 WHEN c_acctbal >= 2000 THEN 200.0

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from paylens.functions.dates import wall_clock
 from paylens.operators import drift
 from paylens.operators.aggregates import row_count
 from paylens.queries import data
@@ -54,7 +55,7 @@ def psi_sql(bin_expression):
 
 def halves(spark, sf):
     events = data.table(spark, sf, "events")
-    middle = F.lit(data.EVENTS_HALF).cast("timestamp_ntz")
+    middle = wall_clock(data.EVENTS_HALF)
     return events.where(F.col("ts") < middle), events.where(F.col("ts") >= middle)
 
 

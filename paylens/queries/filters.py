@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from paylens.functions import numeric
+from paylens.functions.dates import wall_clock
 from paylens.functions.text import is_blank
 from paylens.operators import aggregates as agg
 from paylens.operators.aggregates import is_completed, row_count, the_amount
@@ -100,7 +101,7 @@ def f07(spark, sf):
        (SELECT o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01') GROUP BY 1""",
 )
 def f08(spark, sf):
-    recent = data.table(spark, sf, "orders").where(F.col("o_orderdate") >= F.lit("2001-01-01").cast("timestamp_ntz"))
+    recent = data.table(spark, sf, "orders").where(F.col("o_orderdate") >= wall_clock("2001-01-01"))
     seen = recent.select(F.col("o_custkey").alias("c_custkey"))
     active = data.table(spark, sf, "customer").join(seen, "c_custkey", "left_semi")
     return active.groupBy("c_mktsegment").agg(row_count().alias("active"))
@@ -113,7 +114,7 @@ def f08(spark, sf):
 )
 def f09(spark, sf):
     raw = data.table(spark, sf, "events").withColumnsRenamed({"user_id": "customer_id", "ts": "event_timestamp"})
-    stamp = F.lit("2024-01-31 02:00:00").cast("timestamp_ntz")
+    stamp = wall_clock("2024-01-31 02:00:00")
     return payments.stage(raw, ["event_id", "customer_id", "event_type", "event_timestamp"], "event_id", stamp)
 
 

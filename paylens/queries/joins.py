@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from paylens.functions.dates import hour_label, wall_clock
 from paylens.functions.numeric import count_when, total
 from paylens.operators import aggregates as agg
 from paylens.operators import joins
@@ -339,10 +340,8 @@ def j15(spark, sf):
        FROM events) GROUP BY 1""",
 )
 def j16(spark, sf):
-    from paylens.functions.dates import hour_label
-
     ts = F.col("ts")
-    lost = (ts >= F.lit("2024-01-10 02:00:00").cast("timestamp_ntz")) & (ts < F.lit("2024-01-10 09:00:00").cast("timestamp_ntz"))
+    lost = (ts >= wall_clock("2024-01-10 02:00:00")) & (ts < wall_clock("2024-01-10 09:00:00"))
     events = data.table(spark, sf, "events")
     sent = events.groupBy(hour_label(ts).alias("hour_utc")).agg(row_count().alias("n"))
     loaded = events.where(~lost).groupBy(hour_label(ts).alias("hour_utc")).agg(row_count().alias("n"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from paylens.functions import numeric
-from paylens.functions.dates import strict_date
+from paylens.functions.dates import strict_date, wall_clock
 from paylens.functions.text import blank_to_null, is_blank
 from paylens.operators import quality, recovery
 from paylens.operators.aggregates import the_amount, is_failed, row_count
@@ -476,7 +476,7 @@ HALVES = ["event_type", "value", "user_id"]
 )
 def q29(spark, sf):
     events = data.table(spark, sf, "events")
-    early, late = F.col("ts") < F.lit(data.EVENTS_HALF).cast("timestamp_ntz"), F.col("ts") >= F.lit(data.EVENTS_HALF).cast("timestamp_ntz")
+    early, late = F.col("ts") < wall_clock(data.EVENTS_HALF), F.col("ts") >= wall_clock(data.EVENTS_HALF)
     return quality.compare_profiles(events.where(early), events.where(late), HALVES)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from paylens.functions import numeric
+from paylens.functions.dates import wall_clock
 from paylens.functions.text import is_blank
 from paylens.operators.aggregates import row_count
 from paylens.operators.quality import Check, failing, profile
@@ -149,7 +150,7 @@ def s09(spark, sf):
     """SELECT 'events.parquet' AS source_file, 'run-1' AS pipeline_run_id, TIMESTAMP '2024-01-31 02:00:00' AS ingestion_timestamp, COUNT(*) AS rows FROM events""",
 )
 def s10(spark, sf):
-    at = F.lit("2024-01-31 02:00:00").cast("timestamp_ntz")
+    at = wall_clock("2024-01-31 02:00:00")
     stamped = readers.with_ingestion_metadata(data.table(spark, sf, "events"), "run-1", at)
     return stamped.groupBy("source_file", "pipeline_run_id", "ingestion_timestamp").agg(row_count().alias("rows"))
 
@@ -160,7 +161,7 @@ def s11(spark, sf):
     path = scratch_path(spark, "by-day")
     events = data.table(spark, sf, "events").withColumn("day", F.col("ts").cast("date"))
     writers.replace_partitions(events, path, ["day"])
-    late = events.where(F.col("ts") >= F.lit(data.EVENTS_HALF).cast("timestamp_ntz"))
+    late = events.where(F.col("ts") >= wall_clock(data.EVENTS_HALF))
     writers.replace_partitions(late, path, ["day"])
     return spark.read.parquet(path).groupBy("day").agg(row_count().alias("rows"), F.sum("event_id").alias("key_sum"))
 
@@ -193,7 +194,7 @@ def s13(spark, sf):
     checks = [Check("not_null", "transaction_id"), Check("between", "amount", low=0, high=1000000)]
     reason = F.coalesce(*[F.when(failing(c), c.label) for c in checks])
     bad = data.transactions_dirty(spark, sf).where(reason.isNotNull())
-    at = F.lit("2024-01-31 02:00:00").cast("timestamp_ntz")
+    at = wall_clock("2024-01-31 02:00:00")
     for _ in range(2):
         writers.quarantine(bad, reason, "bronze/feed", at, path, "run-1")
     return spark.read.parquet(path).groupBy("quarantine_reason", "quarantine_source", "quarantine_date").agg(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from paylens.functions.dates import bucket_start, epoch_label
+from paylens.functions.dates import bucket_start, epoch_label, wall_clock
 from paylens.functions.numeric import money
 from paylens.operators import aggregates as agg
 from paylens.operators import dedup, windows
@@ -140,7 +140,7 @@ def w08(spark, sf):
     ),
 )
 def s16(spark, sf):
-    cut = F.lit("1999-06-30").cast("timestamp_ntz")
+    cut = wall_clock("1999-06-30")
     columns = ["transaction_id", "amount", "status", F.col("ingestion_timestamp").alias("loaded_at")]
     this = data.transactions(spark, sf).where(F.col("ingestion_timestamp") <= cut).select(*columns)
     source = data.transactions_raw(spark, sf).select(*columns)
