@@ -143,9 +143,17 @@ def redact(text: Column) -> Column:
 
 
 def destructive(text: Column) -> Column:
-    """Whether a text holds a statement that changes or removes data."""
+    """Whether a text holds a statement that changes or removes data.
+
+    The plain search comes first: most texts hold none of the words, and the pattern,
+    which asks for whole words, is slower by far.
+    """
+    upper = F.upper(text)
+    holds = F.lit(False)
+    for word in DESTRUCTIVE_WORDS:
+        holds = holds | F.contains(upper, F.lit(word))
     words = "|".join(DESTRUCTIVE_WORDS)
-    return F.upper(text).rlike(rf"(^|[^A-Z0-9_])({words})($|[^A-Z0-9_])")
+    return F.when(holds, upper.rlike(rf"(^|[^A-Z0-9_])({words})($|[^A-Z0-9_])")).when(text.isNotNull(), False)
 
 
 def guard_status(sql: Column, known_tables: Sequence[str]) -> Column:

@@ -167,9 +167,14 @@ def flag_failures(df: DataFrame, suite: Sequence[Check], reason: str = "_quarant
     return flagged.withColumn(reason, F.concat_ws("; ", *flags)).select(*df.columns, reason)
 
 
+def critical_reasons(df: DataFrame, suite: Sequence[Check]) -> DataFrame:
+    """Every row with its failed critical checks; written by reason, one pass feeds both sinks."""
+    return flag_failures(df, [c for c in suite if c.severity == "critical"])
+
+
 def quarantine_split(df: DataFrame, suite: Sequence[Check]) -> tuple[DataFrame, DataFrame]:
     """Rows that pass every critical check, and the rest with reasons."""
-    marked = flag_failures(df, [c for c in suite if c.severity == "critical"])
+    marked = critical_reasons(df, suite)
     clean = marked.where("_quarantine_reason = ''").drop("_quarantine_reason")
     return clean, marked.where("_quarantine_reason <> ''")
 

@@ -256,9 +256,8 @@ MARKED = {"marked": f"SELECT *, COUNT(*) OVER (PARTITION BY {KEY}) AS copies FRO
     with_views("txn_dirty", f"SELECT {REASON} AS reason, COUNT(*) AS rows, CAST(SUM(k) AS BIGINT) AS key_sum FROM marked GROUP BY 1", MARKED),
 )
 def q14(spark, sf):
-    clean, bad = quality.quarantine_split(data.transactions_dirty(spark, sf), SUITE)
-    both = clean.withColumn("reason", F.lit("")).unionByName(bad.withColumnRenamed("_quarantine_reason", "reason"))
-    return both.groupBy("reason").agg(row_count().alias("rows"), F.sum("k").alias("key_sum"))
+    marked = quality.critical_reasons(data.transactions_dirty(spark, sf), SUITE)
+    return marked.groupBy(F.col("_quarantine_reason").alias("reason")).agg(row_count().alias("rows"), F.sum("k").alias("key_sum"))
 
 
 FEED = """SELECT d.k, d.transaction_id, d.amount, d.transaction_date, CASE WHEN d.k % 2 = 0 THEN m.merchant_name END AS a,
