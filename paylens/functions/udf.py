@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 
@@ -16,3 +17,8 @@ def column_model(predict: Callable[[pd.Series], pd.Series], returns: str):
 
     call.__annotations__ = {"values": pd.Series, "return": pd.Series}
     return F.pandas_udf(call, returnType=returns)
+
+
+def register_model(spark: SparkSession, name: str, predict: Callable[[pd.Series], pd.Series], returns: str):
+    """Make a column model callable from SQL under ``name``."""
+    return spark.udf.register(name, column_model(predict, returns))

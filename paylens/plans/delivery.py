@@ -12,11 +12,13 @@ from paylens.operators.aggregates import row_count, mode_per_key
 from paylens.sources.warehouse import table
 
 
-def user_behaviour(orders: DataFrame) -> DataFrame:
-    """Per user: counts, averages, distinct outlets and the most frequent type.
+def user_behaviour(orders: DataFrame, ratings: DataFrame) -> DataFrame:
+    """Per user: counts, averages, distinct outlets, the most frequent type, the mean rating.
 
-    Grouped by user only; the mode comes from counts per (user, type), which are few.
+    ``ratings`` has at most one row per event. The mode comes from counts per
+    (user, type), which are few.
     """
+    orders = orders.join(ratings, "event_id", "left")
     rows = orders.withColumns(
         {"amount": money(F.col("value")), "outlet_id": F.get_json_object("props", "$.k").try_cast("long")}
     )
@@ -28,6 +30,7 @@ def user_behaviour(orders: DataFrame) -> DataFrame:
         F.round(F.avg(F.hour("ts")), 4).alias("avg_order_hour"),
         count_when(F.col("event_type") == "error").alias("cancelled_orders"),
         when_sum(F.col("event_type") == "signup", F.col("amount")).alias("total_discount"),
+        F.avg("rating").alias("avg_rating_given"),
     )
     mode = mode_per_key(orders, ["user_id"], "event_type").select("user_id", F.col("event_type").alias("preferred_type"))
     return per.join(mode, "user_id")

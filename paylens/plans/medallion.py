@@ -6,16 +6,21 @@ tables read Silver instead of recomputing it.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import datetime
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylens.functions.text import is_blank
+from paylens.functions.dates import strict_date
+from paylens.functions.numeric import to_amount
+from paylens.functions.text import is_blank, trim_strings
 from paylens.operators import aggregates
 from paylens.operators.dedup import latest_per_key
 from paylens.operators.joins import enrich
-from paylens.sources.writers import replace_partitions
+from paylens.sources.readers import read_csv_text, with_ingestion_metadata
+from paylens.sources.writers import replace_partitions, write_run_metadata
 
 HALT_SHARE = 0.05
 
@@ -46,6 +51,32 @@ def to_silver(bronze: DataFrame, merchants: DataFrame, order: list | None = None
     return enrich(latest_per_key(valid_rows(bronze), ["transaction_id"], order), merchants, "merchant_id")
 
 
+def ingest_bronze(spark: SparkSession, source: str, out: str, run_id: str, at: Column, period: Column | None = None) -> str:
+    """CSV to Bronze: every column as text, with load time, file and run, in folders by date.
+
+    ``period`` names another folder, such as the month when years are loaded at once.
+    Returns ``loaded``, or ``source_missing`` if there is nothing to read that day.
+    """
+    try:
+        rows = read_csv_text(spark, source)
+    except AnalysisException as problem:
+        if "PATH_NOT_FOUND" in str(problem.getCondition()):
+            return "source_missing"
+        raise
+    stamped = with_ingestion_metadata(rows, run_id, at)
+    folder = period if period is not None else strict_date(F.col("transaction_date")).cast("string")
+    replace_partitions(stamped.withColumn("date", F.coalesce(folder, F.lit("unknown"))), out, ["date"])
+    return "loaded"
+
+
+def typed(bronze: DataFrame) -> DataFrame:
+    """Bronze text to types; what does not parse becomes null and fails the rules below."""
+    trimmed = trim_strings(bronze)
+    return trimmed.withColumns(
+        {"amount": to_amount(F.col("amount")), "transaction_date": strict_date(F.col("transaction_date"))}
+    )
+
+
 def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:
     return {
         "merchant_performance": aggregates.merchant_performance(silver, daily=True),
@@ -84,6 +115,24 @@ def run(
     return StageCounts(seen["n"], seen["ok"], stored.count())
 
 
+def run_recorded(
+    spark: SparkSession, run_id: str, bronze: DataFrame | None, merchants: DataFrame, out: str, **options
+) -> str:
+    """``run`` with a JSON record below ``out``/runs whether it succeeds, fails or is skipped."""
+    facts = {"run_id": run_id, "status": "SKIPPED", "error": "", "rows_in": 0, "rows_valid": 0, "rows_out": 0}
+    facts["started"] = str(datetime.datetime.now(datetime.timezone.utc))
+    try:
+        if bronze is not None:
+            facts.update(asdict(run(spark, bronze, merchants, out, **options)), status="SUCCESS")
+    except Exception as problem:
+        facts.update(status="FAILED", error=str(problem)[:1000])
+        raise
+    finally:
+        facts["ended"] = str(datetime.datetime.now(datetime.timezone.utc))
+        write_run_metadata(spark, facts, f"{out}/runs/{run_id}")
+    return facts["status"]
+
+
 def write_periods(df: DataFrame, path: str, day: str, grain: str) -> None:
     if grain == "day":
         replace_partitions(df, path, [day])

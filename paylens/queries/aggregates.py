@@ -246,9 +246,13 @@ SELECT o.user_id, COUNT(o.event_id) AS total_orders, CAST(SUM(o.amount) AS DOUBL
        MAX(o.ts) AS last_order_at, COUNT(DISTINCT o.outlet_id) AS unique_outlets,
        ROUND(AVG(EXTRACT(HOUR FROM o.ts)), 4) AS avg_order_hour,
        COUNT(CASE WHEN o.event_type = 'error' THEN 1 END) AS cancelled_orders,
-       CAST(SUM(CASE WHEN o.event_type = 'signup' THEN o.amount ELSE 0 END) AS DOUBLE) AS total_discount
+       CAST(SUM(CASE WHEN o.event_type = 'signup' THEN o.amount ELSE 0 END) AS DOUBLE) AS total_discount, AVG(r.quality * 4 + 1) AS avg_rating_given
 FROM (SELECT *, CAST(value AS DECIMAL(18,2)) AS amount, CAST(json_extract_string(props, '$.k') AS BIGINT) AS outlet_id
-      FROM events) o GROUP BY 1"""
+      FROM events) o LEFT JOIN labels r ON r.doc_id = o.event_id GROUP BY 1"""
+
+
+PREFERRED = """SELECT user_id, event_type FROM (SELECT user_id, event_type, ROW_NUMBER() OVER
+   (PARTITION BY user_id ORDER BY COUNT(*) DESC, event_type) AS rn FROM events GROUP BY 1, 2) WHERE rn = 1"""
 
 
 @query(
@@ -258,15 +262,19 @@ FROM (SELECT *, CAST(value AS DECIMAL(18,2)) AS amount, CAST(json_extract_string
         """SELECT b.*, p.event_type AS preferred_type FROM b JOIN p ON p.user_id = b.user_id""",
         {
             "b": BEHAVIOUR,
-            "p": """SELECT user_id, event_type FROM (SELECT user_id, event_type, ROW_NUMBER() OVER
-                 (PARTITION BY user_id ORDER BY COUNT(*) DESC, event_type) AS rn FROM events GROUP BY 1, 2) WHERE rn = 1""",
+            "p": PREFERRED,
         },
     ),
 )
 def a15(spark, sf):
     from paylens.plans.delivery import user_behaviour
 
-    return user_behaviour(data.table(spark, sf, "events"))
+    return user_behaviour(data.table(spark, sf, "events"), ratings(spark, sf))
+
+
+def ratings(spark, sf):
+    """The labels as ratings of the events of the same number."""
+    return data.table(spark, sf, "labels").select(F.col("doc_id").alias("event_id"), (F.col("quality") * 4 + 1).alias("rating"))
 
 
 @query(

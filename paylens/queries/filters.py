@@ -10,9 +10,10 @@ from paylens.functions.text import is_blank
 from paylens.operators import aggregates as agg
 from paylens.operators.aggregates import is_completed, row_count, the_amount
 from paylens.operators.privacy import guard_status
-from paylens.plans import payments
+from paylens.plans import delivery, payments
 from paylens.plans.medallion import valid_rows
 from paylens.queries import data
+from paylens.queries.aggregates import BEHAVIOUR, PREFERRED, ratings
 from paylens.queries.registry import query
 from paylens.queries.sqlbase import AS_OF, REVENUE, with_views
 
@@ -133,6 +134,20 @@ def f10(spark, sf):
     return payments.customer_dimension(people, data.as_of()).withColumn("customer_id", F.col("customer_id").cast("long"))
 
 
+@query(
+    "f10b_user_dimension",
+    f"""WITH b AS ({BEHAVIOUR}), p AS ({PREFERRED}), seen AS (SELECT o_custkey, CAST(MIN(o_orderdate) AS DATE) AS d FROM orders GROUP BY 1)
+        SELECT c_custkey AS user_id, CAST(DATE_DIFF('day', d, {AS_OF}) AS INTEGER) AS account_age_days, CAST(DATE_DIFF('year', d, {AS_OF}) AS INTEGER) AS age_approx,
+        total_orders, avg_order_value, avg_order_hour, cancelled_orders, event_type AS most_used, sha256(c_name) AS email_hash
+        FROM customer LEFT JOIN seen ON o_custkey = c_custkey LEFT JOIN b ON b.user_id = c_custkey LEFT JOIN p ON p.user_id = c_custkey""",
+)
+def f10b(spark, sf):
+    first = data.table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("user_id")).agg(F.min("o_orderdate").cast("date").alias("signup_date"))
+    people = data.table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("customer_name"))
+    behaviour = delivery.user_behaviour(data.table(spark, sf, "events"), ratings(spark, sf))
+    return delivery.users(people, behaviour, first, data.as_of())
+
+
 @query(
     "f11_typed_projection",
     with_views(

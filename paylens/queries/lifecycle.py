@@ -7,6 +7,7 @@ import datetime
 import pandas as pd
 from pyspark.sql import functions as F
 
+from paylens.functions.dates import wall_clock
 from paylens.functions.numeric import count_when, pct
 from paylens.functions.udf import column_model
 from paylens.operators import aggregates as agg
@@ -15,7 +16,7 @@ from paylens.operators.aggregates import is_completed, is_failed, row_count, the
 from paylens.operators.contracts import ModelTest
 from paylens.plans import payments, replay
 from paylens.plans.build import Model, build
-from paylens.plans.medallion import run
+from paylens.plans.medallion import ingest_bronze, run, to_silver, typed
 from paylens.plans.metrics import metric
 from paylens.queries import data
 from paylens.queries.aggregates import GAP, RATE, SLA, _halves, sla_contracts
@@ -169,6 +170,32 @@ def x05b(spark, sf):
     )
 
 
+@query(
+    "x05c_csv_to_gold",
+    with_views(
+        "txn_dirty dim_merchant",
+        r"""SELECT b.payment_method, COUNT(*) AS rows, COUNT(transaction_date) AS dated, CAST(SUM(CASE WHEN status = 'COMPLETED' THEN amount ELSE 0 END) AS DOUBLE) AS revenue,
+           COUNT(m.merchant_id) AS matched FROM (SELECT * FROM (SELECT transaction_id, TRY_CAST(trim(amount) AS DECIMAL(18,2)) AS amount, trim(status) AS status, merchant_id,
+             payment_method, CASE WHEN regexp_matches(transaction_date, '^\d{4}-\d{2}-\d{2}$') THEN TRY_CAST(transaction_date AS DATE) END AS transaction_date,
+             ROW_NUMBER() OVER (PARTITION BY transaction_id ORDER BY ingestion_timestamp DESC, TRY_CAST(trim(amount) AS DECIMAL(18,2)), trim(status), merchant_id) AS rn
+             FROM txn_dirty WHERE trim(transaction_id) <> '' AND TRY_CAST(trim(amount) AS DECIMAL(18,2)) >= 0) WHERE rn = 1) b
+           LEFT JOIN dim_merchant m ON m.merchant_id = b.merchant_id GROUP BY 1""",
+    ),
+)
+def x05c(spark, sf):
+    """A damaged CSV feed, ingested as text, typed, cleaned and summed up."""
+    path = scratch_path(spark, "csv-feed")
+    feed = data.transactions_dirty(spark, sf).withColumnRenamed("ingestion_timestamp", "arrived_at")
+    feed.withColumn("arrived_at", F.date_format("arrived_at", "yyyy-MM-dd HH:mm:ss")).write.option("header", True).csv(f"{path}/in")
+    ingest_bronze(spark, f"{path}/in", f"{path}/bronze", "run-1", wall_clock("2024-01-31 02:00:00"), F.substring("arrived_at", 1, 7))
+    order = [F.desc("arrived_at"), F.asc("amount"), F.asc("status"), F.asc("merchant_id")]
+    silver = to_silver(typed(spark.read.parquet(f"{path}/bronze")), data.merchants(spark, sf), order)
+    return silver.groupBy("payment_method").agg(
+        row_count().alias("rows"), F.count("transaction_date").alias("dated"), agg.when_sum(is_completed(), the_amount()).alias("revenue"),
+        count_when(F.col("quality_flag") == "CLEAN").alias("matched"),
+    )
+
+
 HEALTH = f"""SELECT CAST(DATE_DIFF('day', MAX(transaction_date), {AS_OF}) * 24 AS DOUBLE) AS freshness_hours,
    CAST(100 AS DOUBLE) * COUNT(CASE WHEN quality_flag = 'CLEAN' THEN 1 END) / COUNT(*) AS quality_pct,
    CAST(COUNT(*) AS DOUBLE) / COUNT(DISTINCT transaction_date) AS rows_per_day FROM silver"""

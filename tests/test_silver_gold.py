@@ -135,3 +135,31 @@ def test_segments_and_tiers(spark):
     got = {r["v"]: (r["s"], r["t"]) for r in df.select("v", spend_segment(F.col("v")).alias("s"), merchant_tier(F.col("v")).alias("t")).collect()}
     assert [got[v][0] for v in (199.0, 200.0, 1000.0, 5000.0, 5000.01)] == ["Low", "Mid", "High", "High", "VIP"]
     assert [got[v][1] for v in (5000.0, 100000.0, 500000.0, 1000000.0)] == ["BRONZE", "SILVER", "GOLD", "PLATINUM"]
+
+
+def test_staging_models(spark):
+    from paylens.plans.staging import STAGING, staging_model
+
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    for name, (source, key, columns) in STAGING.items():
+        names = columns.split()
+        full = spark.createDataFrame([tuple("1" for _ in names) + ("x",), tuple(None if n == key else "1" for n in names) + ("x",)], [*names, "extra"])
+        out = staging_model(name, {source: full}, at)
+        assert out.columns == [*names, "_loaded_at"]
+        assert out.count() == (1 if key else 2), name
+
+
+def test_recorded_runs(spark, merchants):
+    out = scratch_path(spark, "recorded")
+    good = spark.createDataFrame([row("a", 1)], SCHEMA)
+    assert medallion.run_recorded(spark, "r1", good, merchants, out) == "SUCCESS"
+    assert medallion.run_recorded(spark, "r2", None, merchants, out) == "SKIPPED"
+    with pytest.raises(medallion.QualityHalt):
+        medallion.run_recorded(spark, "r3", spark.createDataFrame([row(None, 1)], SCHEMA), merchants, out)
+    got = {r["run_id"]: (r["status"], r["rows_out"]) for r in spark.read.json(f"{out}/runs/*").collect()}
+    assert got == {"r1": ("SUCCESS", 1), "r2": ("SKIPPED", 0), "r3": ("FAILED", 0)}
+
+
+def test_missing_csv_skips_the_day(spark):
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    assert medallion.ingest_bronze(spark, scratch_path(spark, "absent"), scratch_path(spark, "bronze"), "r", at) == "source_missing"
