@@ -321,15 +321,16 @@ def fee_analysis(txn: DataFrame) -> DataFrame:
 def attribution(txn: DataFrame, promotions: DataFrame) -> DataFrame:
     """Revenue, discount cost and return per channel.
 
-    Spend is summed per customer before the join: a customer with several promotions
-    counts once for each, but a busy customer is one row. ``promotions`` has promo_id,
-    customer_id, channel and discount_pct.
+    Both sides are summed per customer before the join: a customer with several
+    promotions counts once for each, but is one row per channel however busy.
+    ``promotions`` has promo_id, customer_id, channel and discount_pct.
     """
     spend = txn.where(is_completed()).groupBy("customer_id").agg(F.sum(the_amount()).alias("spend"))
-    joined = promotions.join(spend, "customer_id")
-    cost = F.col("spend").cast("double") * F.col("discount_pct") / 100.0
+    offers = promotions.groupBy("customer_id", "channel").agg(row_count().alias("n"), F.sum("discount_pct").alias("discounts"))
+    joined = offers.join(spend, "customer_id")
+    cost = F.col("spend").cast("double") * F.col("discounts") / 100.0
     per = joined.groupBy("channel").agg(
-        total(F.col("spend")).alias("revenue"),
+        total(F.col("spend") * F.col("n")).alias("revenue"),
         F.count_distinct("customer_id").alias("customers"),
         F.round(F.sum(cost), 2).alias("discount_cost"),
     )

@@ -49,14 +49,17 @@ def excess_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def flag_duplicates(df: DataFrame, key: Column, flag: str = "is_duplicate") -> DataFrame:
     """Mark every copy of a repeated key, rows without a key being one group.
 
-    The repeated keys are counted first and joined back; a hot key then lies on the
-    probe side of a left join, which adaptive execution splits, where a window would
-    have put the whole group into one task. The group of rows without a key never
+    The repeated keys are counted first and joined back by a shuffle of their own; a hot
+    key then lies on the probe side of a left join, which adaptive execution splits,
+    where a window would have put the whole group into one task. The group of rows without a key never
     enters the join: one scalar tells whether there are at least two of them.
     """
+    from paylens.operators.joins import splittable
+
     keyed = df.withColumn("_dup_key", key)
     counts = keyed.groupBy("_dup_key").agg(F.count(F.lit(1)).alias("_copies"))
     repeated = counts.where("_copies > 1 AND _dup_key IS NOT NULL").select("_dup_key", F.lit(True).alias("_rep"))
+    repeated = splittable(repeated, "_dup_key")
     missing = keyed.where("_dup_key IS NULL").agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
     return (
         keyed.join(repeated, "_dup_key", "left")

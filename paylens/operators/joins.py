@@ -3,7 +3,8 @@
 No side carries a broadcast hint by default: Spark broadcasts a side whose size it
 has proven to lie under ``spark.sql.autoBroadcastJoinThreshold``, at planning time
 from file sizes or at run time from shuffle sizes, and otherwise shuffles and splits
-skewed partitions.
+skewed partitions. It splits only where both sides arrive by a plain shuffle; see
+``splittable`` for a side that would not.
 """
 
 from __future__ import annotations
@@ -13,6 +14,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+def splittable(side: DataFrame, key: str) -> DataFrame:
+    """Give the unique side of a join a shuffle of its own.
+
+    A side grouped by the join key is already partitioned by it, and Spark joins it where
+    it lies; a hot key of the other side then stays in one task. Under an equal but new
+    expression of the key the side is shuffled once more, which is cheap as its keys are
+    unique, and adaptive execution can split the hot side.
+    """
+    same = F.concat(F.col(key), F.lit("")) if dict(side.dtypes)[key] == "string" else F.col(key) + F.lit(0)
+    return side.withColumn(key, same.cast(side.schema[key].dataType))
+
+
 def enrich(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Left join that keeps unmatched facts and flags them.
 

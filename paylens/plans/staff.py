@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from paylens.functions.dates import years_between
 from paylens.functions.masking import hash_id
 from paylens.functions.numeric import count_when, money
-from paylens.operators.joins import latest_child
+from paylens.operators.joins import latest_child, splittable
 from paylens.sources.warehouse import table
 
 
@@ -85,6 +85,11 @@ def monthly_payroll(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def payroll_ledger(payroll: DataFrame, people: DataFrame, pay_bands: DataFrame) -> DataFrame:
-    """Pay rows with the employee (inner) and the pay band (left)."""
+    """Pay rows with the employee (inner) and the pay band (left).
+
+    Both are one row per employee and joined with each other first: one join with the
+    many pay rows remains, and a hot employee can be split in it.
+    """
     who = people.select("emp_id", "department_id", "work_location", "employment_type")
-    return payroll.join(who, "emp_id").join(pay_bands.select("emp_id", "grade_band"), "emp_id", "left")
+    known = who.join(pay_bands.select("emp_id", "grade_band"), "emp_id", "left")
+    return payroll.join(splittable(known, "emp_id"), "emp_id")
