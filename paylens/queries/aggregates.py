@@ -180,7 +180,7 @@ def a10(spark, sf):
         "gmv",
         f"""SELECT merchant_id, merchant_name, category, SUM(CAST(gmv AS DECIMAL(18,2)))::DOUBLE AS gmv_30d,
             CAST(SUM(transaction_count) AS BIGINT) AS transactions_30d,
-            ROUND(AVG(failure_rate_pct), 4) AS avg_failure_rate_pct, MAX(transaction_date) AS last_transaction_date,
+            CAST(SUM(CAST(failure_rate_pct AS DECIMAL(18,2))) AS DOUBLE) / COUNT(failure_rate_pct) AS avg_failure_rate_pct, MAX(transaction_date) AS last_transaction_date,
             CASE WHEN SUM(CAST(gmv AS DECIMAL(18,2))) >= 1000000 THEN 'PLATINUM'
                  WHEN SUM(CAST(gmv AS DECIMAL(18,2))) >= 500000 THEN 'GOLD'
                  WHEN SUM(CAST(gmv AS DECIMAL(18,2))) >= 100000 THEN 'SILVER' ELSE 'BRONZE' END AS merchant_tier
@@ -201,7 +201,7 @@ def a11(spark, sf):
         """SELECT transaction_date, SUM(CAST(gmv AS DECIMAL(18,2)))::DOUBLE AS total_gmv,
            CAST(SUM(transaction_count) AS BIGINT) AS total_transactions, COUNT(DISTINCT merchant_id) AS active_merchants,
            SUM(CAST(failed_amount AS DECIMAL(18,2)))::DOUBLE AS total_failed,
-           ROUND(AVG(failure_rate_pct), 2) AS avg_failure_rate_pct FROM gmv GROUP BY 1""",
+           ROUND(CAST(SUM(CAST(failure_rate_pct AS DECIMAL(18,2))) AS DOUBLE) / COUNT(failure_rate_pct), 2) AS avg_failure_rate_pct FROM gmv GROUP BY 1""",
     ),
 )
 def a12(spark, sf):
@@ -615,8 +615,8 @@ def a35(spark, sf):
     "a36_golden_metrics",
     with_views(
         "silver",
-        """SELECT COUNT(DISTINCT merchant_id) AS total_merchants, ROUND(SUM(total_revenue), 2) AS total_revenue,
-           ROUND(AVG(failure_rate_pct), 2) AS avg_failure_rate, MAX(failure_rate_pct) AS max_failure_rate,
+        """SELECT COUNT(DISTINCT merchant_id) AS total_merchants, CAST(SUM(CAST(total_revenue AS DECIMAL(28,2))) AS DOUBLE) AS total_revenue,
+           ROUND(CAST(SUM(CAST(failure_rate_pct AS DECIMAL(18,2))) AS DOUBLE) / COUNT(failure_rate_pct), 2) AS avg_failure_rate, MAX(failure_rate_pct) AS max_failure_rate,
            (SELECT merchant_name FROM perf ORDER BY failure_rate_pct DESC, merchant_name LIMIT 1) AS merchant_max_fail
            FROM perf""",
         {

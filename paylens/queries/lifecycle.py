@@ -123,7 +123,7 @@ def x04c(spark, sf):
         """SELECT m.merchant_id, m.merchant_name, m.category, m.city, COALESCE(p.merchant_tier, 'BRONZE') AS current_tier, COALESCE(p.gmv_30d, 0) AS gmv_30d,
            COALESCE(p.avg_failure_rate_pct, 0) AS failure_rate_30d_pct FROM dim_merchant m LEFT JOIN perf p ON p.merchant_id = m.merchant_id""",
         {
-            "perf": f"""SELECT merchant_id, SUM(CAST(gmv AS DECIMAL(18,2)))::DOUBLE AS gmv_30d, ROUND(AVG(failure_rate_pct), 4) AS avg_failure_rate_pct,
+            "perf": f"""SELECT merchant_id, SUM(CAST(gmv AS DECIMAL(18,2)))::DOUBLE AS gmv_30d, CAST(SUM(CAST(failure_rate_pct AS DECIMAL(18,2))) AS DOUBLE) / COUNT(failure_rate_pct) AS avg_failure_rate_pct,
                 CASE WHEN SUM(CAST(gmv AS DECIMAL(18,2))) >= 1000000 THEN 'PLATINUM' WHEN SUM(CAST(gmv AS DECIMAL(18,2))) >= 500000 THEN 'GOLD'
                  WHEN SUM(CAST(gmv AS DECIMAL(18,2))) >= 100000 THEN 'SILVER' ELSE 'BRONZE' END AS merchant_tier
                 FROM gmv WHERE transaction_date >= {AS_OF} - INTERVAL 30 DAY GROUP BY 1"""
