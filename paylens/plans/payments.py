@@ -69,6 +69,12 @@ def incremental(source: DataFrame, this: DataFrame, key: str, loaded_at: str) ->
 
 
 def insert_only(source: DataFrame, target: DataFrame, key: str, order: list[Column]) -> DataFrame:
-    """Rows of source to append: one per key, keys already in target left out."""
-    fresh = latest_per_key(source.where(~is_blank(F.col(key).cast("string"))), [key], order)
-    return fresh.join(target.select(key), key, "left_anti")
+    """Rows of source to append: one per key, keys already in target left out.
+
+    The target's keys are first cut down to those the source has. A batch is small beside
+    its target, so Spark broadcasts the batch's keys and then the few keys met, and the
+    target is scanned but not shuffled. A large batch is joined by shuffles as usual.
+    """
+    named = source.where(~is_blank(F.col(key).cast("string")))
+    met = target.select(key).join(named.select(key), key, "left_semi")
+    return latest_per_key(named, [key], order).join(met, key, "left_anti")

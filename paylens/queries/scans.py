@@ -80,26 +80,27 @@ def s04(spark, sf):
     )
 
 
-PER_FILE = 50
+PER_FILE = 10_000
 
 
 @query(
     "s05_json_batches",
-    f"""SELECT (SELECT COUNT(*) FROM supplier WHERE (s_suppkey // {PER_FILE}) % 7 <> 1) AS records,
-        (SELECT CAST(SUM(s_suppkey) AS BIGINT) FROM supplier WHERE (s_suppkey // {PER_FILE}) % 7 <> 1) AS key_sum,
-        (SELECT COUNT(DISTINCT s_suppkey // {PER_FILE}) FROM supplier WHERE (s_suppkey // {PER_FILE}) % 7 = 1) AS broken_files""",
+    f"""SELECT (SELECT COUNT(*) FROM customer) AS records, (SELECT CAST(SUM(c_custkey) AS BIGINT) FROM customer) AS key_sum,
+        (SELECT COUNT(DISTINCT c_custkey // {PER_FILE}) FROM customer WHERE (c_custkey // {PER_FILE}) % 7 = 0) AS broken_files""",
 )
 def s05(spark, sf):
-    """Arrays of at most 50 records per file, some files cut off in the middle."""
+    """Arrays of a bounded number of records per file; some files come again, cut off at the end."""
     path = scratch_path(spark, "json-batches")
-    rows = data.table(spark, sf, "supplier")
-    chunk = F.floor(F.col("s_suppkey") / PER_FILE)
-    arrays = rows.groupBy(chunk.alias("chunk")).agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value"))
-    cut = F.when(F.col("chunk") % 7 == 1, F.substring("value", 1, 200)).otherwise(F.col("value"))
-    arrays.withColumn("value", cut).write.partitionBy("chunk").text(path)
+    rows = data.table(spark, sf, "customer")
+    chunk = F.floor(F.col("c_custkey") / PER_FILE)
+    arrays = rows.groupBy(chunk.alias("chunk")).agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("text"))
+    whole = F.struct(F.lit("whole").alias("state"), F.col("text").alias("value"))
+    cut = F.struct(F.lit("cut").alias("state"), F.expr("left(text, length(text) - 5)").alias("value"))
+    files = arrays.select("chunk", F.inline(F.array_compact(F.array(whole, F.when(F.col("chunk") % 7 == 0, cut)))))
+    files.write.partitionBy("chunk", "state").text(path)
     good, broken = readers.read_json_batches(spark, path, rows.schema)
     n_broken = broken.agg(row_count().alias("n")).scalar()
-    return good.agg(row_count().alias("records"), F.sum("s_suppkey").alias("key_sum")).withColumn("broken_files", n_broken)
+    return good.agg(row_count().alias("records"), F.sum("c_custkey").alias("key_sum")).withColumn("broken_files", n_broken)
 
 
 @query(
