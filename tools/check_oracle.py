@@ -25,7 +25,7 @@ def normal(df: pd.DataFrame) -> pd.DataFrame:
     for c in df.columns:
         s = df[c]
         if str(s.dtype).startswith("datetime64"):
-            df[c] = s.astype("datetime64[us]").astype(str)
+            df[c] = s.astype("datetime64[us]").astype(str).replace("NaT", "<null>")
         elif s.dtype == object or str(s.dtype) in ("str", "string"):
             df[c] = s.map(lambda v: "<null>" if v is None or v is pd.NaT or (isinstance(v, float) and np.isnan(v)) else str(v))
         elif str(s.dtype).startswith("float"):
