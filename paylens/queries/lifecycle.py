@@ -28,18 +28,22 @@ from paylens.queries.streams import REASON
 from paylens.session import scratch_path, written
 
 
-def text_band(texts: pd.Series) -> pd.Series:
-    """Stand-in for a user's model: a label from the number of words."""
-    words = texts.str.count(" ") + 1
-    return pd.cut(words, [0, 50, 300, float("inf")], labels=["short", "medium", "long"]).astype(str)
-
-
 @query(
     "x01_user_model",
     """SELECT lang, CASE WHEN w <= 50 THEN 'short' WHEN w <= 300 THEN 'medium' ELSE 'long' END AS label, COUNT(*) AS docs
        FROM (SELECT lang, length(text) - length(replace(text, ' ', '')) + 1 AS w FROM documents) GROUP BY 1, 2""",
 )
 def x01(spark, sf):
+    """A stand-in for a user's model: a label from the number of words.
+
+    A function inside a function travels to the workers by value, so they need no copy
+    of this package.
+    """
+
+    def text_band(texts: pd.Series) -> pd.Series:
+        words = texts.str.count(" ") + 1
+        return pd.cut(words, [0, 50, 300, float("inf")], labels=["short", "medium", "long"]).astype(str)
+
     label = column_model(text_band, "string")
     return data.table(spark, sf, "documents", "doc_id").select("lang", label("text").alias("label")).groupBy("lang", "label").agg(row_count().alias("docs"))
 

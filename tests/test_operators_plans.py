@@ -155,6 +155,17 @@ def test_entry_module_loads_without_a_session():
     subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True)
 
 
+def test_workers_need_no_package_on_their_path(tmp_path, sf):
+    """Run from another folder, the way a driver program elsewhere would."""
+    code = (
+        f"import sys; sys.path.insert(0, {ROOT!r}); import __spark_entry__ as e\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        f"assert e.queries()['x01_user_model'](spark, {sf!r}).count() > 0 and e.entry(spark).count() > 0"
+    )
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True)
+
+
 SAMPLE = [
     "a03_merchant_performance", "a05_customer_ltv", "j07_latest_child", "j16_source_target_hours", "w04_rolling_loss", "q01_profile", "q12_suite_run",
     "q14_quarantine_split", "p01_detect_columns", "p09_classify_rows", "s14_insert_only_merge", "u04_except_rows", "x02_metric_registry", "e09_boundary_differences",
