@@ -18,9 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 from collections.abc import Iterator
-from itertools import chain
 
 import duckdb
 import numpy as np
@@ -28,20 +26,16 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from paylens.llm.common import ship, slices
+from paylens.llm.pieces import LONG_PIECE, PieceCoder, all_words
 
-#: Finished words a worker may keep; beyond it the memo starts anew.
-MEMO = 1_200_000
 #: Words above this many bytes go to the query that contracts all places of a pair at once.
 LONG_WORD = 64
 #: Symbols in one recursive query.
 ROWS = 400_000
 
-# A space beside other white space, or at the end, does not start a word of its own.
-_UNSAFE = re.compile(r" (?:(?=\s|\Z)|(?<=\s ))")
-
 _SHORT = """
 WITH RECURSIVE step(w, toks) AS (
   SELECT w, list(tok ORDER BY pos) FROM symbols GROUP BY w
@@ -110,15 +104,13 @@ class Vocabulary:
         })
 
 
-class Coder:
+class Coder(PieceCoder):
     """Encoder and decoder of one Python worker."""
 
     def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
         self.ranks, self.findall = vocabulary.ranks, regex.compile(vocabulary.pattern).findall
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        #: Ids of pieces at the start of a text, and of pieces after a space, which their keys leave out.
-        self.first: dict[str, bytes] = {}
-        self.rest: dict[str, bytes] = {}
         self.sql = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
         self.load("merges", vocabulary.merges())
         self.load("vocabulary", vocabulary.strings())
@@ -165,40 +157,27 @@ class Coder:
                 held += size
         return out
 
-    def learn(self, memo: dict[str, bytes], lead: str, pieces: set[str]) -> None:
-        """Add pieces of text that stand between two word borders to a memo, and their words."""
-        found = {piece: self.findall(lead + piece) for piece in pieces}
-        ids: dict[str, bytes] = {}
-        for word in set(chain.from_iterable(found.values())):
-            known = self.rest.get(word[1:]) if word[0] == " " else self.first.get(word)
-            if known is not None:
-                ids[word] = known
-        ids |= (new := self.spell(set(chain.from_iterable(found.values())) - ids.keys()))
-        for word, spelled in new.items():
-            if word[0] == " ":
-                self.rest[word[1:]] = spelled
-            else:
-                self.first[word] = spelled
-        for piece, words in found.items():
-            memo[piece] = ids[words[0]] if len(words) == 1 else b"".join([ids[w] for w in words])
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each text.
-
-        A single space between two other characters always starts a word, so a text may
-        be cut there before the pattern is applied; a text with any other space is not cut.
-        """
-        if len(self.first) + len(self.rest) > MEMO:
-            self.first.clear()
-            self.rest.clear()
-        cut = [[t] if _UNSAFE.search(t) else t.split(" ") for t in (t or "" for t in texts)]
-        found = [[self.first.get(c[0]), *map(self.rest.get, c[1:])] for c in cut]
-        gaps = [(t, i) for t, ids in enumerate(found) if None in ids for i, x in enumerate(ids) if x is None]
-        self.learn(self.first, "", {cut[t][0] for t, i in gaps if i == 0})
-        self.learn(self.rest, " ", {cut[t][i] for t, i in gaps if i > 0})
-        for t, i in gaps:
-            found[t][i] = (self.rest if i else self.first)[cut[t][i]]
-        return [np.frombuffer(b"".join(ids), "<i4") for ids in found]
+    def words(self, text: str) -> list[str]:
+        return self.findall(text)
+
+    def learn(self, first: set[str], rest: set[str]) -> None:
+        for memo, lead, pieces in ((self.first, "", first), (self.rest, " ", rest)):
+            found = {piece: self.findall(lead + piece) for piece in pieces}
+            words = all_words(found)
+            ids = {}
+            for word in words:
+                known = self.rest.get(word[1:]) if word[0] == " " else self.first.get(word)
+                if known is not None:
+                    ids[word] = known
+            ids |= (new := self.spell(words - ids.keys()))
+            for word, spelled in new.items():
+                if len(word) <= LONG_PIECE:
+                    if word[0] == " ":
+                        self.rest[word[1:]] = spelled
+                    else:
+                        self.first[word] = spelled
+            for piece, parts in found.items():
+                memo[piece] = ids[parts[0]] if len(parts) == 1 else b"".join([ids[w] for w in parts])
 
     def decode(self, texts: list[np.ndarray]) -> list[bytes]:
         """Bytes of each list of ids, by an ordered aggregation."""
@@ -236,14 +215,15 @@ class _Shared:
         return self.handle.value
 
 
-def _run(docs: DataFrame, id_col: str, value_col: str, fields: str, vocabulary: Vocabulary, work) -> DataFrame:
+_SIZE = StructField("n_tokens", LongType())
+
+
+def _run(docs: DataFrame, id_col: str, value_col: str, fields: list[StructField], vocabulary: Vocabulary, work) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     shared = _Shared(spark, vocabulary)
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(value_col).alias("value"))
-    schema = StructType().add("doc_id", own.schema["doc_id"].dataType)
-    for name, kind in (f.split() for f in fields.split(",")):
-        schema = schema.add(name, kind if kind != "ids" else "array<int>")
+    schema = StructType([own.schema["doc_id"], *fields])
 
     def batches(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(shared)
@@ -278,12 +258,12 @@ def _digests(coder: Coder, texts: pa.Array):
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens, ids``: the ids of every text."""
-    return _run(docs, id_col, text_col, "n_tokens bigint,ids ids", vocabulary, _encoded)
+    return _run(docs, id_col, text_col, [_SIZE, StructField("ids", ArrayType(IntegerType()))], vocabulary, _encoded)
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """``doc_id, content``: the bytes that lists of ids stand for; null counts as no ids."""
-    return _run(encoded, id_col, ids_col, "content binary", vocabulary, _decoded)
+    return _run(encoded, id_col, ids_col, [StructField("content", BinaryType())], vocabulary, _decoded)
 
 
 def round_trip(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -293,4 +273,5 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id",
     ``decoded_sha256`` (decoded bytes). Both steps run in one pass, so neither ids nor
     bytes leave the worker.
     """
-    return _run(docs, id_col, text_col, "n_tokens bigint,ids_sha256 string,decoded_sha256 string", vocabulary, _digests)
+    fields = [_SIZE, StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType())]
+    return _run(docs, id_col, text_col, fields, vocabulary, _digests)
