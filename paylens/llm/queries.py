@@ -5,9 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from paylens.llm import bpe
+from paylens.llm import bpe, tokenfile
 from paylens.llm.common import table
 from paylens.llm.registry import REGISTRY, query
+from paylens.session import scratch_path
 
 
 def load() -> dict:
@@ -18,3 +19,11 @@ def load() -> dict:
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.Vocabulary.read(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary)
+
+
+@query("op9_token_file")
+def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as spec:
+        path = scratch_path(spark, "tokens")
+        tokenfile.write_tokens(table(spark, sf_dir, "documents"), spec.read(), path, end_id=0)
+    return tokenfile.read_checksums(spark, path)
