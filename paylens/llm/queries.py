@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from paylens.llm import bpe, tokenfile
+from paylens.llm import bpe, phrase_index, tokenfile
 from paylens.llm.common import table
 from paylens.llm.registry import REGISTRY, query
 from paylens.session import scratch_path
@@ -27,3 +28,12 @@ def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_path(spark, "tokens")
         tokenfile.write_tokens(table(spark, sf_dir, "documents"), spec.read(), path, end_id=0)
     return tokenfile.read_checksums(spark, path)
+
+
+@query("op3_decontamination")
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrase_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
