@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylens.llm import bpe, phrase_index, simhash, tokenfile
+from paylens.llm import bpe, phrase_index, quality_rules, simhash, tokenfile
 from paylens.llm.common import table
 from paylens.llm.registry import REGISTRY, query
 from paylens.session import scratch_path
@@ -43,3 +43,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, distance=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op8_quality_rules")
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return found.select("doc_id", *[f"counts.{c}" for c in counts], "base_failed", "kept")
