@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylens.llm import bpe, phrase_index, quality_rules, simhash, tokenfile
+from paylens.llm import bpe, license_scan, phrase_index, quality_rules, simhash, tokenfile
 from paylens.llm.common import table
 from paylens.llm.registry import REGISTRY, query
 from paylens.session import scratch_path
@@ -50,3 +50,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return found.select("doc_id", *[f"counts.{c}" for c in counts], "base_failed", "kept")
+
+
+@query("op5_license_scan")
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"), "score",
+    )
