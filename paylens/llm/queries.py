@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylens.llm import bpe, license_scan, phrase_index, quality_rules, simhash, tokenfile
+from paylens.llm import bpe, license_scan, phrase_index, quality_rules, secret_scan, simhash, tokenfile
 from paylens.llm.common import table
 from paylens.llm.registry import REGISTRY, query
 from paylens.session import scratch_path
@@ -59,3 +59,15 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"),
         F.array_join("labels", ",").alias("labels"), "score",
     )
+
+
+@query("op10_secret_scan")
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+
+    def written_out(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("spans", lambda s: s["kind"] != "crf")
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    return found.select("doc_id", *counts, F.sha2(written_out(base), 256).alias("base_sha256"), written_out(F.col("spans")).alias("spans"))
