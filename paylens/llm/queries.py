@@ -68,6 +68,9 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     def written_out(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
+    def of_kind(kind):
+        return F.filter("spans", lambda s: s["kind"] == kind)
+
     base = F.filter("spans", lambda s: s["kind"] != "crf")
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    counts = [F.size(of_kind(kind)).cast("long").alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
     return found.select("doc_id", *counts, F.sha2(written_out(base), 256).alias("base_sha256"), written_out(F.col("spans")).alias("spans"))
