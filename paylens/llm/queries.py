@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylens.llm import bpe, license_scan, phrase_index, quality_rules, secret_scan, simhash, tokenfile
+from paylens.llm import bpe, license_scan, phrase_index, quality_rules, secret_scan, simhash, tokenfile, url_filter
 from paylens.llm.common import table
 from paylens.llm.registry import REGISTRY, query
 from paylens.session import scratch_path
@@ -74,3 +74,28 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"] != "crf")
     counts = [F.size(of_kind(kind)).cast("long").alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
     return found.select("doc_id", *counts, F.sha2(written_out(base), 256).alias("base_sha256"), written_out(F.col("spans")).alias("spans"))
+
+
+_URL_SQL = r"""
+WITH parts AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+hosts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path
+  FROM parts),
+rules(verdict, h, p) AS (
+  VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'),
+         ('block', 'com', '/de/')),
+fits AS (
+  SELECT page_id, host, path, h || p AS rule, verdict,
+         row_number() OVER (PARTITION BY page_id ORDER BY length(h || p) DESC NULLS LAST, length(h) DESC) AS n
+  FROM hosts LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p))
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN regexp_matches(
+    host, '(^|\.)(adult-x|casino-win|cheap-pills|free-bets|spam-farm)\.example\.(com|net|org)$') THEN 'block' ELSE 'allow' END) AS verdict
+FROM fits WHERE n = 1
+"""
+
+
+@query("op7_url_filter", _URL_SQL)
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
