@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylens.llm import bpe, license_scan, phrase_index, quality_rules, secret_scan, simhash, tokenfile, url_filter
+from paylens.llm import bpe, license_scan, line_hash, phrase_index, quality_rules, secret_scan, simhash, tokenfile, url_filter
 from paylens.llm.common import table
 from paylens.llm.registry import REGISTRY, query
 from paylens.session import scratch_path
@@ -99,3 +99,31 @@ FROM fits WHERE n = 1
 @query("op7_url_filter", _URL_SQL)
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+_UNITS_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM documents),
+placed AS (
+  SELECT doc_id, n, line, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+         trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS unit
+  FROM lines),
+ranked AS (
+  SELECT *, length(unit) - length(replace(unit, ' ', '')) + 1 >= 5 AND unit <> '' AS counts,
+         first_value(doc_id) OVER w AS kept_in, row_number() OVER w AS place
+  FROM placed WINDOW w AS (PARTITION BY unit ORDER BY doc_id, start))
+SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE NOT (counts AND place > 1)), '') AS text, count(*) AS n_units,
+       count(*) FILTER (WHERE counts AND place > 1) AS n_removed,
+       coalesce(string_agg(start::BIGINT || ':' || (start + length(line))::BIGINT || ':' || kept_in, ',' ORDER BY n) FILTER (WHERE counts AND place > 1), '') AS removed
+FROM ranked GROUP BY doc_id
+"""
+
+
+@query("op2_substring_dedup", _UNITS_SQL)
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_hash.deduplicate(table(spark, sf_dir, "documents"))
+    spans = F.transform("removed", lambda r: F.concat_ws(":", r["start"], r["end"], r["kept_in"]))
+    return found.select(
+        "doc_id", "text", (F.size("kept") + F.size("removed")).cast("long").alias("n_units"), F.size("removed").cast("long").alias("n_removed"),
+        F.array_join(spans, ",").alias("removed"),
+    )
