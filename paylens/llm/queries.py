@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylens.llm import bpe, license_scan, line_hash, phrase_index, quality_rules, secret_scan, simhash, tokenfile, url_filter
+from paylens.llm import bpe, license_scan, line_hash, line_join, phrase_index, quality_rules, secret_scan, simhash, tokenfile, url_filter
 from paylens.llm.common import table
 from paylens.llm.registry import REGISTRY, query
 from paylens.session import scratch_path
@@ -127,3 +127,8 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "text", (F.size("kept") + F.size("removed")).cast("long").alias("n_units"), F.size("removed").cast("long").alias("n_removed"),
         F.array_join(spans, ",").alias("removed"),
     )
+
+
+@query("op1_line_dedup")
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_join.decisions(table(spark, sf_dir, "documents"))
