@@ -51,6 +51,14 @@ def words_of(text: str | None) -> list[bytes]:
     return _WORD.findall((text or "").encode().lower())
 
 
+class Numbers(dict):
+    """Numbers words in the order in which they are first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write the index below the shared folder and return it, one row for each shard.
 
@@ -70,7 +78,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        doc_ids, sizes, held, numbers, kind, total = [], [], [], {}, None, 0
+        doc_ids, sizes, held, numbers, kind, total = [], [], [], Numbers(), None, 0
 
         def shard() -> pa.RecordBatch:
             terms = np.concatenate([np.zeros(0, np.int32), *held])
@@ -89,15 +97,13 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             kind = piece.schema.field("doc_id").type
             for doc_id, text in zip(piece.column("doc_id").to_pylist(), piece.column("text").to_pylist()):
                 words = words_of(text)
-                for word in set(words) - numbers.keys():
-                    numbers[word] = len(numbers)
                 held.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
                 doc_ids.append(doc_id)
                 sizes.append(len(words))
                 total += len(words)
                 if total >= SHARD_WORDS:
                     yield shard()
-                    doc_ids, sizes, held, numbers, total, number = [], [], [], {}, 0, number + 1
+                    doc_ids, sizes, held, numbers, total, number = [], [], [], Numbers(), 0, number + 1
         if doc_ids:
             yield shard()
 
