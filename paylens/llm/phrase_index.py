@@ -62,23 +62,23 @@ class Numbers(dict):
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write the index below the shared folder and return it, one row for each shard.
 
-    ``shard, doc_ids, sizes`` (words of each document), ``terms, counts`` (in each term's
+    ``shard, doc_ids, versions`` (hashes of the texts), ``sizes`` (words of each document), ``terms, counts`` (in each term's
     order) and ``places``: the differences between successive places, as 32-bit integers.
     """
     spark = docs.sparkSession
     ship(spark)
-    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    own = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("version"), F.col(text_col).alias("text"))
     schema = StructType(
         [
             StructField("shard", LongType()), StructField("doc_ids", ArrayType(own.schema["doc_id"].dataType)),
-            StructField("sizes", ArrayType(IntegerType())), StructField("terms", ArrayType(BinaryType())),
+            StructField("versions", ArrayType(LongType())), StructField("sizes", ArrayType(IntegerType())), StructField("terms", ArrayType(BinaryType())),
             StructField("counts", ArrayType(IntegerType())), StructField("places", BinaryType()),
         ]
     )
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        doc_ids, sizes, held, numbers, kind, total = [], [], [], Numbers(), None, 0
+        doc_ids, versions, sizes, held, numbers, kind, total = [], [], [], [], Numbers(), None, 0
 
         def shard() -> pa.RecordBatch:
             terms = np.concatenate([np.zeros(0, np.int32), *held])
@@ -86,24 +86,25 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             places = np.argsort(terms, kind="stable").astype("<i4")
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([number], pa.int64()), pa.array([doc_ids], pa.list_(kind)), pa.array([sizes], pa.list_(pa.int32())),
-                    pa.array([list(numbers)], pa.list_(pa.binary())), pa.array([counts], pa.list_(pa.int32())),
+                    pa.array([number], pa.int64()), pa.array([doc_ids], pa.list_(kind)), pa.array([versions], pa.list_(pa.int64())),
+                    pa.array([sizes], pa.list_(pa.int32())), pa.array([list(numbers)], pa.list_(pa.binary())), pa.array([counts], pa.list_(pa.int32())),
                     pa.array([np.diff(places, prepend=np.int32(0)).astype("<i4").tobytes()], pa.binary()),
                 ],
-                names=["shard", "doc_ids", "sizes", "terms", "counts", "places"],
+                names=["shard", "doc_ids", "versions", "sizes", "terms", "counts", "places"],
             )
 
         for piece in slices(batches, "text"):
             kind = piece.schema.field("doc_id").type
-            for doc_id, text in zip(piece.column("doc_id").to_pylist(), piece.column("text").to_pylist()):
+            for doc_id, version, text in zip(*(piece.column(c).to_pylist() for c in ("doc_id", "version", "text"))):
                 words = words_of(text)
                 held.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
                 doc_ids.append(doc_id)
+                versions.append(version)
                 sizes.append(len(words))
                 total += len(words)
                 if total >= SHARD_WORDS:
                     yield shard()
-                    doc_ids, sizes, held, numbers, total, number = [], [], [], Numbers(), 0, number + 1
+                    doc_ids, versions, sizes, held, numbers, total, number = [], [], [], [], Numbers(), 0, number + 1
         if doc_ids:
             yield shard()
 
@@ -243,7 +244,7 @@ def contamination(
     docs: DataFrame, items: DataFrame, size: int = 10, slop: int = 0, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id",
 ) -> DataFrame:
-    """``doc_id, n_words, n_hit, items, hits`` for every document.
+    """``doc_id, version, n_words, n_hit, items, hits`` for every document.
 
     A document word inside any occurrence of a window of ``size`` consecutive item words
     is hit; an item with fewer words is one window.
@@ -253,8 +254,11 @@ def contamination(
     for block in item_blocks(items, item_col):
         part = search(index, block, size, slop)
         found = part if found is None else found.unionByName(part)
-    each = index.select("shard", F.posexplode(F.arrays_zip("doc_ids", "sizes")).alias("ordinal", "doc"))
-    docs_all = each.select("shard", "ordinal", F.col("doc.doc_ids").alias("doc_id"), F.col("doc.sizes").cast("long").alias("n_words"))
+    each = index.select("shard", F.posexplode(F.arrays_zip("doc_ids", "versions", "sizes")).alias("ordinal", "doc"))
+    docs_all = each.select(
+        "shard", "ordinal", F.col("doc.doc_ids").alias("doc_id"), F.col("doc.versions").alias("version"),
+        F.col("doc.sizes").cast("long").alias("n_words"),
+    )
     if found is None:
         hits = docs_all.select("shard", "ordinal", F.lit(None).cast("array<int>").alias("hits"), F.lit(None).cast("array<string>").alias("items")).limit(0)
     else:
@@ -263,7 +267,18 @@ def contamination(
         )
     none = F.array().cast("array<string>")
     return docs_all.join(hits, ["shard", "ordinal"], "left").select(
-        "doc_id", "n_words", F.when(F.col("hits").isNull(), 0).otherwise(F.size("hits")).cast("long").alias("n_hit"),
+        "doc_id", "version", "n_words", F.when(F.col("hits").isNull(), 0).otherwise(F.size("hits")).cast("long").alias("n_hit"),
         F.array_sort(F.coalesce("items", none)).alias("items"),
         F.array_sort(F.coalesce("hits", F.array().cast("array<int>"))).alias("hits"),
     )
+
+
+def drop_contaminated(
+    docs: DataFrame, items: DataFrame, size: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id"
+) -> DataFrame:
+    """The rows of ``docs`` in which no window of an item occurs."""
+    found = contamination(docs, items, size, 0, id_col, text_col, item_col).where("n_hit > 0")
+    hit = found.select(F.col("doc_id").alias("hit_id"), F.col("version").alias("hit_version"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    same = F.col("doc")[id_col].eqNullSafe(F.col("hit_id")) & (F.xxhash64(F.col("doc")[text_col]) == F.col("hit_version"))
+    return whole.join(hit, same, "left_anti").select("doc.*")

@@ -25,7 +25,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -62,16 +62,21 @@ def fingerprint(text: str | None, width: int, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp`` (signed 64 bits) for every document; null and empty texts have fingerprint 0."""
+    """``doc_id, version, fp`` (signed 64 bits) for every document; null and empty texts have fingerprint 0.
+
+    ``version`` is a hash of the text and tells documents of one id apart.
+    """
     ship(docs.sparkSession)
-    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    own = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("version"), F.col(text_col).alias("text"))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, "text"):
             found = np.array([fingerprint(t, width) for t in piece.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [piece.column("doc_id"), piece.column("version"), pa.array(found.view(np.int64))], names=["doc_id", "version", "fp"]
+            )
 
-    return own.mapInArrow(hashed, StructType([own.schema["doc_id"], StructField("fp", LongType())]))
+    return own.mapInArrow(hashed, StructType([own.schema["doc_id"], own.schema["version"], StructField("fp", LongType())]))
 
 
 def covering_sets(shared: int) -> list[tuple[int, ...]]:
@@ -138,16 +143,32 @@ def links(nodes: DataFrame, distance: int = 4, hot: int = HOT) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, width: int = 4, distance: int = 4, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``doc_id, fp, component_id`` for every document.
+    """``doc_id, version, fp, root, component_id`` for every document.
 
-    ``component_id`` is the smallest id reachable by links, the document's own included;
-    null ids are no names, so it is null where only they can be reached. Repeated rows
-    give one row each. Null and empty texts have fingerprint zero, linked like any other.
-    An empty table gives no rows.
+    ``root`` is the same for documents that links connect. ``component_id`` is the
+    smallest id reachable, the document's own included; null ids are no names, so it is
+    null where only they can be reached. Repeated rows give one row each. Null and empty
+    texts have fingerprint zero, linked like any other. An empty table gives no rows.
     """
     prints = written(fingerprints(docs, width, id_col, text_col), "fingerprints")
     nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     roots = components(links(nodes.select("fp"), distance))
     rooted = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.join(rooted.join(names, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return prints.join(rooted.join(names, "root").select("fp", "root", "component_id"), "fp").select(
+        "doc_id", "version", "fp", "root", "component_id"
+    )
+
+
+def keep_one(docs: DataFrame, width: int = 4, distance: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The row of ``docs`` with the smallest id of each group; null ids come last, equal ids go by text hash."""
+    found = near_duplicates(docs, width, distance, id_col, text_col)
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "version")).alias("kept")
+    kept = found.groupBy("root").agg(least).select(F.col("kept.doc_id").alias("kept_id"), F.col("kept.version").alias("kept_version"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")).select(
+        "doc", F.col("doc")[id_col].alias("own_id"), F.xxhash64(F.col("doc")[text_col]).alias("own_version")
+    )
+    rows = whole.join(kept, F.col("own_id").eqNullSafe(F.col("kept_id")) & (F.col("own_version") == F.col("kept_version")), "left_semi")
+    # Repeated rows are alike, so any one of them may stand for them.
+    nth = F.row_number().over(Window.partitionBy("own_id", "own_version").orderBy("own_id"))
+    return rows.withColumn("nth", nth).where("nth = 1").select("doc.*")
