@@ -76,21 +76,29 @@ def _repeated(hashes: Column) -> Column:
     )
 
 
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a column that is computed once for each row, wherever it is used.
+
+    Filters and lambdas would otherwise repeat its expression in place of the name.
+    """
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
 def rule_counts(docs: DataFrame, text_col: str = "text", into: str = "counts") -> DataFrame:
     """``docs`` with a struct of counts for each document's text."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    step1 = docs.select("*", F.struct(text.alias("text"), _words(text).alias("words")).alias(into))
+    step1 = _once(docs, into, F.struct(text.alias("text"), _words(text).alias("words")))
     words = F.col(into)["words"]
     windows = F.when(F.size(words) < WINDOW, F.array().cast("array<bigint>")).otherwise(
         F.transform(F.sequence(F.lit(0), F.size(words) - WINDOW), lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(WINDOW)]))
     )
-    step2 = step1.withColumn(into, F.struct(F.col(into)["text"].alias("text"), words.alias("words"), windows.alias("windows")))
+    step2 = _once(step1, into, F.struct(F.col(into)["text"].alias("text"), words.alias("words"), windows.alias("windows")))
     text, windows = F.col(into)["text"], F.col(into)["windows"]
     lines = F.filter(F.split(text, "\n", -1), lambda x: F.btrim(x, F.lit(" \t\n\x0b\f\r")) != "")
     n_words = F.size(words).cast("long")
     n_repeat = F.when(F.size(F.array_distinct(windows)) < F.size(windows), _repeated(windows)).otherwise(0).cast("long")
-    return step2.withColumn(
-        into,
+    return _once(
+        step2, into,
         F.struct(
             n_words.alias("n_words"), F.char_length(F.array_join(words, "")).cast("long").alias("word_chars"),
             F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"), F.size(lines).cast("long").alias("n_lines"),
