@@ -19,7 +19,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the lines that match an earlier line; one without lines left has an empty text."""
-    out = line_join.deduplicate(docs).drop("removed")
+    out = line_join.deduplicate(docs)
     return out.withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
