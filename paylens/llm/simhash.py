@@ -94,9 +94,11 @@ def covering_sets(shared: int) -> list[tuple[int, ...]]:
 
 
 def _key(fp: Column, number: int, positions: tuple[int, ...]) -> Column:
-    mask = sum(0xFF << (8 * p) for p in positions)
-    signed = mask - (1 << 64) if mask >> 63 else mask
-    return F.struct(F.lit(number).cast("byte").alias("list"), fp.bitwiseAND(F.lit(signed)).alias("value"))
+    """A list's number and the bytes it is keyed by, in one integer."""
+    key = F.lit(number).cast("bigint")
+    for p in positions:
+        key = F.shiftleft(key, 8).bitwiseOR(F.shiftrightunsigned(fp, 8 * p).bitwiseAND(F.lit(255)))
+    return key
 
 
 def _tally(a: str, b: str) -> Column:
@@ -119,17 +121,16 @@ def links(nodes: DataFrame, distance: int = 4, hot: int = HOT) -> DataFrame:
     if distance not in (2, 4):
         raise ValueError("the index is laid out for 2 or 4 differing bits")
     shared = _BYTES - distance
-    postings = written(
-        nodes.select("fp", F.explode(F.array(*[_key(F.col("fp"), i, p) for i, p in enumerate(covering_sets(shared))])).alias("key")),
-        "postings",
-    )
-    sizes = written(postings.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "lists")
-    cold = postings.join(sizes.where(F.col("n") <= hot).select("key"), "key")
+    keys = F.array(*[_key(F.col("fp"), i, p) for i, p in enumerate(covering_sets(shared))])
+    postings = nodes.select("fp", F.explode(keys).alias("key"))
+    # Only the crowded lists are written; there are few, as each holds more than ``hot`` fingerprints.
+    crowds = written(postings.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).select("key"), "crowds")
+    cold = postings.join(crowds, "key", "left_anti")
     pairs = (
         cold.select("key", F.col("fp").alias("a")).join(cold.select("key", F.col("fp").alias("b")), "key").where("a < b")
         .where(_tally("a", "b") >= shared).where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance).select("a", "b")
     )
-    crowded = postings.join(sizes.where(F.col("n") > hot).select("key"), "key").select("fp").distinct()
+    crowded = postings.join(crowds, "key", "left_semi").select("fp").distinct()
     masks = F.array(*[F.lit(m) for m in _ball(distance // 2)])
     # Not more than the ball's size of distinct fingerprints can meet at a number.
     meets = (
