@@ -11,8 +11,9 @@ def hash_id(value: Column) -> Column:
 
 
 def last_four(value: Column) -> Column:
-    """Everything but the last four characters becomes X."""
-    return F.concat(F.repeat(F.lit("X"), F.greatest(F.length(value) - 4, F.lit(0))), F.right(value, F.lit(4)))
+    """Everything but the last four characters becomes X; a value of four or fewer has nothing to show."""
+    size = F.length(value)
+    return F.when(size <= 4, F.repeat(F.lit("X"), size)).otherwise(F.concat(F.repeat(F.lit("X"), size - 4), F.right(value, F.lit(4))))
 
 
 def hashed_mailbox(email: Column) -> Column:

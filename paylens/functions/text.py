@@ -8,13 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: White space that counts as blank, tabs and line breaks included.
+_WHITE = " \t\n\x0b\f\r\u00a0"
+
+
 def blank_to_null(text: Column) -> Column:
-    """A string of blanks counts as missing."""
-    return F.when(F.trim(text) != "", text)
+    """A string of white space counts as missing."""
+    return F.when(F.btrim(text, F.lit(_WHITE)) != "", text)
 
 
 def is_blank(text: Column) -> Column:
-    return text.isNull() | (F.trim(text) == "")
+    return text.isNull() | (F.btrim(text, F.lit(_WHITE)) == "")
 
 
 def matches_from_start(text: Column, pattern: str) -> Column:

@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paylens.functions.dates import hour_label, iso_from_day_first, wall_clock
+from paylens.functions.dates import hour_label, iso_from_day_first, strict_date, wall_clock
 from paylens.functions.numeric import total
 from paylens.functions.text import blank_to_null, first_present, is_blank
 
@@ -69,7 +69,8 @@ def repair(records: DataFrame) -> DataFrame:
 def reject_reason(amount: str = "amount") -> Column:
     """First reason a repaired record cannot be loaded, null if it can.
 
-    A missing amount counts as zero; text that is no number is invalid.
+    A missing amount counts as zero; text that is no finite number is invalid, and so is a
+    date that is not on the calendar.
     """
     text = blank_to_null(F.col(amount).cast("string"))
     number = F.trim(text).try_cast("double")
@@ -77,7 +78,8 @@ def reject_reason(amount: str = "amount") -> Column:
         F.when(is_blank(F.col("transaction_id")), "null_transaction_id"),
         F.when(is_blank(F.col("merchant_name")), "null_merchant_name"),
         F.when(text.isNull() | (number <= 0), "zero_or_negative_amount"),
-        F.when(number.isNull(), "invalid_amount"),
+        F.when(number.isNull() | F.isnan(number) | (F.abs(number) == float("inf")), "invalid_amount"),
+        F.when(strict_date(F.col("transaction_date")).isNull(), "invalid_date"),
     )
 
 

@@ -21,13 +21,14 @@ def day_on_day(daily: DataFrame, day: str, value: str) -> DataFrame:
     )
 
 
-def running_total(df: DataFrame, order: str, value: str, name: str, parts: int = 64) -> DataFrame:
+def running_total(df: DataFrame, order: str, value: str, name: str, parts: int | None = None) -> DataFrame:
     """Running sum of ``value`` in ``order`` over a table of any size.
 
     Rows fall into buckets between approximate quantiles, of which at most ``parts``
-    numbers reach the driver. Sums within a bucket and the sums of all earlier buckets
+    numbers reach the driver; as many as there are shuffle partitions if not given. Sums within a bucket and the sums of all earlier buckets
     add up to the total, exactly, wherever the cuts lie.
     """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     wanted = [i / parts for i in range(1, parts)]
     column = F.col(order).cast("double")
     cuts = df.agg(F.percentile_approx(column, wanted, 1_000).alias("c")).first()["c"] or []

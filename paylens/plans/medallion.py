@@ -125,7 +125,7 @@ def run_recorded(
         if bronze is not None:
             facts.update(asdict(run(spark, bronze, merchants, out, **options)), status="SUCCESS")
     except Exception as problem:
-        facts.update(status="FAILED", error=str(problem)[:1000])
+        facts.update(status="FAILED", error=str(problem))
         raise
     finally:
         facts["ended"] = str(datetime.datetime.now(datetime.timezone.utc))

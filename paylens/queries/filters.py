@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from paylens.functions import numeric
@@ -76,7 +78,7 @@ def f04(spark, sf):
 
 @query("f05_after_cutoff", with_views("txn", f"SELECT status, {PER_STATUS} FROM txn WHERE transaction_date > DATE '1998-06-15' GROUP BY 1"))
 def f05(spark, sf):
-    return per(data.transactions(spark, sf).where(F.col("transaction_date") > F.lit("1998-06-15").cast("date")), "status")
+    return per(data.transactions(spark, sf, datetime.date(1998, 6, 16)), "status")
 
 
 @query(
@@ -85,7 +87,7 @@ def f05(spark, sf):
 )
 def f06(spark, sf):
     lo, hi = F.lit("1997-01-01").cast("date"), F.lit("1997-12-31").cast("date")
-    return per(data.transactions(spark, sf).where(F.col("transaction_date").between(lo, hi)), "status")
+    return per(data.transactions(spark, sf, lo).where(F.col("transaction_date").between(lo, hi)), "status")
 
 
 @query(
@@ -93,7 +95,7 @@ def f06(spark, sf):
     with_views("txn", f"SELECT status, {PER_STATUS} FROM txn WHERE transaction_date >= {AS_OF} - INTERVAL 30 DAY GROUP BY 1"),
 )
 def f07(spark, sf):
-    return per(data.transactions(spark, sf).where(F.col("transaction_date") >= F.date_sub(data.as_of(), 30)), "status")
+    return per(data.transactions(spark, sf, data.AS_OF_DAY - datetime.timedelta(days=30)), "status")
 
 
 @query(
@@ -193,7 +195,7 @@ def f13(spark, sf):
     ),
 )
 def f14(spark, sf):
-    recent = data.transactions(spark, sf).where(F.col("transaction_date") >= F.lit("2001-08-01").cast("date"))
+    recent = data.transactions(spark, sf, datetime.date(2001, 8, 1))
     revenue = recent.groupBy("merchant_id").agg(numeric.when_sum(is_completed(), the_amount()).alias("revenue"))
     return revenue.withColumn("tier", numeric.merchant_tier(F.col("revenue")))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from paylens.functions.dates import hour_label, wall_clock
@@ -71,7 +73,7 @@ def j03(spark, sf):
     ),
 )
 def j03b(spark, sf):
-    recent = data.transactions(spark, sf).where(F.col("transaction_date") > F.lit("1999-01-01").cast("date"))
+    recent = data.transactions(spark, sf, datetime.date(1999, 1, 2))
     per = recent.groupBy("merchant_id").agg(total(the_amount()).alias("total_revenue"), row_count().alias("txn_count"))
     named = per.join(data.merchants(spark, sf), "merchant_id").select("merchant_name", "total_revenue", "txn_count")
     return named.orderBy(F.desc("total_revenue"), "merchant_name").limit(10)
@@ -265,7 +267,7 @@ def j11(spark, sf):
     ),
 )
 def j12(spark, sf):
-    active = data.transactions(spark, sf).where(F.col("transaction_date") >= F.date_sub(data.as_of(), 30)).select("customer_id")
+    active = data.transactions(spark, sf, data.AS_OF_DAY - datetime.timedelta(days=30)).select("customer_id")
     gold = data.customers(spark, sf).where("tier = 'GOLD'").select("customer_id", "customer_name")
     return gold.join(active.distinct(), "customer_id", "left_anti")
 

@@ -45,7 +45,7 @@ def x01(spark, sf):
         return pd.cut(words, [0, 50, 300, float("inf")], labels=["short", "medium", "long"]).astype(str)
 
     label = column_model(text_band, "string")
-    return data.table(spark, sf, "documents", "doc_id").select("lang", label("text").alias("label")).groupBy("lang", "label").agg(row_count().alias("docs"))
+    return data.table(spark, sf, "documents").select("lang", label("text").alias("label")).groupBy("lang", "label").agg(row_count().alias("docs"))
 
 
 @query(
@@ -114,7 +114,7 @@ def x04b(spark, sf):
     ),
 )
 def x04c(spark, sf):
-    week = data.transactions(spark, sf).where(F.col("transaction_date") > F.date_sub(data.as_of(), 7))
+    week = data.transactions(spark, sf, data.AS_OF_DAY - datetime.timedelta(days=6))
     per = week.groupBy("merchant_id").agg(row_count().alias("txn_count"), pct(count_when(is_failed()), row_count()).alias("failure_rate_pct"))
     bad = per.where("failure_rate_pct > 20").join(data.merchants(spark, sf), "merchant_id")
     return bad.select("merchant_name", "txn_count", "failure_rate_pct")

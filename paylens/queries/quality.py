@@ -283,7 +283,10 @@ def replay_feed(spark, sf):
            WHEN transaction_id IS NULL OR trim(transaction_id) = '' THEN 'null_transaction_id'
            WHEN COALESCE(a, b) IS NULL THEN 'null_merchant_name'
            WHEN amount IS NULL OR trim(amount) = '' OR TRY_CAST(trim(amount) AS DOUBLE) <= 0 THEN 'zero_or_negative_amount'
-           WHEN TRY_CAST(trim(amount) AS DOUBLE) IS NULL THEN 'invalid_amount' ELSE 'ok' END AS reason FROM feed) GROUP BY 1""",
+           WHEN TRY_CAST(trim(amount) AS DOUBLE) IS NULL OR NOT isfinite(TRY_CAST(trim(amount) AS DOUBLE)) THEN 'invalid_amount'
+   WHEN TRY_CAST(CASE WHEN regexp_matches(transaction_date, '^[0-9][0-9]-[0-9][0-9]-[0-9][0-9][0-9][0-9]$') THEN
+     substr(transaction_date, 7, 4) || '-' || substr(transaction_date, 4, 2) || '-' || substr(transaction_date, 1, 2) ELSE transaction_date END AS DATE) IS NULL
+   THEN 'invalid_date' ELSE 'ok' END AS reason FROM feed) GROUP BY 1""",
         {"feed": FEED},
     ),
 )

@@ -222,7 +222,7 @@ def s14(spark, sf):
 
 @query(
     "s15_insert_or_ignore",
-    with_views("txn_raw", "SELECT COUNT(*) AS rows_attempted, COUNT(DISTINCT transaction_id) AS rows_loaded, COUNT(*) - COUNT(DISTINCT transaction_id) AS rows_skipped FROM txn_raw"),
+    with_views("txn_raw", "SELECT COUNT(*) AS rows_attempted, COUNT(DISTINCT transaction_id) AS rows_loaded, COUNT(CASE WHEN trim(transaction_id) = '' THEN 1 END) AS rows_rejected, COUNT(*) - COUNT(DISTINCT transaction_id) AS rows_skipped FROM txn_raw"),
 )
 def s15(spark, sf):
     path = scratch_path(spark, "ignore-target")

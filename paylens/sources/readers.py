@@ -75,18 +75,6 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a scan with fewer tasks than the cluster has cores to all cores.
-
-    A small file, or one large row group, is read by one task, and all work up to the
-    next shuffle stays there. A scan that already has enough tasks is left alone, so on
-    large tables this adds nothing. ``df`` must be a plain scan; its rows are hashed by
-    ``keys``, which a later join or grouping on them reuses.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_or_skip(spark: SparkSession, path: str) -> tuple[DataFrame | None, str]:
     """The table, or None and a warning if the source does not exist."""
     try:

@@ -7,28 +7,18 @@ each and ``transactions_raw`` keeps them all.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from paylens.functions.numeric import money
 from paylens.operators.dedup import latest_per_key
-from paylens.sources.readers import spread
-
-_schemas: dict[str, StructType] = {}
 
 
-def table(spark: SparkSession, folder: str, name: str, spread_by: str | None = None) -> DataFrame:
-    """One of the given tables; ``spread_by`` where heavy work follows the scan.
-
-    The tables do not change, so each schema is inferred once per process and given to
-    later reads, which saves them the job that reads a footer.
-    """
-    path = f"{folder.rstrip('/')}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    df = spark.read.schema(_schemas[path]).parquet(path)
-    return spread(df, spread_by) if spread_by else df
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """One of the given tables."""
+    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def _as_transactions(lines: DataFrame, orders: DataFrame) -> DataFrame:
@@ -51,22 +41,25 @@ def _as_transactions(lines: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def transactions_raw(spark: SparkSession, folder: str) -> DataFrame:
-    return _as_transactions(table(spark, folder, "lineitem", "l_orderkey"), table(spark, folder, "orders"))
+    return _as_transactions(table(spark, folder, "lineitem"), table(spark, folder, "orders"))
 
 
-def transactions(spark: SparkSession, folder: str) -> DataFrame:
-    """Latest copy per transaction.
+def transactions(spark: SparkSession, folder: str, since: datetime.date | Column | None = None) -> DataFrame:
+    """Latest copy per transaction, from day ``since`` on.
 
-    The copies go before the join with orders: the dedup key spreads a huge order over
-    many tasks, and the join then moves fewer rows.
+    The copies go before the join with orders: each task first keeps its latest copy of a
+    key, so a huge order is cut down before the shuffle, and the join then moves fewer
+    rows. The latest copy is the one with the greatest date, so a lower bound may go
+    before the dedup, down to the scan; an upper bound must not.
     """
     order = [
         F.desc("l_shipdate"), "l_partkey", "l_suppkey", "l_extendedprice",
         "l_quantity", "l_discount", "l_tax", "l_returnflag",
     ]
-    lines = latest_per_key(
-        table(spark, folder, "lineitem", "l_orderkey").drop("l_linestatus"), ["l_orderkey", "l_linenumber"], order
-    )
+    copies = table(spark, folder, "lineitem").drop("l_linestatus")
+    if since is not None:
+        copies = copies.where(F.col("l_shipdate") >= (since if isinstance(since, Column) else F.lit(since)))
+    lines = latest_per_key(copies, ["l_orderkey", "l_linenumber"], order)
     return _as_transactions(lines, table(spark, folder, "orders"))
 
 

@@ -6,6 +6,7 @@ batch that runs twice after a failure leaves the same files.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,16 +15,17 @@ from pyspark.sql import functions as F
 from paylens.operators import recovery
 from paylens.operators.dedup import latest_per_key
 from paylens.session import scratch_path
-from paylens.sources.writers import merge_insert
+from paylens.sources.writers import merge_insert, write_run_metadata
 
 
-def drain(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
-    """Process everything that has arrived, then stop."""
+def drain(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> int:
+    """Process everything that has arrived, then stop; returns how many rows came too late for their window."""
     query = (
         stream.writeStream.outputMode(mode).foreachBatch(handle).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
+    return sum(state.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for state in json.loads(p.json)["stateOperators"])
 
 
 def store_updates(path: str) -> Callable[[DataFrame, int], None]:
@@ -36,9 +38,14 @@ def store_updates(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def collect_windows(spark: SparkSession, windows: DataFrame, keys: list[str], label: str) -> DataFrame:
-    """Run a windowed stream to its end and read the final value of every window."""
+    """Run a windowed stream to its end and read the final value of every window.
+
+    Rows beyond the stream's lateness are in no window; their number is kept below
+    ``late`` beside the rows, so that it can be watched.
+    """
     out = scratch_path(spark, label)
-    drain(windows, store_updates(f"{out}/rows"), f"{out}/checkpoint", "update")
+    late = drain(windows, store_updates(f"{out}/rows"), f"{out}/checkpoint", "update")
+    write_run_metadata(spark, {"stream": label, "late_rows": late}, f"{out}/late")
     return latest_per_key(spark.read.parquet(f"{out}/rows"), keys, [F.desc("batch_id")]).drop("batch_id")
 
 

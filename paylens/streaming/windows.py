@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 from paylens.functions.dates import epoch
 
 
+#: How late a row may come. Files of one load are read in any order, so this covers a load's span; state is dropped beyond it.
+LATENESS = "31 days"
+
+
 def with_lateness(stream: DataFrame, ts: str, lateness: str | None) -> DataFrame:
-    """Bound the state by a watermark.
+    """Bound the state by a watermark: windows that end longer ago than ``lateness`` before the newest row are closed.
 
-    Without one no row is ever too late: right for a backfill whose files come in any
-    order, where the number of windows bounds the state anyway.
+    Without one no row is ever too late: right for a backfill whose files come in any order.
     """
     if not lateness:
         return stream
@@ -21,7 +24,7 @@ def with_lateness(stream: DataFrame, ts: str, lateness: str | None) -> DataFrame
 
 def windowed(
     stream: DataFrame, ts: str, width: str, amount: Column | None = None, slide: str | None = None,
-    keys: list[str] | None = None, lateness: str | None = None,
+    keys: list[str] | None = None, lateness: str | None = LATENESS,
 ) -> DataFrame:
     """Count, sum and newest time per window, with the window's start as epoch seconds."""
     measures = [F.count(F.lit(1)).alias("n"), F.max(ts).alias("newest")]

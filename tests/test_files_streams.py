@@ -65,14 +65,18 @@ def test_merge_is_insert_only_and_a_retried_batch_changes_nothing(spark):
 
     def merge(rows, batch):
         r = writers.merge_insert(spark, rows, path, "id", order, batch).first()
+        assert r["rows_loaded"] + r["rows_skipped"] + r["rows_rejected"] == r["rows_attempted"]
         return (r["rows_attempted"], r["rows_loaded"], r["rows_skipped"])
 
-    assert merge(df, "one") == (4, 2, 2)
-    assert merge(df, "one") == (4, 2, 2)
-    assert merge(df, "two") == (4, 0, 4)
+    assert merge(df, "one") == (4, 2, 1)
+    assert merge(df, "one") == (4, 2, 1)
+    assert merge(df, "two") == (4, 0, 3)
     more = spark.createDataFrame([("b", 99), ("c", 4)], "id string, v long")
     assert merge(more, "three") == (2, 1, 1)
     assert sorted((r["id"], r["v"]) for r in spark.read.parquet(path).collect()) == [("a", 1), ("b", 3), ("c", 4)]
+    assert merge(more.where("id = 'c'"), "three") == (1, 1, 0) and merge(more.limit(0), "three") == (0, 0, 0)
+    assert sorted((r["id"], r["v"]) for r in spark.read.parquet(path).collect()) == [("a", 1), ("b", 3)]
+    assert merge(more, "odd/name = 1") == (2, 1, 1)
 
 
 def test_incremental_replaces_equal_keys(spark):
@@ -93,6 +97,8 @@ def test_quarantine_sink_repeated_run_does_not_double(spark):
         writers.quarantine(df, F.lit("bad"), "feed", at, path, run)
     rows = spark.read.parquet(path)
     assert rows.count() == 4 and set(rows.columns) >= {"quarantine_reason", "quarantine_source", "quarantined_at"}
+    writers.quarantine(df.limit(0), F.lit("bad"), "feed", at, path, "r1")
+    assert [r["run_id"] for r in spark.read.parquet(path).collect()] == ["r2", "r2"]
 
 
 FEED = "k long, transaction_id string, amount string, transaction_date string, ingestion_timestamp timestamp_ntz, merchant_name string, merchant_nm string"
@@ -107,6 +113,19 @@ def feed_rows():
     ]
 
 
+def test_bad_dates_and_endless_amounts_are_rejected(spark):
+    at = datetime.datetime(2024, 5, 1)
+    rows = [
+        (1, "a", "10", "99-99-9999", at, "M", None), (2, "b", "nan", "2024-12-31", at, "M", None), (3, "c", "Infinity", "2024-12-31", at, "M", None),
+        (4, "d", "1", "2024-13-45", at, "M", None), (5, "e", "1", "29-02-2024", at, "M", None), (6, "f", "1", None, at, "M", None),
+    ]
+    good, bad = recovery.split_records(spark.createDataFrame(rows, FEED))
+    assert [r["k"] for r in good.collect()] == [5]
+    assert {r["k"]: r["_quarantine_reason"] for r in bad.collect()} == {
+        1: "invalid_date", 2: "invalid_amount", 3: "invalid_amount", 4: "invalid_date", 6: "invalid_date",
+    }
+
+
 def test_repair_and_first_reason(spark):
     good, bad = recovery.split_records(spark.createDataFrame(feed_rows(), FEED))
     assert {r["k"]: r["_quarantine_reason"] for r in bad.collect()} == {

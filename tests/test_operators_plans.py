@@ -132,14 +132,25 @@ def test_partition_filter_prunes_folders(spark):
     assert "PartitionFilters: [isnotnull(part" in plan
 
 
-def test_spread_only_touches_small_scans(spark, sf):
-    from paylens.sources.readers import spread
+@pytest.mark.parametrize("partitions", ["4", "64"])
+def test_registered_dedup_limits_groups_on_both_sides_of_the_shuffle(spark, sf, partitions):
+    from paylens.queries import load
 
-    path = f"{sf}/orders.parquet"
-    one = spark.read.parquet(path)
-    assert spread(one, "o_orderkey").rdd.getNumPartitions() == 4
-    wide = spark.range(0, 100, 1, 16)
-    assert spread(wide, "id") is wide
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        plan = plan_of(load()["w02_dedup_latest"].run(spark, sf))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert "WindowGroupLimit" in plan and "REPARTITION" not in plan
+    first, last = plan.index("WindowGroupLimit"), plan.rindex("WindowGroupLimit")
+    assert "hashpartitioning(l_orderkey" in plan[first:last] and "l_linenumber" in plan[first:last]
+
+
+def test_lower_date_bound_reaches_the_scan(spark, sf):
+    from paylens.queries import load
+
+    for name in ("f05_after_cutoff", "f07_rolling_window", "j12_dormant_gold"):
+        assert "GreaterThanOrEqual(l_shipdate" in plan_of(load()[name].run(spark, sf)), name
 
 
 def test_every_query_has_sql_and_families_are_complete():
@@ -151,7 +162,7 @@ def test_every_query_has_sql_and_families_are_complete():
 
 
 def test_entry_module_loads_without_a_session():
-    code = "import __spark_entry__ as e; assert set(e.oracle_sql()) == set(e.queries())"
+    code = "import __spark_entry__ as e; from paylens.queries import load; assert set(load()) <= set(e.oracle_sql()) <= set(e.queries())"
     subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True)
 
 

@@ -218,6 +218,8 @@ def test_masks(spark):
 
     df = spark.createDataFrame([("9876543210", "joe@site.org", "ABCDE1234F", 7)], "p string, e string, n string, id long")
     got = df.select(masking.last_four(F.col("p")), masking.hashed_mailbox(F.col("e")), masking.shape_token(F.col("n")), masking.pseudonym(F.col("id"))).first()
+    short = spark.createDataFrame([("1234",), ("7",), ("",), (None,)], "p string").select(masking.last_four(F.col("p")).alias("p"))
+    assert [r["p"] for r in short.collect()] == ["XXXX", "X", "", None]
     assert got[0] == "XXXXXX3210" and got[1].endswith("@site.org") and "joe" not in got[1] and got[2] == "AAAAA9999A" and got[3].startswith("Person-")
 
 
