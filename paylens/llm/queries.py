@@ -30,7 +30,29 @@ def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_checksums(spark, path)
 
 
-@query("op3_decontamination")
+_PHRASES_SQL = r"""
+WITH doc_words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item_words AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 10 THEN [w] ELSE list_transform(range(1, len(w) - 8), lambda i: w[i:i + 9]) END) AS x
+  FROM item_words),
+places AS (
+  SELECT doc_id, n, i, w[i:i + n - 1] AS x FROM (
+    SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc_words, (SELECT DISTINCT len(x) AS n FROM windows))),
+hits AS (SELECT doc_id, i, n, item FROM places JOIN windows USING (x)),
+marks AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(s, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN marks USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+@query("op3_decontamination", _PHRASES_SQL)
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = phrase_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
     return found.select(
@@ -45,7 +67,46 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-@query("op8_quality_rules")
+_QUALITY_SQL = r"""
+WITH parts AS (
+  SELECT doc_id, lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM documents),
+windows AS (SELECT doc_id, i, w[i:i + 7] AS x FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM parts)),
+again AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, x) > 1),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM again) GROUP BY doc_id),
+c AS (
+  SELECT doc_id, lang, len(w)::BIGINT AS n_words, length(list_aggregate(w, 'string_agg', ''))::BIGINT AS chars,
+         (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, len(l)::BIGINT AS n_lines,
+         (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+  FROM parts LEFT JOIN covered USING (doc_id)),
+grid AS (
+  SELECT unnest(['symbols', 'repeated_lines', 'repeated_words', 'short_words', 'long_words']) AS rule,
+         unnest([[0.05, 0.1, 0.2, 0.3, 0.5, 1.0], [0.05, 0.1, 0.2, 0.3, 0.5], [0.02, 0.05, 0.1, 0.2], [4.5, 4.0, 3.5, 3.0, 2.5, 2.0],
+                 [8.0, 9.0, 10.0, 12.0, 15.0]]::DOUBLE[][]) AS cutoffs),
+tests AS (SELECT rule, unnest(cutoffs) AS cutoff, generate_subscripts(cutoffs, 1) AS ord FROM grid),
+tried AS (
+  SELECT c.*, rule, cutoff, ord, coalesce(CASE rule WHEN 'symbols' THEN n_words > 0 AND n_symbols > cutoff * n_words
+    WHEN 'repeated_lines' THEN n_lines > 0 AND n_dup_lines > cutoff * n_lines WHEN 'repeated_words' THEN n_words > 0 AND n_repeat_words > cutoff * n_words
+    WHEN 'short_words' THEN n_words > 0 AND chars < cutoff * n_words ELSE n_words > 0 AND chars > cutoff * n_words END, false) AS rejected
+  FROM c, tests),
+good AS (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1),
+held AS (SELECT lang, rule, cutoff, ord, count(*) AS n, count(*) FILTER (WHERE rejected) AS k FROM tried JOIN good USING (doc_id) GROUP BY ALL),
+tails AS (
+  SELECT lang, rule, cutoff, ord, list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
+         + i * ln(0.004) + (n - i) * ln(0.996)))) AS p FROM held),
+chosen AS (
+  SELECT lang, rule, arg_min(cutoff, ord) AS cutoff FROM tails WHERE p <= 0.05 / (26 * (SELECT count(DISTINCT coalesce(lang, '')) FROM held)) GROUP BY ALL)
+SELECT doc_id, n_words, coalesce(chars, 0) AS word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND NOT EXISTS (
+         SELECT 1 FROM tried t JOIN chosen h ON t.lang IS NOT DISTINCT FROM h.lang AND t.rule = h.rule AND t.cutoff = h.cutoff
+         WHERE t.doc_id = c.doc_id AND t.rejected) AS kept
+FROM c
+"""
+
+
+@query("op8_quality_rules", _QUALITY_SQL)
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -129,6 +190,28 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op1_line_dedup")
+_LINES_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS n, unnest(string_split(text, chr(10))) AS line FROM documents),
+sets AS (SELECT doc_id, n, list_sort(list_distinct(regexp_extract_all(lower(line), '[^\x20\x09-\x0D]+'))) AS tk FROM lines),
+classes AS (SELECT tk, len(tk) AS s, min((doc_id, n)) AS place FROM sets WHERE len(tk) > 0 GROUP BY tk),
+numbered AS (SELECT row_number() OVER (ORDER BY place, tk) AS id, * FROM classes),
+tokens AS (SELECT id, s, unnest(tk) AS t FROM numbered),
+ranked AS (
+  SELECT id, s, t, row_number() OVER (PARTITION BY id ORDER BY f, t) AS r FROM tokens JOIN (SELECT t, count(*) AS f FROM tokens GROUP BY t) USING (t)),
+prefix AS (SELECT id, s, t FROM ranked WHERE r <= s - (4 * s + 4) // 5 + 1),
+met AS (SELECT DISTINCT x.id AS a, y.id AS b FROM prefix x JOIN prefix y USING (t) WHERE x.id < y.id AND 5 * x.s >= 4 * y.s AND 5 * y.s >= 4 * x.s),
+gone AS (
+  SELECT DISTINCT b AS id FROM met JOIN numbered x ON x.id = a JOIN numbered y ON y.id = b WHERE 9 * len(list_intersect(x.tk, y.tk)) >= 4 * (x.s + y.s)),
+judged AS (
+  SELECT doc_id, n, len(sets.tk) > 0 AS counts, (doc_id, n) <> place OR id IN (SELECT id FROM gone) AS lost
+  FROM sets LEFT JOIN numbered ON numbered.tk = sets.tk)
+SELECT doc_id, count(*) FILTER (WHERE counts) AS n_lines, count(*) FILTER (WHERE counts AND lost) AS n_removed,
+       coalesce(string_agg(n::VARCHAR, ',' ORDER BY n) FILTER (WHERE counts AND lost), '') AS removed
+FROM judged GROUP BY doc_id
+"""
+
+
+@query("op1_line_dedup", _LINES_SQL)
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_join.decisions(table(spark, sf_dir, "documents"))
