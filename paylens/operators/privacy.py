@@ -18,8 +18,9 @@ PII_PATTERNS = [
     ("account_number", r"^[0-9]{9,18}$", "Financial ID", "Restricted"),
     ("credit_card", r"^[0-9]{4}[\s\-]?[0-9]{4}[\s\-]?[0-9]{4}[\s\-]?[0-9]{4}$", "Financial ID", "Restricted"),
     ("full_name", r"^[A-Z][a-z]+ [A-Z][a-z]+$", "Identity", "Confidential"),
-    ("ip_address", r"^[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}$", "Technical", "Internal"),
+    ("ip_address", r"^\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}$", "Technical", "Internal"),
 ]
+# Tiers from open to strict, match rates of the confidences, restrictions by tier.
 TIERS = ["Public", "Internal", "Confidential", "Restricted"]
 HIGH_RATE, MEDIUM_RATE = 0.5, 0.2
 LOAD_RESTRICTION = {
@@ -28,6 +29,7 @@ LOAD_RESTRICTION = {
     "Confidential": "Mask PII before load",
     "Restricted": "BLOCK load until PII masked",
 }
+# Parts of column names, and the kind they speak of.
 NAME_HINTS = [
     ("pan", "pan_number"), ("aadhaar", "aadhaar_number"), ("phone", "phone_number"), ("mobile", "phone_number"),
     ("_ph", "phone_number"), ("email", "email_address"), ("account", "account_number"), ("acct", "account_number"),
@@ -39,6 +41,7 @@ REDACTIONS = [
     (r"[0-9]{4}[ \-]?[0-9]{4}[ \-]?[0-9]{4}[ \-]?[0-9]{4}", "[CARD]"),
     (r"(?:\+91)?[7-9][0-9]{9}", "[PHONE]"),
 ]
+# Words that change data.
 DESTRUCTIVE_WORDS = ["DROP", "DELETE", "INSERT", "UPDATE", "TRUNCATE", "ALTER", "CREATE"]
 
 
@@ -65,10 +68,8 @@ def match_rates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def hinted_type(column: Column) -> Column:
     """Kind of data a column name speaks of, null if none."""
-    kind = F
-    for part, name in NAME_HINTS:
-        kind = kind.when(F.contains(F.lower(column), F.lit(part)), F.lit(name))
-    return kind
+    name = F.lower(column)
+    return F.coalesce(*[F.when(F.contains(name, F.lit(part)), F.lit(kind)) for part, kind in NAME_HINTS])
 
 
 def detect(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -95,10 +96,7 @@ def detect(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def tier_order(tier: Column) -> Column:
-    order = F
-    for i, name in enumerate(TIERS):
-        order = order.when(tier == name, i)
-    return order
+    return F.coalesce(*[F.when(tier == name, i) for i, name in enumerate(TIERS)])
 
 
 def dataset_tier(findings: DataFrame) -> DataFrame:
@@ -111,8 +109,8 @@ def dataset_tier(findings: DataFrame) -> DataFrame:
     )
 
 
-def mask(kind: str, value: Column, entity_id: Column) -> Column:
-    """The mask for one kind of personal data."""
+def mask(kind: str, value: Column, entity_id: Column, salt: str) -> Column:
+    """The mask for one kind of personal data; ``salt`` is the secret of the tokens."""
     if kind in ("aadhaar_number", "phone_number"):
         return masking.last_four(value)
     if kind == "email_address":
@@ -120,15 +118,15 @@ def mask(kind: str, value: Column, entity_id: Column) -> Column:
     if kind == "full_name":
         return masking.pseudonym(entity_id)
     if kind in ("account_number", "credit_card"):
-        return masking.token(value)
+        return masking.token(value, salt)
     if kind == "pan_number":
         return masking.shape_token(value)
     return masking.hash_id(value)
 
 
-def apply_masks(df: DataFrame, plan: dict[str, str], entity: str) -> DataFrame:
+def apply_masks(df: DataFrame, plan: dict[str, str], entity: str, salt: str) -> DataFrame:
     """Mask the columns of ``plan`` (column to kind) in one projection."""
-    return df.withColumns({c: mask(kind, F.col(c), F.col(entity)) for c, kind in plan.items()})
+    return df.withColumns({c: mask(kind, F.col(c), F.col(entity), salt) for c, kind in plan.items()})
 
 
 def masking_plan(findings: DataFrame) -> dict[str, str]:

@@ -327,13 +327,18 @@ def scorecard(df: DataFrame, expected: Sequence[str], key: str) -> DataFrame:
 
 
 def layer_summary(df: DataFrame, amount: str, status: str) -> DataFrame:
-    """Rows, range and mean of the amount and rows per status, as name/value pairs."""
+    """Rows, null rate of every column, range and mean of the amount, rows per status; as name/value pairs.
+
+    One pass: everything is summed per status, and the few statuses are summed up again.
+    """
     number = F.col(amount).cast("double")
     per = df.groupBy(status).agg(
         row_count().alias("n"), F.min(number).alias("lo"), F.max(number).alias("hi"),
         F.sum(F.col(amount)).alias("s"), F.count(amount).alias("c"),
+        *[F.count_if(F.col(c).isNull()).alias(f"null_{i}") for i, c in enumerate(df.columns)],
     )
     head = per.agg(
+        *[F.round(100.0 * F.sum(f"null_{i}") / F.sum("n"), 4).alias(f"null_rate_{c}") for i, c in enumerate(df.columns)],
         F.sum("n").cast("double").alias("total_rows"), F.min("lo").alias("amount_min"), F.max("hi").alias("amount_max"),
         F.round(F.sum("s").cast("double") / F.sum("c"), 2).alias("amount_mean"),
         F.count(status).cast("double").alias("unique_statuses"),

@@ -581,6 +581,17 @@ def a32b(spark, sf):
     )
 
 
+@query(
+    "a32c_wrong_decisions",
+    f"SELECT doc_id, expected, decision, tokens, latency_ms FROM ({EVAL}) WHERE expected <> decision",
+)
+def a32c(spark, sf):
+    """Every case that was decided wrongly, for review."""
+    return decisions(spark, sf).where("expected <> decision").select(
+        "doc_id", "expected", "decision", F.col("tokens").cast("long").alias("tokens"), F.col("latency_ms").cast("long").alias("latency_ms")
+    )
+
+
 def decisions(spark, sf):
     """Labelled documents with a rule's decision beside the expected one."""
     size = F.col("n_chars")

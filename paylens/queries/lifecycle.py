@@ -303,18 +303,27 @@ def x10(spark, sf):
     return monitoring.status_rollup(results, ["data_freshness", "quality"])
 
 
-NAMES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+NAMES = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark",
+    "labels", "conversations",
+]
+_KINDS = """CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'FLOAT' THEN 'float'
+   WHEN 'VARCHAR' THEN 'string' WHEN 'DATE' THEN 'date' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'BOOLEAN' THEN 'boolean'
+   WHEN 'FLOAT[]' THEN 'array<float>' WHEN 'DOUBLE[]' THEN 'array<double>' ELSE column_type END"""
 
 
 @query(
     "x11_catalogue",
-    " UNION ALL ".join(f"SELECT '{n}' AS table_name, COUNT(*) AS rows, (SELECT COUNT(*) FROM (DESCRIBE {n})) AS columns FROM {n}" for n in NAMES),
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, column_name, {_KINDS} AS data_type, (SELECT COUNT(*) FROM {n}) AS rows FROM (DESCRIBE {n})" for n in NAMES
+    ),
 )
 def x11(spark, sf):
-    """Tables with their rows and columns, as an agent or analyst would list them."""
+    """Every table's columns with their types, and its rows, as an agent or analyst would list them."""
     out = None
     for name in NAMES:
         df = data.table(spark, sf, name)
-        line = df.agg(row_count().alias("rows")).select(F.lit(name).alias("table_name"), "rows", F.lit(len(df.columns)).cast("long").alias("columns"))
+        columns = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(kind).alias("data_type")) for c, kind in df.dtypes])
+        line = df.agg(row_count().alias("rows")).select(F.lit(name).alias("table_name"), "rows", F.inline(columns))
         out = line if out is None else out.unionByName(line)
     return out

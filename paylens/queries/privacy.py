@@ -62,7 +62,7 @@ def p02(spark, sf):
 def p03(spark, sf):
     people = contacts(spark, sf)
     plan = privacy.masking_plan(privacy.detect(people, CONTACT_COLUMNS))
-    return privacy.apply_masks(people, plan, "c_custkey")
+    return privacy.apply_masks(people, plan, "c_custkey", "vault")
 
 
 def redact_sql(text):
@@ -124,19 +124,31 @@ def p06(spark, sf):
     return privacy.new_sensitive_columns(feed, ["transaction_id", "amount", "merchant_id", "status"])
 
 
-SURFACE = f"""SELECT 'contacts' AS table_name, * FROM ({findings_sql(CONTACT_COLUMNS, f"({CONTACT})")})
-   UNION ALL SELECT 'supplier' AS table_name, * FROM ({findings_sql(["s_name", "s_suppkey"], "supplier")})
-   UNION ALL SELECT 'events' AS table_name, * FROM ({findings_sql(["user_id", "event_type", "props"], "events")})"""
+#: All columns of the given tables but vectors, numbers with decimals and times, which no pattern describes.
+SURFACE_COLUMNS = {
+    "region": ["r_regionkey", "r_name"],
+    "nation": ["n_nationkey", "n_name", "n_regionkey"],
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"],
+    "supplier": ["s_suppkey", "s_name", "s_nationkey"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"],
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"],
+    "events": ["event_id", "user_id", "event_type", "props"],
+    "documents": ["doc_id", "text", "lang", "source", "n_chars"],
+    "pages": ["page_id", "url", "html"],
+    "benchmark": ["item_id", "text"],
+    "labels": ["doc_id", "quality", "toxic"],
+    "conversations": ["conv_id", "turn", "role", "text"],
+}
+SURFACE = " UNION ALL ".join(
+    [f"""SELECT 'contacts' AS table_name, * FROM ({findings_sql(CONTACT_COLUMNS, f"({CONTACT})")})"""]
+    + [f"SELECT '{name}' AS table_name, * FROM ({findings_sql(columns, name)})" for name, columns in SURFACE_COLUMNS.items()]
+)
 
 
 def pii_surface(spark, sf):
-    return privacy.surface(
-        {
-            "contacts": (contacts(spark, sf), CONTACT_COLUMNS),
-            "supplier": (data.table(spark, sf, "supplier"), ["s_name", "s_suppkey"]),
-            "events": (data.table(spark, sf, "events"), ["user_id", "event_type", "props"]),
-        }
-    )
+    given = {name: (data.table(spark, sf, name), columns) for name, columns in SURFACE_COLUMNS.items()}
+    return privacy.surface({"contacts": (contacts(spark, sf), CONTACT_COLUMNS), **given})
 
 
 @query("p07_surface_inventory", SURFACE)

@@ -374,6 +374,9 @@ def q19(spark, sf):
     )
 
 
+LAYER_COLUMNS = ["transaction_id", "amount", "status", "merchant_id", "customer_id", "transaction_date", "merchant_name", "category", "city"]
+
+
 @query(
     "q20_layer_summary",
     with_views(
@@ -382,11 +385,14 @@ def q19(spark, sf):
         UNION ALL SELECT 'amount_min', CAST(MIN(amount) AS DOUBLE) FROM silver UNION ALL SELECT 'amount_max', CAST(MAX(amount) AS DOUBLE) FROM silver
         UNION ALL SELECT 'amount_mean', ROUND(CAST(SUM(amount) AS DOUBLE) / COUNT(amount), 2) FROM silver
         UNION ALL SELECT 'unique_statuses', COUNT(DISTINCT status) FROM silver
-        UNION ALL SELECT 'status_' || status, COUNT(*) FROM silver GROUP BY status""",
+        UNION ALL SELECT 'status_' || status, COUNT(*) FROM silver GROUP BY status
+        UNION ALL """ + " UNION ALL ".join(
+            f"SELECT 'null_rate_{c}', ROUND(100.0::DOUBLE * COUNT(CASE WHEN {c} IS NULL THEN 1 END) / COUNT(*), 4) FROM silver" for c in LAYER_COLUMNS
+        ),
     ),
 )
 def q20(spark, sf):
-    return quality.layer_summary(data.valid_rows(data.bronze(spark, sf)), "amount", "status")
+    return quality.layer_summary(data.silver(spark, sf).select(*LAYER_COLUMNS), "amount", "status")
 
 
 CONTRACT_RULES = [

@@ -248,7 +248,7 @@ def contacts(spark, sf):
 def e20(spark, sf):
     return contacts(spark, sf).select(
         "c_custkey", masking.last_four(F.col("phone")).alias("phone"), masking.hashed_mailbox(F.col("email")).alias("email"),
-        masking.token(F.col("account")).alias("account"), masking.shape_token(F.col("pan")).alias("pan"),
+        masking.token(F.col("account"), "vault").alias("account"), masking.shape_token(F.col("pan")).alias("pan"),
         masking.pseudonym(F.col("c_custkey")).alias("pseudonym"),
     )
 

@@ -295,17 +295,19 @@ def s20(spark, sf):
     return out
 
 
-@query("s21_object_inventory", "SELECT 'day=' || strftime(ts, '%Y-%m-%d') AS folder, TRUE AS has_files, TRUE AS has_bytes, COUNT(*) AS rows FROM events GROUP BY 1")
+@query(
+    "s21_object_inventory",
+    """SELECT 'day=' || strftime(ts, '%Y-%m-%d') AS folder, CAST(1 AS BIGINT) AS files, CAST(SUM(strlen(printf('%d,%s', event_id, event_type)) + 1) AS BIGINT) AS bytes
+       FROM events GROUP BY 1""",
+)
 def s21(spark, sf):
+    """Files and bytes below each day's folder; lines of known length make the bytes known."""
     path = scratch_path(spark, "inventory")
-    events = data.table(spark, sf, "events").withColumn("day", F.col("ts").cast("date"))
-    writers.replace_partitions(events, path, ["day"])
-    stock = readers.folder_inventory(readers.list_objects(spark, path, "*.parquet"))
-    rows = spark.read.parquet(path).groupBy(F.concat(F.lit("day="), F.col("day").cast("string")).alias("folder")).agg(row_count().alias("rows"))
-    named = stock.withColumn("folder", F.regexp_extract("folder", "([^/]+)$", 1))
-    return named.join(rows, "folder").select(
-        "folder", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"), "rows"
-    )
+    line = F.concat_ws(",", "event_id", "event_type").alias("value")
+    days = data.table(spark, sf, "events").select(line, F.col("ts").cast("date").alias("day"))
+    days.repartition("day").write.partitionBy("day").text(path)
+    stock = readers.folder_inventory(readers.list_objects(spark, path, "*.txt"))
+    return stock.select(F.regexp_extract("folder", "([^/]+)$", 1).alias("folder"), "files", "bytes")
 
 
 @query("s22_latest_object", "SELECT 'run=3' AS latest, COUNT(*) AS rows FROM orders WHERE o_orderstatus = 'P'")

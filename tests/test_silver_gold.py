@@ -142,7 +142,7 @@ def test_staging_models(spark):
 
     at = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
     for name, (source, key, columns) in STAGING.items():
-        names = columns.split()
+        names = columns
         full = spark.createDataFrame([tuple("1" for _ in names) + ("x",), tuple(None if n == key else "1" for n in names) + ("x",)], [*names, "extra"])
         out = staging_model(name, {source: full}, at)
         assert out.columns == [*names, "_loaded_at"]
