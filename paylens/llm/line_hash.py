@@ -73,7 +73,10 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """``doc_id, version, repeats`` for documents that lose units: starts, each with the document that keeps the unit."""
     found = written(units(docs, id_col, text_col), "units")
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "version", "start")
-    groups = found.groupBy("high", "low").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    # Written, so that the join below stands on shuffles alone and its hot digests can be split.
+    groups = written(
+        found.groupBy("high", "low").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "repeated"
+    )
     later = found.join(groups, ["high", "low"]).where(~rank.eqNullSafe(F.col("first")))
     return later.groupBy("doc_id", "version").agg(
         F.array_distinct(F.collect_list(F.struct("start", F.col("first.doc_id").alias("kept_in")))).alias("repeats")
