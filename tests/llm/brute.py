@@ -34,7 +34,7 @@ def removed_lines(rows):
     for doc_id, text in rows:
         for n, line in enumerate((text or "").split("\n") if text is not None else []):
             if tokens := line_set(line):
-                lines.append(((*place((doc_id,)), n), tokens, (doc_id, text, n)))
+                lines.append(((doc_id is not None, doc_id or 0, n), tokens, (doc_id, text, n)))
     first = {}
     for spot, tokens, _ in lines:
         first[tokens] = min(first.get(tokens, spot), spot)
