@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -172,6 +172,18 @@ def _shares(reference, current) -> DataFrame:
     return both.select("bin", (F.col("a") / size_a).alias("p"), (F.col("b") / size_b).alias("q"))
 
 
+def stability_report(reference: DataFrame, current: DataFrame, numeric: Sequence[str], categories: Sequence[str], share: float = 0.5) -> DataFrame:
+    """Stability index of every column, and the dataset's verdict: drifted if ``share`` of its columns are."""
+    parts = [(c, binned_shares(reference, current, c)) for c in numeric] + [(c, category_shares(reference, current, c)) for c in categories]
+    rows = None
+    for name, shares in parts:
+        line = stability_index(shares).select(F.lit(name).alias("column_name"), "psi", "drifted")
+        rows = line if rows is None else rows.unionByName(line)
+    # One row for each column.
+    whole = Window.partitionBy(F.lit(0))
+    return rows.withColumn("dataset_drifted", F.count_if("drifted").over(whole) >= share * F.count(F.lit(1)).over(whole))
+
+
 def stability_index(shares: DataFrame, floor: float = 0.0001, limit: float = 0.2) -> DataFrame:
     """Population stability index of binned shares and whether it exceeds ``limit``."""
     p, q = F.greatest(F.col("p"), F.lit(floor)), F.greatest(F.col("q"), F.lit(floor))

@@ -69,6 +69,16 @@ def q22b(spark, sf):
     return drift.stability_index(drift.category_shares(*halves(spark, sf), "event_type"))
 
 
+@query(
+    "q22d_stability_report",
+    f"""SELECT *, COUNT(CASE WHEN drifted THEN 1 END) OVER () >= 0.5 * COUNT(*) OVER () AS dataset_drifted FROM (
+        SELECT 'value' AS column_name, * FROM ({psi_sql("LEAST(GREATEST(FLOOR((value - lo) / (hi - lo) * 10), 0), 9)")})
+        UNION ALL SELECT 'event_type', * FROM ({psi_sql("event_type")}) UNION ALL SELECT 'user_id', * FROM ({psi_sql("user_id")}))""",
+)
+def q22d(spark, sf):
+    return drift.stability_report(*halves(spark, sf), ["value"], ["event_type", "user_id"])
+
+
 @query(
     "q22c_largest_share_gap",
     """WITH s AS (SELECT user_id, COUNT(CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 1 END)::DOUBLE / (SELECT COUNT(*) FROM events WHERE ts < TIMESTAMP '2024-01-16') AS p,

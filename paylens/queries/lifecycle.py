@@ -16,7 +16,7 @@ from paylens.operators.aggregates import is_completed, is_failed, row_count, the
 from paylens.operators.contracts import ModelTest
 from paylens.plans import payments, replay
 from paylens.plans.build import Model, build
-from paylens.plans.medallion import ingest_bronze, run, to_silver, typed
+from paylens.plans.medallion import ingest_bronze, run, run_recorded, to_silver, typed
 from paylens.plans.metrics import metric
 from paylens.queries import data
 from paylens.queries.aggregates import GAP, RATE, SLA, _halves, sla_contracts
@@ -146,15 +146,44 @@ def x05(spark, sf):
     return build(spark, models, scratch_path(spark, "models"))["dim_merchants"]
 
 
-def layered_run(spark, sf):
-    """Silver and Gold written from a Bronze feed; returns their folder and the counts."""
-    out = scratch_path(spark, "layers")
+def bronze_feed(spark, sf):
+    """Raw rows, of which a few name a merchant that does not exist, written as Bronze."""
     bronze = data.transactions_raw(spark, sf).withColumn(
         "merchant_id", F.when(F.col("k") % 41 == 0, "MXXX").otherwise(F.col("merchant_id"))
     )
     columns = ["transaction_id", "amount", "status", "merchant_id", "customer_id", "transaction_date", "payment_method", "k", "ingestion_timestamp"]
-    counts = run(spark, written(bronze.select(*columns), "bronze"), data.merchants(spark, sf), out, grain="month")
-    return out, counts
+    return written(bronze.select(*columns), "bronze")
+
+
+def layered_run(spark, sf):
+    """Silver and Gold written from a Bronze feed; returns their folder and the counts."""
+    out = scratch_path(spark, "layers")
+    return out, run(spark, bronze_feed(spark, sf), data.merchants(spark, sf), out, grain="month")
+
+
+RECORD = "run_id string, status string, error string, rows_in long, rows_valid long, rows_out long, started timestamp, ended timestamp"
+
+
+def run_record(spark, sf, run_id):
+    """The record that a layered run wrote about itself."""
+    out = scratch_path(spark, "recorded")
+    run_recorded(spark, run_id, bronze_feed(spark, sf), data.merchants(spark, sf), out, grain="month")
+    return spark.read.schema(RECORD).json(f"{out}/runs/{run_id}")
+
+
+@query(
+    "s19b_recorded_run",
+    with_views(
+        "txn_raw",
+        """SELECT 'run-7' AS run_id, 'SUCCESS' AS status, '' AS error, COUNT(*) AS rows_in, COUNT(CASE WHEN transaction_id <> '' AND amount >= 0 THEN 1 END) AS rows_valid,
+           COUNT(DISTINCT CASE WHEN transaction_id <> '' AND amount >= 0 THEN transaction_id END) AS rows_out, TRUE AS timed FROM txn_raw""",
+    ),
+)
+def s19b(spark, sf):
+    """Status, error, times and counts per stage, as the run recorded them."""
+    return run_record(spark, sf, "run-7").select(
+        "run_id", "status", "error", "rows_in", "rows_valid", "rows_out", (F.col("started") <= F.col("ended")).alias("timed")
+    )
 
 
 @query(
@@ -206,13 +235,15 @@ HEALTH = f"""SELECT CAST(DATE_DIFF('day', MAX(transaction_date), {AS_OF}) * 24 A
 
 
 def health_metrics(spark, sf):
-    """One row of pipeline health; the runtime comes from the run's own record."""
+    """One row of pipeline health; the runtime, in whole tens of minutes, comes from the run's own record."""
+    record = run_record(spark, sf, "health")
+    runtime = F.floor((F.col("ended").cast("double") - F.col("started").cast("double")) / 600) * 10.0
     per_day = data.silver(spark, sf).groupBy("transaction_date").agg(row_count().alias("n"), count_when(F.col("quality_flag") == "CLEAN").alias("ok"))
     return per_day.agg(
         (F.datediff(data.as_of(), F.max("transaction_date")) * 24).cast("double").alias("freshness_hours"),
         (F.lit(100.0) * F.sum("ok") / F.sum("n")).alias("quality_pct"),
         (F.sum("n").cast("double") / F.count("transaction_date")).alias("rows_per_day"),
-        F.lit(42.0).alias("runtime_minutes"),
+        record.select(runtime).scalar().alias("runtime_minutes"),
     )
 
 
@@ -224,7 +255,7 @@ OBJECTIVES = [
 ]
 SLO_SQL = f"""SELECT 'data_freshness' AS objective, freshness_hours AS value, freshness_hours <= 24 AS met FROM h
    UNION ALL SELECT 'quality', quality_pct, quality_pct >= 99.9 FROM h UNION ALL SELECT 'row_count', rows_per_day, rows_per_day BETWEEN 17 AND 25 FROM h
-   UNION ALL SELECT 'runtime', 42.0::DOUBLE, TRUE FROM h"""
+   UNION ALL SELECT 'runtime', 0.0::DOUBLE, TRUE FROM h"""
 
 
 @query("x06_objectives", with_views("silver", SLO_SQL, {"h": HEALTH}))
