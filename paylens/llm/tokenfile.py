@@ -32,7 +32,7 @@ from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, Long
 
 from paylens.llm.common import ship, slices
 from paylens.llm.pieces import PieceCoder
-from paylens.session import scratch_path
+from paylens.session import scratch_path, written
 
 #: Longest code in bits; the decoder's table has 2 ** LIMIT entries.
 LIMIT = 16
@@ -279,7 +279,8 @@ def with_starts(blocks: DataFrame) -> DataFrame:
         .join(parts.select("part", before.alias("before")), "part")
         .select("part", "block", (F.col("before") + F.col("within")).alias("start"))
     )
-    return blocks.join(starts, ["part", "block"])
+    # Written, so that Spark knows its size and leaves the blocks where they are while it is small.
+    return blocks.join(written(starts, "starts"), ["part", "block"])
 
 
 def write_tokens(docs: DataFrame, spec: str, path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> None:
