@@ -14,7 +14,7 @@ from paylens.session import written
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return quality_rules.keep_documents(docs, table(spark, sf_dir, "labels"))
+    return quality_rules.keep_documents(docs, table(spark, sf_dir, "labels"), certify=quality_rules.joint_cutoffs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

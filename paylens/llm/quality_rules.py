@@ -9,6 +9,16 @@ The strictest certified cutoff of each rule and stratum is used, and none where
 labels prove nothing. The shares of a stratum's rules sum to ``alpha``, so with
 probability 1 - delta no stratum loses more than ``alpha`` of its good documents to them.
 
+That proof asks for thousands of labels. ``joint_cutoffs`` uses it where there are enough
+for any certificate (their number alone decides), and asks for hundreds elsewhere: there
+the rules are tightened in turns, and what they reject together is tested against
+``alpha`` at the level ``delta / strata`` at every step; the
+first step that is not certified ends the sequence, so no step pays for another. Good
+documents that the fixed rules reject are left out of it, as no cutoff can keep them.
+Strata with too few labels for any certificate are tested together. Their certificate
+holds for all of them taken together, not for each, so a step is only used in one of them
+if it rejects at most ``alpha`` of its own labels.
+
 All of it is DataFrame expressions: the counts stay in the row, no document is exploded,
 and the only shuffles move counts. Windows of words are compared by 64-bit hashes.
 
@@ -151,6 +161,53 @@ def certified_cutoffs(good: DataFrame, rules=RULES, alpha: float = 0.02, delta:
     return found.select("stratum", F.struct(*[strictest(r).alias(r.name) for r in rules]).alias("cutoffs"))
 
 
+def steps_of(rules=RULES) -> list[dict]:
+    """Cutoffs by rule name, laxest first: each step brings in or tightens one rule, the rules taking turns."""
+    steps, now = [], dict.fromkeys(r.name for r in rules)
+    for i in range(max(len(r.cutoffs) for r in rules)):
+        for r in rules:
+            if i < len(r.cutoffs):
+                now = now | {r.name: float(r.cutoffs[-1 - i])}
+                steps.append(now)
+    return steps
+
+
+def joint_cutoffs(good: DataFrame, rules=RULES, alpha: float = 0.02, delta: float = 0.05) -> DataFrame:
+    """``stratum, cutoffs`` like ``certified_cutoffs``; from one sequence of steps for all rules where that has too few labels."""
+    steps = steps_of(rules)
+    reached = ~base_failed(F.col("counts"))
+    rejected = []
+    for i, step in enumerate(steps):
+        any_rule = F.lit(False)
+        for r in rules:
+            if step[r.name] is not None:
+                any_rule = any_rule | r.rejects(F.col("counts"), F.lit(step[r.name]))
+        rejected.append(F.sum((any_rule & reached).cast("long")).alias(f"k{i}"))
+    # One row for each stratum from here on.
+    found = good.groupBy("stratum").agg(F.sum(reached.cast("long")).alias("n"), F.count(F.lit(1)).alias("labels"), *rejected)
+    found = found.withColumn("level", F.lit(delta) / F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))))
+    # Enough for a cutoff of a single rule.
+    many = F.pow(F.lit(1 - alpha / len(rules)), F.col("labels")) <= F.col("level") / sum(len(r.cutoffs) for r in rules)
+    # Too few to certify anything, even if nothing is rejected.
+    found = found.withColumn("small", F.pow(F.lit(1 - alpha), F.col("n")) > F.col("level"))
+    group = Window.partitionBy("small", F.when(~F.col("small"), F.struct("stratum")))
+    sums = [F.sum(f"k{i}").over(group).alias(f"all_k{i}") for i in range(len(steps))]
+    tested = found.select("*", F.sum("n").over(group).alias("all_n"), *sums)
+    # A step rejects whatever the steps before it reject, so the steps that pass come first.
+    ks = F.array(*[F.struct(F.col(f"k{i}").alias("own"), F.col(f"all_k{i}").alias("all")) for i in range(len(steps))])
+
+    def passes(k: Column) -> Column:
+        n = F.col("all_n")
+        proved = F.when(k["all"] <= n * alpha, _tail(n, k["all"], alpha)).otherwise(1.0) <= F.col("level")
+        return proved & (~F.col("small") | (k["own"] <= F.col("n") * alpha))
+
+    last = tested.where(~many).select("stratum", F.size(F.filter(ks, passes)).alias("last"))
+    limits = [F.get(F.array(*[F.lit(s[r.name]).cast("double") for s in steps]), F.col("last") - 1).alias(r.name) for r in rules]
+    joint = last.select(F.col("stratum").alias("of_stratum"), F.struct(*limits).alias("joint"))
+    both = certified_cutoffs(good, rules, alpha, delta).join(joint, F.col("stratum").eqNullSafe(F.col("of_stratum")), "left")
+    return both.select("stratum", F.coalesce("joint", "cutoffs").alias("cutoffs"))
+
+
 def good_documents(counted: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``stratum, counts`` of the documents that are labelled good."""
     own = labels.where(F.col("quality").isNotNull()).groupBy(F.col(id_col).alias("label_id")).agg(F.min("quality").alias("quality"))
@@ -174,18 +231,18 @@ def verdicts(counted: DataFrame, cutoffs: DataFrame, rules=RULES) -> DataFrame:
 
 def judge(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang",
-    rules=RULES, alpha: float = 0.02, delta: float = 0.05,
+    rules=RULES, alpha: float = 0.02, delta: float = 0.05, certify=certified_cutoffs,
 ) -> DataFrame:
     """``doc_id, stratum, counts, base_failed, kept`` for every document; the counts are made in one pass and written."""
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(stratum_col).alias("stratum"), F.col(text_col).alias("text"))
     counted = written(rule_counts(own).drop("text"), "counts")
-    cutoffs = certified_cutoffs(good_documents(counted, labels, "doc_id"), rules, alpha, delta)
+    cutoffs = certify(good_documents(counted, labels, "doc_id"), rules, alpha, delta)
     return verdicts(counted, cutoffs, rules)
 
 
 def keep_documents(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang",
-    rules=RULES, alpha: float = 0.02, delta: float = 0.05,
+    rules=RULES, alpha: float = 0.02, delta: float = 0.05, certify=certified_cutoffs,
 ) -> DataFrame:
     """The rows of ``docs`` that are kept, with the columns of ``docs``.
 
@@ -194,7 +251,7 @@ def keep_documents(
     """
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(stratum_col).alias("stratum"), F.col(text_col).alias("text"))
     counted = written(rule_counts(own).drop("text"), "counts")
-    cutoffs = written(certified_cutoffs(good_documents(counted, labels, "doc_id"), rules, alpha, delta), "cutoffs")
+    cutoffs = written(certify(good_documents(counted, labels, "doc_id"), rules, alpha, delta), "cutoffs")
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
     rows = whole.select("doc", F.col("doc")[stratum_col].alias("stratum"), F.col("doc")[text_col].alias("text"))
     return verdicts(rule_counts(rows).drop("text"), cutoffs, rules).where("kept").select("doc.*")

@@ -59,6 +59,48 @@ def test_verdicts_against_brute_force(spark, edges):
     assert all(r.kept != r.base_failed for r in none) and quality_rules.judge(with_lang(spark, []), frame).collect() == []
 
 
+def test_joint_certificate_needs_hundreds_of_labels(spark):
+    plain, odd = " ".join(f"word{i}" for i in range(40)), " ".join(f"w#{i}" for i in range(40))
+    # Strata of 300 good labels, 300 of which 60 are like the bad ones, and 190, 190 and two like the bad ones, tested together.
+    sizes = {"a": (300, 0), "b": (240, 60), "c": (190, 0), None: (190, 0), "d": (0, 2)}
+    rows, labels = [], []
+    for stratum, (n_plain, n_odd) in sizes.items():
+        for text, n, value in ((plain, n_plain, 1), (odd, n_odd, 1), (odd, 5, 0)):
+            for _ in range(n):
+                rows.append((len(rows), text, stratum))
+                labels.append((len(labels), value))
+    # Good documents that the fixed rules reject prove nothing about cutoffs.
+    for _ in range(30):
+        rows.append((len(rows), "w#1 w#2", "a"))
+        labels.append((len(labels), 1))
+    frame = spark.createDataFrame(labels, "doc_id bigint, quality int")
+    docs = with_lang(spark, rows)
+    good = quality_rules.good_documents(quality_rules.rule_counts(docs.select("doc_id", "text", F.col("lang").alias("stratum"))), frame)
+    found = {r.stratum: r.cutoffs for r in quality_rules.joint_cutoffs(good).collect()}
+    counted = {}
+    for (_, text, stratum), (_, value) in zip(rows, labels):
+        if value == 1 and not brute.base_failed(brute.counts(text)):
+            counted.setdefault(stratum, []).append(brute.counts(text))
+    level = 0.05 / len(counted)
+    small = {s for s, c in counted.items() if brute.tail(len(c), 0, 0.02) > level}
+    assert small == {"c", None, "d"}
+    for stratum, own in counted.items():
+        tested = sum((counted[s] for s in small), []) if stratum in small else own
+        want = dict.fromkeys(r.name for r in quality_rules.RULES)
+        for step in quality_rules.steps_of():
+            k, own_k = (sum(any(brute.rejects(r, c, step[r.name]) for r in quality_rules.RULES) for c in part) for part in (tested, own))
+            if brute.tail(len(tested), k, 0.02) > level or (stratum in small and own_k > 0.02 * len(own)):
+                break
+            want = step
+        assert found[stratum].asDict() == want
+    assert found["a"].symbols is not None and found["b"].symbols != found["a"].symbols
+    kept = quality_rules.keep_documents(docs, frame, certify=quality_rules.joint_cutoffs)
+    left = {(r.lang, r.text == odd) for r in kept.collect()}
+    assert ("a", True) not in left and ("a", False) in left and ("b", True) in left and ("d", True) in left
+    # The strict certificate rejects nothing here.
+    assert quality_rules.keep_documents(docs, frame).count() == len(rows) - 30
+
+
 def test_pipeline_against_brute_force(spark, sf):
     got = {r.doc_id: tuple(r)[1:] for r in corpus_pipeline.run(spark, sf).collect()}
     docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang").collect()]
