@@ -4,6 +4,7 @@ import random
 
 import brute
 import pytest
+from pyspark.sql import functions as F
 
 from paylens.llm import line_hash, line_join
 
@@ -41,6 +42,27 @@ def test_line_join_against_brute_force(make, edges, salt, lags, monkeypatch):
     assert sum(len(x) for x in gone.values()) > 50
 
 
+def test_frequent_tokens_stay_in_order_and_are_dealt(spark):
+    counts = [0, 1, 60_000, 10**6, 10**8, 2**62]
+    levels = [r.v for r in spark.createDataFrame([(i, c) for i, c in enumerate(counts)], "i int, c bigint").orderBy("i").select(
+        line_join._level(F.col("c")).alias("v")
+    ).collect()]
+    words = [f"w{i}" for i in range(12)]
+    line = spark.createDataFrame([(" ".join(words),)], "line string")
+    bucket = line.select(F.explode(F.split("line", " ")).alias("w")).select("w", F.xxhash64("w").bitwiseAND(line_join.BUCKETS - 1).alias("b"))
+    rarity, own = [0] * line_join.BUCKETS, {}
+    for i, r in enumerate(bucket.collect()):
+        rarity[r.b] = own[r.w] = levels[i % len(levels)]
+    # One word at a time gives its token.
+    frame = spark.createDataFrame([(w,) for w in words], "w string").select("w", line_join._token_sets(F.col("w"), rarity)[0].alias("t"))
+    rows = frame.select("w", "t", line_join._salts(F.col("t")).alias("salts")).collect()
+    by_token = sorted(rows, key=lambda r: r.t)
+    assert [own[r.w] for r in by_token] == sorted(own.values()) and len(set(levels)) == len(counts)
+    for r in rows:
+        count = counts[levels.index(own[r.w])]
+        assert count / r.salts <= 2 * line_join.SALT_ABOVE and (r.salts == 1 or count / r.salts >= line_join.SALT_ABOVE / 2)
+
+
 def test_line_decisions(make, edges):
     got = {r.doc_id: r for r in line_join.decisions(make(edges)).collect() if r.doc_id in (1, 2, 5, 7, 8)}
     assert got[1].n_lines == got[2].n_lines == 0 and got[5].removed == "1" and got[8].n_removed == 1
