@@ -14,9 +14,9 @@ from paylens.queries.registry import query
 from paylens.queries.sqlbase import with_views
 from paylens.queries.windows import SERIES, five_minute_series
 from paylens.session import scratch_path
-from paylens.streaming import alarms, sinks
+from paylens.streaming import alarms, sinks, windows
 from paylens.streaming.ingest import file_stream
-from paylens.streaming.windows import windowed, without_replays
+from paylens.streaming.windows import without_replays
 
 EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
@@ -26,6 +26,11 @@ def event_stream(spark, sf):
     return file_stream(spark, f"{sf.rstrip('/')}/{{events.parquet}}", EVENT_SCHEMA)
 
 
+def windowed(stream, *args):
+    """Windows over a whole given table: no row of it is too late."""
+    return windows.windowed(stream, *args, lateness=None)
+
+
 def amount():
     return money(F.col("value"))
 

@@ -19,13 +19,32 @@ from paylens.sources.writers import merge_insert, write_run_metadata
 
 
 def drain(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> int:
-    """Process everything that has arrived, then stop; returns how many rows came too late for their window."""
+    """Process everything that has arrived, then stop; returns how many rows came too late for their window.
+
+    Spark counts them after a batch's partial sums, so late rows of one window and batch may count once.
+    """
+    dropped, started = {}, []
+
+    def note(progress) -> None:
+        if progress is not None:
+            states = json.loads(progress.json)["stateOperators"]
+            dropped[progress.batchId] = max(dropped.get(progress.batchId, 0), sum(s.get("numRowsDroppedByWatermark", 0) for s in states))
+
+    def handled(batch: DataFrame, batch_id: int) -> None:
+        # Spark keeps the progress of the newest batches only, so each is noted when the next one comes.
+        for running in started:
+            note(running.lastProgress)
+        handle(batch, batch_id)
+
     query = (
-        stream.writeStream.outputMode(mode).foreachBatch(handle).option("checkpointLocation", checkpoint)
+        stream.writeStream.outputMode(mode).foreachBatch(handled).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
+    started.append(query)
     query.awaitTermination()
-    return sum(state.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for state in json.loads(p.json)["stateOperators"])
+    for progress in query.recentProgress:
+        note(progress)
+    return sum(dropped.values())
 
 
 def store_updates(path: str) -> Callable[[DataFrame, int], None]:
@@ -40,8 +59,8 @@ def store_updates(path: str) -> Callable[[DataFrame, int], None]:
 def collect_windows(spark: SparkSession, windows: DataFrame, keys: list[str], label: str) -> DataFrame:
     """Run a windowed stream to its end and read the final value of every window.
 
-    Rows beyond the stream's lateness are in no window; their number is kept below
-    ``late`` beside the rows, so that it can be watched.
+    Rows beyond the stream's lateness, if it has one, are in no window; their number is
+    kept below ``late`` beside the rows, so that it can be watched.
     """
     out = scratch_path(spark, label)
     late = drain(windows, store_updates(f"{out}/rows"), f"{out}/checkpoint", "update")

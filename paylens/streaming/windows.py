@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from paylens.functions.dates import epoch
 
 
-#: How late a row may come. Files of one load are read in any order, so this covers a load's span; state is dropped beyond it.
+#: How late a row of a live feed may come; state is dropped beyond it. A given table is read without a bound, as its files come in any order.
 LATENESS = "31 days"
 
 
@@ -17,9 +17,8 @@ def with_lateness(stream: DataFrame, ts: str, lateness: str | None) -> DataFrame
 
     Without one no row is ever too late: right for a backfill whose files come in any order.
     """
-    if not lateness:
-        return stream
-    return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, lateness)
+    timed = stream.withColumn(ts, F.col(ts).cast("timestamp"))
+    return timed.withWatermark(ts, lateness) if lateness else timed
 
 
 def windowed(

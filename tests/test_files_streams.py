@@ -1,6 +1,7 @@
 """Files, merges, replay and streams: everything can run twice."""
 
 import datetime
+import functools
 import json
 import os
 
@@ -10,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from paylens.operators import recovery
 from paylens.plans import payments, replay
+from paylens.queries import streams
 from paylens.session import scratch_path
 from paylens.sources import readers, writers
 from paylens.streaming import alarms, sinks
@@ -165,6 +167,41 @@ def event_files(spark):
     return path, df
 
 
+@pytest.fixture
+def newest_first(spark):
+    """A table over 150 days in five files, the newest of which is read first."""
+    path = scratch_path(spark, "newest-first")
+    os.makedirs(f"{path}/events.parquet")
+    rows = [(i, datetime.datetime(2024, 6, 1) - datetime.timedelta(days=30 * (i // 3) + i // 3), i % 2, "error", float(i), None) for i in range(15)]
+    for k in range(5):
+        spark.createDataFrame(rows[3 * k : 3 * k + 3], streams.EVENT_SCHEMA).coalesce(1).write.parquet(f"{path}/{k}")
+        name = next(n for n in os.listdir(f"{path}/{k}") if n.endswith(".parquet"))
+        os.link(f"{path}/{k}/{name}", f"{path}/events.parquet/{k}.parquet")
+        os.utime(f"{path}/events.parquet/{k}.parquet", (1_700_000_000 + 60 * k,) * 2)
+    return path
+
+
+def test_no_row_of_a_table_is_too_late(spark, newest_first, monkeypatch):
+    monkeypatch.setattr(streams, "file_stream", functools.partial(file_stream, files_per_batch=1))
+    table = spark.read.parquet(f"{newest_first}/events.parquet")
+    hours = {r.bucket: (r.n, r.amount) for r in streams.r02(spark, newest_first).collect()}
+    want = windowed(table, "ts", "1 hour", F.col("value")).collect()
+    assert hours == {r.bucket: (r.n, r.amount) for r in want} and len(hours) == 5
+    assert streams.r06(spark, newest_first).count() == 5
+    assert streams.r11(spark, newest_first).agg(F.sum("n")).first()[0] == 4 * 15
+
+
+def test_late_rows_of_all_batches_are_counted(spark, newest_first):
+    kept = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(kept, "2")
+    try:
+        stream = windowed(file_stream(spark, f"{newest_first}/events.parquet", streams.EVENT_SCHEMA, files_per_batch=1), "ts", "1 hour", lateness="1 day")
+        out = scratch_path(spark, "late")
+        assert sinks.drain(stream, sinks.store_updates(f"{out}/rows"), f"{out}/checkpoint", "update") == 3
+    finally:
+        spark.conf.unset(kept)
+
+
 @pytest.mark.parametrize("files", [1, 1000])
 def test_stream_windows_equal_the_batch_in_any_file_order(spark, event_files, files):
     path, df = event_files
