@@ -1,6 +1,7 @@
 """Substring dedup by hashing lines.
 
-Every line of a text is a unit. A unit of at least ``MIN_WORDS`` words is normalised
+Every line of a text is a unit. A unit of at least ``least_words`` words, or of at least
+``least_chars`` code points for scripts that write no blanks between words, is normalised
 (lower case, one space between words) and digested to 128 bits. Digests are grouped over
 the whole corpus; the occurrence with the least rank (document id, text digest, offset)
 stays and all others are removed, within a document as well as between documents. Kept
@@ -28,20 +29,23 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 from paylens.llm.common import ship, slices
 from paylens.session import written
 
-#: Shorter units are never removed: they repeat in any prose.
+#: Words of a unit from which on it may be removed unless the caller says otherwise; shorter ones repeat in any prose.
 MIN_WORDS = 5
 
 
-def unit_rows(text: str) -> Iterator[tuple[int, int, bytes | None]]:
-    """``start, end, digest`` of every line; no digest for lines that are too short."""
+def unit_rows(text: str, least_words: int = MIN_WORDS, least_chars: int | None = None) -> Iterator[tuple[int, int, bytes | None]]:
+    """``start, end, digest`` of every line; no digest for lines without words or too short by both measures."""
     start = 0
     for line in text.split("\n"):
         words = line.lower().encode().split()
-        yield start, start + len(line), xxhash.xxh128_digest(b" ".join(words)) if len(words) >= MIN_WORDS else None
+        enough = len(words) >= least_words or (least_chars is not None and len(line.strip(" \t\n\x0b\f\r")) >= least_chars)
+        yield start, start + len(line), xxhash.xxh128_digest(b" ".join(words)) if words and enough else None
         start += len(line) + 1
 
 
-def units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def units(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = MIN_WORDS, least_chars: int | None = None
+) -> DataFrame:
     """``doc_id, version, start, digest`` of every unit that may be removed; ``version`` tells texts of one id apart."""
     ship(docs.sparkSession)
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("version"))
@@ -50,7 +54,7 @@ def units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         for piece in slices(batches, "text"):
             where, starts, digests = [], [], []
             for i, text in enumerate(piece.column("text").to_pylist()):
-                for start, _, digest in unit_rows(text or ""):
+                for start, _, digest in unit_rows(text or "", least_words, least_chars):
                     if digest is not None:
                         where.append(i)
                         starts.append(start)
@@ -69,9 +73,11 @@ def units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return own.mapInArrow(rows, schema.add(StructField("high", LongType())).add(StructField("low", LongType())))
 
 
-def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_units(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = MIN_WORDS, least_chars: int | None = None
+) -> DataFrame:
     """``doc_id, version, repeats`` for documents that lose units: starts, each with the document that keeps the unit."""
-    found = written(units(docs, id_col, text_col), "units")
+    found = written(units(docs, id_col, text_col, least_words, least_chars), "units")
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "version", "start")
     # Written, so that the join below stands on shuffles alone and its hot digests can be split.
     groups = written(
@@ -83,13 +89,15 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def deduplicate(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = MIN_WORDS, least_chars: int | None = None
+) -> DataFrame:
     """``doc_id, text, kept, removed`` for every document.
 
     ``text`` is what remains, lines joined by line breaks; ``kept`` (start, end) and
     ``removed`` (start, end, kept_in) are the units by their original offsets.
     """
-    repeats = repeated_units(docs, id_col, text_col)
+    repeats = repeated_units(docs, id_col, text_col, least_words, least_chars)
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("version"))
     r = repeats.select(F.col("doc_id").alias("r_id"), F.col("version").alias("r_version"), "repeats")
     joined = own.join(r, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("version") == F.col("r_version")), "left")

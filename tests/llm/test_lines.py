@@ -100,3 +100,15 @@ def test_passage_in_many_documents(make):
     got = line_hash.deduplicate(make(rows)).collect()
     assert all([x.kept_in for x in r.removed] == ([] if r.doc_id == 0 else [0]) for r in got)
     assert all(r.text.startswith("own words") and ("assage59" in r.text) == (r.doc_id == 0) for r in got)
+
+
+def test_scripts_without_blanks_and_short_lines(make):
+    long, short = "同じ段落がここに繰り返されている長い一行の文章です", "two words"
+    rows = [(i, f"{long}\n{short}\n \n\n{i}") for i in range(3)]
+
+    def left(**least):
+        return {r.doc_id: r.text for r in line_hash.deduplicate(make(rows), **least).collect()}
+
+    assert left() == dict(rows)
+    assert left(least_chars=20) == {i: t if i == 0 else f"{short}\n \n\n{i}" for i, t in rows}
+    assert left(least_words=1) == {i: t if i == 0 else f" \n\n{i}" for i, t in rows}
