@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylens.llm import bpe, license_scan, line_hash, line_join, phrase_index, quality_rules, secret_scan, simhash, tokenfile, url_filter
+from paylens.llm import bottomk, bpe, dialogue, license_scan, line_hash, line_join, permuterm, phrase_index, quality_rules, secret_scan, simhash, tokenfile, url_filter
 from paylens.llm.common import table
 from paylens.llm.registry import REGISTRY, query
 from paylens.session import scratch_path
@@ -215,3 +215,21 @@ FROM judged GROUP BY doc_id
 @query("op1_line_dedup", _LINES_SQL)
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_join.decisions(table(spark, sf_dir, "documents"))
+
+
+@query("op11_minhash")
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bottomk.near_duplicates(table(spark, sf_dir, "documents"), width=4)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op12_spelling_variants")
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = permuterm.count_words(table(spark, sf_dir, "documents"), least_length=7, least_count=2, drop=31)
+    return permuterm.variants(words, times=10)
+
+
+@query("op13_conversation_repair")
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return dialogue.repair(dialogue.damage(conversations), conversations)
