@@ -10,11 +10,15 @@ A document's set is its distinct word shingles; its sketch holds the ``KEEP`` sm
    ``KEEP / 2 + 1`` values of a sketch that the fewest classes hold. Only these are
    posted, and values that one class holds need no list. A phrase that a third of the
    corpus shares is posted only where it makes up half a document.
-2. Each class first meets the least class of each of its lists; of those the one that
-   shares most is estimated and verified. Members of a large group of near copies are
-   connected by that without pairing them.
+2. Each class first meets the class of each of its lists whose sketch is most widely
+   shared (the likely original of a group of copies); of those the one that shares most
+   is estimated and verified. That connects most of a group without pairing it.
 3. Then members of a list meet all others that are still in another component. A pair
    inside a component can change nothing, any other pair is found: no link is lost.
+   In lists of ``CROWD`` classes or more they meet by their full sets instead: by the
+   rarest shingles that a match of that size cannot do without, and only with at least
+   one end outside the list's largest component. Far copies of a large group share
+   their group's shingles, but too few of them, so they meet nobody.
 4. Estimation: the ``KEEP`` smallest values of both sketches together are the union's
    sketch; the share of them that both hold estimates the similarity. Pairs under a half
    fall out (same bound as above).
@@ -28,14 +32,14 @@ empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from paylens.llm.common import ship, slices
 from paylens.llm.components import components
@@ -45,6 +49,8 @@ from paylens.session import written
 KEEP = 64
 #: Similarity as a fraction.
 TOP, BOTTOM = 4, 5
+#: Classes of a list from which on its members meet by their full sets.
+CROWD = 16
 
 
 def shingles(text: str | None, width: int) -> list[bytes]:
@@ -110,15 +116,18 @@ def set_classes(prints: DataFrame) -> DataFrame:
 
 
 def postings(classes: DataFrame) -> DataFrame:
-    """``value, id, n``: the values that a class is looked up by, the rarest of its sketch."""
+    """``value, id, n, spread``: the values that a class is looked up by, the rarest of its sketch.
+
+    ``spread`` is how many classes hold its values, in sum.
+    """
     held = classes.select("id", "n", F.size("sketch").alias("size"), F.explode("sketch").alias("value"))
     counts = held.groupBy("value").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
     rare = F.sort_array(F.collect_list(F.struct("classes", "value")))
-    mine = held.join(counts, "value").groupBy("id", "n", "size").agg(rare.alias("shared"))
+    mine = held.join(counts, "value").groupBy("id", "n", "size").agg(rare.alias("shared"), F.sum("classes").alias("spread"))
     # Values that no other class holds are the rarest and come first in the prefix; they need no posting.
     posted = F.floor(F.col("size") / 2).cast("int") + 1 - (F.col("size") - F.size("shared"))
-    chosen = mine.where(posted > 0).select("id", "n", F.slice("shared", 1, posted).alias("shared"))
-    return chosen.select(F.explode("shared.value").alias("value"), "id", "n")
+    chosen = mine.where(posted > 0).select("id", "n", "spread", F.slice("shared", 1, posted).alias("shared"))
+    return chosen.select(F.explode("shared.value").alias("value"), "id", "n", "spread")
 
 
 def _sized(a: str, b: str) -> Column:
@@ -126,21 +135,74 @@ def _sized(a: str, b: str) -> Column:
 
 
 def _first_met(posted: DataFrame) -> DataFrame:
-    """``x, y``: for each class the least class of a list of its own that shares most of its values."""
-    least = posted.groupBy("value").agg(F.min(F.struct("id", "n")).alias("least"))
-    met = posted.join(least, "value").select(F.col("least.id").alias("x"), F.col("least.n").alias("xn"), F.col("id").alias("y"), "n")
-    tally = met.where(F.col("x") < F.col("y")).where(_sized("xn", "n")).groupBy("x", "y").agg(F.count(F.lit(1)).alias("shared"))
+    """``x, y``: for each class y the most widely shared class of a list of its own, of these the one that shares most lists."""
+    widest = F.max_by(F.struct("id", "n"), F.struct("spread", -F.col("id"))).alias("widest")
+    met = posted.join(posted.groupBy("value").agg(widest), "value").select(F.col("widest.id").alias("x"), F.col("widest.n").alias("xn"), F.col("id").alias("y"), "n")
+    tally = met.where(F.col("x") != F.col("y")).where(_sized("xn", "n")).groupBy("x", "y").agg(F.count(F.lit(1)).alias("shared"))
     return tally.groupBy("y").agg(F.max_by("x", F.struct("shared", -F.col("x"))).alias("x")).select("x", "y")
 
 
-def _across(posted: DataFrame, roots: DataFrame) -> DataFrame:
+def _mixed(rooted: DataFrame, key: str) -> DataFrame:
+    """``key, members, most``: lists (key, root) with more than one component, and the component that has most members."""
+    sizes = rooted.groupBy(key, "root").agg(F.count(F.lit(1)).alias("n"))
+    lists = sizes.groupBy(key).agg(F.sum("n").alias("members"), F.count(F.lit(1)).alias("roots"), F.max_by("root", F.struct("n", -F.col("root"))).alias("most"))
+    return lists.where("roots > 1").select(key, "members", "most")
+
+
+def _outside_pairs(members: DataFrame, key: str, fits: Callable[[str, str], Column]) -> DataFrame:
+    """``x, y``: members (key, id, n, root, most) of one list and two components, for which ``fits`` holds.
+
+    One end at least is outside the list's largest component, so a list with one large
+    component is never compared with itself.
+    """
+    names = [c for c in members.columns if c not in (key, "most")]
+    left = members.where(F.col("root") != F.col("most")).select(key, "most", *[F.col(c).alias(f"x_{c}") for c in names])
+    right = members.select(key, *[F.col(c).alias(f"y_{c}") for c in names])
+    apart = (F.col("y_root") == F.col("most")) | (F.col("x_root") < F.col("y_root"))
+    return left.join(right, key).where((F.col("x_root") != F.col("y_root")) & apart & fits("x_", "y_")).select(
+        F.col("x_id").alias("x"), F.col("y_id").alias("y")
+    ).distinct()
+
+
+def _rarest(sets: DataFrame) -> DataFrame:
+    """``shingle, id, n, root, most_n``: shingles of which a match of a class must share one.
+
+    ``sets`` has the full ``hashes``. They are ordered by the number of sets that hold
+    them; a match of ``m`` shingles shares 4/9 of ``n + m``, so one at place i or later can
+    only be the first shared one if n - i are enough: for ``m`` up to ``most_n``.
+    """
+    held = sets.select("id", "n", "root", F.explode("hashes").alias("shingle"))
+    counts = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    shared = F.sort_array(F.collect_list(F.struct("sets", "shingle"))).alias("shared")
+    mine = held.join(counts, "shingle").groupBy("id", "n", "root").agg(shared).withColumn("alone", F.col("n") - F.size("shared"))
+    kept = (F.floor(F.col("n") * (BOTTOM - TOP) / BOTTOM) + 1 - F.col("alone")).cast("int")
+    first = mine.where(kept > 0).select("id", "n", "root", "alone", F.posexplode(F.slice("shared.shingle", 1, kept)).alias("i", "shingle"))
+    total = TOP + BOTTOM
+    most = F.floor((total * (F.col("n") - F.col("alone") - F.col("i")) - TOP * F.col("n")) / TOP)
+    return first.select("shingle", "id", "n", "root", most.alias("most_n"))
+
+
+def _across(docs: DataFrame, classes: DataFrame, posted: DataFrame, roots: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
     """``x, y``: classes that share a list and are not in one component."""
     rooted = posted.join(roots, posted.id == roots.node, "left").select("value", "id", "n", F.coalesce("root", "id").alias("root"))
-    mixed = rooted.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("value")
-    open_lists = written(rooted.join(mixed, "value"), "lists")
-    left = open_lists.select("value", F.col("id").alias("x"), F.col("n").alias("xn"), F.col("root").alias("xr"))
-    right = open_lists.select("value", F.col("id").alias("y"), F.col("n").alias("yn"), F.col("root").alias("yr"))
-    return left.join(right, "value").where("xr < yr").where(_sized("xn", "yn")).select("x", "y").distinct()
+    lists = written(rooted.join(_mixed(rooted, "value"), "value"), "lists")
+    few = _outside_pairs(lists.where(F.col("members") < CROWD).drop("members"), "value", lambda x, y: _sized(f"{x}n", f"{y}n"))
+    crowd = lists.where(F.col("members") >= CROWD).select("id", "n", "root").distinct()
+    texts = texts_of(docs, classes, crowd.select("id"), id_col, text_col)
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches, "text"):
+            found = pa.array([hashes(t, width) for t in piece.column("text").to_pylist()], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([piece.column("id"), found], names=["id", "hashes"])
+
+    sets = crowd.join(texts.select("id", "text").mapInArrow(hashed, "id bigint, hashes array<bigint>"), "id")
+    rarest = written(_rarest(sets), "rarest")
+    found = rarest.join(_mixed(rarest, "shingle").drop("members"), "shingle")
+    many = _outside_pairs(
+        found, "shingle",
+        lambda x, y: _sized(f"{x}n", f"{y}n") & (F.col(f"{x}n") <= F.col(f"{y}most_n")) & (F.col(f"{y}n") <= F.col(f"{x}most_n")),
+    )
+    return few.unionByName(many).distinct()
 
 
 def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -159,13 +221,18 @@ def similar(a: set[bytes], b: set[bytes]) -> bool:
     return BOTTOM * shared >= TOP * (len(a) + len(b) - shared)
 
 
-def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """The pairs (x, y) whose full sets are similar; only texts of classes that occur in pairs are moved."""
-    pairs = written(pairs, "pairs")
-    wanted = pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct().join(classes.select("id", "at", "version"), "id")
+def texts_of(docs: DataFrame, classes: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id, text`` of the first document of each class in ``ids``; only these texts are moved."""
+    wanted = ids.distinct().join(classes.select("id", "at", "version"), "id")
     own = docs.select(*_key(id_col, text_col), F.col(text_col).alias("text"))
     # Repeated rows are one text.
-    texts = written(own.join(wanted, ["at", "version"]).groupBy("at", "version", "id").agg(F.first("text").alias("text")), "texts")
+    return own.join(wanted, ["at", "version"]).groupBy("at", "version", "id").agg(F.first("text").alias("text")).select("id", "text")
+
+
+def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
+    """The pairs (x, y) whose full sets are similar."""
+    pairs = written(pairs, "pairs")
+    texts = written(texts_of(docs, classes, pairs.select(F.explode(F.array("x", "y")).alias("id")), id_col, text_col), "texts")
     both = pairs.join(texts.select(F.col("id").alias("y"), F.col("text").alias("b")), "y").join(
         texts.select(F.col("id").alias("x"), F.col("text").alias("a")), "x"
     ).select("x", "y", "a", "b")
@@ -194,7 +261,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id", tex
     posted = written(postings(classes), "postings")
     first = verified(docs, classes, estimated(_first_met(posted), classes), width, id_col, text_col)
     roots = written(components(first.select(F.col("x").alias("a"), F.col("y").alias("b"))), "roots")
-    more = verified(docs, classes, estimated(_across(posted, roots), classes), width, id_col, text_col)
+    more = verified(docs, classes, estimated(_across(docs, classes, posted, roots, width, id_col, text_col), classes), width, id_col, text_col)
     # The second links join whole components.
     at = roots.select(F.col("node"), F.col("root"))
     ends = more.join(at.select(F.col("node").alias("x"), F.col("root").alias("xr")), "x", "left").join(

@@ -59,7 +59,9 @@ def found_components(docs, width):
     return by_text(tuple(r) for r in bottomk.near_duplicates(docs, width).select("doc_id", "n_shingles", "component_id", "kept").collect())
 
 
-def test_near_copies_match_all_pairs(make):
+@pytest.mark.parametrize("crowd", [2, 16, 10**6])
+def test_near_copies_match_all_pairs(make, crowd, monkeypatch):
+    monkeypatch.setattr(bottomk, "CROWD", crowd)
     rng = random.Random(5)
     rows = []
     for family in range(12):
@@ -71,6 +73,12 @@ def test_near_copies_match_all_pairs(make):
             rows.append((len(rows) * 7 % 1009, " ".join(copy)))
     shared = " ".join(f"passage{i}" for i in range(50))
     rows += [(2000 + i, shared + " " + " ".join(f"own{i}x{j}" for j in range(4 + i % 20))) for i in range(40)]
+    base = [f"hub{i}" for i in range(150)]
+    for _ in range(60):
+        copy = list(base)
+        for _ in range(rng.randrange(9)):
+            copy[rng.randrange(len(copy))] = f"far{rng.randrange(40)}"
+        rows.append((3000 + len(rows), " ".join(copy)))
     rng.shuffle(rows)
     assert found_components(make(rows), 4) == by_text(plain_components(rows, 4))
 
