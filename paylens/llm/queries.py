@@ -162,30 +162,36 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
-_UNITS_SQL = r"""
-WITH lines AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM documents),
+#: A passage that many documents share has at least so many words; runs of shared sentences that are shorter stay.
+PASSAGE_WORDS = 30
+
+_UNITS_SQL = rf"""
+WITH pieces AS (
+  SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) AS i FROM
+    (SELECT doc_id, regexp_extract_all(text, '[^\n]*?(?:[.!?。！？]+[ \t\x0b\x0c\r]+|\n|$)') AS p FROM documents)),
 placed AS (
-  SELECT doc_id, n, line, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
-         trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS unit
-  FROM lines),
-ranked AS (
-  SELECT *, length(unit) - length(replace(unit, ' ', '')) + 1 >= 5 AND unit <> '' AS counts,
-         first_value(doc_id) OVER w AS kept_in, row_number() OVER w AS place
-  FROM placed WINDOW w AS (PARTITION BY unit ORDER BY doc_id, start))
-SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE NOT (counts AND place > 1)), '') AS text, count(*) AS n_units,
-       count(*) FILTER (WHERE counts AND place > 1) AS n_removed,
-       coalesce(string_agg(start::BIGINT || ':' || (start + length(line))::BIGINT || ':' || kept_in, ',' ORDER BY n) FILTER (WHERE counts AND place > 1), '') AS removed
-FROM ranked GROUP BY doc_id
+  SELECT doc_id, i, piece, coalesce(sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start,
+         length(regexp_replace(piece, '(?:([.!?。！？])[ \t\x0b\x0c\r]+|\n)$', '\1'))::BIGINT AS n,
+         regexp_extract_all(translate(piece, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM pieces WHERE piece <> ''),
+sized AS (SELECT *, greatest(len(w), length(list_aggregate(w, 'string_agg', '')) // {line_hash.WORD_CHARS}) AS size FROM placed),
+worded AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS place, count(*) OVER (PARTITION BY w) AS times FROM sized WHERE len(w) > 0),
+runs AS (SELECT *, place - row_number() OVER (PARTITION BY doc_id ORDER BY place) AS run FROM worded WHERE times > 1),
+passages AS (SELECT *, sum(size) OVER (PARTITION BY doc_id, run) AS words FROM runs QUALIFY words >= {PASSAGE_WORDS}),
+ranked AS (SELECT doc_id, i, row_number() OVER k AS rank, first_value(doc_id) OVER k AS kept_in FROM passages WINDOW k AS (PARTITION BY w ORDER BY doc_id, start))
+SELECT d.doc_id, CASE WHEN any_value(d.text) IS NULL THEN NULL ELSE coalesce(string_agg(piece, '' ORDER BY p.i) FILTER (WHERE coalesce(rank, 1) = 1), '') END AS text,
+       count(*) FILTER (WHERE len(w) > 0) AS n_units, count(rank) AS n_repeated, count(*) FILTER (WHERE rank > 1) AS n_removed,
+       coalesce(string_agg(start || ':' || (start + n) || ':' || kept_in, ',' ORDER BY p.i) FILTER (WHERE rank > 1), '') AS removed
+FROM documents d LEFT JOIN sized p ON p.doc_id = d.doc_id LEFT JOIN ranked r ON r.doc_id = p.doc_id AND r.i = p.i GROUP BY d.doc_id
 """
 
 
 @query("op2_substring_dedup", _UNITS_SQL)
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_hash.deduplicate(table(spark, sf_dir, "documents"))
+    found = line_hash.deduplicate(table(spark, sf_dir, "documents"), least_words=1, by="sentences", least_passage=PASSAGE_WORDS)
     spans = F.transform("removed", lambda r: F.concat_ws(":", r["start"], r["end"], r["kept_in"]))
     return found.select(
-        "doc_id", "text", (F.size("kept") + F.size("removed")).cast("long").alias("n_units"), F.size("removed").cast("long").alias("n_removed"),
+        "doc_id", "text", "n_units", F.col("repeated").cast("long").alias("n_repeated"), F.size("removed").cast("long").alias("n_removed"),
         F.array_join(spans, ",").alias("removed"),
     )
 

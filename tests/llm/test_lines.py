@@ -112,3 +112,88 @@ def test_scripts_without_blanks_and_short_lines(make):
     assert left() == dict(rows)
     assert left(least_chars=20) == {i: t if i == 0 else f"{short}\n \n\n{i}" for i, t in rows}
     assert left(least_words=1) == {i: t if i == 0 else f" \n\n{i}" for i, t in rows}
+
+
+def sentences(text):
+    """(start, end, words) of every sentence, character by character."""
+    out, start, i = [], 0, 0
+    while i < len(text):
+        if text[i] == "\n":
+            out.append((start, i))
+            start = i = i + 1
+        elif text[i] in " \t\x0b\x0c\r" and i and text[i - 1] in ".!?。！？":
+            out.append((start, i))
+            while i < len(text) and text[i] in " \t\x0b\x0c\r":
+                i += 1
+            start = i
+        else:
+            i += 1
+    out.append((start, len(text)))
+    lowered = [(a, b, tuple("".join(c.lower() if "A" <= c <= "Z" else c for c in text[a:b]).replace("\x0b", " ").split(" "))) for a, b in out]
+    return [(a, b, tuple(w for part in words for w in part.split())) for a, b, words in lowered]
+
+
+def passages(rows, least):
+    """Removed (start, end, kept_in) and the number of repeated sentences, by looking at all documents at once."""
+    places = {}
+    for doc_id, text in rows:
+        for a, _, words in sentences(text or ""):
+            if words:
+                places.setdefault(words, set()).add((doc_id, a))
+    inside = {}
+    for doc_id, text in rows:
+        run = []
+        for a, b, words in [x for x in sentences(text or "") if x[2]] + [(None, None, None)]:
+            if words is not None and len(places[words]) > 1:
+                run.append((a, b, words))
+                continue
+            if sum(max(len(w), sum(map(len, w)) // 8) for _, _, w in run) >= least:
+                for x, y, w in run:
+                    inside.setdefault(w, set()).add((doc_id, x, y))
+            run = []
+    gone, known = {}, {}
+    for held in inside.values():
+        first = min(held)
+        for place in held:
+            known[place[0]] = known.get(place[0], 0) + 1
+            if place != first:
+                gone.setdefault(place[0], []).append((place[1], place[2], first[0]))
+    return {d: sorted(x) for d, x in gone.items()}, known
+
+
+@pytest.mark.parametrize("least", [1, 12, 30])
+def test_passages_against_a_plain_version(make, least):
+    r = random.Random(least)
+    words = [f"w{i}" for i in range(400)]
+
+    def prose(n):
+        return "".join(r.choice(words) + r.choice([" "] * 7 + [". ", "! ", "?  ", ".\n", "\n", "\n\n", ".  \n "]) for _ in range(n))
+
+    shared = [prose(60) for _ in range(4)] + ["これは長い段落です。" * 12]
+    rows = [(0, None), (1, ""), (2, " \n. ! "), (3, "Short one. Short one.")]
+    for i in range(40):
+        text = prose(r.randrange(50))
+        for _ in range(r.randrange(3)):
+            text += r.choice(shared) + prose(r.randrange(20))
+        rows.append((10 + i, text))
+    rows += [(60, rows[-1][1]), (61, rows[-1][1].upper())]
+    gone, known = passages(rows, least)
+    texts = dict(rows)
+    found = line_hash.deduplicate(make(rows + rows[7:9]), least_words=1, by="sentences", least_passage=least).collect()
+    assert len(found) == len(rows) + 2
+    for f in found:
+        assert [tuple(x) for x in f.removed] == gone.get(f.doc_id, []) and f.repeated == known.get(f.doc_id, 0)
+        assert f.n_units == sum(1 for x in sentences(texts[f.doc_id] or "") if x[2])
+        if not f.removed:
+            assert f.text == texts[f.doc_id]
+        assert "".join(texts[f.doc_id][x.start : x.end] for x in f.kept) == "".join((texts[f.doc_id] or "")[a:b] for a, b, _ in sentences(texts[f.doc_id] or "") if (a, b) not in {(x.start, x.end) for x in f.removed}) if texts[f.doc_id] else True
+    assert gone
+
+
+def test_a_passage_inside_lines_is_found_and_clean_prose_stays(make):
+    passage = " ".join(f"Sentence {i} of the passage has seven words." for i in range(9))
+    rows = [(i, f"Own words number {i} come first here {passage} and own words end. Yes. That is all.") for i in range(30)]
+    rows += [(100 + i, f"Nothing in {i} is shared but this. Yes. That is all. And {i} ends.") for i in range(30)]
+    got = {r.doc_id: r for r in line_hash.deduplicate(make(rows), least_words=1, by="sentences", least_passage=30).collect()}
+    assert all(got[i].repeated >= 8 and (len(got[i].removed) >= 8) == (i > 0) for i in range(30))
+    assert all(got[100 + i].text == rows[30 + i][1] and not got[100 + i].repeated for i in range(30))
