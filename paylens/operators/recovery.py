@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from paylens.functions.dates import hour_label, iso_from_day_first, strict_date, wall_clock
 from paylens.functions.numeric import total
 from paylens.functions.text import blank_to_null, first_present, is_blank
+from paylens.operators import silence
 
 SPIKE_ABOVE = 1000
 
@@ -90,18 +91,16 @@ def split_records(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, judged.where("_quarantine_reason IS NOT NULL")
 
 
-def change_then_silence(changes: DataFrame, series: DataFrame, bucket: str) -> DataFrame:
+def change_then_silence(changes: DataFrame, series: DataFrame, bucket: str, seconds: int = 300) -> DataFrame:
     """Per change event, the first empty bucket at or after it.
 
-    The next empty bucket is carried back over the bounded series, so events join one
-    bucket each instead of every later one. ``changes`` has ``change_id`` and ``bucket``.
+    ``changes`` has ``change_id`` and ``bucket``; ``series`` has counts ``n``, with or
+    without rows for empty buckets.
     """
-    from pyspark.sql import Window
-
-    ahead = Window.orderBy(F.desc(bucket)).rowsBetween(Window.unboundedPreceding, 0)
-    empty = F.when(F.col("n") == 0, F.col(bucket))
-    nexts = series.withColumn("first_gap", F.min(empty).over(ahead)).select(bucket, "first_gap")
-    return changes.join(nexts, bucket).select("change_id", bucket, "first_gap")
+    edges = series.where("n > 0")
+    empty = series.where("n = 0").select(F.col(bucket).alias("start"), F.col(bucket).alias("end"))
+    runs = silence.low_runs(edges, bucket, seconds).select("start", "end").unionByName(empty)
+    return silence.first_gap(changes, runs, bucket, seconds).select("change_id", bucket, "first_gap")
 
 
 def incident_summary(gap: DataFrame, breaches: DataFrame, load: DataFrame) -> DataFrame:

@@ -55,34 +55,22 @@ def _bucket(value: Column, cuts: list[float], first: int = 0) -> Column:
 
 
 def rolling_sum(
-    df: DataFrame, key: str, ts: str, value: Column, seconds: int, name: str, threshold: float | None = None
+    df: DataFrame, key: str, ts: str, value: Column, seconds: int, name: str, threshold: float | None = None, block: int | None = None
 ) -> DataFrame:
     """Rolling sum per key over the last ``seconds``, at second resolution.
 
-    Rows are summed per key and second first, so a key's window holds at most one row
-    per second however many transactions it has.
+    Rows are summed per key and second first. A key's seconds are then cut into blocks of
+    time (four times ``seconds`` long if not given), each with the last ``seconds`` of the
+    block before as a halo, so a task holds a block and never a key's history.
     """
+    block = block or 4 * seconds
     per_second = df.groupBy(key, epoch(F.col(ts)).alias("second")).agg(F.sum(value).alias("amount"))
-    window = Window.partitionBy(key).orderBy("second").rangeBetween(-seconds, 0)
-    out = per_second.withColumn(name, F.sum("amount").over(window))
-    return out if threshold is None else out.withColumn("breach", F.col(name) > threshold)
-
-
-def fill_buckets(counts: DataFrame, bucket: str, seconds: int) -> DataFrame:
-    """Add a zero row for every empty bucket between the first and the last."""
-    span = counts.agg(F.min(bucket).alias("lo"), F.max(bucket).alias("hi"))
-    grid = span.select(F.explode(F.sequence("lo", "hi", F.lit(seconds).cast("long"))).alias(bucket))
-    return grid.join(counts, bucket, "left").fillna(0, ["n"])
-
-
-def consecutive_breach(series: DataFrame, bucket: str, below: int, periods: int = 2) -> DataFrame:
-    """Alarm where ``n`` stayed under ``below`` for ``periods`` buckets in a row.
-
-    ``series`` is gap-filled, one row per bucket, so the window is bounded by time.
-    """
-    window = Window.orderBy(bucket).rowsBetween(1 - periods, 0)
-    low = F.when(F.col("n") < below, 1).otherwise(0)
-    return series.withColumn("alarm", F.sum(low).over(window) == periods)
+    own = F.floor(F.col("second") / block)
+    reach = F.floor((F.col("second") + seconds) / block)
+    dealt = per_second.withColumn("_block", F.explode(F.sequence(own, reach)))
+    window = Window.partitionBy(key, "_block").orderBy("second").rangeBetween(-seconds, 0)
+    summed = dealt.withColumn(name, F.sum("amount").over(window)).where(F.col("_block") == own).drop("_block")
+    return summed if threshold is None else summed.withColumn("breach", F.col(name) > threshold)
 
 
 def above_average(df: DataFrame, column: str, factor: float) -> DataFrame:

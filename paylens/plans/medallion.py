@@ -41,13 +41,22 @@ def valid_rows(bronze: DataFrame, mode: str = "silver") -> DataFrame:
 
     ``silver`` keeps zero amounts; ``staging`` and ``replay`` do not.
     """
+    return bronze.where(is_valid(mode))
+
+
+def is_valid(mode: str = "silver") -> Column:
     keep = F.col("amount") >= 0 if mode == "silver" else F.col("amount") > 0
-    return bronze.where(~is_blank(F.col("transaction_id")) & keep)
+    return ~is_blank(F.col("transaction_id")) & keep
+
+
+def latest_first() -> list[Column]:
+    """Which copy of a transaction counts: the newest, and of equal ones always the same."""
+    return [F.desc("ingestion_timestamp"), F.asc("k"), F.asc("amount"), F.asc("merchant_id")]
 
 
 def to_silver(bronze: DataFrame, merchants: DataFrame, order: list | None = None) -> DataFrame:
     """Filter, keep the latest copy per id, add merchant fields and the flag."""
-    order = order or [F.desc("ingestion_timestamp"), F.asc("k")]
+    order = order or latest_first()
     return enrich(latest_per_key(valid_rows(bronze), ["transaction_id"], order), merchants, "merchant_id")
 
 

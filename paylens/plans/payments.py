@@ -58,14 +58,15 @@ def incremental(source: DataFrame, this: DataFrame, key: str, loaded_at: str) ->
     """The table after adding the rows newer than its newest, replacing equal keys.
 
     The high-water mark is a scalar subquery. New rows win; among themselves the
-    latest does, ties by the whole row.
+    latest does, ties by the whole row. Only they are ranked; ``this`` has a row for each
+    key. ``sources.keyed.replace_newer`` keeps such a table in files.
     """
     mark = this.agg(F.max(loaded_at)).scalar()
     fresh = source.where(F.col(loaded_at) > mark)
     columns = this.columns
-    both = this.withColumn("_new", F.lit(0)).unionByName(fresh.select(*columns).withColumn("_new", F.lit(1)))
-    order = [F.desc("_new"), F.desc(loaded_at), *[F.asc(c) for c in columns if c not in (key, loaded_at)]]
-    return latest_per_key(both, [key], order).select(*columns)
+    order = [F.desc(loaded_at), *[F.asc(c) for c in columns if c not in (key, loaded_at)]]
+    newest = latest_per_key(fresh.select(*columns), [key], order)
+    return this.join(newest.select(key), key, "left_anti").select(*columns).unionByName(newest)
 
 
 def insert_only(source: DataFrame, target: DataFrame, key: str, order: list[Column]) -> DataFrame:

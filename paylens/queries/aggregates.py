@@ -190,10 +190,8 @@ def a10(spark, sf):
     ),
 )
 def a11(spark, sf):
-    gmv = agg.daily_gmv(
-        data.staged(spark, sf).where(F.col("transaction_date") >= F.date_sub(data.as_of(), 30)), data.merchants(spark, sf)
-    )
-    return agg.rolling_merchant(gmv, data.as_of())
+    month = data.valid_rows(data.transactions(spark, sf, data.AS_OF_DAY - datetime.timedelta(days=30)), "staging")
+    return agg.rolling_merchant(agg.daily_gmv(month, data.merchants(spark, sf)), data.as_of())
 
 
 @query(

@@ -13,7 +13,7 @@ from paylens.operators import aggregates as agg
 from paylens.operators.aggregates import is_completed, row_count, the_amount
 from paylens.operators.privacy import guard_status
 from paylens.plans import delivery, payments
-from paylens.plans.medallion import valid_rows
+from paylens.plans.medallion import is_valid, valid_rows
 from paylens.queries import data
 from paylens.queries.aggregates import BEHAVIOUR, PREFERRED, ratings
 from paylens.queries.registry import query
@@ -49,12 +49,11 @@ MODES = [("silver", ">="), ("staging", ">"), ("replay", ">")]
     ),
 )
 def f02(spark, sf):
+    """All three variants in one pass: each is a condition on the row."""
     typed = data.transactions_dirty(spark, sf).withColumn("amount", numeric.to_amount(the_amount()))
-    out = None
-    for mode, _ in MODES:
-        kept = valid_rows(typed, mode).agg(F.lit(mode).alias("mode"), row_count().alias("rows"), F.sum("k").alias("key_sum"))
-        out = kept if out is None else out.unionByName(kept)
-    return out
+    counts = [x for i, (mode, _) in enumerate(MODES) for x in (numeric.count_when(is_valid(mode)).alias(f"n{i}"), F.sum(F.when(is_valid(mode), F.col("k"))).alias(f"k{i}"))]
+    lines = [F.struct(F.lit(mode).alias("mode"), F.col(f"n{i}").alias("rows"), F.col(f"k{i}").alias("key_sum")) for i, (mode, _) in enumerate(MODES)]
+    return typed.agg(*counts).select(F.inline(F.array(*lines)))
 
 
 TESTED = """SELECT k, CASE WHEN k % 47 = 0 THEN 'TEST_' || merchant_id ELSE merchant_id END AS merchant_id FROM txn"""
@@ -211,7 +210,7 @@ def f14(spark, sf):
     ),
 )
 def f15(spark, sf):
-    return agg.segments(data.transactions(spark, sf), data.as_of())
+    return agg.segments(data.transactions(spark, sf, data.AS_OF_DAY - datetime.timedelta(days=29)), data.as_of())
 
 
 @query(

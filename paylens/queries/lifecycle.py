@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import datetime
+import functools
 
 import pandas as pd
 from pyspark.sql import functions as F
 
-from paylens.functions.dates import wall_clock
-from paylens.functions.numeric import count_when, pct
-from paylens.functions.udf import column_model
+from paylens.functions import aggregate
+from paylens.functions.dates import epoch, epoch_label, wall_clock
+from paylens.functions.numeric import count_when, money, pct
+from paylens.functions.udf import column_model, register_model
 from paylens.operators import aggregates as agg
-from paylens.operators import monitoring, recovery
+from paylens.operators import incident, monitoring, recovery
 from paylens.operators.aggregates import is_completed, is_failed, row_count, the_amount
 from paylens.operators.contracts import ModelTest
-from paylens.plans import payments, replay
+from paylens.plans import increment, ledger, payments, replay
 from paylens.plans.build import Model, build
 from paylens.plans.medallion import ingest_bronze, run, run_recorded, to_silver, typed
 from paylens.plans.metrics import metric
@@ -22,9 +24,8 @@ from paylens.queries import data
 from paylens.queries.aggregates import GAP, RATE, SLA, _halves, sla_contracts
 from paylens.queries.quality import FEED, replay_feed
 from paylens.queries.registry import query
-from paylens.queries.sqlbase import AS_OF, N_COMPLETED, N_FAILED, REVENUE, with_views
+from paylens.queries.sqlbase import AS_OF, N_COMPLETED, N_FAILED, REASON, REVENUE, with_views
 from paylens.queries.sqlbase import pct as sql_pct
-from paylens.queries.streams import REASON
 from paylens.session import scratch_path, written
 
 
@@ -48,6 +49,50 @@ def x01(spark, sf):
     return data.table(spark, sf, "documents").select("lang", label("text").alias("label")).groupBy("lang", "label").agg(row_count().alias("docs"))
 
 
+@query(
+    "x01b_aggregate_function",
+    """SELECT user_id, ROUND(CASE WHEN COUNT(CASE WHEN value > 0 THEN 1 END) > 0 THEN EXP(SUM(CASE WHEN value > 0 THEN LN(value) END) / COUNT(CASE WHEN value > 0 THEN 1 END)) END, 4) AS geometric_mean
+       FROM events GROUP BY 1""",
+)
+def x01b(spark, sf):
+    """A grouped Arrow aggregate, called from SQL: parts of a user's rows to states, states to a value."""
+    aggregate.register_geometric_mean(spark)
+    data.table(spark, sf, "events").createOrReplaceTempView("x01b_events")
+    return spark.sql(
+        """SELECT user_id, ROUND(geometric_mean(state), 4) AS geometric_mean FROM
+           (SELECT user_id, geometric_mean_partial(value) AS state FROM x01b_events GROUP BY user_id, pmod(event_id, 64)) GROUP BY user_id"""
+    )
+
+
+@query(
+    "x01c_table_function",
+    """SELECT key, MIN(s) AS started, MAX(s) AS ended, COUNT(*) AS events FROM (SELECT key, s, SUM(CASE WHEN s - before < 1800 THEN 0 ELSE 1 END) OVER (PARTITION BY key ORDER BY s, event_id) AS visit
+       FROM (SELECT user_id AS key, event_id, CAST(FLOOR(epoch(ts)) AS BIGINT) AS s, LAG(CAST(FLOOR(epoch(ts)) AS BIGINT)) OVER (PARTITION BY user_id ORDER BY CAST(FLOOR(epoch(ts)) AS BIGINT), event_id) AS before
+             FROM events)) GROUP BY key, visit""",
+)
+def x01c(spark, sf):
+    """A table function with a partitioned, ordered table argument, called from SQL: visits of each user."""
+    aggregate.register_sessions(spark)
+    data.table(spark, sf, "events").select(F.col("user_id").alias("key"), epoch(F.col("ts")).alias("second")).createOrReplaceTempView("x01c_events")
+    return spark.sql("SELECT key, started, ended, events FROM sessions(TABLE(x01c_events) PARTITION BY key ORDER BY second)")
+
+
+@query(
+    "x01d_registered_model",
+    """SELECT role, CASE WHEN n < 200 THEN 'short' WHEN n < 800 THEN 'medium' ELSE 'long' END AS label, COUNT(*) AS turns FROM
+       (SELECT role, length(text) AS n FROM conversations) GROUP BY 1, 2""",
+)
+def x01d(spark, sf):
+    """A user's column model, registered and called from SQL."""
+
+    def size_label(texts: pd.Series) -> pd.Series:
+        return pd.cut(texts.str.len(), [-1, 199, 799, float("inf")], labels=["short", "medium", "long"]).astype(str)
+
+    register_model(spark, "size_label", size_label, "string")
+    data.table(spark, sf, "conversations").createOrReplaceTempView("x01d_conversations")
+    return spark.sql("SELECT role, size_label(text) AS label, COUNT(*) AS turns FROM x01d_conversations GROUP BY 1, 2")
+
+
 @query(
     "x02_metric_registry",
     with_views(
@@ -203,6 +248,71 @@ def x05b(spark, sf):
     )
 
 
+GOLD_SQL = with_views(
+    "txn_raw dim_merchant",
+    f"""SELECT 'merchant_performance' AS gold, COALESCE(merchant_id, '') AS key, transaction_date AS day, {REVENUE} AS amount, COUNT(*) AS n,
+          {RATE} AS rate, COALESCE(MAX(merchant_name), '') AS label, CAST(NULL AS BIGINT) AS customers, CAST(NULL AS BIGINT) AS merchants FROM s GROUP BY merchant_id, transaction_date
+        UNION ALL SELECT 'daily_summary', '', transaction_date, {REVENUE}, COUNT(*), {RATE}, '', COUNT(DISTINCT customer_id), COUNT(DISTINCT merchant_id) FROM s GROUP BY transaction_date
+        UNION ALL SELECT 'customer_ltv', customer_id, MIN(transaction_date), {REVENUE}, COUNT(*),
+          CAST(SUM(CASE WHEN status = 'COMPLETED' THEN amount ELSE 0 END) AS DOUBLE) / NULLIF(CAST({N_COMPLETED} AS DOUBLE), 0),
+          MAX(method) || ' until ' || CAST(MAX(transaction_date) AS VARCHAR), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)
+        FROM s JOIN (SELECT customer_id AS c, FIRST(payment_method ORDER BY n DESC, payment_method) AS method FROM
+          (SELECT customer_id, payment_method, COUNT(*) AS n FROM s GROUP BY 1, 2) GROUP BY 1) ON c = customer_id GROUP BY customer_id""",
+    {
+        "s": """SELECT b.*, m.merchant_name FROM
+           (SELECT DISTINCT ON (transaction_id) transaction_id, amount, status, customer_id, payment_method, transaction_date, CASE WHEN k % 41 = 0 THEN 'MXXX' ELSE merchant_id END AS merchant_id
+            FROM txn_raw ORDER BY transaction_id, ingestion_timestamp DESC, amount, merchant_id) b LEFT JOIN dim_merchant m ON m.merchant_id = b.merchant_id"""
+    },
+)
+
+
+def gold_rows(merchant, daily, ltv):
+    """The three Gold tables side by side, with one set of columns."""
+    nothing = F.lit(None).cast("long")
+    shape = ["gold", "key", "day", "amount", "n", "rate", "label", "customers", "merchants"]
+    parts = [
+        merchant.select(F.lit("merchant_performance"), F.coalesce("merchant_id", F.lit("")), "transaction_date", "total_revenue", "txn_count", "failure_rate_pct", "merchant_name", nothing, nothing),
+        daily.select(F.lit("daily_summary"), F.lit(""), "report_date", "total_revenue", "total_txns", "failure_rate_pct", F.lit(""), "unique_customers", "unique_merchants"),
+        ltv.select(
+            F.lit("customer_ltv"), "customer_id", "first_txn_date", "total_spent", "total_txns", "avg_txn_value",
+            F.concat("preferred_payment_method", F.lit(" until "), F.col("last_txn_date").cast("string")), nothing, nothing,
+        ),
+    ]
+    return functools.reduce(lambda a, b: a.unionByName(b), [p.toDF(*shape) for p in parts])
+
+
+@query("x05d_layered_gold", GOLD_SQL)
+def x05d(spark, sf):
+    """All Gold tables of a whole layered run."""
+    out, _ = layered_run(spark, sf)
+    return gold_rows(*[spark.read.parquet(f"{out}/{t}") for t in ("merchant_performance", "daily_summary", "customer_ltv")])
+
+
+@query("x05e_incremental_gold", GOLD_SQL)
+def x05e(spark, sf):
+    """The same tables after three batches, of which each touches some years and brings copies of older transactions."""
+    out, bronze, merchants = scratch_path(spark, "increments"), bronze_feed(spark, sf), data.merchants(spark, sf)
+    for version, batch in enumerate(["k % 3 = 0", "transaction_date < DATE '1995-07-01' AND k % 3 = 1", "transaction_date >= DATE '1995-07-01' AND k % 3 = 1 OR k % 3 = 2"], 1):
+        increment.run_batch(spark, bronze.where(batch), merchants, out, version, grain="yyyy")
+    return gold_rows(*[increment.read(spark, out, t) for t in ("merchant_performance", "daily_summary", "customer_ltv")])
+
+
+@query(
+    "x05f_distinct_over_any_period",
+    with_views(
+        "txn_raw",
+        """SELECT strftime(transaction_date, '%Y') AS year, COUNT(DISTINCT customer_id) AS unique_customers FROM
+           (SELECT DISTINCT ON (transaction_id) transaction_id, transaction_date, customer_id FROM txn_raw ORDER BY transaction_id, ingestion_timestamp DESC, k) GROUP BY 1""",
+    ),
+)
+def x05f(spark, sf):
+    """Customers of each year from the daily bitmaps, without the transactions."""
+    out = scratch_path(spark, "bitmaps")
+    increment.run_batch(spark, bronze_feed(spark, sf), data.merchants(spark, sf), out, 1, grain="yyyy")
+    buyers = increment.read(spark, out, "buyers").withColumn("year", F.date_format("transaction_date", "yyyy"))
+    return increment.distinct_buyers(buyers, ["year"])
+
+
 @query(
     "x05c_csv_to_gold",
     with_views(
@@ -234,10 +344,21 @@ HEALTH = f"""SELECT CAST(DATE_DIFF('day', MAX(transaction_date), {AS_OF}) * 24 A
    CAST(COUNT(*) AS DOUBLE) / COUNT(DISTINCT transaction_date) AS rows_per_day FROM silver"""
 
 
+#: Records of nightly runs, as the audit log has them: a run begins with the first event of a day and ends with the last before three o'clock.
+RUNS = """SELECT CAST(ts AS DATE) AS run_day, CAST(epoch_us(MAX(ts)) - epoch_us(MIN(ts)) AS DOUBLE) / 60000000 AS minutes FROM events WHERE EXTRACT(HOUR FROM ts) < 3 GROUP BY 1"""
+RUNTIME = f"(SELECT minutes FROM ({RUNS}) ORDER BY run_day DESC LIMIT 1)"
+
+
+def recorded_runs(spark, sf):
+    """``run_day, started, ended`` of every nightly run."""
+    nightly = data.table(spark, sf, "events").where(F.hour("ts") < 3)
+    return nightly.groupBy(F.to_date("ts").alias("run_day")).agg(F.min("ts").alias("started"), F.max("ts").alias("ended"))
+
+
 def health_metrics(spark, sf):
-    """One row of pipeline health; the runtime, in whole tens of minutes, comes from the run's own record."""
-    record = run_record(spark, sf, "health")
-    runtime = F.floor((F.col("ended").cast("double") - F.col("started").cast("double")) / 600) * 10.0
+    """One row of pipeline health; the runtime is that of the newest recorded run, to the microsecond."""
+    record = recorded_runs(spark, sf).orderBy(F.desc("run_day")).limit(1)
+    runtime = monitoring.minutes_of(F.col("started"), F.col("ended"))
     per_day = data.silver(spark, sf).groupBy("transaction_date").agg(row_count().alias("n"), count_when(F.col("quality_flag") == "CLEAN").alias("ok"))
     return per_day.agg(
         (F.datediff(data.as_of(), F.max("transaction_date")) * 24).cast("double").alias("freshness_hours"),
@@ -255,7 +376,7 @@ OBJECTIVES = [
 ]
 SLO_SQL = f"""SELECT 'data_freshness' AS objective, freshness_hours AS value, freshness_hours <= 24 AS met FROM h
    UNION ALL SELECT 'quality', quality_pct, quality_pct >= 99.9 FROM h UNION ALL SELECT 'row_count', rows_per_day, rows_per_day BETWEEN 17 AND 25 FROM h
-   UNION ALL SELECT 'runtime', 0.0::DOUBLE, TRUE FROM h"""
+   UNION ALL SELECT 'runtime', {RUNTIME}, {RUNTIME} <= 120 FROM h"""
 
 
 @query("x06_objectives", with_views("silver", SLO_SQL, {"h": HEALTH}))
@@ -269,7 +390,7 @@ def x06(spark, sf):
         "silver",
         f"""SELECT * FROM (SELECT 'data_freshness_breach' AS rule, 'CRITICAL' AS severity, freshness_hours > 24 AS fired FROM h
         UNION ALL SELECT 'quality_threshold_breach', 'CRITICAL', quality_pct < 99.9 FROM h UNION ALL SELECT 'row_count_outside_bounds', 'CRITICAL', rows_per_day NOT BETWEEN 17 AND 25 FROM h
-        UNION ALL SELECT 'runtime_approaching_limit', 'WARNING', FALSE UNION ALL SELECT 'quality_slightly_below_threshold', 'WARNING', quality_pct < 99.9 AND quality_pct >= 99.85 FROM h
+        UNION ALL SELECT 'runtime_approaching_limit', 'WARNING', {RUNTIME} > 120 * 0.9 UNION ALL SELECT 'quality_slightly_below_threshold', 'WARNING', quality_pct < 99.9 AND quality_pct >= 99.85 FROM h
         UNION ALL SELECT 'merchant_failure_rate_spike', 'WARNING', (SELECT MAX(p) > 30 FROM (SELECT {sql_pct(N_FAILED, 'COUNT(*)')} AS p FROM silver GROUP BY merchant_id))
         UNION ALL SELECT 'new_payment_method_detected', 'INFO', (SELECT COUNT(*) > 0 FROM silver WHERE payment_method NOT IN ('CREDIT_CARD', 'UPI'))
         UNION ALL SELECT 'row_count_near_bounds', 'INFO', rows_per_day BETWEEN 17 AND 18 OR rows_per_day BETWEEN 24 AND 25 FROM h)""",
@@ -305,6 +426,97 @@ def x08(spark, sf):
     return recovery.incident_summary(gap, recovery.sla_breaches(gap, sla_contracts(spark, sf)), load)
 
 
+#: The outage of 10 January, the days that are checked for it, and the history that says what an hour should bring.
+OUTAGE = "ts >= TIMESTAMP '2024-01-10 02:00:00' AND ts < TIMESTAMP '2024-01-10 09:00:00'"
+CHECKED_DAYS = [int(datetime.datetime(2024, 1, d, tzinfo=datetime.timezone.utc).timestamp()) for d in (8, 15)]
+HISTORY_DAYS = [int(datetime.datetime(2024, 1, d, tzinfo=datetime.timezone.utc).timestamp()) for d in (16, 30)]
+SHORTFALL = f"""
+WITH loaded AS (SELECT CAST(FLOOR(epoch(ts) / 3600) * 3600 AS BIGINT) AS hour, user_id, CAST(value AS DECIMAL(18,2)) AS v FROM events WHERE NOT ({OUTAGE})),
+hourly AS (SELECT hour, COUNT(*) AS n FROM loaded GROUP BY 1),
+base AS (SELECT hour % 604800 AS slot, SUM(n) / CAST(2 AS DOUBLE) AS expected FROM hourly WHERE hour >= {HISTORY_DAYS[0]} AND hour < {HISTORY_DAYS[1]} GROUP BY 1),
+checked AS (SELECT g.hour, COALESCE(n, 0) AS n, COALESCE(expected, 0) AS expected FROM (SELECT UNNEST(range({CHECKED_DAYS[0]}, {CHECKED_DAYS[1]}, 3600)) AS hour) g
+  LEFT JOIN hourly h ON h.hour = g.hour LEFT JOIN base b ON b.slot = g.hour % 604800),
+islands AS (SELECT MIN(hour) AS s, MAX(hour) + 3600 AS e, COUNT(*) AS hours, ROUND(SUM(GREATEST(expected - n, 0)), 2) AS records_missing FROM
+  (SELECT *, hour - 3600 * ROW_NUMBER() OVER (ORDER BY hour) AS island FROM checked WHERE n < expected * 0.5) GROUP BY island)"""
+LABEL_AT = "strftime(to_timestamp({}) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S')"
+
+
+def outage(spark, sf):
+    """Hourly loads without the outage's rows, their weekly baseline and the failure windows."""
+    loaded = data.table(spark, sf, "events").where(~F.expr(OUTAGE.replace("TIMESTAMP", "TIMESTAMP_NTZ")))
+    amount = money(F.col("value"))
+    per_hour = written(incident.hourly(loaded, "ts", amount), "hourly")
+    hours = incident.hourly_shortfall(per_hour, incident.weekly_baseline(per_hour, *HISTORY_DAYS), *CHECKED_DAYS)
+    per_merchant = written(incident.hourly(loaded.withColumn("merchant_id", F.col("user_id")), "ts", amount, ["merchant_id"]), "merchant-hours")
+    return written(incident.failure_windows(hours), "windows"), per_merchant
+
+
+@query(
+    "x08b_failure_windows",
+    f"""{SHORTFALL} SELECT {LABEL_AT.format('s')} AS window_start, {LABEL_AT.format('e')} AS window_end, hours, records_missing FROM islands""",
+)
+def x08b(spark, sf):
+    """Every maximal run of hours that brought less than half of what their hour of the week does."""
+    windows, _ = outage(spark, sf)
+    return windows.select(epoch_label(F.col("start")).alias("window_start"), epoch_label(F.col("end")).alias("window_end"), "hours", "records_missing")
+
+
+@query(
+    "x08c_incident_row",
+    f"""{SHORTFALL}, w AS (SELECT * FROM islands ORDER BY records_missing DESC, s LIMIT 1),
+    mh AS (SELECT hour, user_id, COUNT(*) AS n, CAST(SUM(v) AS DOUBLE) AS amount FROM loaded GROUP BY 1, 2),
+    mb AS (SELECT hour % 604800 AS slot, user_id, CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) / 2 AS expected FROM mh WHERE hour >= {HISTORY_DAYS[0]} AND hour < {HISTORY_DAYS[1]} GROUP BY 1, 2),
+    wh AS (SELECT UNNEST(range(s, e, 3600)) AS hour FROM w),
+    lost AS (SELECT b.user_id, CAST(ROUND(SUM(CAST(GREATEST(expected - COALESCE(amount, 0), 0) AS DECIMAL(28,6))), 2) AS DOUBLE) AS missing FROM wh JOIN mb b ON b.slot = wh.hour % 604800
+      LEFT JOIN mh m ON m.hour = wh.hour AND m.user_id = b.user_id GROUP BY 1),
+    told AS (SELECT user_id, missing FROM lost JOIN ({SLA}) c ON c.merchant_id = user_id WHERE missing > threshold / 10)
+    SELECT records_missing, (SELECT COALESCE(ROUND(CAST(SUM(CAST(missing AS DECIMAL(28,2))) AS DOUBLE), 2), 0) FROM lost WHERE missing > 0) AS gmv_gap, {LABEL_AT.format('s')} AS window_start,
+      {LABEL_AT.format('e')} AS window_end, (SELECT COUNT(*) FROM lost WHERE missing > 0) AS merchants_affected, (SELECT COUNT(*) FROM told) AS sla_breaches,
+      (SELECT COALESCE(string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY missing DESC, CAST(user_id AS VARCHAR)), '') FROM (SELECT * FROM told ORDER BY missing DESC, user_id LIMIT 5)) AS notify_first,
+      CASE WHEN (SELECT COUNT(*) FROM told) > 0 THEN {LABEL_AT.format('e + 7200')} END AS notify_by FROM w""",
+)
+def x08c(spark, sf):
+    """The incident as one row: window, records and value missing, who must be told and until when."""
+    windows, per_merchant = outage(spark, sf)
+    worst = incident.worst_window(windows)
+    losses = written(incident.merchant_losses(per_merchant, incident.weekly_baseline(per_merchant, *HISTORY_DAYS, ["merchant_id"]), worst, "merchant_id"), "losses")
+    contracts = sla_contracts(spark, sf).withColumn("threshold", F.col("threshold") / 10)
+    told = incident.notifications(losses, contracts, worst, "merchant_id")
+    return incident.incident_row(worst, losses, told, "merchant_id")
+
+
+@query(
+    "r10b_replay_with_ledger",
+    with_views(
+        "txn_dirty dim_merchant",
+        f"""SELECT run, CAST(rows_read AS BIGINT) AS rows_read, CAST(CASE WHEN run = 'first' THEN noted ELSE noted_later END AS BIGINT) AS duplicates_skipped,
+            CASE WHEN run = 'first' THEN ids ELSE 0 END AS rows_loaded, CAST(CASE WHEN run = 'first' THEN clean - noted_clean - ids ELSE clean - noted_later_clean END AS BIGINT) AS rows_skipped,
+            CAST(rows_read - CASE WHEN run = 'first' THEN noted ELSE noted_later END - CASE WHEN run = 'first' THEN clean - noted_clean ELSE clean - noted_later_clean END AS BIGINT) AS rows_quarantined
+            FROM (SELECT COUNT(*) AS rows_read, COUNT(CASE WHEN reason = '' THEN 1 END) AS clean, COUNT(CASE WHEN before THEN 1 END) AS noted, COUNT(CASE WHEN before AND reason = '' THEN 1 END) AS noted_clean,
+              COUNT(DISTINCT CASE WHEN reason = '' AND NOT before THEN transaction_id END) AS ids,
+              COUNT(CASE WHEN before OR good THEN 1 END) AS noted_later, COUNT(CASE WHEN (before OR good) AND reason = '' THEN 1 END) AS noted_later_clean
+              FROM (SELECT *, COALESCE(transaction_id IN (SELECT transaction_id FROM judged WHERE reason = ''), FALSE) AS good FROM judged)), (VALUES ('first'), ('again')) t(run)""",
+        {
+            "feed": FEED.replace("SELECT d.k,", "SELECT d.k, d.ingestion_timestamp AS at,") + " WHERE d.ingestion_timestamp >= TIMESTAMP '2000-06-01' AND d.ingestion_timestamp < TIMESTAMP '2000-06-08'",
+            "judged": f"SELECT *, {REASON} AS reason, COALESCE(transaction_id <> '' AND k % 4 = 0, FALSE) AS before FROM feed",
+        },
+    ),
+)
+def r10b(spark, sf):
+    """A week replayed twice; of some rows the ledger knows that they were loaded after the failure began."""
+    target, ledger_path = scratch_path(spark, "ledger-target"), scratch_path(spark, "ledger")
+    start, now = datetime.datetime(2000, 6, 1), datetime.datetime(2000, 6, 8)
+    feed = replay_feed(spark, sf).where(F.col("ingestion_timestamp") < wall_clock(now))
+    early = feed.where((F.col("ingestion_timestamp") >= wall_clock(start)) & (F.col("k") % 4 == 0))
+    ledger.note_load(early, "transaction_id", ledger_path, datetime.datetime(2000, 6, 2, 5), "nightly")
+    ledger.note_load(feed.where("k % 4 = 1"), "transaction_id", ledger_path, datetime.datetime(2000, 5, 30), "before the failure")
+    out = None
+    for run_id in ("first", "again"):
+        counts = ledger.replay(spark, feed, target, ledger_path, start, now, run_id, cause_fixed=True).select(F.lit(run_id).alias("run"), "*")
+        out = counts if out is None else out.unionByName(counts)
+    return out
+
+
 @query(
     "x09_load_verification",
     with_views(

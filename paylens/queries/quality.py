@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from paylens.functions import numeric
 from paylens.functions.dates import strict_date, wall_clock
 from paylens.functions.text import blank_to_null, is_blank
-from paylens.operators import quality, recovery
+from paylens.operators import distance, quality, recovery, sketches
 from paylens.operators.aggregates import the_amount, is_failed, row_count
 from paylens.operators.quality import Check
 from paylens.queries import data
 from paylens.queries.registry import query
+from paylens.queries.sqlbase import REASON as REJECT_REASON
 from paylens.queries.sqlbase import with_views
+from paylens.session import scratch_path
 
 COLUMNS = ["transaction_id", "amount", "transaction_date", "currency", "merchant_id", "status", "customer_id", "payment_method"]
 
@@ -353,9 +355,9 @@ def q18(spark, sf):
     "q19_stage_accounting",
     with_views(
         "txn_dirty dim_merchant",
-        """SELECT COUNT(*) AS rows_in, COUNT(CASE WHEN ok THEN 1 END) AS rows_clean, COUNT(CASE WHEN NOT ok THEN 1 END) AS rows_quarantined,
-           COUNT(DISTINCT CASE WHEN ok THEN transaction_id END) AS rows_out, TRUE AS balanced FROM (SELECT *, COALESCE(trim(transaction_id) <> '', FALSE)
-           AND COALESCE(a, b) IS NOT NULL AND COALESCE(TRY_CAST(trim(amount) AS DOUBLE) > 0, FALSE) AS ok FROM feed)""",
+        f"""SELECT COUNT(*) AS rows_in, COUNT(CASE WHEN reason = '' THEN 1 END) AS rows_clean, COUNT(CASE WHEN reason <> '' THEN 1 END) AS rows_quarantined,
+           COUNT(DISTINCT CASE WHEN reason = '' THEN transaction_id END) AS rows_out,
+           COUNT(*) = COUNT(CASE WHEN reason = '' THEN 1 END) + COUNT(CASE WHEN reason <> '' THEN 1 END) AS balanced FROM (SELECT *, {REJECT_REASON} AS reason FROM feed)""",
         {"feed": FEED},
     ),
 )
@@ -488,6 +490,95 @@ def q29(spark, sf):
     return quality.compare_profiles(events.where(early), events.where(late), HALVES)
 
 
+def cumulative_sql(column, source):
+    """Running counts of both halves over the values of a numeric column."""
+    return f"""SELECT '{column}' AS column_name, v, SUM(a) OVER (ORDER BY v) AS ca, SUM(b) OVER (ORDER BY v) AS cb, SUM(a) OVER () AS na, SUM(b) OVER () AS nb,
+        LEAD(v) OVER (ORDER BY v) AS nv FROM (SELECT CAST({column} AS DOUBLE) AS v, COUNT(CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 1 END) AS a,
+        COUNT(CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN 1 END) AS b FROM {source} WHERE {column} IS NOT NULL GROUP BY 1)"""
+
+
+@query(
+    "q29b_distribution_distance",
+    f"""SELECT column_name, CAST(na AS BIGINT) AS n_left, CAST(nb AS BIGINT) AS n_right, ROUND(MAX(ABS(ca / na - cb / nb)), 6) AS ks,
+        ROUND(1.358 * SQRT((na + nb) / (CAST(na AS DOUBLE) * nb)), 6) AS ks_limit, ROUND(MAX(ABS(ca / na - cb / nb)), 6) > ROUND(1.358 * SQRT((na + nb) / (CAST(na AS DOUBLE) * nb)), 6) AS drifted,
+        ROUND(SUM(ABS(ca / na - cb / nb) * (nv - v)), 4) AS earth_mover FROM ({cumulative_sql('value', 'events')} UNION ALL {cumulative_sql('user_id', 'events')}) GROUP BY column_name, na, nb""",
+)
+def q29b(spark, sf):
+    """Numbers of the two halves: largest gap of the distributions and the area between them."""
+    events = data.table(spark, sf, "events")
+    early, late = F.col("ts") < wall_clock(data.EVENTS_HALF), F.col("ts") >= wall_clock(data.EVENTS_HALF)
+    return distance.number_distances(events.where(early), events.where(late), ["value", "user_id"])
+
+
+def label_sql(column):
+    return f"""SELECT '{column}' AS column_name, CAST(COUNT(CASE WHEN k % 3 = 0 THEN 1 END) AS DOUBLE) AS a, CAST(COUNT(CASE WHEN k % 3 <> 0 THEN 1 END) AS DOUBLE) AS b
+        FROM txn_dirty WHERE trim({column}) <> '' GROUP BY {column}"""
+
+
+LABELS = ["status", "currency", "payment_method", "merchant_id"]
+
+
+@query(
+    "q29c_label_distance",
+    with_views(
+        "txn_dirty",
+        """SELECT column_name, CAST(na AS BIGINT) AS n_left, CAST(nb AS BIGINT) AS n_right, COUNT(*) AS labels,
+           ROUND(SUM((a / na - b / nb) * (a / na - b / nb) / (a / na + b / nb)) / 2, 6) AS chi_square, ROUND(SUM(ABS(a / na - b / nb)) / 2, 6) AS total_variation
+           FROM (SELECT *, SUM(a) OVER (PARTITION BY column_name) AS na, SUM(b) OVER (PARTITION BY column_name) AS nb FROM counts) GROUP BY column_name, na, nb""",
+        {"counts": " UNION ALL ".join(label_sql(c) for c in LABELS)},
+    ),
+)
+def q29c(spark, sf):
+    """Labels of a third of the rows, as a synthetic sample would be, against the rest."""
+    rows = data.transactions_dirty(spark, sf)
+    return distance.label_distances(rows.where("k % 3 = 0"), rows.where("k % 3 <> 0"), LABELS)
+
+
+SKETCHED = ["event_type", "value", "user_id"]
+
+
+@query(
+    "q01b_sketch_profile",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, COUNT(*) AS total_rows, COUNT(*) - COUNT({c}) AS null_count, COUNT(DISTINCT {c}) AS unique_count, TRUE AS distinct_within,
+            {'TRUE' if c != 'event_type' else 'CAST(NULL AS BOOLEAN)'} AS median_within FROM events"""
+        for c in SKETCHED
+    ),
+)
+def q01b(spark, sf):
+    """Profile merged from sketches of each day, and whether it is within its stated error of the exact figures."""
+    path = scratch_path(spark, "sketches")
+    events = data.table(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    sketches.store_days(events.where(F.col("ts") < wall_clock(data.EVENTS_HALF)), "day", SKETCHED, path)
+    sketches.store_days(events.where(F.col("ts") >= wall_clock(data.EVENTS_HALF)), "day", SKETCHED, path)
+    merged = sketches.merged_profile(sketches.stored_days(spark, path))
+    exact = events.select([F.count_distinct(c).alias(c) for c in SKETCHED]).unpivot([], SKETCHED, "column_name", "unique_count")
+    numbers = [c for c in SKETCHED if c != "event_type"]
+    cells = events.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in numbers])))
+    medians = merged.select("column_name", "median_estimate")
+    ranks = cells.join(F.broadcast(medians), "column_name").groupBy("column_name").agg(
+        (F.count(F.when(F.col("v") < F.col("median_estimate"), 1)) / F.count("v")).alias("lo"), (F.count(F.when(F.col("v") <= F.col("median_estimate"), 1)) / F.count("v")).alias("hi")
+    )
+    near = (F.col("lo") <= 0.5 + sketches.RANK_ERROR) & (F.col("hi") >= 0.5 - sketches.RANK_ERROR)
+    error = F.abs(F.col("distinct_estimate") - F.col("unique_count")) / F.col("unique_count")
+    return merged.join(exact, "column_name").join(ranks, "column_name", "left").select(
+        "column_name", "total_rows", "null_count", "unique_count", (error <= 3 * sketches.DISTINCT_ERROR).alias("distinct_within"), near.alias("median_within")
+    )
+
+
+@query(
+    "q01c_frequent_values",
+    """SELECT column_name, value, n FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY column_name ORDER BY n DESC, value) AS r FROM
+       (SELECT 'event_type' AS column_name, event_type AS value, COUNT(*) AS n FROM events GROUP BY 2)) WHERE r <= 5""",
+)
+def q01c(spark, sf):
+    """Most frequent values from the days' lists; a column with few values has no cut-off, so its counts are exact."""
+    path = scratch_path(spark, "heavy")
+    events = data.table(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    sketches.store_days(events, "day", ["event_type"], path)
+    return sketches.merged_heavy(sketches.stored_days(spark, path)).where("too_low = 0").drop("too_low")
+
+
 @query(
     "q30_fix_impact",
     with_views(

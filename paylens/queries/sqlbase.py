@@ -77,6 +77,14 @@ NEEDS = {
 }
 AS_OF = "DATE '2001-11-05'"
 
+#: Why a repaired record of a feed (with merchant names a and b) cannot be loaded; blank if it can.
+REASON = """CASE WHEN transaction_id IS NULL OR trim(transaction_id) = '' THEN 'null_transaction_id' WHEN COALESCE(a, b) IS NULL THEN 'null_merchant_name'
+   WHEN amount IS NULL OR trim(amount) = '' OR TRY_CAST(trim(amount) AS DOUBLE) <= 0 THEN 'zero_or_negative_amount'
+   WHEN TRY_CAST(trim(amount) AS DOUBLE) IS NULL OR NOT isfinite(TRY_CAST(trim(amount) AS DOUBLE)) THEN 'invalid_amount'
+   WHEN TRY_CAST(CASE WHEN regexp_matches(transaction_date, '^[0-9][0-9]-[0-9][0-9]-[0-9][0-9][0-9][0-9]$') THEN
+     substr(transaction_date, 7, 4) || '-' || substr(transaction_date, 4, 2) || '-' || substr(transaction_date, 1, 2) ELSE transaction_date END AS DATE) IS NULL
+   THEN 'invalid_date' ELSE '' END"""
+
 REVENUE = "CAST(SUM(CASE WHEN status = 'COMPLETED' THEN amount ELSE 0 END) AS DOUBLE)"
 N_FAILED = "COUNT(CASE WHEN status = 'FAILED' THEN 1 END)"
 N_COMPLETED = "COUNT(CASE WHEN status = 'COMPLETED' THEN 1 END)"

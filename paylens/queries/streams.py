@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from paylens.functions.dates import epoch
+from paylens.functions.dates import wall_clock
 from paylens.functions.numeric import money
-from paylens.operators import recovery
+from paylens.operators import recovery, silence
 from paylens.operators.aggregates import row_count
+from paylens.operators.dedup import latest_per_key
 from paylens.queries import data
 from paylens.queries.quality import FEED, replay_feed
 from paylens.queries.registry import query
-from paylens.queries.sqlbase import with_views
-from paylens.queries.windows import SERIES, five_minute_series
+from paylens.queries.sqlbase import REASON, with_views
+from paylens.queries.windows import CHECKED, SERIES, five_minute_counts
 from paylens.session import scratch_path
-from paylens.streaming import alarms, sinks, windows
+from paylens.streaming import alarms, late, sinks
 from paylens.streaming.ingest import file_stream
 from paylens.streaming.windows import without_replays
 
@@ -26,9 +27,9 @@ def event_stream(spark, sf):
     return file_stream(spark, f"{sf.rstrip('/')}/{{events.parquet}}", EVENT_SCHEMA)
 
 
-def windowed(stream, *args):
-    """Windows over a whole given table: no row of it is too late."""
-    return windows.windowed(stream, *args, lateness=None)
+def windowed(spark, stream, width, label, *args, **options):
+    """Windows of a stream with the rows that came too late for them added again."""
+    return late.complete_windows(spark, stream, "ts", width, label, *args, **options)
 
 
 def amount():
@@ -56,18 +57,49 @@ BUCKET = "CAST(FLOOR(epoch(ts) / {s}) * {s} AS BIGINT)"
     f"SELECT {BUCKET.format(s=3600)} AS bucket, COUNT(*) AS n, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS amount FROM events GROUP BY 1",
 )
 def r02(spark, sf):
-    hours = sinks.collect_windows(spark, windowed(event_stream(spark, sf), "ts", "1 hour", amount()), ["bucket"], "hourly")
+    hours = windowed(spark, event_stream(spark, sf), 3600, "hourly", amount())
     return hours.select("bucket", "n", F.col("amount").cast("double").alias("amount"))
 
 
+TIMED_LATENESS = 15 * 86_400
+FEED_CUTS = ("2024-01-21", "2024-01-11")
+
+
+@query(
+    "r02b_timers_and_late_rows",
+    f"""SELECT bucket, CAST(COUNT(CASE WHEN NOT late THEN 1 END) AS BIGINT) AS n_in_time, CAST(COUNT(CASE WHEN late THEN 1 END) AS BIGINT) AS n_late,
+        CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS amount FROM (SELECT *, {BUCKET.format(s=3600)} AS bucket, ts < TIMESTAMP '{FEED_CUTS[0]}'
+          AND {BUCKET.format(s=3600)} + 3600 + {TIMED_LATENESS} <= (SELECT MAX(epoch(ts)) FROM events) AS late FROM events) GROUP BY 1""",
+)
+def r02b(spark, sf):
+    """Ten days at a time, the newest first, each in a run of its own that goes on from the state of the last."""
+    out = scratch_path(spark, "timed")
+    events, upper = data.table(spark, sf, "events").select("ts", "value"), None
+    for i, lower in enumerate([*FEED_CUTS, None]):
+        piece = events.where(F.lit(True) if lower is None else F.col("ts") >= wall_clock(f"{lower} 00:00:00"))
+        piece = piece if upper is None else piece.where(F.col("ts") < wall_clock(f"{upper} 00:00:00"))
+        piece.write.parquet(f"{out}/in/piece={i}")
+        upper = lower
+        feed = file_stream(spark, f"{out}/in/*", "ts timestamp_ntz, value double")
+        with late.timer_store(spark):
+            timed = late.timed_windows(feed, "ts", 3600, (money(F.col("value")) * 100).cast("long"), TIMED_LATENESS)
+            sinks.drain(timed, sinks.store_updates(f"{out}/rows"), f"{out}/checkpoint", "update")
+    rows = spark.read.parquet(f"{out}/rows")
+    sums = latest_per_key(rows.where("kind <> 'late'"), ["bucket"], [F.desc("batch_id")]).select("bucket", F.col("n").alias("n_in_time"), F.lit(0).alias("n_late"), "cents")
+    side = rows.where("kind = 'late'").select("bucket", F.lit(0).alias("n_in_time"), F.lit(1).alias("n_late"), "cents")
+    return sums.unionByName(side).groupBy("bucket").agg(
+        F.sum("n_in_time").alias("n_in_time"), F.sum("n_late").alias("n_late"), (F.sum("cents").cast("decimal(28,2)") / 100).cast("double").alias("amount")
+    )
+
+
 @query(
     "r03_zero_load_alarm",
     f"""SELECT bucket FROM (SELECT bucket, SUM(CASE WHEN n < 1 THEN 1 ELSE 0 END) OVER (ORDER BY bucket ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) = 2 AS alarm
         FROM ({SERIES})) WHERE alarm""",
 )
 def r03(spark, sf):
-    counts = sinks.collect_windows(spark, windowed(event_stream(spark, sf), "ts", "5 minutes"), ["bucket"], "five-minutes")
-    return alarms.zero_load(counts).where("alarm").select("bucket")
+    counts = windowed(spark, event_stream(spark, sf), 300, "five-minutes")
+    return alarms.zero_load(silence.within(counts, "bucket", *CHECKED)).select("bucket")
 
 
 LOST = "ts >= TIMESTAMP '2024-01-10 02:00:00' AND ts < TIMESTAMP '2024-01-10 09:00:00'"
@@ -81,8 +113,8 @@ LOST = "ts >= TIMESTAMP '2024-01-10 02:00:00' AND ts < TIMESTAMP '2024-01-10 09:
 )
 def r04(spark, sf):
     gone = F.expr("ts >= TIMESTAMP_NTZ '2024-01-10 02:00:00' AND ts < TIMESTAMP_NTZ '2024-01-10 09:00:00'")
-    sent = sinks.collect_windows(spark, windowed(event_stream(spark, sf), "ts", "10 minutes"), ["bucket"], "sent")
-    kept = sinks.collect_windows(spark, windowed(event_stream(spark, sf).where(~gone), "ts", "10 minutes"), ["bucket"], "loaded")
+    sent = windowed(spark, event_stream(spark, sf), 600, "sent")
+    kept = windowed(spark, event_stream(spark, sf).where(~gone), 600, "loaded")
     return alarms.divergence(sent, kept)
 
 
@@ -93,8 +125,8 @@ def r04(spark, sf):
          (SELECT {BUCKET.format(s=300)} AS b, MAX(CAST(FLOOR(epoch(ts)) AS BIGINT)) AS newest FROM events GROUP BY 1) m ON m.b = s.bucket))""",
 )
 def r05(spark, sf):
-    counts = sinks.collect_windows(spark, windowed(event_stream(spark, sf), "ts", "5 minutes"), ["bucket"], "freshness")
-    return alarms.freshness(counts.withColumn("newest_epoch", epoch(F.col("newest"))))
+    counts = windowed(spark, event_stream(spark, sf), 300, "freshness")
+    return alarms.freshness(silence.within(counts, "bucket", *CHECKED))
 
 
 @query(
@@ -103,7 +135,7 @@ def r05(spark, sf):
 )
 def r06(spark, sf):
     errors = event_stream(spark, sf).where("event_type = 'error'")
-    counts = sinks.collect_windows(spark, windowed(errors, "ts", "1 minute"), ["bucket"], "errors")
+    counts = windowed(spark, errors, 60, "errors")
     return alarms.spikes(counts, 1).select("bucket", "n")
 
 
@@ -140,12 +172,6 @@ FEED_SCHEMA = (
     "k long, transaction_id string, amount string, transaction_date string, status string, ingestion_timestamp timestamp_ntz, "
     "merchant_name string, merchant_nm string"
 )
-REASON = """CASE WHEN transaction_id IS NULL OR trim(transaction_id) = '' THEN 'null_transaction_id' WHEN COALESCE(a, b) IS NULL THEN 'null_merchant_name'
-   WHEN amount IS NULL OR trim(amount) = '' OR TRY_CAST(trim(amount) AS DOUBLE) <= 0 THEN 'zero_or_negative_amount'
-   WHEN TRY_CAST(trim(amount) AS DOUBLE) IS NULL OR NOT isfinite(TRY_CAST(trim(amount) AS DOUBLE)) THEN 'invalid_amount'
-   WHEN TRY_CAST(CASE WHEN regexp_matches(transaction_date, '^[0-9][0-9]-[0-9][0-9]-[0-9][0-9][0-9][0-9]$') THEN
-     substr(transaction_date, 7, 4) || '-' || substr(transaction_date, 4, 2) || '-' || substr(transaction_date, 1, 2) ELSE transaction_date END AS DATE) IS NULL
-   THEN 'invalid_date' ELSE '' END"""
 
 
 @query(
@@ -200,8 +226,7 @@ def r10(spark, sf):
         FROM (SELECT *, UNNEST([h, h - 3600, h - 7200, h - 10800]) AS bucket FROM (SELECT *, {BUCKET.format(s=3600)} AS h FROM events)) GROUP BY 1, 2""",
 )
 def r11(spark, sf):
-    sliding = windowed(event_stream(spark, sf), "ts", "4 hours", amount(), "1 hour", ["user_id"])
-    rows = sinks.collect_windows(spark, sliding, ["user_id", "bucket"], "sliding")
+    rows = windowed(spark, event_stream(spark, sf), 4 * 3600, "sliding", amount(), 3600, ["user_id"])
     return rows.select("user_id", "bucket", "n", F.col("amount").cast("double").alias("loss"), (F.col("amount") > 300).alias("breach"))
 
 
@@ -216,4 +241,4 @@ def r12(spark, sf):
     changes = data.table(spark, sf, "events").where("event_type = 'signup'").select(
         F.col("event_id").alias("change_id"), bucket_start(F.col("ts"), 300).alias("bucket")
     )
-    return recovery.change_then_silence(changes, five_minute_series(spark, sf), "bucket")
+    return recovery.change_then_silence(changes, five_minute_counts(spark, sf), "bucket")

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from paylens.functions.text import error_fingerprint
-from paylens.operators import texts
+from paylens.operators import retrieval, texts
 from paylens.operators.aggregates import row_count
 from paylens.queries import data
 from paylens.queries.registry import query
+from paylens.session import scratch_path
 from paylens.queries.sqlbase import with_views
 
 SEARCH = "thand eration und tionau queaux lettre wherthe"
@@ -25,6 +26,30 @@ def p08(spark, sf):
     return texts.retrieve(data.table(spark, sf, "documents"), SEARCH, 3)
 
 
+@query(
+    "p08b_indexed_retrieval",
+    f"""SELECT doc_id, score, replace(substr(text, 1, 300), chr(10), ' ') AS snippet FROM (SELECT *, {SCORE} AS score FROM documents)
+        WHERE score > 0 ORDER BY score DESC, doc_id LIMIT 3""",
+)
+def p08b(spark, sf):
+    """The same answer from a stored index: the dictionary, and the folders of the tokens found."""
+    path, docs = scratch_path(spark, "index"), data.table(spark, sf, "documents")
+    retrieval.build_index(docs, path)
+    return retrieval.retrieve(spark, path, docs, SEARCH, 3)
+
+
+@query(
+    "p08c_document_frequencies",
+    r"""SELECT token, COUNT(DISTINCT doc_id) AS documents FROM (SELECT doc_id, UNNEST(regexp_split_to_array(lower(text), '[ 	-]+')) AS token FROM documents)
+        WHERE contains(token, 'queaux') GROUP BY 1""",
+)
+def p08c(spark, sf):
+    """What a question looks up first: tokens that hold a word, with the number of their documents."""
+    path = scratch_path(spark, "index")
+    retrieval.build_index(data.table(spark, sf, "documents"), path)
+    return retrieval.matching_tokens(spark, path, ["queaux"]).select("token", "documents")
+
+
 # Common short words by language.
 LANGUAGE_WORDS = {
     "en": ["the", "of", "and", "in", "that", "with"],
@@ -86,6 +111,34 @@ def p10(spark, sf):
     return rows.groupBy("status", "payment_method").agg(row_count().alias("rows"), F.avg("score").alias("score"))
 
 
+@query(
+    "p10b_sentiment_of_turns",
+    f"""SELECT role, COUNT(*) AS turns, COUNT(CASE WHEN good + bad > 0 THEN 1 END) AS with_opinion, AVG(COALESCE(CAST(good - bad AS DOUBLE) / NULLIF(good + bad, 0), 0)) AS score FROM
+        (SELECT role, {GOOD} AS good, {BAD} AS bad FROM (SELECT role, {padded_sql('text')} AS pad FROM conversations)) GROUP BY 1""",
+)
+def p10b(spark, sf):
+    """Sentiment of what people wrote: every turn of every conversation."""
+    turns = data.table(spark, sf, "conversations")
+    words = texts.padded(F.col("text"))
+    opinion = texts.word_hits(words, texts.POSITIVE) + texts.word_hits(words, texts.NEGATIVE)
+    scored = turns.select("role", texts.sentiment(F.col("text")).alias("score"), (opinion > 0).alias("says"))
+    return scored.groupBy("role").agg(row_count().alias("turns"), F.count_if("says").alias("with_opinion"), F.avg("score").alias("score"))
+
+
+@query(
+    "p10c_sentiment_of_documents",
+    f"""SELECT lang, COUNT(*) AS docs, CAST(SUM(good) AS BIGINT) AS praise, CAST(SUM(bad) AS BIGINT) AS blame FROM
+        (SELECT lang, {hits_sql(['only', 'the', 'und', 'les'])} AS good, {hits_sql(['was', 'der', 'des'])} AS bad FROM (SELECT lang, {padded_sql('text')} AS pad FROM documents)) GROUP BY 1""",
+)
+def p10c(spark, sf):
+    """The same count with word lists of the caller's, over whole documents."""
+    words = texts.padded(F.col("text"))
+    counted = data.table(spark, sf, "documents").select(
+        "lang", texts.word_hits(words, ["only", "the", "und", "les"]).alias("good"), texts.word_hits(words, ["was", "der", "des"]).alias("bad")
+    )
+    return counted.groupBy("lang").agg(row_count().alias("docs"), F.sum("good").cast("long").alias("praise"), F.sum("bad").cast("long").alias("blame"))
+
+
 QUESTION = "which thand ther eration und queaux lettre"
 QUESTION_WORDS = [w for w in QUESTION.lower().split() if len(w) >= 2]
 SENTENCE_SCORE = " + ".join(f"CASE WHEN contains(lower(x), '{w}') THEN 1 ELSE 0 END" for w in QUESTION_WORDS)

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from paylens.functions.dates import bucket_start, epoch_label, wall_clock
 from paylens.functions.numeric import money
 from paylens.operators import aggregates as agg
-from paylens.operators import dedup, windows
+from paylens.operators import dedup, silence, windows
 from paylens.operators.aggregates import the_amount, row_count
 from paylens.plans.payments import incremental
 from paylens.queries import data
 from paylens.queries.registry import query
 from paylens.queries.sqlbase import with_views
+from paylens.session import scratch_path, written
+from paylens.sources import keyed
 
 
 @query(
@@ -83,9 +87,16 @@ SERIES = """SELECT g.bucket, COALESCE(n, 0) AS n FROM (SELECT UNNEST(generate_se
    LEFT JOIN (SELECT CAST(FLOOR(epoch(ts) / 300) * 300 AS BIGINT) AS b, COUNT(*) AS n FROM events GROUP BY 1) c ON c.b = g.bucket"""
 
 
-def five_minute_series(spark, sf):
-    counts = data.table(spark, sf, "events").groupBy(bucket_start(F.col("ts"), 300).alias("bucket")).agg(row_count().alias("n"))
-    return windows.fill_buckets(counts, "bucket", 300)
+#: What the alarms over events look at: a year up to the check; rows with other times are counted apart.
+CHECKED = [int((at - datetime.datetime(1970, 1, 1)).total_seconds()) for at in (data.EVENTS_AS_OF - datetime.timedelta(days=365), data.EVENTS_AS_OF)]
+
+
+def all_counts(spark, sf):
+    return data.table(spark, sf, "events").groupBy(bucket_start(F.col("ts"), 300).alias("bucket")).agg(row_count().alias("n"))
+
+
+def five_minute_counts(spark, sf):
+    return silence.within(all_counts(spark, sf), "bucket", *CHECKED)
 
 
 @query(
@@ -94,7 +105,34 @@ def five_minute_series(spark, sf):
         AS alarm FROM ({SERIES})""",
 )
 def w05(spark, sf):
-    return windows.consecutive_breach(five_minute_series(spark, sf), "bucket", 1, 2)
+    counts = written(five_minute_counts(spark, sf), "five-minutes")
+    runs = silence.low_runs(counts, "bucket", 300)
+    empty = silence.each_bucket(runs.withColumn("first", F.col("start")), "bucket", 300)
+    return counts.select("bucket", "n", F.lit(False).alias("alarm")).unionByName(
+        empty.select("bucket", F.lit(0).cast("long").alias("n"), (F.col("bucket") > F.col("first")).alias("alarm"))
+    )
+
+
+@query(
+    "w05b_silent_runs",
+    """SELECT b + 300 AS start, next - 300 AS "end", CAST((next - b) / 300 - 1 AS BIGINT) AS buckets, (next - b) / 300 - 1 >= 2 AS alarm FROM
+       (SELECT b, LEAD(b) OVER (ORDER BY b) AS next FROM (SELECT DISTINCT CAST(FLOOR(epoch(ts) / 300) * 300 AS BIGINT) AS b FROM events)) WHERE next - b > 300""",
+)
+def w05b(spark, sf):
+    """Every silence of the feed as one row, with its length, whether or not it raises the alarm."""
+    runs = silence.low_runs(written(five_minute_counts(spark, sf), "five-minutes"), "bucket", 300)
+    return runs.withColumn("alarm", F.col("buckets") >= 2)
+
+
+@query(
+    "w05c_checked_window",
+    f"""SELECT CAST(COUNT(CASE WHEN b >= {CHECKED[0]} AND b < {CHECKED[1]} THEN 1 END) AS BIGINT) AS rows_inside, CAST(COUNT(CASE WHEN b < {CHECKED[0]} THEN 1 END) AS BIGINT) AS rows_before,
+        CAST(COUNT(CASE WHEN b >= {CHECKED[1]} THEN 1 END) AS BIGINT) AS rows_after, MIN(b) AS first_bucket, MAX(b) AS last_bucket
+        FROM (SELECT CAST(FLOOR(epoch(ts) / 300) * 300 AS BIGINT) AS b FROM events)""",
+)
+def w05c(spark, sf):
+    """Rows that the alarms see, and those whose clock is off by so much that they do not."""
+    return silence.window_report(all_counts(spark, sf), "bucket", *CHECKED)
 
 
 @query(
@@ -140,8 +178,31 @@ def w08(spark, sf):
     ),
 )
 def s16(spark, sf):
+    """A first load up to a day, then one of everything newer into the same table."""
     cut = wall_clock("1999-06-30")
     columns = ["transaction_id", "amount", "status", F.col("ingestion_timestamp").alias("loaded_at")]
-    this = data.transactions(spark, sf).where(F.col("ingestion_timestamp") <= cut).select(*columns)
-    source = data.transactions_raw(spark, sf).select(*columns)
-    return incremental(source, this, "transaction_id", "loaded_at").withColumn("amount", F.col("amount").cast("double"))
+    target = scratch_path(spark, "incremental")
+    first = data.transactions(spark, sf).where(F.col("ingestion_timestamp") <= cut).select(*columns)
+    keyed.replace_newer(spark, first, target, "transaction_id", "loaded_at")
+    table = keyed.replace_newer(spark, data.transactions_raw(spark, sf).select(*columns), target, "transaction_id", "loaded_at")
+    return table.withColumn("amount", F.col("amount").cast("double"))
+
+
+@query(
+    "s16b_incremental_view",
+    with_views(
+        "txn_raw txn",
+        """SELECT status, COUNT(*) AS rows, CAST(SUM(amount) AS DOUBLE) AS total, MAX(loaded_at) AS newest FROM (SELECT *, ROW_NUMBER() OVER
+           (PARTITION BY transaction_id ORDER BY is_new DESC, loaded_at DESC, amount, status) AS rn FROM
+           (SELECT transaction_id, amount, status, ingestion_timestamp AS loaded_at, 0 AS is_new FROM txn
+              WHERE ingestion_timestamp <= TIMESTAMP '1997-06-30'
+            UNION ALL SELECT transaction_id, amount, status, ingestion_timestamp, 1 FROM txn_raw WHERE ingestion_timestamp >
+              (SELECT MAX(ingestion_timestamp) FROM txn WHERE ingestion_timestamp <= TIMESTAMP '1997-06-30'))) WHERE rn = 1 GROUP BY 1""",
+    ),
+)
+def s16b(spark, sf):
+    """The same as one plan over two frames, summed up."""
+    columns = ["transaction_id", "amount", "status", F.col("ingestion_timestamp").alias("loaded_at")]
+    this = data.transactions(spark, sf).where(F.col("ingestion_timestamp") <= wall_clock("1997-06-30")).select(*columns)
+    whole = incremental(data.transactions_raw(spark, sf).select(*columns), this, "transaction_id", "loaded_at")
+    return whole.groupBy("status").agg(row_count().alias("rows"), F.sum("amount").cast("double").alias("total"), F.max("loaded_at").alias("newest"))

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylens.functions.masking import hash_id
-from paylens.functions.text import is_blank
+from paylens.sources.keyed import merge_insert, own_folder  # noqa: F401  (the merge is a sink like the others)
 
 
 def replace_partitions(df: DataFrame, path: str, by: Sequence[str], fmt: str = "parquet") -> None:
@@ -28,11 +27,6 @@ def write_hourly_json(df: DataFrame, ts: str, path: str) -> None:
     replace_partitions(stamped, path, ["dt", "hour"], "json")
 
 
-def own_folder(path: str, column: str, value: str) -> str:
-    """Folder of one partition, named as Spark names it."""
-    return f"{path}/{column}={quote(value, safe='')}"
-
-
 def quarantine(df: DataFrame, reason: Column, source: str, at: Column, path: str, run_id: str) -> None:
     """Keep rejected rows with reason, source and time, below a folder per run and day.
 
@@ -45,36 +39,6 @@ def quarantine(df: DataFrame, reason: Column, source: str, at: Column, path: str
     kept.write.mode("overwrite").partitionBy("quarantine_date").parquet(own_folder(path, "run_id", run_id))
 
 
-def merge_insert(
-    spark: SparkSession, source: DataFrame, target: str, key: str, order: list[Column], batch: str
-) -> DataFrame:
-    """Insert the rows whose key the target lacks; returns attempted, loaded, skipped, rejected.
-
-    The target is a folder of batches. A batch replaces its own folder, with an empty one
-    if it has nothing to insert, so a retry of the same batch ends in the same state, and
-    keys of other batches are never inserted twice. Rows without a key are rejected and
-    counted apart: loaded + skipped + rejected = attempted.
-    Where a catalog with row-level operations exists, ``DataFrame.mergeInto`` does the same.
-    """
-    from paylens.plans.payments import insert_only
-    from paylens.sources.readers import read_or_skip
-
-    existing, _ = read_or_skip(spark, target)
-    if existing is None:
-        fresh = insert_only(source, source.limit(0), key, order)
-    else:
-        fresh = insert_only(source, existing.where(F.col("batch") != batch), key, order)
-    rows = fresh.select(*source.columns)
-    rows.write.mode("overwrite").parquet(own_folder(target, "batch", batch))
-    loaded = spark.read.schema(rows.schema).parquet(own_folder(target, "batch", batch)).agg(F.count(F.lit(1)).alias("n"))
-    blank = F.count_if(is_blank(F.col(key).cast("string")))
-    counts = source.agg(F.count(F.lit(1)).alias("rows_attempted"), blank.alias("rows_rejected"))
-    return counts.withColumn("rows_loaded", loaded.scalar()).select(
-        "rows_attempted", "rows_loaded", (F.col("rows_attempted") - F.col("rows_loaded") - F.col("rows_rejected")).alias("rows_skipped"),
-        "rows_rejected",
-    )
-
-
 def partner_feeds(rows: DataFrame, partner: Column, customer: str, path: str) -> None:
     """One folder per partner, with customer ids replaced by hashes."""
     masked = rows.withColumn(customer, hash_id(F.col(customer))).withColumn("partner_id", partner)

@@ -1,16 +1,16 @@
 """Alarms over windowed counts.
 
-A window without rows gives no row, so the alarms run on counts with the gaps filled.
+A window without rows gives no row; the alarms look at the gaps between the rows there are.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylens.functions.numeric import pct
+from paylens.operators import silence
 from paylens.operators.joins import side_by_side
-from paylens.operators.windows import consecutive_breach, fill_buckets
 
 # Alarm limits.
 DELAYED_AFTER, CRITICAL_FROM = 600, 900
@@ -18,8 +18,12 @@ DIVERGENCE_PCT = 5.0
 
 
 def zero_load(counts: DataFrame, seconds: int = 300, periods: int = 2) -> DataFrame:
-    """Periods that close ``periods`` empty ones in a row."""
-    return consecutive_breach(fill_buckets(counts.select("bucket", "n"), "bucket", seconds), "bucket", 1, periods)
+    """Periods that close ``periods`` empty ones in a row, each with ``alarm``.
+
+    One row for each such period; ``silence.alarm_spans`` has one for each run of them.
+    """
+    spans = silence.alarm_spans(silence.low_runs(counts, "bucket", seconds), seconds, periods)
+    return silence.each_bucket(spans, "bucket", seconds).withColumn("alarm", F.lit(True))
 
 
 def divergence(source: DataFrame, target: DataFrame, limit: float = DIVERGENCE_PCT) -> DataFrame:
@@ -30,15 +34,10 @@ def divergence(source: DataFrame, target: DataFrame, limit: float = DIVERGENCE_P
 
 
 def freshness(counts: DataFrame, seconds: int = 300) -> DataFrame:
-    """Age of the newest row at the end of every period, and its status.
-
-    The running maximum goes over one row per period.
-    """
-    filled = fill_buckets(counts.select("bucket", "n", "newest_epoch"), "bucket", seconds)
-    seen = F.max("newest_epoch").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
-    aged = filled.select("bucket", (F.col("bucket") + seconds - seen).alias("age_seconds"))
-    age = F.col("age_seconds")
-    return aged.withColumn("status", F.when(age >= CRITICAL_FROM, "CRITICAL").when(age > DELAYED_AFTER, "DELAYED").otherwise("OK"))
+    """Age of the newest row at the end of every period, and its status."""
+    spans = silence.status_spans(counts, "bucket", "newest_epoch", seconds, DELAYED_AFTER, CRITICAL_FROM)
+    each = silence.each_bucket(spans, "bucket", seconds)
+    return each.select("bucket", (F.col("bucket") + seconds - F.col("newest")).alias("age_seconds"), "status")
 
 
 def spikes(counts: DataFrame, above: int) -> DataFrame:
