@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,12 +56,41 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+#: Spark's own switch to drop a query's shuffle files when it has ended.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freeing_shuffles(spark: SparkSession):
+    """Shuffle files of queries that run inside are dropped when the query ends, not when the driver collects garbage."""
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write a frame below the shared folder once and read it back.
 
     For intermediate results that several later passes need: the passes read a file
-    instead of repeating the work, and a lost executor costs only the current pass.
+    instead of repeating the work, and a lost executor costs only the current pass. What
+    was shuffled for it is not needed again and goes.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    with freeing_shuffles(spark):
+        df.write.parquet(path)
+    stored = spark.read.parquet(path)
+    stored.scratch = path
+    return stored
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of frames that came from ``written`` and that nothing reads any more."""
+    for frame in frames:
+        if path := getattr(frame, "scratch", None):
+            context = frame.sparkSession.sparkContext
+            folder = context._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
