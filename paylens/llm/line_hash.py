@@ -138,23 +138,24 @@ def repeated_units(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = MIN_WORDS, least_chars: int | None = None, by: str = "lines",
     least_passage: int = 0,
 ) -> DataFrame:
-    """``doc_id, version, repeats``: starts of units that occur elsewhere too, each with the document that keeps the unit (``first`` where it is this one)."""
+    """``doc_id, version, repeated, repeats``: how many units occur elsewhere too, and the starts of those to remove, each with the document that keeps the unit."""
     found = written(units(docs, id_col, text_col, least_words, least_chars, by), "units")
     shared = shared_units(found)
     counted = written(in_passages(shared, least_passage) if least_passage else shared, "shared")
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "version", "start")
     groups = written(counted.groupBy("high", "low").agg(F.min(rank).alias("keeper")), "keepers")
-    marked = counted.join(groups, ["high", "low"]).select(
-        "doc_id", "version", F.struct("start", rank.eqNullSafe(F.col("keeper")).alias("first"), F.col("keeper.doc_id").alias("kept_in")).alias("mark")
-    )
-    return marked.groupBy("doc_id", "version").agg(F.array_distinct(F.collect_list("mark")).alias("repeats"))
+    later = F.when(~rank.eqNullSafe(F.col("keeper")), F.struct("start", F.col("keeper.doc_id").alias("kept_in")))
+    marked = counted.join(groups, ["high", "low"]).select("doc_id", "version", "start", later.alias("mark"))
+    # In passages a unit of repeated rows is counted once already.
+    known, marks = (F.count(F.lit(1)), F.collect_list("mark")) if least_passage else (F.count_distinct("start"), F.collect_set("mark"))
+    return marked.groupBy("doc_id", "version").agg(known.cast("int").alias("repeated"), marks.alias("repeats"))
 
 
 def deduplicate(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = MIN_WORDS, least_chars: int | None = None, by: str = "lines",
-    least_passage: int = 0,
+    least_passage: int = 0, with_kept: bool = True,
 ) -> DataFrame:
-    """``doc_id, text, n_units, kept, removed, repeated`` for every document.
+    """``doc_id, text, n_units, kept, removed, repeated`` for every document; ``with_kept=False`` leaves ``kept`` empty.
 
     ``text`` is what remains: lines joined by line breaks, sentences with the blanks
     behind them. ``kept`` (start, end) and ``removed`` (start, end, kept_in) are the units
@@ -163,7 +164,7 @@ def deduplicate(
     """
     repeats = repeated_units(docs, id_col, text_col, least_words, least_chars, by, least_passage)
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("version"))
-    r = repeats.select(F.col("doc_id").alias("r_id"), F.col("version").alias("r_version"), "repeats")
+    r = repeats.select(F.col("doc_id").alias("r_id"), F.col("version").alias("r_version"), "repeated", "repeats")
     joined = own.join(r, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("version") == F.col("r_version")), "left")
     id_type = own.schema["doc_id"].dataType
     kept = StructType([StructField("start", IntegerType()), StructField("end", IntegerType())])
@@ -173,14 +174,13 @@ def deduplicate(
         for piece in slices(batches, "text"):
             kind = piece.schema.field("doc_id").type
             span = [("start", pa.int32()), ("end", pa.int32())]
-            texts, counts, stay, leave, known = [], [], [], [], []
+            texts, counts, stay, leave = [], [], [], []
             for text, repeats in zip(piece.column("text").to_pylist(), piece.column("repeats").to_pylist()):
-                later = {r["start"]: r["kept_in"] for r in repeats or () if not r["first"]}
+                later = {r["start"]: r["kept_in"] for r in repeats or ()}
                 rows = [] if text is None else list(unit_spans(text, by))
                 left = [r for r in rows if r[0] not in later]
-                stay.append([{"start": a, "end": b} for a, b, _ in left])
+                stay.append([{"start": a, "end": b} for a, b, _ in left] if with_kept else [])
                 leave.append([{"start": a, "end": b, "kept_in": later[a]} for a, b, _ in rows if a in later])
-                known.append(len(repeats or ()))
                 counts.append(sum(1 for a, b, _ in rows if text[a:b].strip(_BLANK)))
                 if not later:
                     texts.append(text)
@@ -191,10 +191,10 @@ def deduplicate(
             yield pa.RecordBatch.from_arrays(
                 [
                     piece.column("doc_id"), pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(stay, pa.list_(pa.struct(span))),
-                    pa.array(leave, pa.list_(pa.struct([*span, ("kept_in", kind)]))), pa.array(known, pa.int32()),
+                    pa.array(leave, pa.list_(pa.struct([*span, ("kept_in", kind)]))), piece.column("repeated").fill_null(0),
                 ],
                 names=["doc_id", "text", "n_units", "kept", "removed", "repeated"],
             )
 
     schema = StructType([own.schema["doc_id"], StructField("text", StringType()), StructField("n_units", LongType()), StructField("kept", ArrayType(kept))])
-    return joined.select("doc_id", "text", "repeats").mapInArrow(cut, schema.add(StructField("removed", ArrayType(gone))).add(StructField("repeated", IntegerType())))
+    return joined.select("doc_id", "text", "repeated", "repeats").mapInArrow(cut, schema.add(StructField("removed", ArrayType(gone))).add(StructField("repeated", IntegerType())))

@@ -188,7 +188,7 @@ FROM documents d LEFT JOIN sized p ON p.doc_id = d.doc_id LEFT JOIN ranked r ON
 
 @query("op2_substring_dedup", _UNITS_SQL)
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_hash.deduplicate(table(spark, sf_dir, "documents"), least_words=1, by="sentences", least_passage=PASSAGE_WORDS)
+    found = line_hash.deduplicate(table(spark, sf_dir, "documents"), least_words=1, by="sentences", least_passage=PASSAGE_WORDS, with_kept=False)
     spans = F.transform("removed", lambda r: F.concat_ws(":", r["start"], r["end"], r["kept_in"]))
     return found.select(
         "doc_id", "text", "n_units", F.col("repeated").cast("long").alias("n_repeated"), F.size("removed").cast("long").alias("n_removed"),
