@@ -33,6 +33,8 @@ from paylens.llm.pieces import LONG_PIECE, PieceCoder, all_words
 
 #: Words above this many bytes go to the query that contracts all places of a pair at once.
 LONG_WORD = 64
+#: Words a worker may remember.
+WORD_MEMO = 600_000
 #: Symbols in one recursive query.
 ROWS = 400_000
 
@@ -109,6 +111,8 @@ class Coder(PieceCoder):
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
+        #: Ids of words, of which pieces are made.
+        self.spelled: dict[str, bytes] = {}
         self.ranks, self.findall = vocabulary.ranks, regex.compile(vocabulary.pattern).findall
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.sql = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
@@ -160,24 +164,16 @@ class Coder(PieceCoder):
     def words(self, text: str) -> list[str]:
         return self.findall(text)
 
-    def learn(self, first: set[str], rest: set[str]) -> None:
-        for memo, lead, pieces in ((self.first, "", first), (self.rest, " ", rest)):
-            found = {piece: self.findall(lead + piece) for piece in pieces}
-            words = all_words(found)
-            ids = {}
-            for word in words:
-                known = self.rest.get(word[1:]) if word[0] == " " else self.first.get(word)
-                if known is not None:
-                    ids[word] = known
-            ids |= (new := self.spell(words - ids.keys()))
-            for word, spelled in new.items():
-                if len(word) <= LONG_PIECE:
-                    if word[0] == " ":
-                        self.rest[word[1:]] = spelled
-                    else:
-                        self.first[word] = spelled
-            for piece, parts in found.items():
-                memo[piece] = ids[parts[0]] if len(parts) == 1 else b"".join([ids[w] for w in parts])
+    def learn(self, first: set[str], rest: set[str]) -> tuple[dict[str, bytes], dict[str, bytes]]:
+        cut = [{piece: self.findall(lead + piece) for piece in pieces} for lead, pieces in (("", first), (" ", rest))]
+        words = all_words(cut[0]) | all_words(cut[1])
+        ids = {word: known for word in words if (known := self.spelled.get(word)) is not None}
+        ids |= (new := self.spell(words - ids.keys()))
+        if len(self.spelled) + len(new) > WORD_MEMO:
+            self.spelled.clear()
+        self.spelled.update((word, found) for word, found in new.items() if len(word) <= LONG_PIECE)
+        heads, tails = ({piece: ids[w[0]] if len(w) == 1 else b"".join([ids[x] for x in w]) for piece, w in found.items()} for found in cut)
+        return heads, tails
 
     def decode(self, texts: list[np.ndarray]) -> list[bytes]:
         """Bytes of each list of ids, by an ordered aggregation."""

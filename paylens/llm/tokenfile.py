@@ -2,7 +2,7 @@
 
 Writing: documents are put in order of their id by a range partitioning and encoded with
 the ``tokenizers`` library; ids are counted over all documents; package merge gives code
-lengths of at most ``LIMIT`` bits, from which the canonical code follows. A file row is
+lengths of bounded size (``length_limit``), from which the canonical code follows. A file row is
 an independent block: whole documents, the place of its first id among all ids, the
 bits, and the bit offset of every ``STEP``-th id. Reading needs the block and the code
 lengths only: the checkpoints let a decoder walk all steps of a block side by side, one
@@ -20,6 +20,8 @@ block, or by one document if that is larger.
 from __future__ import annotations
 
 import json
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -34,8 +36,10 @@ from paylens.llm.common import ship, slices
 from paylens.llm.pieces import PieceCoder
 from paylens.session import scratch_path, written
 
-#: Longest code in bits; the decoder's table has 2 ** LIMIT entries.
+#: Longest code in bits where so many suffice; the decoder's table has an entry for each pattern of the longest code.
 LIMIT = 16
+#: What the packing can hold.
+MOST_BITS = 25
 #: Ids between two checkpoints.
 STEP = 256
 #: A block ends with the document that brings it to this many ids.
@@ -45,6 +49,14 @@ BLOCK = 1 << 18
 # Code
 
 
+def length_limit(used: int) -> int:
+    """Bits that codes of so many ids may have: two more than ids of equal length would need, LIMIT at least."""
+    limit = max(LIMIT, max(0, used - 1).bit_length() + 2)
+    if limit > MOST_BITS:
+        raise ValueError(f"{used} ids need codes of more than {MOST_BITS} bits")
+    return limit
+
+
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
     """Optimal code lengths of at most ``limit`` bits by package merge; 0 for ids that never occur."""
     lengths = np.zeros(len(counts), np.uint8)
@@ -151,10 +163,14 @@ class LibraryCoder(PieceCoder):
         self.library.no_truncation()
         size = self.library.get_vocab_size()
         self.kind = "<u2" if size <= 1 << 16 else "<u4"
-        space = cutter_space()
+        self.space = cutter_space()
         self.opens = np.zeros(size, bool)
         for token, i in self.library.get_vocab().items():
-            self.opens[i] = token.startswith(space)
+            self.opens[i] = token.startswith(self.space)
+        # A space and letters are one word for the pattern, whose merges the library's model does by itself; so are marks behind them.
+        self.tokenize, self.written, self.marks = self.library.model.tokenize, byte_letters(), {}
+        added = [t.content.strip() for t in self.library.get_added_tokens_decoder().values()]
+        self.direct = not any(re.fullmatch(f"{_LETTERS}|{_MARKS}|", t) for t in added)
 
     def run(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -162,19 +178,58 @@ class LibraryCoder(PieceCoder):
     def words(self, text: str) -> list[str]:
         return [text]
 
-    def learn(self, first: set[str], rest: set[str]) -> None:
-        heads = list(first)
-        for piece, ids in zip(heads, self.run(heads)):
-            self.first[piece] = np.array(ids, self.kind).tobytes()
-        tails = list(rest)
+    def word(self, lead: str, letters: str) -> bytes:
+        """Ids of letters, which are one word, by the model's merges."""
+        shown = letters if letters.isascii() else letters.encode().decode("latin-1").translate(self.written)
+        return self.pack(*[t.id for t in self.tokenize(lead + shown)])
+
+    def pack(self, *ids: int) -> bytes:
+        return struct.pack(f"<{len(ids)}{'H' if self.kind == '<u2' else 'I'}", *ids)
+
+    def marked(self, marks: str) -> bytes:
+        """Ids of marks, or of a line break, that stand behind a letter."""
+        if marks not in self.marks:
+            if len(self.marks) > 50_000:
+                self.marks.clear()
+            self.marks[marks] = self.pack(*self.run([marks])[0])
+        return self.marks[marks]
+
+    def learn(self, first: set[str], rest: set[str]) -> tuple[dict[str, bytes], dict[str, bytes]]:
+        heads, tails, found = list(first), [], {}
+        for piece in rest:
+            parts = _PARTS(piece) if self.direct else None
+            if parts is None:
+                tails.append(piece)
+                continue
+            word, marks, line, head, more = parts.groups()
+            ids = self.word(self.space, word) + (self.marked(marks) if marks else b"")
+            found[piece] = ids if line is None else ids + self.marked(line) + self.word("", head) + (self.marked(more) if more else b"")
         for start in range(0, len(tails), 4096):
             block = tails[start : start + 4096]
             # Every piece begins with the block's next space, and only there does a token open with one.
             ids = np.array(self.run([" " + " ".join(block)])[0], self.kind)
             raw, width = ids.tobytes(), ids.itemsize
             at = np.flatnonzero(self.opens[ids]) * width
-            for piece, a, b in zip(block, at.tolist(), [*at[1:].tolist(), len(raw)], strict=True):
-                self.rest[piece] = raw[a:b]
+            found.update((piece, raw[a:b]) for piece, a, b in zip(block, at.tolist(), [*at[1:].tolist(), len(raw)], strict=True))
+        return {piece: np.array(ids, self.kind).tobytes() for piece, ids in zip(heads, self.run(heads))}, found
+
+
+#: Letters about which all versions of Unicode agree, and ASCII marks without the apostrophe, which may begin a word of its own.
+_LETTERS, _MARKS = "[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+", r"[!-&(-/:-@\[-`{-~]+"
+_PARTS = re.compile(rf"({_LETTERS})({_MARKS})?(?:(\n)({_LETTERS})({_MARKS})?)?").fullmatch
+
+
+def byte_letters() -> dict[int, str]:
+    """How a byte-level vocabulary writes the bytes above ASCII."""
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    cutter, written = ByteLevel(add_prefix_space=False, use_regex=False), {}
+    for low in range(0x80, 0x800, 64):
+        for point in range(low, low + 64):
+            raw = chr(point).encode()
+            shown = cutter.pre_tokenize_str(chr(point))[0][0]
+            written.update(zip(raw, shown))
+    return written
 
 
 def cutter_space() -> str:
@@ -296,7 +351,7 @@ def write_tokens(docs: DataFrame, spec: str, path: str, end_id: int = 0, id_col:
     counts = np.zeros(max(found, default=-1) + 1, np.int64)
     for i, n in found.items():
         counts[i] = n
-    lengths = code_lengths(counts)
+    lengths = code_lengths(counts, length_limit(len(found)))
     used = [(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)]
     spark.createDataFrame(used, "id bigint, bits int").coalesce(1).write.mode("overwrite").parquet(f"{path}/codebook")
     shared = spark.sparkContext.broadcast((lengths, canonical_codes(lengths)))
@@ -340,12 +395,14 @@ def _documents(spark: SparkSession, path: str, name: str, kind: DataType, arrow:
         [StructField("doc_id", id_type), StructField("start", LongType()), StructField("n_tokens", LongType()), StructField(name, kind)]
     )
 
+    limit = int(max(LIMIT, lengths.max(initial=0)))
+
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = decode_table(shared.value)
+        table = decode_table(shared.value, limit)
         for batch in batches:
             for i in range(batch.num_rows):
                 doc_ids, sizes = batch.column("doc_ids")[i].values, batch.column("sizes")[i].values.to_numpy().astype(np.int64)
-                ids = unpack(batch.column("bits")[i].as_py(), batch.column("checkpoints")[i].values.to_numpy(), int(sizes.sum()), table)
+                ids = unpack(batch.column("bits")[i].as_py(), batch.column("checkpoints")[i].values.to_numpy(), int(sizes.sum()), table, limit)
                 ends = np.cumsum(sizes)
                 starts = ends - sizes + batch.column("start")[i].as_py()
                 values = [work(ids[e - s : e]) for s, e in zip(sizes.tolist(), ends.tolist())]

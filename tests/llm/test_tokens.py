@@ -113,3 +113,62 @@ def test_token_file(spark, make, edges, tmp_path, monkeypatch):
     assert whole.ids == library.encode(dict(rows)[10], add_special_tokens=False).ids + [0]
     tokenfile.write_tokens(make([]), spec, str(tmp_path / "e"))
     assert tokenfile.read_checksums(spark, str(tmp_path / "e")).collect() == []
+
+
+def test_pieces_of_any_length_and_a_full_memo(monkeypatch):
+    """Texts cut at spaces give the library's ids, also when the table starts anew all the time."""
+    import random
+
+    from paylens.llm import pieces, tokenfile
+
+    monkeypatch.setattr(pieces, "SLOT_BITS", 9)
+    monkeypatch.setattr(pieces, "MEMO", 300)
+    monkeypatch.setattr(pieces, "LONG_MEMO", 20)
+    spec = open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read()
+    coder = tokenfile.LibraryCoder(spec)
+    rng = random.Random(4)
+    letters = ["a", "b", "e", "th", "ing", "é", "ß", "日本", "\u0251", "1", "23", ".", ",", "'s", "'", "-", "\n", "_", "\u00a0", "😀", "\u0301"]
+
+    def word():
+        return "".join(rng.choice(letters) for _ in range(rng.choice((0, 1, 2, 3, 5, 9, 30))))
+
+    for _ in range(30):
+        texts = [" ".join(word() for _ in range(rng.randrange(25))) + rng.choice(("", "", " ", "\n", " \n ")) for _ in range(12)] + [None, "", "a" * 8, "a" * 9, "a" * 16, "a" * 17, "b" * 300]
+        want = [x.ids for x in coder.library.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
+        assert [x.tolist() for x in coder.encode(texts)] == want
+
+
+def test_keys_of_pieces_tell_all_bytes_apart():
+    from paylens.llm.pieces import PieceTable
+
+    table = PieceTable("<u2")
+    words = [b"x" * n + tail for n in range(15) for tail in (b"", b"a", b"b")] + [bytes([i]) * 16 for i in range(1, 99)]
+    words = sorted({w for w in words if len(w) <= 16})
+    raw = np.frombuffer(b"\0" * 8 + b" ".join(words) + b"\0" * 16, np.uint8)
+    sizes = np.array([len(w) for w in words])
+    starts = np.cumsum(sizes + 1) - sizes - 1 + 8
+    for lead in (0, 1):
+        keys = table.keys(raw, starts, sizes, np.full(len(words), lead))
+        assert (table.find(*keys) < 0).all()
+        table.add(*keys, [np.array([lead, i], "<u2").tobytes() for i in range(len(words))])
+    for lead in (0, 1):
+        slot = table.find(*table.keys(raw, starts, sizes, np.full(len(words), lead)))
+        assert [table.ids[a : a + n].tolist() for a, n in zip(table.at[slot], table.size[slot])] == [[lead, i] for i in range(len(words))]
+
+
+def test_more_than_65536_used_ids():
+    from paylens.llm import tokenfile
+
+    rng = np.random.default_rng(1)
+    counts = rng.integers(1, 50, 70_000)
+    counts[:5] = 10**9
+    limit = tokenfile.length_limit(len(counts))
+    lengths = tokenfile.code_lengths(counts, limit)
+    assert limit > 16 and lengths.max() <= limit and sum(2.0 ** -int(x) for x in lengths) == 1.0
+    ids = np.concatenate([rng.permutation(70_000), rng.integers(0, 70_000, 5000), np.zeros(9000, np.int64)])
+    bits, checkpoints = tokenfile.pack(ids, lengths, tokenfile.canonical_codes(lengths))
+    most = int(lengths.max())
+    assert (tokenfile.unpack(bits, checkpoints, len(ids), tokenfile.decode_table(lengths, most), most) == ids).all()
+    assert tokenfile.length_limit(100) == tokenfile.LIMIT
+    with pytest.raises(ValueError):
+        tokenfile.length_limit(1 << 25)
