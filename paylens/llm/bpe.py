@@ -34,9 +34,9 @@ from paylens.llm.pieces import LONG_PIECE, PieceCoder, all_words
 #: Words above this many bytes go to the query that contracts all places of a pair at once.
 LONG_WORD = 64
 #: Words a worker may remember.
-WORD_MEMO = 600_000
+WORD_MEMO = 150_000
 #: Symbols in one recursive query.
-ROWS = 400_000
+ROWS = 100_000
 
 _SHORT = """
 WITH RECURSIVE step(w, toks) AS (
@@ -115,7 +115,7 @@ class Coder(PieceCoder):
         self.spelled: dict[str, bytes] = {}
         self.ranks, self.findall = vocabulary.ranks, regex.compile(vocabulary.pattern).findall
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        self.sql = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.sql = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
         self.load("merges", vocabulary.merges())
         self.load("vocabulary", vocabulary.strings())
 
@@ -224,7 +224,7 @@ def _run(docs: DataFrame, id_col: str, value_col: str, fields: list[StructField]
     def batches(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(shared)
         arrow = None
-        for part in slices(given, "value") if work is not _decoded else given:
+        for part in slices(given, "value", 1 << 20) if work is not _decoded else given:
             columns = work(coder, part.column("value"))
             arrow = arrow or pa.schema([part.schema.field("doc_id"), *[pa.field(n, t) for n, t, _ in columns]])
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), *[pa.array(v, t) for _, t, v in columns]], schema=arrow)

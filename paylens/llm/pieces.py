@@ -18,7 +18,7 @@ from itertools import chain
 import numpy as np
 
 #: Slots of the table, as a power of two, and pieces that it may hold; beyond them it starts anew.
-SLOT_BITS = 22
+SLOT_BITS = 21
 MEMO = 5 << (SLOT_BITS - 3)
 #: Bytes of a piece that fits the table; longer ones are kept in dictionaries.
 SHORT = 16
