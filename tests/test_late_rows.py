@@ -18,12 +18,12 @@ START = datetime.datetime(2024, 1, 1)
 
 @pytest.fixture
 def newest_first(spark):
-    """Files of ten days each over 70 days, read from the newest to the oldest, one a batch."""
+    """Files of 14 days each over 70 days, read from the newest to the oldest, one a batch."""
     path, rng, rows = scratch_path(spark, "late"), random.Random(1), []
     os.makedirs(f"{path}/in")
-    for k in range(7):
-        day = START + datetime.timedelta(days=10 * (6 - k))
-        part = [(100 * k + i, day + datetime.timedelta(minutes=rng.randrange(14_400)), i % 3, float(i % 5)) for i in range(40)]
+    for k in range(5):
+        day = START + datetime.timedelta(days=14 * (4 - k))
+        part = [(100 * k + i, day + datetime.timedelta(minutes=rng.randrange(14 * 1440)), i % 3, float(i % 5)) for i in range(40)]
         rows += part
         spark.createDataFrame(part, EVENTS).coalesce(1).write.parquet(f"{path}/{k}")
         name = next(n for n in os.listdir(f"{path}/{k}") if n.endswith(".parquet"))
