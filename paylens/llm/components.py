@@ -1,6 +1,6 @@
 """Connected components of links between numbered nodes, as joins and sums.
 
-Large-star and small-star steps alternate until nothing changes: first every node links
+Large-star and small-star steps alternate until all components are stars, when nothing can change: first every node links
 its larger neighbours to the least node it knows, then its smaller ones. Both are a
 grouped minimum, which shrinks before its shuffle, and a join back, which adaptive
 execution splits at a hot node; no task holds a node's neighbours. Each round is written
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylens.session import written
+from paylens.session import discard, written
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -21,9 +21,11 @@ def _least(edges: DataFrame) -> DataFrame:
     return edges.join(least, "u")
 
 
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v") % (1 << 40)).alias("s")).first()
-    return row["n"], row["s"]
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node is either a root or has one edge, to a root: nothing can change then."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("down")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("down")))
+    nodes = ends.groupBy("node").agg(F.sum("down").alias("edges"), F.min("down").alias("least"))
+    return nodes.where((F.col("edges") > 1) | ((F.col("edges") > 0) & (F.col("least") == 0))).limit(1).count() == 0
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -35,16 +37,13 @@ def components(links: DataFrame) -> DataFrame:
     edges = written(
         links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links"
     )
-    state = _state(edges)
-    while True:
+    while not _are_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         small = _least(large)
         small = small.select(F.col("u"), F.col("m").alias("v")).unionByName(small.select(F.col("v").alias("u"), F.col("m").alias("v")))
-        edges = written(small.where("u <> v").distinct(), "links")
-        before, state = state, _state(edges)
-        if state == before:
-            break
+        before, edges = edges, written(small.where("u <> v").distinct(), "links")
+        discard(before)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )

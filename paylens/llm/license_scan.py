@@ -43,7 +43,7 @@ class Template:
     base: bool = False
 
 
-# Phrases and labels of the contract, and opening sentences of well-known licenses.
+# Phrases and labels of the contract, and paragraphs of well-known licenses and of their usual notices.
 TEMPLATES = (
     Template("gpl", "gnu general public license", True),
     Template("apache", "apache license", True),
@@ -75,6 +75,63 @@ TEMPLATES = (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
         "conditions are met",
     ),
+    Template(
+        "mit",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software",
+    ),
+    Template(
+        "mit",
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+        "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE "
+        "FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION "
+        "WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE",
+    ),
+    Template(
+        "bsd",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution",
+    ),
+    Template(
+        "bsd",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this "
+        "software without specific prior written permission",
+    ),
+    Template(
+        "bsd",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT "
+        "LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED",
+    ),
+    Template(
+        "apache",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, "
+        "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions "
+        "and limitations under the License",
+    ),
+    Template(
+        "gpl",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details",
+    ),
+    Template(
+        "lgpl",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+        "published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version",
+    ),
+    Template(
+        "mpl",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this "
+        "file, You can obtain one at http://mozilla.org/MPL/2.0/",
+    ),
+    Template(
+        "isc",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the "
+        "above copyright notice and this permission notice appear in all copies",
+    ),
+    Template(
+        "cc-by",
+        "You must give appropriate credit, provide a link to the license, and indicate if changes were made. You may do so in any reasonable "
+        "manner, but not in any way that suggests the licensor endorses you or your use",
+    ),
 )
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from paylens.llm.common import ship, slices
-from paylens.session import scratch_path
+from paylens.session import discard, scratch_path, written
 
 #: Words of a shard; it ends with the document that reaches them.
 SHARD_WORDS = 1 << 20
@@ -226,16 +226,23 @@ def search(index: DataFrame, items: list[tuple[str, str | None]], size: int = 10
 
 
 def item_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[list[tuple[str, str | None]]]:
-    """Test items block by block; a block has BLOCK_WORDS words at most, or one item."""
+    """Test items block by block; a block has BLOCK_WORDS words at most, or one item.
+
+    Items are dealt out in ranges and written once. Sums of words run inside a range; the
+    sums of whole ranges, one row for each, are added to them.
+    """
     own = items.select(
         F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     ).distinct()
-    # No text has more words than half its length, rounded up. The window sees one row for each test item.
-    before = F.coalesce(
-        F.sum(F.length("text") / 2 + 1).over(Window.orderBy("item", F.xxhash64("text"), "text").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0.0),
-    )
-    numbered = own.withColumn("block", F.floor(before / BLOCK_WORDS))
+    # No text has more words than half its length, rounded up.
+    sized = own.withColumn("words", F.floor(F.length("text") / 2).cast("long") + 1)
+    ranged = written(sized.repartitionByRange("item", F.xxhash64("text")).withColumn("part", F.spark_partition_id()), "items")
+    order = Window.partitionBy("part").orderBy("item", F.xxhash64("text"), "text").rowsBetween(Window.unboundedPreceding, -1)
+    parts = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy("part").agg(F.sum("words").alias("own")).select("part", F.coalesce(F.sum("own").over(parts), F.lit(0)).alias("ahead"))
+    inside = ranged.withColumn("inside", F.coalesce(F.sum("words").over(order), F.lit(0)))
+    numbered = written(inside.join(sums, "part").select("item", "text", F.floor((F.col("inside") + F.col("ahead")) / BLOCK_WORDS).alias("block")), "blocks")
+    discard(ranged)
     for row in numbered.select("block").distinct().orderBy("block").toLocalIterator():
         yield [(r["item"], r["text"]) for r in numbered.where(F.col("block") == row["block"]).collect()]
 

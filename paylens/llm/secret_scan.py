@@ -6,8 +6,10 @@ words around it and features of the whole file; Viterbi finds the best tags of a
 Spans of the field that touch no pattern match are added to the matches.
 
 The field is trained in the driver by maximum likelihood. Its rows are lines of a sample
-of ``TRAIN_DOCS`` documents (those of least id hash), tagged by the patterns, and copies
-of such lines with generated secrets put in. The sample bounds the training only: every
+of ``TRAIN_DOCS`` documents (those of least id hash), of each a window of ``TEXT_CHARS``
+characters at a place chosen by hash; lines are cut every ``LINE_CHARS`` characters, and
+``TRAIN_LINES`` of them are tagged by the patterns, beside copies of such lines with
+generated secrets put in. The sample bounds the training only: every
 text is scanned whole, in the partition where it lies, without a shuffle.
 
 Null and empty texts have no spans. Repeated rows give one row each; an empty table
@@ -29,8 +31,8 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 
 from paylens.llm.common import ship, slices
 
-#: Documents and characters of the training sample, and epochs.
-TRAIN_DOCS, TRAIN_CHARS, EPOCHS = 400, 400_000, 25
+#: Bounds of the training sample: documents, characters of a document, characters of a line, lines; and epochs.
+TRAIN_DOCS, TEXT_CHARS, LINE_CHARS, TRAIN_LINES, EPOCHS = 400, 2_000, 1_000, 1_200, 25
 
 KINDS = ("assign", "access", "hex", "crf")
 
@@ -190,14 +192,18 @@ def _lanes(line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def viterbi(field: Field, tokens: Tokens) -> np.ndarray:
     """Best tags of every token; lines advance side by side.
 
-    A line whose tokens cannot gain anything by begin or inside, whatever stands beside
-    them, is outside as a whole and is left out of the walk.
+    A line is outside as a whole, and is left out of the walk, if no path can gain by
+    leaving it: k tokens inside a secret gain at most their scores, k - 1 moves inside, one
+    move in and one out, less the outside moves that these replace. If each token's score
+    is too low to pay for the best of all three, no run of them does.
     """
     tags = np.zeros(len(tokens.start), np.int8)
     if not len(tags):
         return tags
     scores = field.scores(tokens)
-    gain = scores[:, 1:].max(axis=1) + 2 * np.abs(field.move[field.move > _BAN / 2]).max() > 0
+    stay = field.move[0, 0]
+    moves = max(0.0, field.move[1:, 1:].max() - stay) + max(0.0, field.move[0, 1:].max() - stay) + max(0.0, field.move[1:, 0].max() - stay)
+    gain = scores[:, 1:].max(axis=1) + moves > 0
     open_lines = np.unique(tokens.line[gain])
     chosen = np.flatnonzero(np.isin(tokens.line, open_lines))
     if not len(chosen):
@@ -287,10 +293,11 @@ def _generated(rng: np.random.Generator, lines: list[str]) -> list[tuple[str, li
 def train(rows: list[tuple[str, str | None]], seed: int = 7, epochs: int = EPOCHS, rate: float = 0.3, decay: float = 1e-4) -> Field:
     """Fit the field to texts and their languages by gradient steps on the likelihood of their lines."""
     rng = np.random.default_rng(seed)
-    lines = [(line, lang) for text, lang in rows for line in text.split("\n") if line.strip() and len(line) <= 1000]
-    lines = [lines[i] for i in np.sort(rng.permutation(len(lines))[:1200])] or [("there is nothing in this line", None)]
+    cut = [(line[i : i + LINE_CHARS], lang) for text, lang in rows for line in text.split("\n") for i in range(0, len(line), LINE_CHARS)]
+    lines = [x for x in cut if x[0].strip()]
+    lines = [lines[i] for i in np.sort(rng.permutation(len(lines))[:TRAIN_LINES])] or [("there is nothing in this line", None)]
     tongues = [lang for _, lang in lines]
-    made = _generated(rng, [line for line, _ in lines[:: max(1, len(lines) // 600)]] or ["and"])
+    made = _generated(rng, [line for line, _ in lines[:: max(1, len(lines) // (TRAIN_LINES // 2))]] or ["and"])
     texts = [line for line, _ in lines] + [t for t, _ in made]
     spans = [[secret_part(line, s) for s in base_spans(line)] for line, _ in lines] + [s for _, s in made]
     tongues += [tongues[i % len(tongues)] for i in range(len(made))]
@@ -350,22 +357,17 @@ def train(rows: list[tuple[str, str | None]], seed: int = 7, epochs: int = EPOCH
 
 
 def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang") -> list[tuple[str, str | None]]:
-    """Texts and languages of at most TRAIN_DOCS documents, TRAIN_CHARS characters in all."""
+    """Languages and windows of the texts of at most TRAIN_DOCS documents."""
     language = F.col(lang_col).cast("string") if lang_col else F.lit(None).cast("string")
     place = F.xxhash64(F.col(id_col))
     # Ids alone are ordered; then only the chosen texts are read to the driver.
     limit = docs.select(place.alias("place")).orderBy("place").limit(TRAIN_DOCS).agg(F.max("place")).first()[0]
     if limit is None:
         return []
-    own = docs.where((place <= limit) & F.col(text_col).isNotNull()).select(
-        place.alias("place"), F.substring(F.col(text_col), 1, TRAIN_CHARS // 40).alias("text"), language.alias("lang")
-    )
-    out, held = [], 0
-    for r in own.orderBy("place", "text").limit(TRAIN_DOCS).collect():
-        if held + len(r["text"]) <= TRAIN_CHARS:
-            out.append((r["text"], r["lang"]))
-            held += len(r["text"])
-    return out
+    text = F.col(text_col)
+    start = F.pmod(F.xxhash64(F.lit("window"), F.col(id_col)), F.greatest(F.char_length(text) - TEXT_CHARS, F.lit(0)) + 1).cast("int") + 1
+    own = docs.where((place <= limit) & text.isNotNull()).select(place.alias("place"), F.substr(text, start, F.lit(TEXT_CHARS)).alias("text"), language.alias("lang"))
+    return [(r["text"], r["lang"]) for r in own.orderBy("place", "text").limit(TRAIN_DOCS).collect()]
 
 
 def scan(

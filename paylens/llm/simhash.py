@@ -79,15 +79,16 @@ def fingerprints(docs: DataFrame, width: int, id_col: str = "doc_id", text_col:
     return own.mapInArrow(hashed, StructType([own.schema["doc_id"], own.schema["version"], StructField("fp", LongType())]))
 
 
-def covering_sets(shared: int) -> list[tuple[int, ...]]:
-    """Position sets one smaller than ``shared``, such that any ``shared`` positions contain one.
+def covering_sets(shared: int, size: int | None = None) -> list[tuple[int, ...]]:
+    """Sets of ``size`` positions (one less than ``shared`` if not given) such that any ``shared`` positions contain one.
 
     Chosen greedily: each time the set that covers most position groups still open.
     """
+    size = size or shared - 1
     open_groups = set(combinations(range(_BYTES), shared))
     chosen = []
     while open_groups:
-        best = max(combinations(range(_BYTES), shared - 1), key=lambda s: sum(set(s) <= set(g) for g in open_groups))
+        best = max(combinations(range(_BYTES), size), key=lambda s: sum(set(s) <= set(g) for g in open_groups))
         chosen.append(best)
         open_groups = {g for g in open_groups if not set(best) <= set(g)}
     return chosen
@@ -112,16 +113,22 @@ def _ball(radius: int) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
-def links(nodes: DataFrame, distance: int = 4, hot: int = HOT) -> DataFrame:
+def links(nodes: DataFrame, distance: int = 4, hot: int = HOT, key_bytes: int | None = None) -> DataFrame:
     """``a, b``: links between distinct fingerprints (column fp).
 
     All pairs within the distance, but for lists above ``hot``: there as many as keep
-    the same fingerprints connected. ``distance`` is 2 or 4.
+    the same fingerprints connected. ``distance`` is 2 or 4. Lists are keyed by
+    ``key_bytes`` positional bytes: one less than a pair shares if not given, which suits
+    some billion fingerprints (20 lists of 2^24 keys at distance 4). With as many as a pair
+    shares, 4, a fingerprint is in 70 lists of 2^32 keys, which stay short for a thousand
+    times as many. The links connect the same fingerprints either way.
     """
     if distance not in (2, 4):
         raise ValueError("the index is laid out for 2 or 4 differing bits")
     shared = _BYTES - distance
-    keys = F.array(*[_key(F.col("fp"), i, p) for i, p in enumerate(covering_sets(shared))])
+    if key_bytes is not None and not 1 <= key_bytes <= min(shared, 6):
+        raise ValueError("keys take up to six of the bytes that a pair shares")
+    keys = F.array(*[_key(F.col("fp"), i, p) for i, p in enumerate(covering_sets(shared, key_bytes))])
     postings = nodes.select("fp", F.explode(keys).alias("key"))
     # Only the crowded lists are written; there are few, as each holds more than ``hot`` fingerprints.
     crowds = written(postings.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).select("key"), "crowds")
@@ -142,9 +149,9 @@ def links(nodes: DataFrame, distance: int = 4, hot: int = HOT) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, width: int = 4, distance: int = 4, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, width: int = 4, distance: int = 4, id_col: str = "doc_id", text_col: str = "text", key_bytes: int | None = None
 ) -> DataFrame:
-    """``doc_id, version, fp, root, component_id`` for every document.
+    """``doc_id, version, fp, root, component_id`` for every document; ``key_bytes`` as in ``links``.
 
     ``root`` is the same for documents that links connect. ``component_id`` is the
     smallest id reachable, the document's own included; null ids are no names, so it is
@@ -153,7 +160,8 @@ def near_duplicates(
     """
     prints = written(fingerprints(docs, width, id_col, text_col), "fingerprints")
     nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    roots = components(links(nodes.select("fp"), distance))
+    wide = {} if key_bytes is None else {"key_bytes": key_bytes}
+    roots = components(links(nodes.select("fp"), distance, **wide))
     rooted = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return prints.join(rooted.join(names, "root").select("fp", "root", "component_id"), "fp").select(
@@ -165,11 +173,14 @@ def keep_one(docs: DataFrame, width: int = 4, distance: int = 4, id_col: str = "
     """The row of ``docs`` with the smallest id of each group; null ids come last, equal ids go by text hash."""
     found = near_duplicates(docs, width, distance, id_col, text_col)
     least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "version")).alias("kept")
-    kept = found.groupBy("root").agg(least).select(F.col("kept.doc_id").alias("kept_id"), F.col("kept.version").alias("kept_version"))
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")).select(
-        "doc", F.col("doc")[id_col].alias("own_id"), F.xxhash64(F.col("doc")[text_col]).alias("own_version")
-    )
-    rows = whole.join(kept, F.col("own_id").eqNullSafe(F.col("kept_id")) & (F.col("own_version") == F.col("kept_version")), "left_semi")
+    # Plain keys, so that the join and the choice among repeated rows stand on one shuffle of the texts.
+    at = F.coalesce(F.col("kept.doc_id").cast("string"), F.lit("")).alias("at")
+    kept = found.groupBy("root").agg(least).select(at, F.col("kept.doc_id").isNull().alias("none"), F.col("kept.version").alias("ver"))
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    own_id = F.col("doc")[id_col]
+    whole = docs.select(doc).select("doc", F.coalesce(own_id.cast("string"), F.lit("")).alias("at"), own_id.isNull().alias("none"), F.xxhash64(F.col("doc")[text_col]).alias("ver"))
+    key = ["at", "none", "ver"]
+    rows = whole.join(kept, key, "left_semi")
     # Repeated rows are alike, so any one of them may stand for them.
-    nth = F.row_number().over(Window.partitionBy("own_id", "own_version").orderBy("own_id"))
+    nth = F.row_number().over(Window.partitionBy(*key).orderBy("at"))
     return rows.withColumn("nth", nth).where("nth = 1").select("doc.*")

@@ -143,3 +143,20 @@ def test_queries_have_the_contract_columns(spark, sf):
     assert found["op3_decontamination"].run(spark, sf).columns[:6] == ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
     row = found["op4_simhash"].run(spark, sf).first()
     assert len(row.fingerprint) == 16 and row.component_id <= row.doc_id
+
+
+@pytest.mark.parametrize("key_bytes", [2, 3, 4])
+def test_keys_of_any_width_find_all_links(spark, key_bytes):
+    r = random.Random(key_bytes)
+    prints = [r.getrandbits(64) for _ in range(60)]
+    for _ in range(200):
+        fp = r.choice(prints)
+        for _ in range(r.randrange(1, 6)):
+            fp ^= 1 << r.randrange(64)
+        prints.append(fp)
+    signed = sorted({p - (1 << 64) if p >> 63 else p for p in prints})
+    nodes = spark.createDataFrame([(p,) for p in signed], "fp long")
+    got = {(min(x.a, x.b), max(x.a, x.b)) for x in simhash.links(nodes, 4, hot=10**6, key_bytes=key_bytes).collect()}
+    assert got == {(a, b) for a, b in itertools.combinations(signed, 2) if ((a ^ b) & (2**64 - 1)).bit_count() <= 4}
+    with pytest.raises(ValueError):
+        simhash.links(nodes, 4, key_bytes=5)

@@ -135,3 +135,74 @@ def test_cascade_is_exact_for_its_universe(chosen):
         levels.append(url_filter.Level(len(levels), outside, 0.5))
         inside, outside = outside, [k for k in inside if levels[-1].passes(k)]
     assert {k for k in universe if url_filter.listed(levels, k)} == names
+
+
+def test_a_list_read_from_a_table(spark):
+    rules = [url_filter.Rule("block" if i % 3 else "allow", f"h{i}.net", f"/p{i % 7}/") for i in range(3000)]
+    hosts = [f"bad{i}.org" for i in range(2000)]
+    urls = [f"http://{'x.' * (i % 2)}h{i}.net/p{i % 5}/a?q" for i in range(0, 6000, 7)] + [f"https://sub.bad{i}.org/" for i in range(0, 4000, 11)] + [None, "no url"]
+    listed = spark.createDataFrame([(r.verdict, r.host, r.path, "x") for r in rules] + [(None, "a.b", "/", "x")], "verdict string, host string, path string, page_id string")
+    blocked = spark.createDataFrame([(h, 1) for h in hosts + hosts[:9]] + [(None, 1)], "host string, url long")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(pages(spark, urls), listed, blocked).collect()}
+    by_host = {r.host: r for r in rules}
+    for i, url in enumerate(urls):
+        near = [by_host[h] for h in [got[i][0], got[i][0].removeprefix("x.")] if h in by_host]
+        assert got[i] == judged(url, near, [h for h in hosts if got[i][0].endswith(h)])
+    shapes, levels = url_filter.build_cascade(pages(spark, urls), listed, blocked)
+    assert len(levels) > 2 and sum(x.bits for x in levels) < 40 * (len(rules) + len(hosts))
+
+
+def test_lines_that_viterbi_leaves_out_have_no_better_path():
+    """A field in which moves pay for tokens that score badly by themselves, and strangers that nothing pays for."""
+    tokens = secret_scan.tokenize(["\n".join(f"a{i} b c" for i in range(300))], [None])
+    rng = np.random.default_rng(2)
+    for shift in (-0.5, -1.5, -3.0, -6.0):
+        weights = {n: rng.normal(shift, 1.0, (size, 2)) / 4 for n, size in secret_scan.TABLES.items()}
+        move = rng.normal(0, 1.5, (3, 3)) + np.array([[-2.0, 0, 0], [0, 0, 0], [0, 0, 0]])
+        move[0, 2] = secret_scan._BAN
+        field = secret_scan.Field(weights, move)
+        tags, scores = secret_scan.viterbi(field, tokens), field.scores(tokens)
+        for line in np.unique(tokens.line):
+            at = np.flatnonzero(tokens.line == line)
+
+            def value(path):
+                return scores[at, path].sum() + sum(move[a, b] for a, b in itertools.pairwise(path)) + (secret_scan._BAN if path[0] == 2 else 0)
+
+            best = max(value(p) for p in itertools.product(range(3), repeat=len(at)))
+            assert abs(value(tuple(tags[at])) - best) < 1e-9
+
+
+def test_sample_takes_windows_of_whole_texts(spark, monkeypatch):
+    monkeypatch.setattr(secret_scan, "TEXT_CHARS", 20)
+    rows = [(i, "".join(f"{i}.{k};" for k in range(1 + 2 * i)), None if i % 2 else "en") for i in range(60)] + [(70, None, "en"), (71, "", None), (None, "null id here", "de")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, lang string, place string").repartition(3)
+    found = secret_scan.sample(docs)
+    texts = {t for _, t, _ in rows if t is not None}
+    assert len(found) == len([r for r in rows if r[1] is not None])
+    assert all(any(w in t for t in texts) and len(w) <= 20 for w, _ in found)
+    assert any(w not in {t[:20] for t in texts} for w, _ in found) and {lang for _, lang in found} == {None, "en", "de"}
+    assert secret_scan.sample(docs.limit(0)) == []
+    monkeypatch.setattr(secret_scan, "TRAIN_DOCS", 7)
+    assert len(secret_scan.sample(docs)) <= 7
+    assert [x.tolist() for x in (secret_scan.train([("a" * 2500 + " password=abcdef123", None)], epochs=2).move,)][0][0][2] == secret_scan._BAN
+
+
+def test_base_spans_of_documents_against_a_plain_version(spark, sf):
+    import hashlib
+    import re
+
+    from paylens.llm.queries import load
+
+    kinds = {
+        "assign": (re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 1, 6),
+        "access": (re.compile("AKIA[A-Z0-9]+"), 0, 20), "hex": (re.compile("[0-9a-f]+"), 0, 24),
+    }
+    got = {r.doc_id: r for r in load()["op10_secret_scan"].run(spark, sf).collect()}
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    assert len(got) == len(rows)
+    for doc_id, text in rows:
+        spans = [(m.start(), i, f"{k}:{m.start()}:{m.end()}") for i, (k, (p, g, least)) in enumerate(kinds.items()) for m in p.finditer(text or "") if len(m[g]) >= least]
+        r = got[doc_id]
+        assert r.base_sha256 == hashlib.sha256(",".join(s for _, _, s in sorted(spans)).encode()).hexdigest()
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(s.startswith(k) for _, _, s in spans) for k in kinds]
+        assert {s for _, _, s in spans} <= set(r.spans.split(",")) | {""}
