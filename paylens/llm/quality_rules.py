@@ -246,12 +246,20 @@ def keep_documents(
 ) -> DataFrame:
     """The rows of ``docs`` that are kept, with the columns of ``docs``.
 
-    Counts are made twice, once for the cutoffs and once beside the texts, which costs
-    less than moving the texts to their verdicts.
+    Counts are made once; the rows then meet their verdicts by id and by a hash of text and
+    stratum, so repeated rows share one.
     """
-    own = docs.select(F.col(id_col).alias("doc_id"), F.col(stratum_col).alias("stratum"), F.col(text_col).alias("text"))
+    def found_again(doc_id: Column, text: Column, stratum: Column) -> list[Column]:
+        return [F.coalesce(doc_id.cast("string"), F.lit("")).alias("at"), F.xxhash64(doc_id.isNull(), text, stratum, stratum.isNull()).alias("version")]
+
+    own = docs.select(
+        F.col(id_col).alias("doc_id"), F.col(stratum_col).alias("stratum"), F.col(text_col).alias("text"),
+        *found_again(F.col(id_col), F.col(text_col), F.col(stratum_col)),
+    )
     counted = written(rule_counts(own).drop("text"), "counts")
-    cutoffs = written(certify(good_documents(counted, labels, "doc_id"), rules, alpha, delta), "cutoffs")
+    cutoffs = certify(good_documents(counted, labels, "doc_id"), rules, alpha, delta)
+    kept = written(verdicts(counted, cutoffs, rules).where("kept").select("at", "version"), "kept")
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
-    rows = whole.select("doc", F.col("doc")[stratum_col].alias("stratum"), F.col("doc")[text_col].alias("text"))
-    return verdicts(rule_counts(rows).drop("text"), cutoffs, rules).where("kept").select("doc.*")
+    doc = F.col("doc")
+    rows = whole.select("doc", *found_again(doc[id_col], doc[text_col], doc[stratum_col]))
+    return rows.join(kept, ["at", "version"], "left_semi").select("doc.*")

@@ -138,5 +138,5 @@ def test_stages_keep_the_columns(spark, sf):
 
 def test_every_operator_is_registered():
     names = sorted(queries.load())
-    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 11)} and len(names) == 10
+    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 14)} and len(names) == 13
     assert set(corpus_pipeline.load()) == {"pipeline"}
