@@ -40,7 +40,11 @@ SHARD_WORDS = 1 << 20
 #: Test words searched in one pass over the index.
 BLOCK_WORDS = 4 << 20
 #: Candidates that are held at once while lists are intersected.
-CANDIDATES = 1 << 21
+CANDIDATES = 1 << 18
+#: Windows that are written out at once.
+SLICE = 1 << 16
+#: Bytes of a row group of the index, or one shard. A task holds one group while it writes or reads, however many shards it has.
+GROUP_BYTES = 16 << 20
 
 # In UTF-8 every character from U+0080 on has bytes above 0x7F only.
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -109,30 +113,46 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             yield shard()
 
     path = scratch_path(spark, "postings")
-    own.mapInArrow(shards, schema).write.option("compression", "zstd").parquet(path)
+    # Sizes are looked at after every row: a row is a whole shard, and the format's own hundred rows would be held at once.
+    sizes = {"parquet.block.size": GROUP_BYTES, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1}
+    own.mapInArrow(shards, schema).write.options(compression="zstd", **sizes).parquet(path)
     return spark.read.parquet(path)
 
 
 class Windows:
-    """A block of test windows: term numbers by window length, and the items of each window."""
+    """A block of test windows: the block's words in a row, where in it each window starts, by length, and the items of each window.
+
+    Windows overlap, so a block takes a few numbers for each of its words; windows are written out a slice at a time.
+    """
 
     def __init__(self, items: list[tuple[str, str | None]], size: int):
-        numbers: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], set[str]] = {}
-        for item, text in items:
-            found = [numbers.setdefault(w, len(numbers)) for w in words_of(text)]
-            for start in range(max(1, len(found) - size + 1) if found else 0):
-                owners.setdefault(tuple(found[start : start + size]), set()).add(item)
-        self.terms = list(numbers)
+        numbers = Numbers()
         names = sorted({item for item, _ in items})
         place = {name: i for i, name in enumerate(names)}
+        texts = [np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)) for words in (words_of(text) for _, text in items)]
+        sizes = np.array([len(t) for t in texts], np.int64)
+        lengths = np.minimum(sizes, size)
+        self.terms = pa.array(list(numbers), pa.binary())
         self.items = names
+        self.words = np.concatenate([np.zeros(0, np.int32), *texts])
+        begins = np.cumsum(sizes) - sizes
+        ids = np.array([place[item] for item, _ in items], np.int32)
         self.groups = []
-        for length in sorted({len(w) for w in owners}):
-            windows = [w for w in owners if len(w) == length]
-            lists = [sorted(place[x] for x in owners[w]) for w in windows]
-            ends = np.cumsum([len(x) for x in lists])
-            self.groups.append((np.array(windows, np.int64), np.array([i for x in lists for i in x], np.int64), ends))
+        for length in sorted(set(lengths[lengths > 0].tolist())):
+            mine = np.flatnonzero(lengths == length)
+            n = sizes[mine] - length + 1
+            starts = np.repeat(begins[mine], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            seen = np.lib.stride_tricks.sliding_window_view(self.words, length)[starts]
+            _, first, number = np.unique(np.ascontiguousarray(seen).view(f"V{4 * length}").ravel(), return_index=True, return_inverse=True)
+            del seen
+            pairs = np.unique(number.astype(np.int64) * len(names) + np.repeat(ids[mine], n))
+            ends = np.cumsum(np.bincount(pairs // len(names), minlength=len(first)))
+            self.groups.append((length, starts[first].astype(np.int32), (pairs % len(names)).astype(np.int32), ends.astype(np.int32)))
+
+    def slices(self, length: int, starts: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """The number of a slice's first window, and its windows written out: term numbers by window and offset."""
+        for at in range(0, len(starts), SLICE):
+            yield at, self.words[starts[at : at + SLICE, None] + np.arange(length)]
 
 
 def find(matrix: np.ndarray, keys: np.ndarray, counts: np.ndarray, span: int, slop: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -176,7 +196,6 @@ def search(index: DataFrame, items: list[tuple[str, str | None]], size: int = 10
 
     def matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = shared.value
-        terms = pa.array(block.terms, pa.binary())
         for batch in batches:
             for i in range(batch.num_rows):
                 sizes = batch.column("sizes")[i].values.to_numpy().astype(np.int64)
@@ -185,25 +204,25 @@ def search(index: DataFrame, items: list[tuple[str, str | None]], size: int = 10
                 ends = np.cumsum(sizes)
                 span = int(ends[-1]) + 2 * slop + 1
                 keys = np.repeat(np.arange(len(counts)), counts) * span + places
-                local = pc.fill_null(pc.index_in(terms, value_set=batch.column("terms")[i].values), -1).to_numpy().astype(np.int64)
+                local = pc.fill_null(pc.index_in(block.terms, value_set=batch.column("terms")[i].values), -1).to_numpy().astype(np.int64)
                 hit = np.zeros(len(places), bool)
                 pairs = [np.zeros((0, 2), np.int64)]
-                for matrix, owners, owner_ends in block.groups:
-                    known = np.flatnonzero((local[matrix] >= 0).all(axis=1)) if len(local) else np.zeros(0, int)
-                    if not len(known):
-                        continue
-                    length = matrix.shape[1]
-                    for window, start in find(local[matrix[known]], keys, counts, span, slop):
-                        doc = np.searchsorted(ends, start, side="right")
-                        inside = (start + length <= len(places)) & (doc == np.searchsorted(ends, start + length - 1, side="right"))
-                        window, start, doc = known[window[inside]], start[inside], doc[inside]
-                        for offset in range(length):
-                            hit[start + offset] = True
-                        once = np.unique(np.stack([doc, window], axis=1), axis=0)
-                        n = np.diff(owner_ends, prepend=0)[once[:, 1]]
-                        nth = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-                        owner = owners[np.repeat(owner_ends[once[:, 1]] - n, n) + nth]
-                        pairs.append(np.stack([np.repeat(once[:, 0], n), owner], axis=1))
+                for length, starts, owners, owner_ends in block.groups if len(local) else []:
+                    for at, windows in block.slices(length, starts):
+                        known = np.flatnonzero((local[windows] >= 0).all(axis=1))
+                        if not len(known):
+                            continue
+                        for window, start in find(local[windows[known]], keys, counts, span, slop):
+                            doc = np.searchsorted(ends, start, side="right")
+                            inside = (start + length <= len(places)) & (doc == np.searchsorted(ends, start + length - 1, side="right"))
+                            window, start, doc = at + known[window[inside]], start[inside], doc[inside]
+                            for offset in range(length):
+                                hit[start + offset] = True
+                            once = np.unique(np.stack([doc, window], axis=1), axis=0)
+                            n = np.diff(owner_ends, prepend=0)[once[:, 1]]
+                            nth = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+                            owner = owners[np.repeat(owner_ends[once[:, 1]] - n, n) + nth]
+                            pairs.append(np.unique(np.stack([np.repeat(once[:, 0], n), owner], axis=1), axis=0))
                 pair = np.unique(np.concatenate(pairs), axis=0)
                 docs, begin = np.unique(pair[:, 0], return_index=True)
                 begins = ends - sizes

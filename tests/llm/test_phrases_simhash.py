@@ -1,10 +1,12 @@
 """Positional index and SimHash near-duplicates."""
 
 import itertools
+import pickle
 import random
 
 import numpy as np
 import brute
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -160,3 +162,16 @@ def test_keys_of_any_width_find_all_links(spark, key_bytes):
     assert got == {(a, b) for a, b in itertools.combinations(signed, 2) if ((a ^ b) & (2**64 - 1)).bit_count() <= 4}
     with pytest.raises(ValueError):
         simhash.links(nodes, 4, key_bytes=5)
+
+
+def test_index_groups_and_blocks_are_bounded(spark, make, monkeypatch):
+    """However many shards a task makes, it holds some; a block costs some numbers for each of its words, not one for each word of every window."""
+    monkeypatch.setattr(phrase_index, "SHARD_WORDS", 40)
+    monkeypatch.setattr(phrase_index, "GROUP_BYTES", 4096, raising=False)
+    index = phrase_index.build_index(make([(i, f"some words of text {i} " * 5) for i in range(200)], 1))
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in index.inputFiles()]
+    groups = [f.row_group(i).num_rows for f in files for i in range(f.num_row_groups)]
+    assert sum(groups) > 40 and max(groups) < 40
+    r = random.Random(9)
+    block = phrase_index.Windows([(str(i), " ".join(f"w{r.randrange(900)}" for _ in range(5000))) for i in range(10)], 10)
+    assert len(pickle.dumps(block)) < 40 * 50_000
