@@ -11,14 +11,16 @@ from paylens.functions.masking import hash_id
 from paylens.sources.keyed import merge_insert, own_folder  # noqa: F401  (the merge is a sink like the others)
 
 
-def replace_partitions(df: DataFrame, path: str, by: Sequence[str], fmt: str = "parquet") -> None:
+def replace_partitions(df: DataFrame, path: str, by: Sequence[str], fmt: str = "parquet", gather: bool = True) -> None:
     """Overwrite exactly the partitions that ``df`` has; the others stay.
 
     Rebalancing gathers a partition's rows into files of sensible size and lets adaptive
-    execution split a partition that is much larger than the rest.
+    execution split a partition that is much larger than the rest. It moves every row once
+    more; without ``gather`` each task writes a file for each of its partitions.
     """
-    rows = df.hint("rebalance", *by)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).format(fmt).save(path)
+    rows = df.hint("rebalance", *by) if gather else df
+    packed = rows.write.option("compression", "zstd") if fmt == "parquet" else rows.write
+    packed.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).format(fmt).save(path)
 
 
 def write_hourly_json(df: DataFrame, ts: str, path: str) -> None:
