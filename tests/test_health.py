@@ -1,9 +1,12 @@
 """Health queries over tables of a few rows."""
 
 import datetime
+import decimal
 
 import pytest
 
+from paylens.operators import aggregates as agg
+from paylens.plans import increment, medallion
 from paylens.queries import lifecycle
 
 
@@ -31,3 +34,32 @@ def test_health_takes_a_whole_load(spark, folder, monkeypatch):
     monkeypatch.setattr(lifecycle, "run_record", lambda spark, sf, run_id: spark.sql(f"SELECT {late}"))
     assert {r["rule"]: r["fired"] for r in lifecycle.x07(spark, folder).collect()}["load_failed"]
     assert lifecycle.x10(spark, folder).first()["status"] == "CRITICAL"
+
+
+def test_daily_revenue_counts_merchants_without_hash_tables(spark):
+    day = datetime.date(2024, 1, 1)
+    rows = [(day, "a", 1.5, 2, 0.5, 10.0), (day, "a", 1.5, 2, 0.5, 10.0), (day, "b", 1.0, 1, 0.0, None), (day, None, 2.0, 1, 0.0, 40.0), (None, "a", 3.0, 1, 0.0, 0.0)]
+    gmv = spark.createDataFrame(rows, "transaction_date date, merchant_id string, gmv double, transaction_count long, failed_amount double, failure_rate_pct double")
+    found = agg.daily_revenue(gmv)
+    assert {tuple(r) for r in found.collect()} == {(day, 6.0, 6, 2, 1.0, 20.0), (None, 3.0, 1, 1, 0.0, 0.0)}
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("HashAggregate(") == 2, plan
+
+
+def test_a_grouping_is_not_shuffled_again_before_it_is_written(spark, tmp_path, monkeypatch):
+    gathered = []
+    put, replace = increment._put, medallion.replace_partitions
+    monkeypatch.setattr(increment, "_put", lambda *a, gather=False: gathered.append((a[2], gather)) or put(*a, gather=gather))
+    monkeypatch.setattr(medallion, "replace_partitions", lambda df, path, by, fmt="parquet", gather=True: gathered.append((path.rsplit("/", 1)[1], gather)) or replace(df, path, by, fmt, gather))
+    txn = "transaction_id string, amount decimal(18,2), status string, merchant_id string, customer_id string, transaction_date date, payment_method string, k long, ingestion_timestamp timestamp_ntz"
+    at = datetime.datetime(2024, 1, 2)
+    rows = [(f"t{i % 8}", decimal.Decimal(i), "COMPLETED", "M1", f"c{i % 3}", datetime.date(2024, 1 + i % 2, 1), "UPI", i, at) for i in range(12)]
+    merchants = spark.createDataFrame([("M1", "one", "Travel", "X")], "merchant_id string, merchant_name string, category string, city string")
+    bronze = spark.createDataFrame(rows, txn)
+    increment.run_batch(spark, bronze, merchants, f"{tmp_path}/batches", 1)
+    medallion.run(spark, bronze, merchants, f"{tmp_path}/whole", grain="month")
+    wide = {name for name, moved in gathered if moved}
+    assert wide == {"silver", "daily_summary"}
+    for name in ("silver", "merchant_performance", "daily_summary"):
+        whole = spark.read.parquet(f"{tmp_path}/whole/{name}").drop("month")
+        assert sorted(map(str, increment.read(spark, f"{tmp_path}/batches", name).select(*whole.columns).collect())) == sorted(map(str, whole.collect()))
