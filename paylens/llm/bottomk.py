@@ -14,7 +14,9 @@ A document's set is its distinct word shingles; its sketch holds the ``KEEP`` sm
    shared (the likely original of a group of copies); of those the one that shares most
    is estimated and verified. That connects most of a group without pairing it.
 3. Then members of a list meet all others that are still in another component. A pair
-   inside a component can change nothing, any other pair is found: no link is lost.
+   inside a component can change nothing, any other pair is found: no link is lost. Of
+   these pairs the likeliest of each class are verified first, and then those that are
+   still in two components.
    In lists of ``CROWD`` classes or more they meet by their full sets instead: by the
    rarest shingles that a match of that size cannot do without, and only with at least
    one end outside the list's largest component. Far copies of a large group share
@@ -51,6 +53,8 @@ KEEP = 64
 TOP, BOTTOM = 4, 5
 #: Classes of a list from which on its members meet by their full sets.
 CROWD = 16
+#: Numbers of 64 bits in a parity map.
+MAP = 16
 
 
 def shingles(text: str | None, width: int) -> list[bytes]:
@@ -73,6 +77,18 @@ def hashes(text: str | None, width: int) -> np.ndarray:
     return np.unique(np.array([digest(s, 42) for s in shingles(text, width)], np.uint64).view(np.int64))
 
 
+def parity_map(values: np.ndarray) -> np.ndarray:
+    """Parities of the numbers of hashes that fall to each bit of a map."""
+    odd = np.bincount(values.view(np.uint64) % np.uint64(64 * MAP), minlength=64 * MAP).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64)
+
+
+def _alike(x: str, y: str) -> Column:
+    """Parity filter: ``map`` and ``n`` of two classes, by the prefixes of their columns."""
+    apart = sum((F.bit_count(F.col(f"{x}map")[i].bitwiseXOR(F.col(f"{y}map")[i])) for i in range(MAP)), F.lit(0))
+    return apart * (TOP + BOTTOM) <= (F.col(f"{x}n") + F.col(f"{y}n")) * (BOTTOM - TOP)
+
+
 def _key(id_col: str, text_col: str) -> list[Column]:
     """``at, version``: where a document is found again; null ids and texts are values like any other."""
     doc_id, text = F.col(id_col), F.col(text_col)
@@ -192,28 +208,29 @@ def _across(docs: DataFrame, classes: DataFrame, posted: DataFrame, roots: DataF
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, "text"):
-            found = pa.array([hashes(t, width) for t in piece.column("text").to_pylist()], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([piece.column("id"), found], names=["id", "hashes"])
+            found = [hashes(t, width) for t in piece.column("text").to_pylist()]
+            maps = pa.array([parity_map(h) for h in found], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([piece.column("id"), pa.array(found, pa.list_(pa.int64())), maps], names=["id", "hashes", "map"])
 
-    sets = crowd.join(texts.select("id", "text").mapInArrow(hashed, "id bigint, hashes array<bigint>"), "id")
+    sets = written(crowd.join(texts.select("id", "text").mapInArrow(hashed, "id bigint, hashes array<bigint>, map array<bigint>"), "id"), "crowd")
     rarest = written(_rarest(sets), "rarest")
-    found = rarest.join(_mixed(rarest, "shingle").drop("members"), "shingle")
+    found = rarest.join(_mixed(rarest, "shingle").drop("members"), "shingle").join(sets.select("id", "map"), "id")
     many = _outside_pairs(
         found, "shingle",
-        lambda x, y: _sized(f"{x}n", f"{y}n") & (F.col(f"{x}n") <= F.col(f"{y}most_n")) & (F.col(f"{y}n") <= F.col(f"{x}most_n")),
+        lambda x, y: _sized(f"{x}n", f"{y}n") & (F.col(f"{x}n") <= F.col(f"{y}most_n")) & (F.col(f"{y}n") <= F.col(f"{x}most_n")) & _alike(x, y),
     )
     return few.unionByName(many).distinct()
 
 
 def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of which half the union's sketch is in both sketches."""
+    """``x, y, share``: pairs of which half the union's sketch, or more, is in both sketches."""
     held = classes.select("id", "sketch")
     both = pairs.join(held.select(F.col("id").alias("x"), F.col("sketch").alias("a")), "x").join(
         held.select(F.col("id").alias("y"), F.col("sketch").alias("b")), "y"
     )
     union = F.slice(F.array_sort(F.array_union("a", "b")), 1, KEEP)
     shared = F.size(F.array_intersect(F.array_intersect(F.col("a"), F.col("b")), union))
-    return both.where(2 * shared >= F.size(union)).select("x", "y")
+    return both.where(2 * shared >= F.size(union)).select("x", "y", (shared / F.size(union)).alias("share"))
 
 
 def similar(a: set[bytes], b: set[bytes]) -> bool:
@@ -231,7 +248,7 @@ def texts_of(docs: DataFrame, classes: DataFrame, ids: DataFrame, id_col: str, t
 
 def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
     """The pairs (x, y) whose full sets are similar."""
-    pairs = written(pairs, "pairs")
+    pairs = written(pairs.select("x", "y"), "pairs")
     texts = written(texts_of(docs, classes, pairs.select(F.explode(F.array("x", "y")).alias("id")), id_col, text_col), "texts")
     both = pairs.join(texts.select(F.col("id").alias("y"), F.col("text").alias("b")), "y").join(
         texts.select(F.col("id").alias("x"), F.col("text").alias("a")), "x"
@@ -250,6 +267,31 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int,
     return written(both.mapInArrow(checked, "x bigint, y bigint"), "verified")
 
 
+def _likeliest(pairs: DataFrame) -> DataFrame:
+    """``x, y``: for each class of the pairs the one that it shares most of its sketch with."""
+    ends = pairs.select(F.col("x").alias("node"), F.col("y").alias("other"), "share").unionByName(
+        pairs.select(F.col("y").alias("node"), F.col("x").alias("other"), "share")
+    )
+    best = ends.groupBy("node").agg(F.max_by("other", F.struct("share", -F.col("other"))).alias("other"))
+    return best.select(F.least("node", "other").alias("x"), F.greatest("node", "other").alias("y")).distinct()
+
+
+def _with_roots(links: DataFrame, roots: DataFrame) -> DataFrame:
+    """``x, y, xr, yr``: links and the components that they join."""
+    for side in ("x", "y"):
+        links = links.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"{side}r")), side, "left")
+    return links.select("x", "y", F.coalesce("xr", "x").alias("xr"), F.coalesce("yr", "y").alias("yr"))
+
+
+def _merged(classes: DataFrame, roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``node, root`` of the classes that are not their own root, after ``links`` join whole components."""
+    joined = components(_with_roots(links, roots).select(F.col("xr").alias("a"), F.col("yr").alias("b")))
+    tops = joined.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    known = classes.select(F.col("id").alias("node")).join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    found = known.join(tops, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    return written(found.where("node <> root"), "roots")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, version, n_shingles, component_id, kept`` for every document.
 
@@ -261,18 +303,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id", tex
     posted = written(postings(classes), "postings")
     first = verified(docs, classes, estimated(_first_met(posted), classes), width, id_col, text_col)
     roots = written(components(first.select(F.col("x").alias("a"), F.col("y").alias("b"))), "roots")
-    more = verified(docs, classes, estimated(_across(docs, classes, posted, roots, width, id_col, text_col), classes), width, id_col, text_col)
-    # The second links join whole components.
-    at = roots.select(F.col("node"), F.col("root"))
-    ends = more.join(at.select(F.col("node").alias("x"), F.col("root").alias("xr")), "x", "left").join(
-        at.select(F.col("node").alias("y"), F.col("root").alias("yr")), "y", "left"
-    )
-    joined = components(ends.select(F.coalesce("xr", "x").alias("a"), F.coalesce("yr", "y").alias("b")))
-    merged = joined.select(F.col("node").alias("root"), F.col("root").alias("top"))
-    rooted = (
-        classes.select("s1", "s2", "id").join(at, F.col("id") == F.col("node"), "left").select("s1", "s2", F.coalesce("root", "id").alias("root"))
-        .join(merged, "root", "left").select("s1", "s2", F.coalesce("top", "root").alias("root"))
-    )
+    pairs = written(estimated(_across(docs, classes, posted, roots, width, id_col, text_col), classes), "across")
+    # The likeliest pairs go first; pairs that are in one component after them can change nothing.
+    roots = _merged(classes, roots, verified(docs, classes, _likeliest(pairs), width, id_col, text_col))
+    left = _with_roots(pairs, roots).where("xr <> yr")
+    roots = _merged(classes, roots, verified(docs, classes, left, width, id_col, text_col))
+    rooted = classes.join(roots, F.col("id") == F.col("node"), "left").select("s1", "s2", F.coalesce("root", "id").alias("root"))
     least = prints.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("least")).join(rooted, ["s1", "s2"])
     names = written(least.groupBy("root").agg(F.min("least").alias("component_id")).join(rooted, "root").select("s1", "s2", "component_id"), "names")
     own = ["doc_id", "version", F.col("n").alias("n_shingles")]

@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -83,6 +84,36 @@ def test_near_copies_match_all_pairs(make, crowd, monkeypatch):
     assert found_components(make(rows), 4) == by_text(plain_components(rows, 4))
 
 
+@pytest.mark.parametrize("edits", [2, 4])
+def test_pairs_of_a_large_group_do_not_grow_with_its_square(make, edits, monkeypatch):
+    """Copies with two edits all match, those with four share most of their shingles and match nobody."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(150):
+        copy = [f"hub{k}" for k in range(200)]
+        for k in rng.sample(range(3, 197), edits):
+            copy[k] = f"far{i}x{k}"
+        rows.append((i, " ".join(copy)))
+    made, verified = [], bottomk.verified
+
+    def counted(docs, classes, pairs, *rest):
+        made.append(pairs.count())
+        return verified(docs, classes, pairs, *rest)
+
+    monkeypatch.setattr(bottomk, "verified", counted)
+    assert found_components(make(rows), 4) == by_text(plain_components(rows, 4))
+    assert sum(made) < 5 * len(rows)
+
+
+def test_parity_maps_differ_in_no_more_bits_than_sets():
+    rng = random.Random(4)
+    for _ in range(50):
+        a, b = ({rng.getrandbits(40) for _ in range(rng.randrange(400))} for _ in "ab")
+        b |= set(list(a)[: rng.randrange(400)])
+        maps = [int.from_bytes(bottomk.parity_map(np.array(sorted(x), np.int64)).tobytes(), "little") for x in (a, b)]
+        assert (maps[0] ^ maps[1]).bit_count() <= len(a ^ b)
+
+
 def test_chain_of_links_is_one_component(make):
     words = [f"t{i}" for i in range(200)]
     rows = [(i, " ".join(words[i * 10 : i * 10 + 100])) for i in range(8)]
