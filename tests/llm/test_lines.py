@@ -1,5 +1,6 @@
 """Line hashing and the set-similarity join of lines."""
 
+import os
 import random
 
 import brute
@@ -42,6 +43,59 @@ def test_line_join_against_brute_force(make, edges, salt, lags, monkeypatch):
     assert sum(len(x) for x in gone.values()) > 50
 
 
+@pytest.mark.parametrize("rounds", [(64, 8, 1), (2, 1)])
+def test_lines_of_larger_lists_against_brute_force(make, edges, rounds, monkeypatch):
+    monkeypatch.setattr(line_join, "CROWD", 1)
+    monkeypatch.setattr(line_join, "ROUNDS", rounds)
+    monkeypatch.setattr(line_join, "SALT_ABOVE", 16)
+    # First meetings decide as little as they can, so the rest is left to the lists.
+    monkeypatch.setattr(line_join, "FIRST_PAIRS", 1)
+    rows = lined(edges)
+    gone = brute.removed_lines(rows)
+    got = line_join.deduplicate(make(rows)).select("doc_id", "text").collect()
+    want = [(d, None if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone[d, t])) for d, t in rows]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_pairs_of_a_group_of_far_copies_do_not_grow_with_its_square(make, monkeypatch):
+    """Lines that share most of their words with a group and match nobody."""
+    r = random.Random(6)
+    rows = []
+    for i in range(300):
+        line = [f"hub{k}" for k in range(70)]
+        for k in r.sample(range(70), 6):
+            line[k] = r.choice("abcdefgh") + str(r.randrange(30))
+        rows.append((i, " ".join(line)))
+    made, written = [], line_join.written
+
+    def counted(df, label):
+        out = written(df, label)
+        if "x" in out.columns and "y" in out.columns:
+            made.append((label, out.count()))
+        return out
+
+    monkeypatch.setattr(line_join, "written", counted)
+    gone = brute.removed_lines(rows)
+    assert {(x.doc_id): x.n_removed for x in line_join.decisions(make(rows)).collect()} == {d: len(gone[d, t]) for d, t in rows}
+    # Lists of up to CROWD lines are still paired: that many for a line and list, at most.
+    assert sum(n for label, n in made if label in ("met", "crowd-pairs")) < 12 * len(rows), made
+
+
+def test_prefixes_of_all_lines_are_gone_before_classes_are_ordered(make, monkeypatch):
+    kept, written = {}, line_join.written
+
+    def seen(df, label):
+        out = written(df, label)
+        kept[label] = {name for name, path in paths.items() if os.path.exists(path.removeprefix("file:"))}
+        paths[label] = out.scratch
+        return out
+
+    paths = {}
+    monkeypatch.setattr(line_join, "written", seen)
+    line_join.decisions(make([(1, "one two three"), (2, "one two three\nfour")])).collect()
+    assert "posted" not in kept["classes"]
+
+
 def test_frequent_tokens_stay_in_order_and_are_dealt(spark):
     counts = [0, 1, 60_000, 10**6, 10**8, 2**62]
     levels = [r.v for r in spark.createDataFrame([(i, c) for i, c in enumerate(counts)], "i int, c bigint").orderBy("i").select(
