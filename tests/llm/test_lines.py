@@ -81,6 +81,29 @@ def test_pairs_of_a_group_of_far_copies_do_not_grow_with_its_square(make, monkey
     assert sum(n for label, n in made if label in ("met", "crowd-pairs")) < 12 * len(rows), made
 
 
+def test_long_lines_that_only_share_neighbours_are_no_candidates(make, monkeypatch):
+    """Many tokens fill 64 bits of parities; lists are built in shares of about one size."""
+    r = random.Random(8)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(r.sample(words, 160))) for i in range(30)]
+    rows += [(100 + i, " ".join([*rows[i][1].split()[:150], "x", "y", str(i)])) for i in range(5)]
+    made, lists, written = [], [], line_join.written
+
+    def counted(df, label):
+        out = written(df, label)
+        if label in ("best", "met"):
+            made.append(out.count())
+        if label == "lists":
+            lists.append(out.count())
+        return out
+
+    monkeypatch.setattr(line_join, "written", counted)
+    gone = brute.removed_lines(rows)
+    assert {x.doc_id: x.n_removed for x in line_join.decisions(make(rows)).collect()} == {d: len(gone[d, t]) for d, t in rows}
+    assert sum(map(len, gone.values())) == 5 and sum(made) < 10, made
+    assert len(lists) == line_join.SHARES > 1 and sum(lists) > 20 and max(lists) < 0.75 * sum(lists), lists
+
+
 def test_prefixes_of_all_lines_are_gone_before_classes_are_ordered(make, monkeypatch):
     kept, written = {}, line_join.written
 
