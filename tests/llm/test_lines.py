@@ -104,6 +104,44 @@ def test_long_lines_that_only_share_neighbours_are_no_candidates(make, monkeypat
     assert len(lists) == line_join.SHARES > 1 and sum(lists) > 20 and max(lists) < 0.75 * sum(lists), lists
 
 
+def test_lines_of_other_sizes_do_not_crowd_a_list(make, monkeypatch):
+    """All lines share neighbours, few are of one size: they meet in parts of their list and need no index."""
+    r = random.Random(9)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(0, " ".join(words * 2))]
+    for i in range(120):
+        rows.append((1 + i, " ".join(["hub1", "hub2", "hub3", "hub4", *r.sample(words, 6 + 3 * i // 2)])))
+    # Copies with up to a fifth more words, of which many are of the next interval of sizes.
+    rows += [(1000 + i, " ".join([rows[i][1], *[f"own{i}x{k}" for k in range(len(rows[i][1].split()) // 5)]])) for i in range(10, 121, 10)]
+    # Beside the common words, which are the most frequent ones.
+    rows += [(2000 + i, " ".join(["hub", *words[: 390 - i]])) for i in range(3)]
+    crowds, written = [], line_join.written
+
+    def counted(df, label):
+        out = written(df, label)
+        if label == "crowd":
+            crowds.append(out.count())
+        return out
+
+    monkeypatch.setattr(line_join, "written", counted)
+    monkeypatch.setattr(line_join, "FIRST_PAIRS", 1)
+    # Common words come behind the shared ones.
+    counts = line_join.token_rarity
+    monkeypatch.setattr(line_join, "token_rarity", lambda texts: counts(texts.unionByName(make([(None, " ".join(words * 500))]).select("text"))))
+    gone = brute.removed_lines(rows)
+    assert {x.doc_id: x.n_removed for x in line_join.decisions(make(rows)).collect()} == {d: len(gone[d, t]) for d, t in rows}
+    assert sum(map(len, gone.values())) >= 12 and crowds == [0], crowds
+
+
+def test_only_lines_that_may_be_wanted_leave_their_texts(make):
+    rows = [(i, "\n".join(f"line {k} of {i}" for k in range(20))) for i in range(100)] + [(None, "one\ntwo")]
+    docs = make(rows)
+    wanted = line_join._lines(docs, "doc_id", "text").where("line = 1 AND (doc_id % 25 = 0 OR doc_id IS NULL)")
+    wanted = wanted.select(F.col("doc_id").alias("at_id"), F.col("version").alias("at_version"), F.col("line").alias("at_line"))
+    near = {(r.doc_id, r.content) for r in line_join._near_wanted(docs, wanted, "doc_id", "text").collect()}
+    assert {(None, "two"), *((i, f"line 1 of {i}") for i in range(0, 100, 25))} <= near and len(near) < 10
+
+
 def test_prefixes_of_all_lines_are_gone_before_classes_are_ordered(make, monkeypatch):
     kept, written = {}, line_join.written
 
